@@ -1,0 +1,45 @@
+"""Every registered query against DuckDB on the same tables."""
+
+import os
+
+import duckdb
+import pytest
+
+from __spark_entry__ import oracle_sql, queries
+from tests.conftest import SF_DIR
+
+TABLES = "documents embeddings pages benchmark labels conversations orders lineitem customer part supplier nation region events"
+
+
+@pytest.fixture(scope="module")
+def duck():
+    connection = duckdb.connect()
+    for name in TABLES.split():
+        if os.path.exists(f"{SF_DIR}/{name}.parquet"):
+            connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{SF_DIR}/{name}.parquet'")
+    return connection
+
+
+def rows_by_name(columns, rows):
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return sorted((tuple(row[i] for i in order) for row in rows), key=repr)
+
+
+KINDS = {"VARCHAR": "string", "BIGINT": "bigint", "INTEGER": "int", "BOOLEAN": "boolean"}
+
+
+@pytest.mark.parametrize("name", sorted(queries()))
+def test_matches_duckdb(spark, duck, sf_dir, name):
+    df = queries()[name](spark, sf_dir)
+    got = rows_by_name(df.columns, [tuple(r) for r in df.collect()])
+    if name not in oracle_sql():
+        assert got
+        return
+    result = duck.execute(oracle_sql()[name])
+    kinds = {c[0]: KINDS.get(str(c[1]), str(c[1])) for c in result.description}
+    expected = rows_by_name([c[0] for c in result.description], result.fetchall())
+    assert dict(df.dtypes) == kinds
+    assert len(got) == len(expected)
+    differing = [(g, e) for g, e in zip(got, expected) if g != e]
+    assert not differing, f"{len(differing)} rows, first: {differing[0]}"
+    assert got

@@ -26,6 +26,21 @@ ENTITIES = [
     ("&#39;", "'"),
     ("&apos;", "'"),
     ("&nbsp;", "\u00a0"),
+    ("&copy;", "\u00a9"),
+    ("&reg;", "\u00ae"),
+    ("&middot;", "\u00b7"),
+    ("&laquo;", "\u00ab"),
+    ("&raquo;", "\u00bb"),
+    ("&pound;", "\u00a3"),
+    ("&euro;", "\u20ac"),
+    ("&ndash;", "\u2013"),
+    ("&mdash;", "\u2014"),
+    ("&lsquo;", "\u2018"),
+    ("&rsquo;", "\u2019"),
+    ("&ldquo;", "\u201c"),
+    ("&rdquo;", "\u201d"),
+    ("&bull;", "\u2022"),
+    ("&hellip;", "\u2026"),
     ("&amp;", "&"),
 ]
 

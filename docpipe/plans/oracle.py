@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from docpipe.functions.html import ENTITIES
 from docpipe.functions.text import ASCII_PUNCTUATION, LINE_END, WHITESPACE
 
 
@@ -51,11 +52,15 @@ def rtf(text: str) -> str:
     return f"lower(regexp_replace(translate({text}, {PUNCT}, ''), ' +', ' ', 'g'))"
 
 
+def decoded(text: str) -> str:
+    for reference, char in ENTITIES:
+        text = f"replace({text}, '{reference}', {_quoted(char)})"
+    return text
+
+
 def visible(html: str) -> str:
     s = f"regexp_replace({html}, '(?s)<!--.*?-->|<script\\b.*?</script>|<style\\b.*?</style>|<[^>]*>', ' ', 'g')"
-    for reference, char in (("&lt;", "'<'"), ("&gt;", "'>'"), ("&quot;", "chr(34)"), ("&#39;", "chr(39)"),
-                            ("&apos;", "chr(39)"), ("&nbsp;", "chr(160)"), ("&amp;", "'&'")):
-        s = f"replace({s}, '{reference}', {char})"
+    s = decoded(s)
     return f"trim(regexp_replace({s}, {_quoted(WHITESPACE)}, ' ', 'g'))"
 
 
@@ -72,8 +77,7 @@ def nodes(html: str) -> str:
     s = f"regexp_replace({s}, '>[ \\t\\r\\f]+<', '> <', 'g')"
     s = f"regexp_replace({s}, '^(<[^>]*>)+|(<[^>]*>)+$', '', 'g')"
     s = f"regexp_replace({s}, '(<[^>]*>)+', ' ', 'g')"
-    for reference, char in (("&lt;", "'<'"), ("&gt;", "'>'"), ("&quot;", "chr(34)"), ("&#39;", "chr(39)"), ("&amp;", "'&'")):
-        s = f"replace({s}, '{reference}', {char})"
+    s = decoded(s)
     return f"replace(replace({s}, chr(1), '<'), chr(2), '>')"
 
 

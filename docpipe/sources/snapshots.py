@@ -18,16 +18,17 @@ SNAPSHOT_SCHEMA = T.StructType([
 ])
 
 
+def read_outcomes(spark: SparkSession, path: str) -> DataFrame:
+    """Every row of a snapshot folder, errors and skipped files included."""
+    rows = spark.read.schema(SNAPSHOT_SCHEMA).parquet(path)
+    # files without an extension are in the partition that Spark names for null
+    return rows.withColumn("ext", F.coalesce("ext", F.lit("")))
+
+
 def read_snapshot(spark: SparkSession, path: str, ext: str, run_date: dt.date) -> DataFrame:
     """``files, raw_text`` of one extension and day; other partitions are not listed."""
     return (
-        spark.read.schema(SNAPSHOT_SCHEMA)
-        .parquet(path)
+        read_outcomes(spark, path)
         .where((F.col("ext") == ext) & (F.col("run_date") == F.lit(run_date)) & (F.col("status") == "ok"))
         .select("files", "raw_text")
     )
-
-
-def read_outcomes(spark: SparkSession, path: str) -> DataFrame:
-    """Every row of a snapshot folder, errors and skipped files included."""
-    return spark.read.schema(SNAPSHOT_SCHEMA).parquet(path)

@@ -15,19 +15,14 @@ from pyspark.sql import functions as F
 ASCII_PUNCTUATION = string.punctuation
 
 # What str.isspace() / Python's \s call white space. Java's \s is
-# ASCII only, so the class is spelled out.
-WHITESPACE = (
-    r"[\t-\r\x1c-\x20\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
-)
+# ASCII only unless told otherwise, and never counts U+001C to U+001F.
+WHITESPACE = r"(?U)[\s\x1c-\x1f]+"
 
-# The line ends of str.splitlines().
-LINE_END = r"\r\n|[\n-\r\x1c-\x1e\x85\x{2028}\x{2029}]"
+# The line ends of str.splitlines(); \v is Java's vertical white space.
+LINE_ENDS = r"[\v\x1c-\x1e]+"
 
-# Clean-up patterns for plain text.
-SPACES = " +"
-BARS = "[|]"
-NEWLINES = "[\r\n]+"
-TABS = "\t+"
+# The ASCII punctuation as a Java character class.
+PUNCTUATION_RUN = r"\p{Punct}+"
 
 PLAIN_TEXT_HEADER_CHARS = 6
 
@@ -38,9 +33,20 @@ def decode_utf8(content: Column) -> Column:
 
 
 def delete_chars(text: Column, chars: str = ASCII_PUNCTUATION) -> Column:
+    if chars == ASCII_PUNCTUATION:
+        return F.regexp_replace(text, PUNCTUATION_RUN, "")
     return F.translate(text, chars, "") if chars else text
 
 
+def squeeze(text: Column, char: str) -> Column:
+    """Runs of one character become one; the pattern runs only on texts that have any."""
+    return F.when(F.contains(text, F.lit(char * 2)), F.regexp_replace(text, f"{char}{{2,}}", char)).otherwise(text)
+
+
+def replace_char(text: Column, char: str, by: str) -> Column:
+    return F.replace(text, F.lit(char), F.lit(by))
+
+
 def collapse_whitespace(text: Column) -> Column:
     """Runs of (Unicode) white space become one blank; the ends are trimmed."""
     return F.trim(F.regexp_replace(text, WHITESPACE, " "))
@@ -48,11 +54,11 @@ def collapse_whitespace(text: Column) -> Column:
 
 def join_lines(text: Column) -> Column:
     """Remove line ends; the lines touch."""
-    return F.regexp_replace(text, LINE_END, "")
+    return F.regexp_replace(text, LINE_ENDS, "")
 
 
 def universal_newlines(text: Column) -> Column:
-    return F.regexp_replace(text, "\r\n?", "\n")
+    return replace_char(replace_char(text, "\r\n", "\n"), "\r", "\n")
 
 
 def drop_first(text: Column, n: int) -> Column:
@@ -65,11 +71,11 @@ def normalise(text: Column, punctuation: str = ASCII_PUNCTUATION) -> Column:
 
 def clean_plain_text(text: Column) -> Column:
     """Converted .doc / .txt text: blanks, six-character header, bars, breaks, case."""
-    text = F.regexp_replace(universal_newlines(text), SPACES, " ")
+    text = squeeze(universal_newlines(text), " ")
     text = drop_first(text, PLAIN_TEXT_HEADER_CHARS)
-    text = F.regexp_replace(text, BARS, "")
-    text = F.regexp_replace(text, NEWLINES, " ")
-    text = F.regexp_replace(text, TABS, " ")
+    text = replace_char(text, "|", "")
+    text = F.regexp_replace(text, "\n+", " ")
+    text = F.regexp_replace(text, "\t+", " ")
     return normalise(text)
 
 
@@ -86,7 +92,7 @@ def clean_page_text(text: Column, strip_punctuation: bool = False) -> Column:
 
 def clean_rtf_text(text: Column, punctuation: str = ASCII_PUNCTUATION) -> Column:
     """Decoded rtf: drop punctuation, collapse blanks, lower case."""
-    return F.lower(F.regexp_replace(delete_chars(text, punctuation), SPACES, " "))
+    return F.lower(squeeze(delete_chars(text, punctuation), " "))
 
 
 def clean_nodes(nodes: Column) -> Column:

@@ -5,6 +5,9 @@ for one file. Inner joins are left to the optimizer: it broadcasts a side only i
 its measured size is under ``spark.sql.autoBroadcastJoinThreshold``, and adaptive
 execution splits an oversized shuffle partition on either side. An outer join can
 be split on its kept side only, so the ones below keep the heavy side inner.
+
+Generated code evaluates a projected column where it is first used. Behind a join
+that is once per joined row, so a costly text column is pinned before the join.
 """
 
 from __future__ import annotations
@@ -13,12 +16,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def pinned(df: DataFrame) -> DataFrame:
+    """The same rows, every column computed here and once per row.
+
+    A generator over an array of one row is a point the code generator does not
+    defer past; no shuffle, no copy of the values.
+    """
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    return df.select(F.inline(F.array(row)))
+
+
 def natural_inner_join(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Inner join on all common columns; no common column is an error."""
+    """Inner join on all common columns; no common column is an error.
+
+    ``right`` is the side with the computed text.
+    """
     common = [c for c in left.columns if c in right.columns]
     if not common:
         raise ValueError(f"no common column in {left.columns} and {right.columns}")
-    return left.join(right, common, "inner")
+    return left.join(pinned(right), common, "inner")
 
 
 def left_join_heavy_right(left: DataFrame, right: DataFrame, on: str) -> DataFrame:
@@ -27,7 +43,7 @@ def left_join_heavy_right(left: DataFrame, right: DataFrame, on: str) -> DataFra
     Matched rows come from an inner join, which can be split on both sides. The
     others come from an anti join against the distinct keys, one row per key.
     """
-    matched = left.join(right, on, "inner")
+    matched = pinned(left).join(right, on, "inner")
     keys = right.select(on).where(F.col(on).isNotNull()).distinct()
     unmatched = left.join(keys, on, "left_anti")
     return matched.unionByName(unmatched, allowMissingColumns=True)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docpipe.functions.names import DAY_STAMP, replace_suffix
-from docpipe.operators.joins import compare_names, left_join_heavy_right
+from docpipe.operators.joins import compare_names, left_join_heavy_right, pinned
 from docpipe.sources.manifests import MANIFEST_COLUMNS
 
 
@@ -69,9 +69,8 @@ def unprocessed(manifest: DataFrame, processed: DataFrame) -> DataFrame:
 def prior_version_join(texts: DataFrame, manifest: DataFrame, suffix: str = ".docx") -> DataFrame:
     """Text of the earlier version of each manifest object."""
     named = texts.withColumn("files", replace_suffix(F.col("files"), suffix))
-    return named.withColumnRenamed("files", "Prior_Version_Object_Name").join(
-        has_prior(manifest), "Prior_Version_Object_Name", "inner"
-    )
+    named = named.withColumnRenamed("files", "Prior_Version_Object_Name")
+    return pinned(named).join(has_prior(manifest), "Prior_Version_Object_Name", "inner")
 
 
 def delta_vs_manifest(files: DataFrame, manifest: DataFrame) -> DataFrame:

@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 from docpipe.functions.html import ENTITIES
-from docpipe.functions.text import ASCII_PUNCTUATION, LINE_END, WHITESPACE
+from docpipe.functions.text import ASCII_PUNCTUATION
 
 
 def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
+# Python's white space and line ends, for an engine with ASCII \s
+WHITESPACE = r"[\t-\r\x1c-\x20\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
+LINE_END = r"\r\n|[\n-\r\x1c-\x1e\x85\x{2028}\x{2029}]"
 PUNCT = _quoted(ASCII_PUNCTUATION)
 NL = "chr(10)"
 

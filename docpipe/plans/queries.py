@@ -79,7 +79,7 @@ def name_parts(spark, sf_dir):
 
 def _plain_documents(spark, sf_dir, header: bool = True) -> DataFrame:
     content = si.plain_bytes(F.col("text")) if header else F.col("text").cast("binary")
-    return si.raw_of(si.table(spark, sf_dir, "documents"), "doc", content)
+    return si.raw_of(si.busy_table(spark, sf_dir, "documents"), "doc", content)
 
 
 def _plain_texts(spark, sf_dir) -> DataFrame:
@@ -95,18 +95,18 @@ def clean_plain_text(spark, sf_dir):
 @register
 def paragraphs_to_text(spark, sf_dir):
     lines = F.split("text", "\n")
-    return si.table(spark, sf_dir, "documents").select("doc_id", tx.clean_paragraphs(lines).alias("raw_text"))
+    return si.busy_table(spark, sf_dir, "documents").select("doc_id", tx.clean_paragraphs(lines).alias("raw_text"))
 
 
 @register
 def html_visible_text(spark, sf_dir):
-    return si.table(spark, sf_dir, "pages").select("page_id", html.visible_text(F.col("html")).alias("raw_text"))
+    return si.busy_table(spark, sf_dir, "pages").select("page_id", html.visible_text(F.col("html")).alias("raw_text"))
 
 
 @register
 def html_all_nodes(spark, sf_dir):
     nodes = html.all_nodes(F.col("html"))
-    return si.table(spark, sf_dir, "pages").select("page_id", F.array_join(nodes, " ").alias("raw_text"))
+    return si.busy_table(spark, sf_dir, "pages").select("page_id", F.array_join(nodes, " ").alias("raw_text"))
 
 
 # pages of a file
@@ -140,19 +140,19 @@ def route_empty_text(spark, sf_dir):
 
 @register
 def extract_docx(spark, sf_dir):
-    raw = si.raw_of(si.table(spark, sf_dir, "documents"), "docx", si.docx_bytes(F.col("text")))
+    raw = si.raw_of(si.busy_table(spark, sf_dir, "documents"), "docx", si.docx_bytes(F.col("text")))
     return extract(raw, ["docx"]).select("files", "raw_text", "status")
 
 
 @register
 def extract_rtf(spark, sf_dir):
-    raw = si.raw_of(si.table(spark, sf_dir, "documents"), "rtf", si.rtf_bytes(F.col("text")))
+    raw = si.raw_of(si.busy_table(spark, sf_dir, "documents"), "rtf", si.rtf_bytes(F.col("text")))
     return extract(raw, ["rtf"]).select("files", "raw_text", "status")
 
 
 @register
 def extract_eml(spark, sf_dir):
-    raw = si.table(spark, sf_dir, "pages").select(
+    raw = si.busy_table(spark, sf_dir, "pages").select(
         F.concat(F.lit("page_"), F.col("page_id").cast("string"), F.lit(".eml")).alias("files"),
         F.lit("eml").alias("ext"),
         si.eml_bytes(F.col("html")).alias("content"),
@@ -202,7 +202,7 @@ def latest_per_file(spark, sf_dir):
 @register
 def parse_mapping_lines(spark, sf_dir):
     """Every line of every document as a mapping line."""
-    lines = si.table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "value"))
+    lines = si.busy_table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "value"))
     return mp.parse_mapping_lines(lines, "files", "meta", carry=["doc_id", "line_no"])
 
 
@@ -218,7 +218,7 @@ def mapping_join(spark, sf_dir):
 @register
 def mapping_join_totals(spark, sf_dir):
     """Flagship: clean every document, join the mapping, total per language."""
-    texts = si.table(spark, sf_dir, "documents").select(
+    texts = si.busy_table(spark, sf_dir, "documents").select(
         si.doc_name(".doc").alias("files"), "lang", tx.clean_plain_text(F.col("text")).alias("raw_text")
     )
     return (
@@ -308,7 +308,7 @@ def backlog_dates(spark, sf_dir):
 
 @register
 def prior_version_join(spark, sf_dir):
-    texts = extract_plain(si.raw_of(si.table(spark, sf_dir, "documents"), "docx", si.plain_bytes(F.col("text"))))
+    texts = extract_plain(si.raw_of(si.busy_table(spark, sf_dir, "documents"), "docx", si.plain_bytes(F.col("text"))))
     joined = m.prior_version_join(texts.select("files", "raw_text"), si.manifest_view(spark, sf_dir))
     return joined.select("Prior_Version_Object_Name", "Object_name", "object_id", "raw_text")
 

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docpipe.functions.names import extension
+from docpipe.sources.files import spread
 
 WORD_XMLNS = "http://schemas.openxmlformats.org/wordprocessingml/2006/main"
 
@@ -24,6 +25,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def busy_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table whose rows cost much work each; a single row group still uses all cores."""
+    return spread(table(spark, sf_dir, name))
+
+
 def doc_name(suffix: str | Column = "", number: str = "doc_id") -> Column:
     suffix = F.lit(suffix) if isinstance(suffix, str) else suffix
     return F.concat(F.lit("doc_"), F.col(number).cast("string"), suffix)
@@ -41,8 +47,8 @@ def file_suffix() -> Column:
     )
 
 
-def files_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").withColumn("files", doc_name(file_suffix()))
+def files_view(spark: SparkSession, sf_dir: str, load=table) -> DataFrame:
+    return load(spark, sf_dir, "documents").withColumn("files", doc_name(file_suffix()))
 
 
 def plain_bytes(text: Column) -> Column:
@@ -108,7 +114,7 @@ def mixed_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     Short docx files are empty, short rtf files have a brace too many and short
     e-mails have no html part. Only the bytes of the own format are built.
     """
-    files = files_view(spark, sf_dir)
+    files = files_view(spark, sf_dir, busy_table)
     ext = F.substring(extension(F.col("files")), 2, 100)
     text, n = F.col("text"), F.col("n_chars")
     named = files.select("files", ext.alias("ext"), "text", "n_chars")
@@ -140,14 +146,14 @@ def mixed_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pages_of_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pdf files of the folder, a page per line; blank lines are failed pages."""
-    pdf = files_view(spark, sf_dir).where(F.col("files").endswith(".pdf"))
+    pdf = files_view(spark, sf_dir, busy_table).where(F.col("files").endswith(".pdf"))
     lines = pdf.select("files", F.posexplode(F.split("text", "\n")).alias("page_no", "page_text"))
     return lines.withColumn("page_error", F.when(F.trim("page_text") == "", "blank"))
 
 
 def conversation_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversations as files, turns as pages."""
-    return table(spark, sf_dir, "conversations").select(
+    return busy_table(spark, sf_dir, "conversations").select(
         F.concat(F.lit("conv_"), F.col("conv_id").cast("string"), F.lit(".pdf")).alias("files"),
         F.col("turn").cast("int").alias("page_no"),
         F.col("text").alias("page_text"),

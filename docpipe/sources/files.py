@@ -18,6 +18,16 @@ BINARY_SCHEMA = T.StructType([
 ])
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """One task per core for costly per-row work on a scan of few splits.
+
+    The number of splits is checked on the plan: a scan that already keeps every
+    core busy is returned as it is, without a shuffle.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+
+
 def name_glob(exts: Iterable[str]) -> str:
     """Glob for file names with one of the extensions (no dot, case-sensitive)."""
     return "*.{" + ",".join(exts) + "}"

@@ -46,20 +46,49 @@ def with_names(binary: DataFrame) -> DataFrame:
     )
 
 
+def file_names(spark: SparkSession, folder: str) -> DataFrame:
+    """``path`` of every file of one folder, listed through Hadoop's input format.
+
+    Unlike Spark's own sources this keeps files of zero length. Nothing is opened.
+    """
+    slots = spark.sparkContext.defaultParallelism
+    paths = spark._jsc.binaryFiles(folder, slots).keys()
+    strings = spark._jvm.org.apache.spark.sql.Encoders.STRING()
+    listed = spark._jsparkSession.createDataset(paths.rdd(), strings).toDF()
+    return DataFrame(listed, spark).toDF("path")
+
+
+def _with_empty(spark: SparkSession, folder: str, found: DataFrame, exts: Iterable[str] | None) -> DataFrame:
+    """Add the files of zero length, which Spark's file sources leave out."""
+    listed = with_names(
+        file_names(spark, folder).select(
+            "path",
+            F.lit(None).cast("timestamp").alias("modificationTime"),
+            F.lit(0).cast("bigint").alias("length"),
+            F.lit("").cast("binary").alias("content"),
+        )
+    )
+    if exts is not None:
+        listed = listed.where(F.col("ext").isin(list(exts)))
+    return found.unionByName(listed.join(found.select("files"), "files", "left_anti").select(found.columns))
+
+
 def raw_files(spark: SparkSession, folder: str, exts: Iterable[str]) -> DataFrame:
-    """Files of one folder with one of the extensions.
+    """Files of one folder with one of the extensions, empty ones included.
 
     Not recursive; the match is exact and case-sensitive and happens while listing,
     so other files are never opened. A missing folder is an error. ``content`` is
     read only if a later step uses it.
     """
+    exts = list(exts)
     reader = spark.read.format("binaryFile").option("pathGlobFilter", name_glob(exts))
-    return with_names(reader.load(folder))
+    return _with_empty(spark, folder, with_names(reader.load(folder)), exts)
 
 
 def list_folder(spark: SparkSession, folder: str) -> DataFrame:
     """Every file of one folder, without its content."""
-    return with_names(spark.read.format("binaryFile").load(folder)).drop("content")
+    found = with_names(spark.read.format("binaryFile").load(folder))
+    return _with_empty(spark, folder, found, None).drop("content")
 
 
 def raw_file_stream(
@@ -69,7 +98,7 @@ def raw_file_stream(
     max_files_per_trigger: int = 100_000,
     max_file_age: str = "3650d",
 ) -> DataFrame:
-    """New files of one folder as a stream.
+    """New files of one folder as a stream. Files of zero length are not seen.
 
     ``max_file_age`` is high on purpose: by default files older than a week, seen
     from the newest file, would be skipped after the first batch.

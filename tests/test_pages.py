@@ -1,0 +1,80 @@
+from collections import Counter
+
+from pyspark.sql import functions as F
+
+from docpipe.operators import pages as pg
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, pg.PAGES_SCHEMA)
+
+
+def test_two_pages(spark):  # F13
+    pages = pg.clean_pages(frame(spark, [("a.pdf", 1, "b", None), ("a.pdf", 0, "Hello, \nWorld  A", None)]))
+    assert pg.assemble_pages(pages).first().raw_text == "hello, world ab"
+    assert pg.assemble_pages(pages, sep=" ").first().raw_text == "hello, world a b"
+
+
+def test_failed_page_leaves_the_file_ok(spark):  # F14
+    pages = frame(spark, [("a.pdf", 0, "x", None), ("a.pdf", 1, "lost", "bad page"), ("a.pdf", 2, "z", None)])
+    row = pg.assemble_pages(pg.clean_pages(pages)).first()
+    assert (row.raw_text, row.status, row.n_pages, row.n_page_errors) == ("xz", "ok", 3, 1)
+
+
+def test_all_pages_failed(spark):
+    row = pg.assemble_pages(pg.clean_pages(frame(spark, [("a.pdf", 0, None, "bad")]))).first()
+    assert (row.raw_text, row.status) == ("", "ok")
+
+
+def test_page_names(spark):
+    pages = pg.clean_pages(frame(spark, [("a.pdf", 0, "X", None), ("a.pdf", 11, "Y", None), ("a.pdf", 1, "", "bad")]))
+    assert {tuple(r) for r in pg.pages_long(pages).collect()} == {("a.pdf", "page 0", "x"), ("a.pdf", "page 11", "y")}
+
+
+def test_hot_file_is_assembled_in_blocks(spark):
+    """One file owns most pages; no first-round group exceeds a block, the order holds."""
+    n = 5 * pg.PAGES_PER_BLOCK + 7
+    pages = spark.range(n).select(
+        F.lit("hot.pdf").alias("files"),
+        F.col("id").cast("int").alias("page_no"),
+        F.concat(F.col("id").cast("string"), F.lit(";")).alias("page_text"),
+        F.lit(None).cast("string").alias("page_error"),
+    )
+    pages = pages.orderBy(F.rand(1)).unionByName(frame(spark, [("cold.pdf", 0, "c", None)]))
+    blocks = pg.page_blocks(pages)
+    assert blocks.where("files = 'hot.pdf'").count() == 6
+    assert blocks.agg(F.max("n_pages")).first()[0] == pg.PAGES_PER_BLOCK
+    texts = {r.files: r.raw_text for r in pg.assemble_pages(pages).collect()}
+    assert texts == {"hot.pdf": "".join(f"{i};" for i in range(n)), "cold.pdf": "c"}
+
+
+def test_reader_of_the_caller(spark):
+    def reader(content):
+        if content == b"broken":
+            raise OSError("cannot open")
+        for i, page in enumerate(content.split(b"\f")):
+            yield (i, None, "bad page") if page == b"!" else (i, page.decode(), None)
+
+    content = [("a.pdf", b"One\fTwo"), ("b.pdf", b"broken"), ("c.pdf", b"x\f!"), ("d.pdf", b"\f".join([b"p"] * 700))]
+    raw = spark.createDataFrame([(n, bytearray(c)) for n, c in content], "files string, content binary")
+    pages = pg.clean_pages(pg.read_pages(raw, reader))
+    assert Counter(r.files for r in pages.collect())["d.pdf"] == 700
+    rows = {r.files: (r.raw_text, r.status, r.n_page_errors) for r in pg.assemble_pages(pages).collect()}
+    assert rows == {
+        "a.pdf": ("onetwo", "ok", 0),
+        "b.pdf": ("", "error", 1),
+        "c.pdf": ("x", "ok", 1),
+        "d.pdf": ("p" * 700, "ok", 0),
+    }
+
+
+def test_reader_without_pages(spark):
+    raw = spark.createDataFrame([("a.pdf", bytearray(b"x"))], "files string, content binary")
+    row = pg.assemble_pages(pg.clean_pages(pg.read_pages(raw, lambda content: []))).first()
+    assert (row.raw_text, row.status, row.n_pages) == ("", "ok", 0)
+
+
+def test_route(spark):
+    texts = spark.createDataFrame([("a", ""), ("b", "  "), ("c", "x")], "files string, raw_text string")
+    routes = {r.files: r.route for r in pg.route_empty_text(texts).collect()}
+    assert routes == {"a": "needs_ocr", "b": "needs_ocr", "c": "text"}

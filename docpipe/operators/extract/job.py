@@ -146,5 +146,8 @@ def extract_everything(
 ) -> DataFrame:
     """Like ``extract``, plus an ``unsupported`` row for every other file."""
     known, carry = [*PLAIN, *readers], list(carry)
-    rest = raw.where(~F.col("ext").isin(known) | F.col("ext").isNull())
-    return extract(raw, known, readers, sep, carry).unionByName(unsupported(rest, carry))
+    return extract(raw, known, readers, sep, carry).unionByName(unsupported(other_files(raw, known), carry))
+
+
+def other_files(raw: DataFrame, known: Iterable[str]) -> DataFrame:
+    return raw.where(~F.col("ext").isin(list(known)) | F.col("ext").isNull())

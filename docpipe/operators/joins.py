@@ -2,8 +2,9 @@
 
 The text side holds one row per file. The other side may hold any number of rows
 for one file. Inner joins are left to the optimizer: it broadcasts a side only if
-its measured size is under ``spark.sql.autoBroadcastJoinThreshold``, and adaptive
-execution splits an oversized shuffle partition on either side. An outer join can
+its size is known to be under ``spark.sql.autoBroadcastJoinThreshold`` (the session
+settings count compressed files at a multiple of their size), and adaptive execution
+splits an oversized shuffle partition on either side. An outer join can
 be split on its kept side only, so the ones below keep the heavy side inner.
 
 Generated code evaluates a projected column where it is first used. Behind a join
@@ -41,12 +42,16 @@ def left_join_heavy_right(left: DataFrame, right: DataFrame, on: str) -> DataFra
     """Left join whose right side may have hot keys.
 
     Matched rows come from an inner join, which can be split on both sides. The
-    others come from an anti join against the distinct keys, one row per key.
+    others come from an anti join against the distinct keys, one row per key. Both
+    start from the same rows, so a shuffle of the left side serves the two of them.
     """
-    matched = pinned(left).join(right, on, "inner")
-    keys = right.select(on).where(F.col(on).isNotNull()).distinct()
-    unmatched = left.join(keys, on, "left_anti")
-    return matched.unionByName(unmatched, allowMissingColumns=True)
+    key = F.col(on)
+    keyed = pinned(left).where(key.isNotNull())
+    matched = keyed.join(right, on, "inner")
+    unmatched = keyed.join(right.select(on).where(key.isNotNull()).distinct(), on, "left_anti")
+    without_key = left.where(key.isNull())
+    rest = unmatched.unionByName(without_key)
+    return matched.unionByName(rest, allowMissingColumns=True)
 
 
 def compare_names(files: DataFrame, manifest: DataFrame, on: str) -> DataFrame:

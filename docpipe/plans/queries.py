@@ -15,7 +15,7 @@ from docpipe.functions import text as tx
 from docpipe.operators import manifest as m
 from docpipe.operators import outcomes as oc
 from docpipe.operators import pages as pg
-from docpipe.operators.extract.job import extract, extract_everything, extract_plain
+from docpipe.operators.extract.job import SUPPORTED, extract, extract_from, extract_plain, other_files, unsupported
 from docpipe.operators.joins import natural_inner_join
 from docpipe.operators.report import reconcile_outcomes
 from docpipe.plans import stand_in as si
@@ -162,11 +162,12 @@ def extract_eml(spark, sf_dir):
 
 def _mixed_outcomes(spark, sf_dir) -> DataFrame:
     """Every file of the folder once; pdf files come in as pages."""
-    by_bytes = extract_everything(si.mixed_raw(spark, sf_dir))
+    by_bytes = extract_from(lambda exts: si.mixed_raw(spark, sf_dir, exts))
+    others = unsupported(other_files(si.named_files(spark, sf_dir), [*SUPPORTED, "pdf"]))
     by_pages = pg.assemble_pages(pg.clean_pages(si.pages_of_documents(spark, sf_dir))).select(
         "files", F.lit("pdf").alias("ext"), "raw_text", "status", F.lit(None).cast("string").alias("error")
     )
-    return by_bytes.unionByName(by_pages)
+    return by_bytes.unionByName(others).unionByName(by_pages)
 
 
 @register

@@ -108,40 +108,31 @@ def raw_of(documents: DataFrame, ext: str, content: Column) -> DataFrame:
     )
 
 
-def mixed_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A folder of all formats but pdf, some files damaged.
+def named_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``files, ext`` and the text behind each file of a folder of all formats."""
+    files = files_view(spark, sf_dir, busy_table)
+    return files.select("files", F.substring(extension(F.col("files")), 2, 100).alias("ext"), "text", "n_chars")
+
+
+def mixed_raw(spark: SparkSession, sf_dir: str, exts: list[str]) -> DataFrame:
+    """The raw files of some extensions, some of them damaged; one scan.
 
     Short docx files are empty, short rtf files have a brace too many and short
-    e-mails have no html part. Only the bytes of the own format are built.
+    e-mails have no html part. Bytes are built for the extensions asked for.
     """
-    files = files_view(spark, sf_dir, busy_table)
-    ext = F.substring(extension(F.col("files")), 2, 100)
-    text, n = F.col("text"), F.col("n_chars")
-    named = files.select("files", ext.alias("ext"), "text", "n_chars")
-
-    def of(kind: str, content: Column) -> DataFrame:
-        return named.where(F.col("ext") == kind).select("files", "ext", content.alias("content"))
-
-    whole_docx = named.where((F.col("ext") == "docx") & (n >= 1500))
-    empty_docx = named.where((F.col("ext") == "docx") & (n < 1500))
-    other = named.where(~F.col("ext").isin("docx", "rtf", "eml", "doc", "pdf"))
-    parts = [
-        whole_docx.select("files", "ext", docx_bytes(text).alias("content")),
-        empty_docx.select("files", "ext", F.lit("").cast("binary").alias("content")),
-        of("rtf", rtf_bytes(text, F.when(n < 1000, "}").otherwise(""))),
-        of(
-            "eml",
-            F.when(n < 1000, single_part_bytes(text)).otherwise(
-                eml_bytes(F.concat(F.lit("<p>"), html_escape(text), F.lit("</p>")))
-            ),
+    text, n, ext = F.col("text"), F.col("n_chars"), F.col("ext")
+    content = {
+        "doc": lambda: plain_bytes(text),
+        "docx": lambda: F.when(n < 1500, F.lit("").cast("binary")).otherwise(docx_bytes(F.when(ext == "docx", text))),
+        "rtf": lambda: rtf_bytes(text, F.when(n < 1000, "}").otherwise("")),
+        "eml": lambda: F.when(n < 1000, single_part_bytes(text)).otherwise(
+            eml_bytes(F.concat(F.lit("<p>"), html_escape(text), F.lit("</p>")))
         ),
-        of("doc", plain_bytes(text)),
-        other.select("files", "ext", F.lit(None).cast("binary").alias("content")),
-    ]
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+    }
+    bytes_of = F.lit(None).cast("binary")
+    for e in content.keys() & set(exts):
+        bytes_of = F.when(ext == e, content[e]()).otherwise(bytes_of)
+    return named_files(spark, sf_dir).where(ext.isin(exts)).select("files", "ext", bytes_of.alias("content"))
 
 
 def pages_of_documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,6 +15,8 @@ PREFERRED = {
     # hot join keys: split the oversized shuffle partition, even if that costs a shuffle
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # a broadcast side is sized by its files; text shrinks a lot in them
+    "spark.sql.sources.fileCompressionFactor": "4.0",
     # document bytes reach Python in batches bounded by size, not by row count
     "spark.sql.execution.arrow.maxBytesPerBatch": str(64 * 1024 * 1024),
     "spark.sql.session.timeZone": "UTC",

@@ -182,6 +182,11 @@ def test_hot_manifest_name_is_split(spark, splitting):
     assert joined.where(F.col("Object_name") == "hot").count() == 6667
 
 
+def test_left_side_is_shuffled_once(spark, splitting):
+    joined = m.attach_keys(hot_texts(spark, "Object_name"), hot_manifest(spark))
+    assert "ReusedExchange" in final_plan(joined)
+
+
 def test_hot_prior_name_is_split(spark, splitting):
     joined = m.prior_version_join(hot_texts(spark, "files"), hot_manifest(spark))
     assert "skew=true" in final_plan(joined)

@@ -35,14 +35,19 @@ RESULT_FIELDS = [
     T.StructField("error", T.StringType()),
 ]
 
+# error of a file whose content is null
+NOT_READ = "content not read"
+
 # text collected before a batch goes back to the JVM
 FLUSH_CHARS = 16 * 1024 * 1024
 
 
 def read_parts(readers: dict[str, Reader], ext: str, content: bytes | None):
     """``(parts, status, error)`` of one file; a failing file is a row, not a crash."""
+    if content is None:
+        return None, "error", NOT_READ
     try:
-        parts = readers[ext](content or b"")
+        parts = readers[ext](content)
         if parts is None:
             return None, "skipped", None
         "".join(parts).encode()  # what Arrow could not carry is an error of this file
@@ -95,7 +100,11 @@ def extract_coded(
 
 def extract_plain(raw: DataFrame, carry: Iterable[str] = ()) -> DataFrame:
     """Plain text formats, in columns only."""
-    return _outcome(raw, carry, clean_plain_text(decode_utf8(F.col("content"))), F.lit("ok"), _null())
+    text = clean_plain_text(decode_utf8(F.col("content")))
+    unread = F.col("content").isNull()
+    return _outcome(
+        raw, carry, text, F.when(unread, "error").otherwise("ok"), F.when(unread, NOT_READ)
+    )
 
 
 def unsupported(raw: DataFrame, carry: Iterable[str] = ()) -> DataFrame:

@@ -170,6 +170,7 @@ ORACLE: dict[str, str] = {
         CASE WHEN strpos(value, ',') > 0 THEN substr(value, strpos(value, ',') + 1) END AS meta
         FROM (SELECT doc_id, unnest(string_split(text, {NL})) AS value,
                      generate_subscripts(string_split(text, {NL}), 1) AS line_no FROM documents)""",
+    "mapping_file": "SELECT 'doc_' || doc_id || '.doc' AS files, quality || ',' || toxic AS quality FROM labels",
     "mapping_join": f"WITH {MERGED} SELECT files, quality, toxic, raw_text FROM merged",
     "mapping_join_totals": f"""SELECT lang, count(*) AS n_files, CAST(sum(length({plain('text')})) AS BIGINT) AS n_chars
         FROM documents JOIN labels USING (doc_id) GROUP BY lang""",

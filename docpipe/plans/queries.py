@@ -207,6 +207,14 @@ def parse_mapping_lines(spark, sf_dir):
     return mp.parse_mapping_lines(lines, "files", "meta", carry=["doc_id", "line_no"])
 
 
+@register
+def mapping_file(spark, sf_dir):
+    """The mapping written as a file of comma lines and read back, split at the first comma."""
+    path = scratch_path(spark, "mapping")
+    si.mapping_view(spark, sf_dir).write.csv(path, header=True)
+    return mp.read_mapping(spark, path)
+
+
 def _merged(spark, sf_dir) -> DataFrame:
     return natural_inner_join(si.mapping_view(spark, sf_dir), _plain_texts(spark, sf_dir))
 

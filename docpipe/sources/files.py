@@ -78,11 +78,22 @@ def raw_files(spark: SparkSession, folder: str, exts: Iterable[str]) -> DataFram
 
     Not recursive; the match is exact and case-sensitive and happens while listing,
     so other files are never opened. A missing folder is an error. ``content`` is
-    read only if a later step uses it.
+    read only if a later step uses it, and null for a file above Spark's size limit.
     """
     exts = list(exts)
     reader = spark.read.format("binaryFile").option("pathGlobFilter", name_glob(exts))
-    return _with_empty(spark, folder, with_names(reader.load(folder)), exts)
+    found = _oversize_unread(spark, with_names(reader.load(folder)))
+    return _with_empty(spark, folder, found, exts)
+
+
+def _oversize_unread(spark: SparkSession, found: DataFrame) -> DataFrame:
+    """Null content for files Spark cannot hold in one value, instead of a failed job.
+
+    The test on ``length`` reaches the source, so each file is opened by one side only.
+    """
+    limit = int(spark.conf.get("spark.sql.sources.binaryFile.maxLength", str(2**31 - 1)))
+    oversize = found.where(F.col("length") > limit).withColumn("content", F.lit(None).cast("binary"))
+    return found.where(F.col("length") <= limit).unionByName(oversize)
 
 
 def list_folder(spark: SparkSession, folder: str) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Row
 
 from docpipe import session
 from docpipe.operators import manifest as m
+from docpipe.operators.extract.job import extract_from
 from docpipe.plans.run import Folders, extract_folder, run_format
 from docpipe.sinks import files as sink
 from docpipe.sinks import log, tables
@@ -56,6 +57,25 @@ def test_empty_files_are_listed_once(spark, tmp_path):
     assert source.list_folder(spark, folder).count() == 5
 
 
+def test_file_above_the_size_limit_is_an_error_row(spark, tmp_path):
+    folder = fill(tmp_path / "raw", a__rtf=b"{\\rtf1 fits}", b__rtf=b"{\\rtf1 " + b"x" * 500 + b"}", c__doc=b"y" * 500)
+    spark.conf.set("spark.sql.sources.binaryFile.maxLength", "100")
+    try:
+        outcomes = extract_from(lambda exts: source.raw_files(spark, folder, exts))
+        assert rows(outcomes.select("files", "raw_text", "status", "error")) == [
+            ("a.rtf", "fits", "ok", None),
+            ("b.rtf", None, "error", "content not read"),
+            ("c.doc", None, "error", "content not read"),
+        ]
+    finally:
+        spark.conf.unset("spark.sql.sources.binaryFile.maxLength")
+
+
+def test_folder_without_a_match(spark, tmp_path):
+    folder = fill(tmp_path / "raw", a__eml=b"x")
+    assert source.raw_files(spark, folder, ["docx"]).count() == 0
+
+
 def test_missing_folder_is_an_error(spark, tmp_path):
     with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
         source.raw_files(spark, str(tmp_path / "none"), ["docx"])

@@ -7,11 +7,15 @@ from pyspark.sql import functions as F
 
 
 def count_outcomes(outcomes: DataFrame) -> DataFrame:
-    """Files, successes, failures and the rest per extension."""
+    """Files, successes, failures and the rest per extension.
+
+    ``n_partial`` counts the successes of which a part, such as a page, failed.
+    """
     status = F.col("status")
     return outcomes.groupBy("ext").agg(
         F.count("*").alias("n_files"),
         F.count_if(status == "ok").alias("n_ok"),
+        F.count_if((status == "ok") & F.col("error").isNotNull()).alias("n_partial"),
         F.count_if(status == "error").alias("n_error"),
         F.count_if(status == "skipped").alias("n_skipped"),
         F.count_if(status == "unsupported").alias("n_unsupported"),
@@ -19,8 +23,8 @@ def count_outcomes(outcomes: DataFrame) -> DataFrame:
 
 
 def error_listing(outcomes: DataFrame) -> DataFrame:
-    """Each failed file once, with its (first by text) error."""
-    failed = outcomes.where(F.col("status") == "error")
+    """Each file that failed, in whole or in part, once, with its (first by text) error."""
+    failed = outcomes.where(F.col("error").isNotNull())
     return failed.groupBy("files").agg(F.min("error").alias("error"))
 
 

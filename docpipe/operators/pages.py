@@ -77,6 +77,7 @@ def page_blocks(pages: DataFrame, sep: str = "") -> DataFrame:
         F.expr(f"listagg(page_text, {_literal(sep)}) within group (order by page_no)").alias("block_text"),
         F.count_if(F.col("page_no").isNotNull()).alias("n_pages"),
         F.count_if(F.col("page_error").isNotNull()).alias("n_page_errors"),
+        F.min("page_error").alias("page_error"),
     )
 
 
@@ -88,17 +89,38 @@ def assemble_blocks(blocks: DataFrame, sep: str = "") -> DataFrame:
         ).alias("raw_text"),
         F.sum("n_pages").alias("n_pages"),
         F.sum("n_page_errors").alias("n_page_errors"),
+        F.min("page_error").alias("page_error"),
     )
 
 
 def assemble_pages(pages: DataFrame, sep: str = "") -> DataFrame:
     """One row per file: its good pages in order. A failed page leaves the file ok.
 
-    A file that could not be opened at all has no pages and is an error.
+    ``error`` still tells of failed pages. A file that could not be opened at all has
+    no pages and is an error.
     """
-    unreadable = (F.col("n_pages") == 0) & (F.col("n_page_errors") > 0)
-    status = F.when(unreadable, "error").otherwise("ok")
-    return assemble_blocks(page_blocks(pages, sep), sep).withColumn("status", status)
+    failed = F.col("n_page_errors")
+    unreadable = (F.col("n_pages") == 0) & (failed > 0)
+    partly = F.concat(failed.cast("string"), F.lit(" of "), F.col("n_pages").cast("string"), F.lit(" pages failed"))
+    return assemble_blocks(page_blocks(pages, sep), sep).select(
+        "files",
+        "raw_text",
+        "n_pages",
+        "n_page_errors",
+        F.when(unreadable, "error").otherwise("ok").alias("status"),
+        F.when(unreadable, F.col("page_error")).when(failed > 0, partly).alias("error"),
+    )
+
+
+def page_outcomes(pages: DataFrame, ext: str = "pdf", sep: str = "") -> DataFrame:
+    """Outcome rows, as the byte formats have them, from cleaned pages."""
+    return assemble_pages(pages, sep).select(
+        "files",
+        F.lit(ext).alias("ext"),
+        F.when(F.col("status") == "ok", F.col("raw_text")).alias("raw_text"),
+        "status",
+        "error",
+    )
 
 
 def route_empty_text(texts: DataFrame) -> DataFrame:

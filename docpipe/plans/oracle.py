@@ -104,16 +104,16 @@ MANIFEST_LIST = (
 TEXTS = f"texts AS (SELECT 'doc_' || doc_id || '.doc' AS files, doc_id, {plain(chr(39) + 'HEADER' + chr(39) + ' || text')} AS raw_text FROM documents)"
 MERGED = f"{TEXTS}, merged AS (SELECT files, quality, toxic, raw_text FROM labels JOIN texts USING (doc_id))"
 
-# page text of a pdf is one line of the document; blank lines are failed pages
+# a page of a pdf is one line of the document; very short lines are failed pages
 OUTCOMES = f"""{FILES},
 pdf AS (
-    SELECT files, string_agg(page_text, '' ORDER BY page_no) AS raw_text
+    SELECT files, string_agg(page_text, '' ORDER BY page_no) FILTER (NOT failed) AS raw_text,
+        count(*) AS n_pages, count(*) FILTER (failed) AS n_failed
     FROM (
-        SELECT files, page_no, {page('line')} AS page_text
+        SELECT files, page_no, length(line) < 20 AS failed, {page('line')} AS page_text
         FROM (SELECT files, unnest(string_split(text, {NL})) AS line,
                      generate_subscripts(string_split(text, {NL}), 1) AS page_no
-              FROM files WHERE dotted = '.pdf')
-        WHERE trim(line) <> '')
+              FROM files WHERE dotted = '.pdf'))
     GROUP BY files),
 outcomes AS (
     SELECT f.files, substr(dotted, 2) AS ext,
@@ -129,7 +129,8 @@ outcomes AS (
             WHEN '.eml' THEN CASE WHEN n_chars >= 1000 THEN 'ok' ELSE 'skipped' END
             WHEN '.doc' THEN 'ok' WHEN '.pdf' THEN 'ok' ELSE 'unsupported' END AS status,
         CASE WHEN dotted = '.docx' AND n_chars < 1500 THEN 'is empty'
-             WHEN dotted = '.rtf' AND n_chars < 1000 THEN 'unbalanced group end' END AS error
+             WHEN dotted = '.rtf' AND n_chars < 1000 THEN 'unbalanced group end'
+             WHEN n_failed > 0 THEN n_failed || ' of ' || n_pages || ' pages failed' END AS error
     FROM files f LEFT JOIN pdf ON pdf.files = f.files)"""
 
 CONV_PAGES = f"""cleaned AS (SELECT 'conv_' || conv_id || '.pdf' AS files, CAST(turn AS INTEGER) AS page_no,
@@ -158,11 +159,12 @@ ORACLE: dict[str, str] = {
     "extract_rtf": f"SELECT 'doc_' || doc_id || '.rtf' AS files, {rtf('text')} AS raw_text, 'ok' AS status FROM documents",
     "extract_eml": f"SELECT 'page_' || page_id || '.eml' AS files, {normalise(nodes('html'))} AS raw_text, 'ok' AS status FROM pages",
     "extract_outcomes": f"""WITH {OUTCOMES} SELECT ext, count(*) AS n_files,
-        count(*) FILTER (status = 'ok') AS n_ok, count(*) FILTER (status = 'error') AS n_error,
+        count(*) FILTER (status = 'ok') AS n_ok,
+        count(*) FILTER (status = 'ok' AND error IS NOT NULL) AS n_partial, count(*) FILTER (status = 'error') AS n_error,
         count(*) FILTER (status = 'skipped') AS n_skipped, count(*) FILTER (status = 'unsupported') AS n_unsupported
         FROM outcomes GROUP BY ext""",
     "outcome_rows": f"WITH {OUTCOMES} SELECT files, ext, raw_text, status, error FROM outcomes",
-    "error_listing": f"WITH {OUTCOMES} SELECT files, error FROM outcomes WHERE status = 'error'",
+    "error_listing": f"WITH {OUTCOMES} SELECT files, error FROM outcomes WHERE error IS NOT NULL",
     "latest_per_file": """SELECT 'conv_' || conv_id || '.doc' AS files, turn AS delivery, role, text AS raw_text
         FROM conversations QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC, role DESC) = 1""",
     "parse_mapping_lines": f"""SELECT doc_id, CAST(line_no - 1 AS INTEGER) AS line_no,

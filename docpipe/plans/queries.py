@@ -164,9 +164,7 @@ def _mixed_outcomes(spark, sf_dir) -> DataFrame:
     """Every file of the folder once; pdf files come in as pages."""
     by_bytes = extract_from(lambda exts: si.mixed_raw(spark, sf_dir, exts))
     others = unsupported(other_files(si.named_files(spark, sf_dir), [*SUPPORTED, "pdf"]))
-    by_pages = pg.assemble_pages(pg.clean_pages(si.pages_of_documents(spark, sf_dir))).select(
-        "files", F.lit("pdf").alias("ext"), "raw_text", "status", F.lit(None).cast("string").alias("error")
-    )
+    by_pages = pg.page_outcomes(pg.clean_pages(si.pages_of_documents(spark, sf_dir)))
     return by_bytes.unionByName(others).unionByName(by_pages)
 
 

@@ -136,10 +136,10 @@ def mixed_raw(spark: SparkSession, sf_dir: str, exts: list[str]) -> DataFrame:
 
 
 def pages_of_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The pdf files of the folder, a page per line; blank lines are failed pages."""
+    """The pdf files of the folder, a page per line; very short lines are failed pages."""
     pdf = files_view(spark, sf_dir, busy_table).where(F.col("files").endswith(".pdf"))
     lines = pdf.select("files", F.posexplode(F.split("text", "\n")).alias("page_no", "page_text"))
-    return lines.withColumn("page_error", F.when(F.trim("page_text") == "", "blank"))
+    return lines.withColumn("page_error", F.when(F.length("page_text") < 20, "too short"))
 
 
 def conversation_pages(spark: SparkSession, sf_dir: str) -> DataFrame:

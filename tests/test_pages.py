@@ -19,6 +19,7 @@ def test_failed_page_leaves_the_file_ok(spark):  # F14
     pages = frame(spark, [("a.pdf", 0, "x", None), ("a.pdf", 1, "lost", "bad page"), ("a.pdf", 2, "z", None)])
     row = pg.assemble_pages(pg.clean_pages(pages)).first()
     assert (row.raw_text, row.status, row.n_pages, row.n_page_errors) == ("xz", "ok", 3, 1)
+    assert row.error == "1 of 3 pages failed"
 
 
 def test_all_pages_failed(spark):
@@ -59,6 +60,8 @@ def test_reader_of_the_caller(spark):
     raw = spark.createDataFrame([(n, bytearray(c)) for n, c in content], "files string, content binary")
     pages = pg.clean_pages(pg.read_pages(raw, reader))
     assert Counter(r.files for r in pages.collect())["d.pdf"] == 700
+    assembled = pg.assemble_pages(pages)
+    assert assembled.where("status = 'error'").first().error == "cannot open"
     rows = {r.files: (r.raw_text, r.status, r.n_page_errors) for r in pg.assemble_pages(pages).collect()}
     assert rows == {
         "a.pdf": ("onetwo", "ok", 0),

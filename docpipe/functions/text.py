@@ -115,5 +115,6 @@ def clean_parts(kind: Column, parts: Column, sep: str = "") -> Column:
     return (
         F.when(kind == "docx", clean_paragraphs(parts, sep))
         .when(kind == "rtf", clean_rtf_text(F.array_join(parts, "")))
+        .when(kind.isin("doc", "txt"), clean_plain_text(F.array_join(parts, "")))
         .otherwise(clean_nodes(parts))
     )

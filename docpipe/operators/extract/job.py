@@ -107,6 +107,22 @@ def extract_plain(raw: DataFrame, carry: Iterable[str] = ()) -> DataFrame:
     )
 
 
+def read_plain(content: bytes) -> list[str]:
+    return [content.decode("utf-8", "replace")]
+
+
+def extract_in_one_pass(raw: DataFrame, exts: Iterable[str] = SUPPORTED, carry: Iterable[str] = ()) -> DataFrame:
+    """Same rows as ``extract`` for a source that should be read only once.
+
+    With several kinds of formats even plain text goes through Python then.
+    """
+    exts = list(exts)
+    raw = raw.where(F.col("ext").isin(exts))
+    if set(exts) <= set(PLAIN):
+        return extract_plain(raw, carry)
+    return extract_coded(raw, {**dict.fromkeys(PLAIN, read_plain), **READERS}, carry=carry)
+
+
 def unsupported(raw: DataFrame, carry: Iterable[str] = ()) -> DataFrame:
     """Files no reader is registered for; their content is not read."""
     return _outcome(raw, carry, _null(), F.lit("unsupported"), _null())

@@ -9,12 +9,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docpipe.functions.text import clean_page_text
+from docpipe.sources.snapshots import PAGES_SCHEMA
 
 # Pages joined in one step. A file is put together in two rounds, so even a file
 # that owns a third of all pages is spread over many tasks in the first.
 PAGES_PER_BLOCK = 256
 
-PAGES_SCHEMA = "files string, page_no int, page_text string, page_error string"
 _PAGES_ARROW = pa.schema([
     ("files", pa.string()),
     ("page_no", pa.int32()),
@@ -38,6 +38,8 @@ def read_pages(raw: DataFrame, page_reader: PageReader) -> DataFrame:
             for name, content in zip(batch.column("files"), batch.column("content")):
                 rows, empty = [], True
                 try:
+                    if not content.is_valid:
+                        raise ValueError("content not read")
                     for page_no, text, error in page_reader(content.as_py()):
                         empty = False
                         rows.append({"files": name.as_py(), "page_no": page_no, "page_text": text, "page_error": error})

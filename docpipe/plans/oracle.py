@@ -151,6 +151,7 @@ ORACLE: dict[str, str] = {
     "html_all_nodes": f"SELECT page_id, {nodes('html')} AS raw_text FROM pages",
     "clean_page_text": f"WITH {CONV_PAGES} SELECT files, page_no, page_text FROM cleaned",
     "pages_long": f"WITH {CONV_PAGES} SELECT files, 'page ' || page_no AS page, page_text FROM cleaned",
+    "page_snapshot_roundtrip": f"WITH {CONV_PAGES} SELECT files, 'page ' || page_no AS page, page_text FROM cleaned",
     "assemble_pages": f"""WITH {CONV_PAGES} SELECT files, string_agg(page_text, '' ORDER BY page_no) AS raw_text,
         count(*) AS n_pages, CAST(0 AS BIGINT) AS n_page_errors, 'ok' AS status FROM cleaned GROUP BY files""",
     "route_empty_text": f"""SELECT 'doc_' || doc_id || '.doc' AS files,
@@ -165,6 +166,7 @@ ORACLE: dict[str, str] = {
         FROM outcomes GROUP BY ext""",
     "outcome_rows": f"WITH {OUTCOMES} SELECT files, ext, raw_text, status, error FROM outcomes",
     "error_listing": f"WITH {OUTCOMES} SELECT files, error FROM outcomes WHERE error IS NOT NULL",
+    "error_file_roundtrip": f"WITH {OUTCOMES} SELECT files, error FROM outcomes WHERE error IS NOT NULL",
     "latest_per_file": """SELECT 'conv_' || conv_id || '.doc' AS files, turn AS delivery, role, text AS raw_text
         FROM conversations QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC, role DESC) = 1""",
     "parse_mapping_lines": f"""SELECT doc_id, CAST(line_no - 1 AS INTEGER) AS line_no,

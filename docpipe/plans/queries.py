@@ -21,10 +21,10 @@ from docpipe.operators.report import reconcile_outcomes
 from docpipe.plans import stand_in as si
 from docpipe.session import configure, scratch_path
 from docpipe.sinks import files as sink
-from docpipe.sinks import tables
+from docpipe.sinks import log, tables
 from docpipe.sources import files as source
 from docpipe.sources import mapping as mp
-from docpipe.sources.snapshots import read_outcomes, read_snapshot
+from docpipe.sources.snapshots import read_outcomes, read_pages_of, read_snapshot
 from docpipe.streaming.ingest import ingest_available, read_target
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -129,6 +129,13 @@ def assemble_pages(spark, sf_dir):
     return pg.assemble_pages(pages).select("files", "raw_text", "n_pages", "n_page_errors", "status")
 
 
+@register
+def page_snapshot_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "pages")
+    sink.write_pages(pg.clean_pages(si.conversation_pages(spark, sf_dir)), path, RUN_DATE)
+    return pg.pages_long(read_pages_of(spark, path, RUN_DATE))
+
+
 @register
 def route_empty_text(spark, sf_dir):
     texts = extract_plain(_plain_documents(spark, sf_dir, header=False))
@@ -183,6 +190,14 @@ def error_listing(spark, sf_dir):
     return oc.error_listing(_mixed_outcomes(spark, sf_dir))
 
 
+@register
+def error_file_roundtrip(spark, sf_dir):
+    """The error list as the CSV folder operators look at."""
+    errors = oc.error_listing(_mixed_outcomes(spark, sf_dir))
+    path = sink.write_errors(errors, scratch_path(spark, "errors"), "all", RUN_DATE)
+    return sink.read_csv(spark, path, errors.schema)
+
+
 @register
 def latest_per_file(spark, sf_dir):
     """Each turn delivers the conversation's file again; the last one counts."""
@@ -296,8 +311,9 @@ def manifest_union(spark, sf_dir):
 def manifest_unprocessed(spark, sf_dir):
     """Rows of days without an urgent changed object; those days count as processed."""
     view = si.manifest_view(spark, sf_dir)
-    processed = m.changed(view).where(F.col("Business_segment") == "1-URGENT").select("manifest_date")
-    return m.unprocessed(view, processed).select("object_id", "Object_name")
+    path = scratch_path(spark, "processed")
+    log.mark_processed(m.changed(view).where(F.col("Business_segment") == "1-URGENT"), path)
+    return m.unprocessed(view, log.read_log(spark, path)).select("object_id", "Object_name")
 
 
 @register

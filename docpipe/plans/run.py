@@ -11,12 +11,12 @@ from pyspark.sql import functions as F
 from docpipe.operators.extract.job import READERS, extract_from
 from docpipe.operators.joins import natural_inner_join
 from docpipe.operators.outcomes import count_outcomes, error_listing
-from docpipe.operators.pages import PAGES_SCHEMA, PageReader, clean_pages, page_outcomes, read_pages
+from docpipe.operators.pages import PageReader, clean_pages, page_outcomes, read_pages
 from docpipe.sinks import files as sink
 from docpipe.sinks.tables import TEXT_COLUMNS, create_table, overwrite_table
 from docpipe.sources.files import raw_files
 from docpipe.sources.mapping import read_mapping
-from docpipe.sources.snapshots import read_outcomes, read_snapshot
+from docpipe.sources.snapshots import read_outcomes, read_pages_of, read_snapshot
 
 FORMATS = ("doc", "docx", "eml", "pdf", "rtf")
 
@@ -51,8 +51,7 @@ def extract_folder(
             raise ValueError("pdf needs a page_reader and a pages folder")
         raw = raw_files(spark, folders.raw, ["pdf"])
         sink.write_pages(clean_pages(read_pages(raw, page_reader)), folders.pages, run_date)
-        pages = spark.read.schema(PAGES_SCHEMA + ", run_date date").parquet(folders.pages).where(F.col("run_date") == F.lit(run_date))
-        outcomes = page_outcomes(pages, sep=sep)
+        outcomes = page_outcomes(read_pages_of(spark, folders.pages, run_date), sep=sep)
     else:
         outcomes = extract_from(lambda exts: raw_files(spark, folders.raw, exts), [ext], READERS, sep)
     sink.write_snapshot(outcomes, folders.snapshots, run_date)

@@ -109,7 +109,10 @@ def raw_file_stream(
     max_files_per_trigger: int = 100_000,
     max_file_age: str = "3650d",
 ) -> DataFrame:
-    """New files of one folder as a stream. Files of zero length are not seen.
+    """New files of one folder, or of a glob of daily folders, as a stream.
+
+    A path is taken once: a new version has to come under a new path, such as the
+    next day's folder. Files of zero length are not seen.
 
     ``max_file_age`` is high on purpose: by default files older than a week, seen
     from the newest file, would be skipped after the first batch.

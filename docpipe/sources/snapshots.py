@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+PAGES_SCHEMA = "files string, page_no int, page_text string, page_error string"
+
 SNAPSHOT_SCHEMA = T.StructType([
     T.StructField("files", T.StringType()),
     T.StructField("raw_text", T.StringType()),
@@ -32,3 +34,14 @@ def read_snapshot(spark: SparkSession, path: str, ext: str, run_date: dt.date) -
         .where((F.col("ext") == ext) & (F.col("run_date") == F.lit(run_date)) & (F.col("status") == "ok"))
         .select("files", "raw_text")
     )
+
+
+def read_pages_of(spark: SparkSession, path: str, run_date: dt.date) -> DataFrame:
+    """Page rows of one day from a page snapshot."""
+    rows = spark.read.schema(f"{PAGES_SCHEMA}, run_date date").parquet(path)
+    return rows.where(F.col("run_date") == F.lit(run_date)).drop("run_date")
+
+
+def rows_of_map(df: DataFrame, map_col: str) -> DataFrame:
+    """A map of file name to text, one row per entry."""
+    return df.select(F.explode(map_col).alias("files", "raw_text"))

@@ -12,7 +12,7 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docpipe.operators.extract.job import SUPPORTED, extract
+from docpipe.operators.extract.job import SUPPORTED, extract_in_one_pass
 from docpipe.operators.outcomes import latest_per_file
 
 TARGET_SCHEMA = (
@@ -44,7 +44,7 @@ def ingest_available(
 ) -> None:
     """Process everything the stream has now, then stop."""
     exts = list(exts)
-    transform = transform or (lambda raw: extract(raw, exts, carry=VERSION))
+    transform = transform or (lambda raw: extract_in_one_pass(raw, exts, VERSION))
     query = (
         new_files.writeStream.foreachBatch(
             lambda batch, batch_id: write_batch(transform(batch), batch_id, target)

@@ -90,6 +90,16 @@ def test_other_files_are_unsupported(outcomes):
     assert {n for n, r in outcomes.items() if r.status == "unsupported"} == {"a.gz", "b.DOCX", "noext"}
 
 
+def test_one_pass_gives_the_same_rows(raw):
+    def ordered(df):
+        return sorted((tuple(r) for r in df.collect()), key=repr)
+
+    assert ordered(job.extract_in_one_pass(raw)) == ordered(job.extract(raw))
+    assert ordered(job.extract_in_one_pass(raw, ["doc"])) == ordered(job.extract(raw, ["doc"]))
+    plan = job.extract_in_one_pass(raw)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "Union" not in plan
+
+
 def test_counts_add_up(raw):
     outcomes = job.extract_everything(raw)
     for row in count_outcomes(outcomes).collect():

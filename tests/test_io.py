@@ -15,7 +15,7 @@ from docpipe.sinks import log, tables
 from docpipe.sources import files as source
 from docpipe.sources import manifests
 from docpipe.sources.mapping import read_mapping
-from docpipe.sources.snapshots import read_outcomes, read_snapshot
+from docpipe.sources.snapshots import read_outcomes, read_snapshot, rows_of_map
 from docpipe.streaming.ingest import ingest_available, read_target
 from tests.helpers import docx, eml, run
 
@@ -221,6 +221,11 @@ def test_snapshot_replaces_only_its_own_part(spark, tmp_path):
     assert "doc" in filters and "run_date" in filters
 
 
+def test_map_to_rows(spark):
+    df = spark.sql("SELECT map('a.doc', 'x', 'b.doc', '') AS texts")
+    assert rows(rows_of_map(df, "texts")) == [("a.doc", "x"), ("b.doc", "")]
+
+
 @pytest.fixture
 def database(spark):
     name = f"db_{dt.datetime.now():%H%M%S%f}"
@@ -317,6 +322,27 @@ def test_only_new_files_are_ingested(spark, tmp_path):  # F21
     assert rows(batches) == [(0, 2), (1, 1)]
 
 
+def test_stream_of_several_formats(spark, tmp_path):
+    folder = fill(tmp_path / "raw", a__eml=eml(("text/html", "<p>A</p>")), b__txt=b"HEADERB c", c__pdf=b"x")
+    target = str(tmp_path / "out")
+    stream = source.raw_file_stream(spark, folder, ["eml", "txt"])
+    ingest_available(stream, target, str(tmp_path / "checkpoint"), ["eml", "txt"])
+    assert rows(read_target(spark, target).select("files", "raw_text")) == [("a.eml", "a"), ("b.txt", "b c")]
+
+
+def test_newer_delivery_wins(spark, tmp_path):
+    import os
+
+    folder = tmp_path / "raw"
+    target, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
+    for day, text, at in (("20190507", b"HEADERold", 1_000_000_000), ("20190508", b"HEADERnew", 1_000_000_100)):
+        fill(folder / day, a__txt=text)
+        os.utime(folder / day / "a.txt", (at, at))
+        stream = source.raw_file_stream(spark, f"{folder}/*", ["txt"])
+        ingest_available(stream, target, checkpoint, ["txt"])
+    assert rows(read_target(spark, target).select("files", "raw_text")) == [("a.txt", "new")]
+
+
 def test_repeated_batch_replaces_itself(spark, tmp_path):
     from docpipe.streaming.ingest import write_batch
 

@@ -80,6 +80,7 @@ def nodes(html: str) -> str:
     s = f"regexp_replace({s}, '>[ \\t\\r\\f]+<', '> <', 'g')"
     s = f"regexp_replace({s}, '^(<[^>]*>)+|(<[^>]*>)+$', '', 'g')"
     s = f"regexp_replace({s}, '(<[^>]*>)+', ' ', 'g')"
+    s = f"regexp_replace({s}, '&amp;?', '&amp;', 'g')"  # some titles end in a cut reference
     s = decoded(s)
     return f"replace(replace({s}, chr(1), '<'), chr(2), '>')"
 
@@ -180,9 +181,9 @@ ORACLE: dict[str, str] = {
         FROM documents JOIN labels USING (doc_id) GROUP BY lang""",
     "csv_roundtrip": f"WITH {MERGED} SELECT files, quality, toxic, nullif(raw_text, '') AS raw_text FROM merged",
     "snapshot_roundtrip": f"WITH {TEXTS} SELECT files, raw_text FROM texts",
-    "manifest_for_day": f"WITH {MANIFEST} SELECT {MANIFEST_LIST} FROM manifest WHERE manifest_date = DATE '1998-10-03'",
+    "manifest_for_day": f"WITH {MANIFEST} SELECT {MANIFEST_LIST} FROM manifest WHERE manifest_date = DATE '1995-06-19'",
     "manifest_backlog": f"""WITH {MANIFEST} SELECT object_id, "Object_name", strftime(manifest_date, '%Y%m%d') AS day_stamp
-        FROM manifest WHERE manifest_date BETWEEN DATE '1998-09-29' AND DATE '1998-10-03'""",
+        FROM manifest WHERE manifest_date BETWEEN DATE '1995-06-15' AND DATE '1995-06-19'""",
     "manifest_project": f"WITH {MANIFEST} SELECT {MANIFEST_LIST} FROM manifest",
     "manifest_preview": f"""WITH {MANIFEST} SELECT "Object_name", object_id, "Document_date" FROM manifest
         ORDER BY "Object_name", object_id LIMIT 5""",

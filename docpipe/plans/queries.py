@@ -31,7 +31,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 # parameters of the queries, the same in the oracle
-RUN_DATE = dt.date(1998, 10, 4)
+RUN_DATE = dt.date(1995, 6, 20)
 BACKLOG_DAYS = 5
 SAMPLE_SIZE = 100
 

@@ -8,13 +8,13 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docpipe.operators.extract.job import READERS, extract_from
+from docpipe.operators.extract.job import READERS, extract_from, extract_plain
 from docpipe.operators.joins import natural_inner_join
 from docpipe.operators.outcomes import count_outcomes, error_listing
 from docpipe.operators.pages import PageReader, clean_pages, page_outcomes, read_pages
 from docpipe.sinks import files as sink
 from docpipe.sinks.tables import TEXT_COLUMNS, create_table, overwrite_table
-from docpipe.sources.files import raw_files
+from docpipe.sources.files import converted_doc_files, raw_files
 from docpipe.sources.mapping import read_mapping
 from docpipe.sources.snapshots import read_outcomes, read_pages_of, read_snapshot
 
@@ -41,7 +41,8 @@ def extract_folder(
 ) -> DataFrame | None:
     """Extract all files of one format; returns success and failure counts.
 
-    An unknown format does nothing. Every later step reads the snapshot that is
+    An unknown format does nothing. For doc the raw folder holds the converted files,
+    see ``converted_doc_files``; pdf needs a page reader. Every later step reads the snapshot that is
     written here, so no file is opened twice, also when executors are lost.
     """
     if ext not in FORMATS:
@@ -52,6 +53,8 @@ def extract_folder(
         raw = raw_files(spark, folders.raw, ["pdf"])
         sink.write_pages(clean_pages(read_pages(raw, page_reader)), folders.pages, run_date)
         outcomes = page_outcomes(read_pages_of(spark, folders.pages, run_date), sep=sep)
+    elif ext == "doc":
+        outcomes = extract_plain(converted_doc_files(spark, folders.raw))
     else:
         outcomes = extract_from(lambda exts: raw_files(spark, folders.raw, exts), [ext], READERS, sep)
     sink.write_snapshot(outcomes, folders.snapshots, run_date)

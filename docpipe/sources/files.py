@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docpipe.functions.names import basename, extension, listed_type
+from docpipe.functions.names import basename, extension, listed_type, replace_suffix
 
 BINARY_SCHEMA = T.StructType([
     T.StructField("path", T.StringType()),
@@ -96,6 +96,14 @@ def _oversize_unread(spark: SparkSession, found: DataFrame) -> DataFrame:
     return found.where(F.col("length") <= limit).unionByName(oversize)
 
 
+def converted_doc_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Word 97 files that were converted to text: ``x.csv`` stands for ``x.doc``."""
+    return raw_files(spark, folder, ["csv"]).withColumns({
+        "files": replace_suffix(F.col("files"), ".csv", ".doc"),
+        "ext": F.lit("doc"),
+    })
+
+
 def list_folder(spark: SparkSession, folder: str) -> DataFrame:
     """Every file of one folder, without its content."""
     found = with_names(spark.read.format("binaryFile").load(folder))

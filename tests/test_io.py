@@ -296,6 +296,14 @@ def test_pdf_run(spark, tmp_path):
         extract_folder(spark, "pdf", folders, DAY)
 
 
+def test_doc_run_reads_converted_files(spark, tmp_path):
+    raw = fill(tmp_path / "raw", a__csv=b"HEADERSome, text", b__doc=b"binary", c__csv=b"")
+    folders = Folders(raw, str(tmp_path / "snap"), str(tmp_path / "err"))
+    counts = extract_folder(spark, "doc", folders, DAY).first()
+    assert (counts.ext, counts.n_files, counts.n_ok) == ("doc", 2, 2)
+    assert rows(read_snapshot(spark, folders.snapshots, "doc", DAY)) == [("a.doc", "some text"), ("c.doc", "")]
+
+
 def test_unknown_format_does_nothing(spark, tmp_path):
     folders = Folders(str(tmp_path), str(tmp_path / "snap"), str(tmp_path / "err"))
     assert extract_folder(spark, "xyz", folders, DAY) is None

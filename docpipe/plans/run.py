@@ -57,7 +57,7 @@ def extract_folder(
         outcomes = extract_plain(converted_doc_files(spark, folders.raw))
     else:
         outcomes = extract_from(lambda exts: raw_files(spark, folders.raw, exts), [ext], READERS, sep)
-    sink.write_snapshot(outcomes, folders.snapshots, run_date)
+    sink.write_format_snapshot(outcomes, folders.snapshots, ext, run_date)
     written = read_outcomes(spark, folders.snapshots).where(
         (F.col("ext") == ext) & (F.col("run_date") == F.lit(run_date))
     )

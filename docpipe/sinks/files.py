@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # A multi-line CSV part is read by one task, so parts are kept small.
-CSV_ROWS_PER_PART = 200_000
+CSV_ROWS_PER_PART = 50_000
 
 # These settings keep quotes, line ends and outer blanks of a cell as they are.
 CSV_OPTIONS = {
@@ -39,7 +39,7 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 
 
 def write_snapshot(outcomes: DataFrame, path: str, run_date: dt.date) -> None:
-    """Outcome rows of a run; earlier rows of the same extension and day are replaced."""
+    """Outcome rows of all formats; the partitions that get rows are replaced."""
     (
         outcomes.withColumn("run_date", F.lit(run_date))
         .write.mode("overwrite")
@@ -49,15 +49,14 @@ def write_snapshot(outcomes: DataFrame, path: str, run_date: dt.date) -> None:
     )
 
 
+def write_format_snapshot(outcomes: DataFrame, path: str, ext: str, run_date: dt.date) -> None:
+    """Outcome rows of one format and day; earlier ones are replaced, also by none."""
+    outcomes.drop("ext").write.mode("overwrite").parquet(f"{path}/ext={ext}/run_date={run_date}")
+
+
 def write_pages(pages: DataFrame, path: str, run_date: dt.date) -> None:
-    """Page rows of a run, one partition per day."""
-    (
-        pages.withColumn("run_date", F.lit(run_date))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("run_date")
-        .parquet(path)
-    )
+    """Page rows of one day; earlier ones are replaced, also by none."""
+    pages.write.mode("overwrite").parquet(f"{path}/run_date={run_date}")
 
 
 def write_errors(errors: DataFrame, folder: str, ext: str, run_date: dt.date) -> str:

@@ -280,6 +280,17 @@ def test_docx_run(spark, tmp_path, database):
     assert (counts.n_files, counts.n_ok, counts.n_error) == (4, 2, 2)
 
 
+def test_repeated_run_forgets_files_that_are_gone(spark, tmp_path):
+    raw = fill(tmp_path / "raw", a__rtf=b"{\\rtf1 a}", b__eml=b"x")
+    folders = Folders(raw, str(tmp_path / "snap"), str(tmp_path / "err"))
+    extract_folder(spark, "rtf", folders, DAY - dt.timedelta(days=1))
+    assert extract_folder(spark, "rtf", folders, DAY).first().n_ok == 1
+    (tmp_path / "raw" / "a.rtf").rename(tmp_path / "raw" / "a.txt")
+    assert extract_folder(spark, "rtf", folders, DAY).count() == 0
+    assert read_snapshot(spark, folders.snapshots, "rtf", DAY).count() == 0
+    assert read_snapshot(spark, folders.snapshots, "rtf", DAY - dt.timedelta(days=1)).count() == 1
+
+
 def test_pdf_run(spark, tmp_path):
     raw = fill(tmp_path / "raw", a__pdf=b"One\fTwo", b__pdf=b"broken")
 

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import sys
+from collections.abc import Callable
+from types import ModuleType
+from typing import Any
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,3 +39,14 @@ def crc_bucket(doc_id: Column, n: int) -> Column:
 def word_count(text: Column) -> Column:
     """Words of the whole text as long; 0 for null."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+
+
+def kept_by_worker(name: str, make: Callable[[], Any]) -> Any:
+    """A value that a Python worker makes once and keeps from task to task.
+
+    This package travels with each task by value, so its own globals do not outlive the task.
+    """
+    kept = sys.modules.setdefault("docpipe_kept_by_worker", ModuleType("docpipe_kept_by_worker")).__dict__
+    if name not in kept:
+        kept[name] = make()
+    return kept[name]

@@ -84,4 +84,30 @@ SELECT doc_id, size, source_size, target, (copies * size)::BIGINT AS taken,
 FROM c
 """
 
-ORACLE = {"op3_quality_rules": OP3, "op9_mixing": OP9}
+OP4 = """
+WITH v AS (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS x
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+s AS (
+  SELECT q.r, q.vec_id AS query_id, c.vec_id, list_inner_product(q.x, c.x)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.x) = len(c.x) WHERE q.vec_id % 50 = 0
+)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5
+"""
+
+# base32 by hand: each five hex digits are four letters of five bits
+_B32 = "list_aggregate(list_transform(range(0, 8), lambda i: list_aggregate(list_transform([32768, 1024, 32, 1], lambda p: " \
+    "substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(sha1(coalesce(html, '')), i * 5 + 1, 5))::BIGINT // p) % 32 + 1)::BIGINT, 1)), " \
+    "'string_agg', '')), 'string_agg', '')"
+
+OP6 = f"""
+SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, {_B32} AS payload_digest,
+  CASE WHEN first IS NOT NULL AND page_id IS DISTINCT FROM first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN first IS NOT NULL AND page_id IS DISTINCT FROM first THEN first END AS refers_to
+FROM (SELECT *, min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first FROM pages)
+"""
+
+ORACLE = {"op3_quality_rules": OP3, "op4_pivot_search": OP4, "op6_warc": OP6, "op9_mixing": OP9}

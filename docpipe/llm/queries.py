@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docpipe.llm import minhash, mixing, pii, quality_rules, sentencepiece_codec
+from docpipe.llm import (
+    language_id,
+    minhash,
+    mixing,
+    pii,
+    pivot_search,
+    quality_classifier,
+    quality_rules,
+    sentencepiece_codec,
+    toxicity,
+    warc,
+)
 from docpipe.llm.common import table, written
 
 
@@ -33,6 +44,31 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_pivot_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivot_search.top(table(spark, sf_dir, "embeddings"))
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language_id.identified(docs, language_id.fit(docs))
+
+
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.classified(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality_classifier.classified(docs, quality_classifier.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     # words are counted once, and no text is shuffled
@@ -48,5 +84,8 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_sentencepiece, op2_pii_weak_supervision, op3_quality_rules, op9_mixing, op10_minhash)
+    for f in (
+        op1_sentencepiece, op2_pii_weak_supervision, op3_quality_rules, op4_pivot_search, op5_language_id,
+        op6_warc, op7_toxicity, op8_quality_classifier, op9_mixing, op10_minhash,
+    )
 }

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from docpipe.functions.text import collapse_whitespace
 
 # Markup that carries no visible text.
-INVISIBLE = r"(?s)<!--.*?-->|<script\b.*?</script>|<style\b.*?</style>|<[^>]*>"
+INVISIBLE = r"(?si)<!--.*?-->|<script\b.*?</script>|<style\b.*?</style>|<[^>]*>"
 
 # Character references decoded by visible_text, ampersand last.
 ENTITIES = [

@@ -34,10 +34,6 @@ def stem(name: Column) -> Column:
     return F.substring(name, F.lit(1), F.length(name) - F.length(extension(name)))
 
 
-def days_before(day: Column, n: int, stamp: str = DAY_STAMP) -> Column:
-    return F.date_format(F.date_sub(day, n), stamp)
-
-
 def listed_type(ext: Column) -> Column:
     """True for extensions of three to five characters, dot included."""
     return F.length(ext).between(3, 5)

@@ -108,13 +108,3 @@ def clean_paragraphs(paragraphs: Column, sep: str = "") -> Column:
     """
     kept = F.filter(paragraphs, lambda p: p != "")
     return F.array_join(F.transform(kept, lambda p: normalise(p)), sep)
-
-
-def clean_parts(kind: Column, parts: Column, sep: str = "") -> Column:
-    """The cleaning rule for what a byte reader returned, by file extension."""
-    return (
-        F.when(kind == "docx", clean_paragraphs(parts, sep))
-        .when(kind == "rtf", clean_rtf_text(F.array_join(parts, "")))
-        .when(kind.isin("doc", "txt"), clean_plain_text(F.array_join(parts, "")))
-        .otherwise(clean_nodes(parts))
-    )

@@ -7,7 +7,8 @@ Plain text never leaves the JVM.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Mapping
+from dataclasses import dataclass
 from functools import reduce
 
 import pyarrow as pa
@@ -15,18 +16,44 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docpipe.functions.text import clean_parts, clean_plain_text, decode_utf8
+from docpipe.functions.text import clean_nodes, clean_paragraphs, clean_plain_text, clean_rtf_text, decode_utf8
 from docpipe.operators.extract.docx import read_docx
 from docpipe.operators.extract.eml import read_eml
 from docpipe.operators.extract.rtf import read_rtf
 
 Reader = Callable[[bytes], "list[str] | None"]
 
-# extension -> reader; a reader returns None for a file it has nothing to say about
-READERS: dict[str, Reader] = {"docx": read_docx, "eml": read_eml, "rtf": read_rtf}
+
+def joined(parts: Column, sep: str) -> Column:
+    """The parts as they are."""
+    return F.array_join(parts, sep)
+
+
+@dataclass(frozen=True)
+class Format:
+    """A byte reader, and the rule that makes one text of the parts it returns.
+
+    A reader returns None for a file it has nothing to say about.
+    """
+
+    read: Reader
+    clean: Callable[[Column, str], Column] = joined
+
+
+READERS: dict[str, Format] = {
+    "docx": Format(read_docx, clean_paragraphs),
+    "eml": Format(read_eml, lambda parts, _: clean_nodes(parts)),
+    "rtf": Format(read_rtf, lambda parts, _: clean_rtf_text(joined(parts, ""))),
+}
 PLAIN = ("doc", "txt")
 SUPPORTED = (*PLAIN, *READERS)
 
+
+def as_formats(readers: Mapping[str, Format | Reader]) -> dict[str, Format]:
+    """A bare reader's parts are joined and not cleaned."""
+    return {ext: f if isinstance(f, Format) else Format(f) for ext, f in readers.items()}
+
+
 OUTCOME_COLUMNS = ["files", "ext", "raw_text", "status", "error"]
 
 RESULT_FIELDS = [
@@ -44,6 +71,8 @@ FLUSH_CHARS = 16 * 1024 * 1024
 
 def read_parts(readers: dict[str, Reader], ext: str, content: bytes | None):
     """``(parts, status, error)`` of one file; a failing file is a row, not a crash."""
+    if ext not in readers:
+        return None, "unsupported", None
     if content is None:
         return None, "error", NOT_READ
     try:
@@ -86,16 +115,28 @@ def _null() -> Column:
     return F.lit(None).cast("string")
 
 
+def _not_read(raw: DataFrame) -> Column:
+    """Why a row has no content, as far as its source says."""
+    if "unread" not in raw.columns:
+        return F.lit(NOT_READ)
+    return F.when(F.col("unread").isNull(), NOT_READ).otherwise(F.concat(F.lit(f"{NOT_READ}: "), F.col("unread")))
+
+
 def extract_coded(
-    raw: DataFrame, readers: dict[str, Reader] = READERS, sep: str = "", carry: Iterable[str] = ()
+    raw: DataFrame, readers: Mapping[str, Format | Reader] = READERS, sep: str = "", carry: Iterable[str] = ()
 ) -> DataFrame:
     """Formats that need a byte reader. Only the columns named here go to Python."""
+    formats = as_formats(readers)
     keys = ["files", "ext", *carry]
-    narrow = raw.select(*keys, "content")
-    schema = T.StructType([narrow.schema[k] for k in keys] + RESULT_FIELDS)
-    parts = narrow.mapInArrow(_read_batches(readers, keys), schema)
-    text = F.when(F.col("status") == "ok", clean_parts(F.col("ext"), F.col("parts"), sep))
-    return _outcome(parts, carry, text, F.col("status"), F.col("error"))
+    narrow = raw.select(*keys, _not_read(raw).alias("not_read"), "content")
+    schema = T.StructType([narrow.schema[k] for k in [*keys, "not_read"]] + RESULT_FIELDS)
+    read = {ext: f.read for ext, f in formats.items()}
+    parts = narrow.mapInArrow(_read_batches(read, [*keys, "not_read"]), schema)
+    text = F.lit(None).cast("string")
+    for ext, f in formats.items():
+        text = F.when(F.col("ext") == ext, f.clean(F.col("parts"), sep)).otherwise(text)
+    error = F.when(F.col("error") == NOT_READ, F.col("not_read")).otherwise(F.col("error"))
+    return _outcome(parts, carry, F.when(F.col("status") == "ok", text), F.col("status"), error)
 
 
 def extract_plain(raw: DataFrame, carry: Iterable[str] = ()) -> DataFrame:
@@ -103,7 +144,7 @@ def extract_plain(raw: DataFrame, carry: Iterable[str] = ()) -> DataFrame:
     text = clean_plain_text(decode_utf8(F.col("content")))
     unread = F.col("content").isNull()
     return _outcome(
-        raw, carry, text, F.when(unread, "error").otherwise("ok"), F.when(unread, NOT_READ)
+        raw, carry, text, F.when(unread, "error").otherwise("ok"), F.when(unread, _not_read(raw))
     )
 
 
@@ -111,16 +152,24 @@ def read_plain(content: bytes) -> list[str]:
     return [content.decode("utf-8", "replace")]
 
 
-def extract_in_one_pass(raw: DataFrame, exts: Iterable[str] = SUPPORTED, carry: Iterable[str] = ()) -> DataFrame:
+ONE_PASS = {
+    **dict.fromkeys(PLAIN, Format(read_plain, lambda parts, _: clean_plain_text(joined(parts, "")))),
+    **READERS,
+}
+
+
+def extract_in_one_pass(raw: DataFrame, exts: Iterable[str] | None = SUPPORTED, carry: Iterable[str] = ()) -> DataFrame:
     """Same rows as ``extract`` for a source that should be read only once.
 
-    With several kinds of formats even plain text goes through Python then.
+    With several kinds of formats even plain text goes through Python then. Without a choice of
+    extensions every file gets a row, those without a reader as ``unsupported``.
     """
-    exts = list(exts)
-    raw = raw.where(F.col("ext").isin(exts))
-    if set(exts) <= set(PLAIN):
-        return extract_plain(raw, carry)
-    return extract_coded(raw, {**dict.fromkeys(PLAIN, read_plain), **READERS}, carry=carry)
+    if exts is not None:
+        exts = list(exts)
+        raw = raw.where(F.col("ext").isin(exts))
+        if set(exts) <= set(PLAIN):
+            return extract_plain(raw, carry)
+    return extract_coded(raw, ONE_PASS, carry=carry)
 
 
 def unsupported(raw: DataFrame, carry: Iterable[str] = ()) -> DataFrame:
@@ -131,7 +180,7 @@ def unsupported(raw: DataFrame, carry: Iterable[str] = ()) -> DataFrame:
 def extract_from(
     load: Callable[[list[str]], DataFrame],
     exts: Iterable[str] = SUPPORTED,
-    readers: dict[str, Reader] = READERS,
+    readers: Mapping[str, Format | Reader] = READERS,
     sep: str = "",
     carry: Iterable[str] = (),
 ) -> DataFrame:
@@ -158,7 +207,7 @@ def extract_from(
 def extract(
     raw: DataFrame,
     exts: Iterable[str] = SUPPORTED,
-    readers: dict[str, Reader] = READERS,
+    readers: Mapping[str, Format | Reader] = READERS,
     sep: str = "",
     carry: Iterable[str] = (),
 ) -> DataFrame:
@@ -167,7 +216,7 @@ def extract(
 
 
 def extract_everything(
-    raw: DataFrame, readers: dict[str, Reader] = READERS, sep: str = "", carry: Iterable[str] = ()
+    raw: DataFrame, readers: Mapping[str, Format | Reader] = READERS, sep: str = "", carry: Iterable[str] = ()
 ) -> DataFrame:
     """Like ``extract``, plus an ``unsupported`` row for every other file."""
     known, carry = [*PLAIN, *readers], list(carry)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -28,12 +28,19 @@ def error_listing(outcomes: DataFrame) -> DataFrame:
     return failed.groupBy("files").agg(F.min("error").alias("error"))
 
 
-def latest_per_file(rows: DataFrame, *order: Column | str) -> DataFrame:
+def latest_per_file(rows: DataFrame, *order: str) -> DataFrame:
     """The last row per file in the given order; ties are broken by the later columns.
 
-    ``max_by`` keeps one row per file and task before anything is shuffled, so a
-    file that is written over and over costs no more than others.
+    The winners are found from the file names and order columns alone, so a file that is written
+    over and over is reduced before any text moves; the rows that won are then joined to them.
+    Order columns must tell the rows of a file apart: rows equal in all of them all stay.
     """
+    version = F.struct(*order)
+    winners = rows.select("files", version.alias("version")).groupBy("files").agg(F.max("version").alias("version"))
+    winners = winners.select("files", *[F.col(f"version.{c}").alias(c) for c in order])
+    keyed, w = rows.alias("r"), winners.alias("w")
+    same = F.col("r.files").eqNullSafe(F.col("w.files"))
+    for c in order:
+        same = same & F.col(f"r.{c}").eqNullSafe(F.col(f"w.{c}"))
     rest = [c for c in rows.columns if c != "files"]
-    last = F.max_by(F.struct(*rest), F.struct(*order))
-    return rows.groupBy("files").agg(last.alias("last")).select("files", "last.*")
+    return keyed.join(w, same, "left_semi").select("files", *rest)

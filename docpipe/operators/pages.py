@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docpipe.functions.text import clean_page_text
+from docpipe.functions.text import clean_page_text, collapse_whitespace
 from docpipe.sources.snapshots import PAGES_SCHEMA
 
 # Pages joined in one step. A file is put together in two rounds, so even a file
@@ -25,6 +25,15 @@ _PAGES_ARROW = pa.schema([
 PageReader = Callable[[bytes], "Iterable[tuple[int, str | None, str | None]]"]
 
 
+def _page(name: str, page_no: int, text: str | None, error: str | None) -> dict:
+    """A page row; a text that Arrow could not carry is an error of this page."""
+    try:
+        (text or "").encode()
+    except UnicodeEncodeError as problem:
+        text, error = None, error or str(problem)
+    return {"files": name, "page_no": page_no, "page_text": text, "page_error": error}
+
+
 def read_pages(raw: DataFrame, page_reader: PageReader) -> DataFrame:
     """Page rows from file bytes with a reader the caller brings.
 
@@ -42,7 +51,7 @@ def read_pages(raw: DataFrame, page_reader: PageReader) -> DataFrame:
                         raise ValueError("content not read")
                     for page_no, text, error in page_reader(content.as_py()):
                         empty = False
-                        rows.append({"files": name.as_py(), "page_no": page_no, "page_text": text, "page_error": error})
+                        rows.append(_page(name.as_py(), page_no, text, error))
                         if len(rows) == PAGES_PER_BLOCK:
                             yield pa.RecordBatch.from_pylist(rows, schema=_PAGES_ARROW)
                             rows = []
@@ -126,8 +135,16 @@ def page_outcomes(pages: DataFrame, ext: str = "pdf", sep: str = "") -> DataFram
 
 
 def route_empty_text(texts: DataFrame) -> DataFrame:
-    """Files without any text need optical character recognition."""
-    route = F.when(F.trim(F.col("raw_text")) == "", "needs_ocr").otherwise("text")
+    """Files without any text need optical character recognition.
+
+    Null and white space of any kind are no text. Files that failed or have no reader are not
+    text either; they keep their status as the route.
+    """
+    text = F.col("raw_text")
+    empty = text.isNull() | (collapse_whitespace(text) == "")
+    route = F.when(empty, "needs_ocr").otherwise("text")
+    if "status" in texts.columns:
+        route = F.when(F.col("status") == "ok", route).otherwise(F.col("status"))
     return texts.withColumn("route", route)
 
 

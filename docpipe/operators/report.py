@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,38 +23,20 @@ def stages_of(wide: DataFrame, stages: list[str]) -> DataFrame:
     return wide.select(F.inline(F.array(*rows)))
 
 
-def reconcile(counts: dict[str, DataFrame]) -> DataFrame:
-    """Stage totals from one frame per stage; each is counted where it lies."""
-    stages = list(counts)
-    long = reduce(
-        DataFrame.unionAll,
-        [df.agg(F.count("*").alias("n")).select(F.lit(stage).alias("stage"), "n") for stage, df in counts.items()],
-    )
-    wide = long.agg(*[F.max(F.when(F.col("stage") == s, F.col("n"))).alias(s) for s in stages])
-    return stages_of(wide, stages)
-
-
-def reconcile_outcomes(outcomes: DataFrame, daily: Column, csv_rows: DataFrame, table_rows: DataFrame) -> DataFrame:
+def reconcile_outcomes(outcomes: DataFrame, daily: Column, published: dict[str, int]) -> DataFrame:
     """The daily report.
 
-    Source total, daily files, extracted, CSV rows, table rows, total without the
-    daily files, extracted plus errors. ``daily`` is true for files of the daily delta. The
-    outcome rows are read once.
+    Source total, daily files, extracted, then what the writes of a run counted (``published``: rows
+    of the CSV, of the table, and on the cluster's file system), total without the daily files, extracted plus errors.
+    ``daily`` is true for files of the daily delta. The outcome rows are read once.
     """
     status = F.col("status")
-    base = outcomes.agg(
+    wide = outcomes.agg(
         F.count("*").alias("source_total"),
         F.count_if(daily).alias("daily_files"),
         F.count_if(status == "ok").alias("extracted"),
+        *[F.lit(n).cast("bigint").alias(stage) for stage, n in published.items()],
         F.count_if(~daily).alias("source_less_daily"),
         F.count_if(status.isin("ok", "error")).alias("extracted_and_errors"),
     )
-    names = ["source_total", "daily_files", "extracted", "source_less_daily", "extracted_and_errors"]
-    long = (
-        base.select(F.inline(F.array(*[F.struct(F.lit(n).alias("stage"), F.col(n).alias("n")) for n in names])))
-        .unionAll(csv_rows.agg(F.count("*").alias("n")).select(F.lit("csv_rows").alias("stage"), "n"))
-        .unionAll(table_rows.agg(F.count("*").alias("n")).select(F.lit("table_rows").alias("stage"), "n"))
-    )
-    order = ["source_total", "daily_files", "extracted", "csv_rows", "table_rows", "source_less_daily", "extracted_and_errors"]
-    wide = long.agg(*[F.max(F.when(F.col("stage") == s, F.col("n"))).alias(s) for s in order])
-    return stages_of(wide, order)
+    return stages_of(wide, wide.columns)

@@ -62,7 +62,7 @@ def decoded(text: str) -> str:
 
 
 def visible(html: str) -> str:
-    s = f"regexp_replace({html}, '(?s)<!--.*?-->|<script\\b.*?</script>|<style\\b.*?</style>|<[^>]*>', ' ', 'g')"
+    s = f"regexp_replace({html}, '(?si)<!--.*?-->|<script\\b.*?</script>|<style\\b.*?</style>|<[^>]*>', ' ', 'g')"
     s = decoded(s)
     return f"trim(regexp_replace({s}, {_quoted(WHITESPACE)}, ' ', 'g'))"
 
@@ -155,8 +155,13 @@ ORACLE: dict[str, str] = {
     "page_snapshot_roundtrip": f"WITH {CONV_PAGES} SELECT files, 'page ' || page_no AS page, page_text FROM cleaned",
     "assemble_pages": f"""WITH {CONV_PAGES} SELECT files, string_agg(page_text, '' ORDER BY page_no) AS raw_text,
         count(*) AS n_pages, CAST(0 AS BIGINT) AS n_page_errors, 'ok' AS status FROM cleaned GROUP BY files""",
-    "route_empty_text": f"""SELECT 'doc_' || doc_id || '.doc' AS files,
-        CASE WHEN trim({plain('text')}) = '' THEN 'needs_ocr' ELSE 'text' END AS route FROM documents""",
+    "route_empty_text": f"""WITH {OUTCOMES} SELECT files, status, CASE WHEN status <> 'ok' THEN status
+        WHEN raw_text IS NULL OR trim(regexp_replace(raw_text, {_quoted(WHITESPACE)}, ' ', 'g')) = '' THEN 'needs_ocr'
+        ELSE 'text' END AS route FROM outcomes""",
+    "read_page_files": f"""SELECT files, page_no, page_text,
+        CASE WHEN trim(regexp_replace(page_text, {_quoted(WHITESPACE)}, ' ', 'g')) = '' THEN 'no word' END AS page_error
+        FROM (SELECT 'doc_' || doc_id || '.pdf' AS files, unnest(string_split(text, {NL})) AS page_text,
+                     CAST(generate_subscripts(string_split(text, {NL}), 1) - 1 AS INTEGER) AS page_no FROM documents)""",
     "extract_docx": f"SELECT 'doc_' || doc_id || '.docx' AS files, {paragraphs('text')} AS raw_text, 'ok' AS status FROM documents",
     "extract_rtf": f"SELECT 'doc_' || doc_id || '.rtf' AS files, {rtf('text')} AS raw_text, 'ok' AS status FROM documents",
     "extract_eml": f"SELECT 'page_' || page_id || '.eml' AS files, {normalise(nodes('html'))} AS raw_text, 'ok' AS status FROM pages",
@@ -175,7 +180,8 @@ ORACLE: dict[str, str] = {
         CASE WHEN strpos(value, ',') > 0 THEN substr(value, strpos(value, ',') + 1) END AS meta
         FROM (SELECT doc_id, unnest(string_split(text, {NL})) AS value,
                      generate_subscripts(string_split(text, {NL}), 1) AS line_no FROM documents)""",
-    "mapping_file": "SELECT 'doc_' || doc_id || '.doc' AS files, quality || ',' || toxic AS quality FROM labels",
+    "mapping_file": """SELECT 'doc_' || doc_id || '.doc' AS files, quality || ',' || toxic AS quality FROM labels
+        UNION ALL SELECT 'files', 'quality,toxic' FROM labels WHERE toxic = 1""",
     "mapping_join": f"WITH {MERGED} SELECT files, quality, toxic, raw_text FROM merged",
     "mapping_join_totals": f"""SELECT lang, count(*) AS n_files, CAST(sum(length({plain('text')})) AS BIGINT) AS n_chars
         FROM documents JOIN labels USING (doc_id) GROUP BY lang""",
@@ -219,14 +225,20 @@ ORACLE: dict[str, str] = {
             UNION ALL SELECT 1, 'daily_files', count(*) FROM outcomes WHERE ext = 'docx'
             UNION ALL SELECT 2, 'extracted', count(*) FROM outcomes WHERE status = 'ok'
             UNION ALL SELECT 3, 'csv_rows', count(*) FROM merged
-            UNION ALL SELECT 4, 'table_rows', count(*) FROM merged WHERE raw_text <> ''
-            UNION ALL SELECT 5, 'source_less_daily', count(*) FROM outcomes WHERE ext <> 'docx'
-            UNION ALL SELECT 6, 'extracted_and_errors', count(*) FROM outcomes WHERE status IN ('ok', 'error'))
+            UNION ALL SELECT 4, 'table_rows', count(*) FROM merged
+            UNION ALL SELECT 5, 'cluster_rows', count(*) FROM merged
+            UNION ALL SELECT 6, 'source_less_daily', count(*) FROM outcomes WHERE ext <> 'docx'
+            UNION ALL SELECT 7, 'extracted_and_errors', count(*) FROM outcomes WHERE status IN ('ok', 'error'))
         SELECT position, stage, n, n - lag(n) OVER (ORDER BY position) AS change FROM totals""",
     "table_overwrite_load": f"""WITH {MERGED} SELECT CAST(quality AS VARCHAR) AS object_id, CAST(toxic AS VARCHAR) AS claim_id,
         files AS filename, 'doc' AS file_extension, raw_text AS extracted_text FROM merged""",
     "table_drop": "SELECT 'doc_' || doc_id || '.doc' AS files, quality, toxic, false AS dropped_exists FROM labels",
     "sql_passthrough": """SELECT lang, source, count(*) AS n_files, CAST(sum(n_chars) AS BIGINT) AS n_chars
         FROM documents GROUP BY lang, source""",
+    "manifest_files_roundtrip": f"""WITH {MANIFEST} SELECT "Object_name", "Prior_Version_Object_Name", "Document_date",
+        "Business_segment" || ' "€", x' AS "Business_segment", "new/changed", claim_id, cedent_id, object_id, manifest_date FROM manifest""",
+    "folder_outcomes": f"WITH {OUTCOMES} SELECT files, ext, raw_text, status, error FROM outcomes WHERE ext IN ('doc', 'docx', 'eml', 'rtf')",
+    "folder_ingest": f"""WITH {OUTCOMES} SELECT files, ext, CASE WHEN ext <> 'pdf' THEN raw_text END AS raw_text,
+        CASE WHEN ext = 'pdf' THEN 'unsupported' ELSE status END AS status, CASE WHEN ext <> 'pdf' THEN error END AS error FROM outcomes""",
     "incremental_ingest": f"WITH {TEXTS} SELECT files, raw_text, 'ok' AS status FROM texts",
 }

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docpipe.functions import html
-from docpipe.functions.names import DAY_STAMP, extension, replace_suffix, stem
+from docpipe.functions.names import DAY_STAMP, extension, replace_suffix, stem, title_case
 from docpipe.functions import text as tx
 from docpipe.operators import manifest as m
 from docpipe.operators import outcomes as oc
@@ -19,13 +19,15 @@ from docpipe.operators.extract.job import SUPPORTED, extract, extract_from, extr
 from docpipe.operators.joins import natural_inner_join
 from docpipe.operators.report import reconcile_outcomes
 from docpipe.plans import stand_in as si
-from docpipe.session import configure, scratch_path
+from docpipe.plans.run import publish_and_export
+from docpipe.session import configure, run_name, scratch_path
 from docpipe.sinks import files as sink
 from docpipe.sinks import log, tables
 from docpipe.sources import files as source
 from docpipe.sources import mapping as mp
+from docpipe.sources.manifests import read_backlog
 from docpipe.sources.snapshots import read_outcomes, read_pages_of, read_snapshot
-from docpipe.streaming.ingest import ingest_available, read_target
+from docpipe.streaming.ingest import ingest_available, ingest_folder, read_target
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -69,7 +71,7 @@ def name_parts(spark, sf_dir):
         "files",
         extension(name).alias("ext"),
         stem(name).alias("stem"),
-        F.initcap(F.substring(extension(name), 2, 100)).alias("title"),
+        title_case(F.substring(extension(name), 2, 100)).alias("title"),
         replace_suffix(name, ".doc", ".csv").alias("converted"),
     )
 
@@ -138,8 +140,20 @@ def page_snapshot_roundtrip(spark, sf_dir):
 
 @register
 def route_empty_text(spark, sf_dir):
-    texts = extract_plain(_plain_documents(spark, sf_dir, header=False))
-    return pg.route_empty_text(texts).select("files", "route")
+    """Every file of the folder; those without an ok text are routed by their status."""
+    return pg.route_empty_text(_mixed_outcomes(spark, sf_dir)).select("files", "status", "route")
+
+
+@register
+def read_page_files(spark, sf_dir):
+    """Every document as a file whose pages a reader cuts out; a page without a word fails."""
+
+    def pages(content: bytes):
+        for n, page in enumerate(content.decode().split("\n")):
+            yield n, page, None if page.strip() else "no word"
+
+    raw = si.raw_of(si.busy_table(spark, sf_dir, "documents"), "pdf", F.col("text").cast("binary"))
+    return pg.read_pages(raw, pages).select("files", "page_no", "page_text", "page_error")
 
 
 # extraction
@@ -170,7 +184,7 @@ def extract_eml(spark, sf_dir):
 def _mixed_outcomes(spark, sf_dir) -> DataFrame:
     """Every file of the folder once; pdf files come in as pages."""
     by_bytes = extract_from(lambda exts: si.mixed_raw(spark, sf_dir, exts))
-    others = unsupported(other_files(si.named_files(spark, sf_dir), [*SUPPORTED, "pdf"]))
+    others = unsupported(other_files(si.named_files(spark, sf_dir, si.table), [*SUPPORTED, "pdf"]))
     by_pages = pg.page_outcomes(pg.clean_pages(si.pages_of_documents(spark, sf_dir)))
     return by_bytes.unionByName(others).unionByName(by_pages)
 
@@ -222,9 +236,19 @@ def parse_mapping_lines(spark, sf_dir):
 
 @register
 def mapping_file(spark, sf_dir):
-    """The mapping written as a file of comma lines and read back, split at the first comma."""
+    """The mapping written as files with a header each, and read back, split at the first comma.
+
+    Every toxic document adds a line that is equal to the header.
+    """
+    view = si.mapping_view(spark, sf_dir)
+    lines = view.select(F.concat_ws(",", "files", "quality", "toxic").alias("value"), "toxic")
+    alike = lines.where("toxic = 1").select(F.lit("files,quality,toxic").alias("value"))
+    data = lines.select("value").union(alike).repartition(4, "value")
+    # each part file begins with the header, since its partition is sorted by a leading number
+    headed = data.select(F.spark_partition_id().alias("part"), F.lit(1).alias("at"), "value")
+    heads = headed.select("part").distinct().select("part", F.lit(0).alias("at"), F.lit("files,quality,toxic").alias("value"))
     path = scratch_path(spark, "mapping")
-    si.mapping_view(spark, sf_dir).write.csv(path, header=True)
+    headed.union(heads).repartition(4, "part").sortWithinPartitions("part", "at").select("part", "value").write.partitionBy("part").text(path)
     return mp.read_mapping(spark, path)
 
 
@@ -253,7 +277,7 @@ def mapping_join_totals(spark, sf_dir):
 @register
 def csv_roundtrip(spark, sf_dir):
     merged = mapping_join(spark, sf_dir)
-    path = sink.write_csv(merged, scratch_path(spark, "csv"), "MergedDataFrame", "doc", RUN_DATE)
+    path, _ = sink.write_csv(merged, scratch_path(spark, "csv"), "MergedDataFrame", "doc", RUN_DATE)
     return sink.read_csv(spark, path, merged.schema)
 
 
@@ -349,12 +373,21 @@ def attach_manifest_keys(spark, sf_dir):
     return keyed.select("files", "object_id", "claim_id", "Prior_Version_Object_Name", "raw_text")
 
 
+@register
+def manifest_files_roundtrip(spark, sf_dir):
+    """All orders as one windows-1252 file per day, with columns that differ from day to day."""
+    root = scratch_path(spark, "manifests")
+    si.write_bytes(si.manifest_files(spark, sf_dir), root)
+    rows = read_backlog(spark, root, extra=["object_id"]).rows
+    return rows.withColumn("Document_date", F.date_format("Document_date", "yyyy-MM-dd"))
+
+
 # report, tables, stream
 
 
 def _new_table(spark, name: str) -> str:
     """A table name in a database of its own under the shared folder."""
-    database = f"docpipe_{uuid.uuid4().hex[:12]}"
+    database = f"{run_name(spark)}_{uuid.uuid4().hex[:12]}"
     tables.create_database(spark, database, scratch_path(spark, "warehouse"))
     return f"{database}.{name}"
 
@@ -372,24 +405,17 @@ def _target_rows(spark, sf_dir) -> DataFrame:
 
 @register
 def reconcile_stages(spark, sf_dir):
-    """Snapshot, CSV and table are written, then counted where they lie."""
+    """The snapshot is merged into a table, the table exported, and every write counted."""
     path = scratch_path(spark, "snapshot")
     sink.write_snapshot(_mixed_outcomes(spark, sf_dir), path, RUN_DATE)
     outcomes = read_outcomes(spark, path)
     mapping = si.table(spark, sf_dir, "labels").select(si.doc_name().alias("stem"), "quality", "toxic")
     texts = outcomes.where(F.col("status") == "ok").select(stem(F.col("files")).alias("stem"), "files", "raw_text")
     merged = natural_inner_join(mapping, texts)
-    csv_path = sink.write_csv(merged, scratch_path(spark, "csv"), "MergedDataFrame", "docx", RUN_DATE)
-    csv_rows = sink.read_csv(spark, csv_path, merged.schema)
-    name = _new_table(spark, "extracted")
-    tables.create_table(spark, name, {"filename": "string", "extracted_text": "string"})
-    tables.overwrite_table(
-        csv_rows.where(F.col("raw_text").isNotNull()).select(
-            F.col("files").alias("filename"), F.col("raw_text").alias("extracted_text")
-        ),
-        name,
+    published = publish_and_export(
+        merged, _new_table(spark, "extracted"), {"claim_id": "stem"}, "docx", scratch_path(spark, "csv"), RUN_DATE
     )
-    return reconcile_outcomes(outcomes, F.col("ext") == "docx", csv_rows, spark.table(name))
+    return reconcile_outcomes(outcomes, F.col("ext") == "docx", published)
 
 
 @register
@@ -449,3 +475,30 @@ def incremental_ingest(spark, sf_dir):
     for _ in range(2):
         ingest_available(raw, target, checkpoint, exts=["doc"])
     return read_target(spark, target).select("files", "raw_text", "status")
+
+
+def _folder_of(spark, sf_dir, days: int = 1) -> str:
+    """The files of the mixed folder, the bytes of each written as it would arrive, in daily folders."""
+    raw = si.mixed_raw(spark, sf_dir, list(SUPPORTED))
+    others = other_files(si.named_files(spark, sf_dir, si.table), SUPPORTED).select("files", "ext", F.lit("x").cast("binary").alias("content"))
+    root = scratch_path(spark, "folder")
+    day = F.concat(F.lit("day"), F.crc32(F.col("files").cast("binary")) % days, F.lit("/"))
+    si.write_bytes(raw.unionByName(others).withColumn("path", F.concat(day, "files")), root)
+    return root
+
+
+@register
+def folder_outcomes(spark, sf_dir):
+    """Files of a real folder, zero-length ones among them, listed, read and extracted."""
+    folder = f"{_folder_of(spark, sf_dir)}/day0"
+    return extract_from(lambda exts: source.raw_files(spark, folder, exts)).select("files", "ext", "raw_text", "status", "error")
+
+
+@register
+def folder_ingest(spark, sf_dir):
+    """The same files as a stream of daily folders, one day in the first round and two in the second."""
+    root = _folder_of(spark, sf_dir, days=2)
+    target, checkpoint = scratch_path(spark, "ingested"), scratch_path(spark, "ingest-checkpoint")
+    for days in ("day0", "day[01]", "day[01]"):
+        ingest_folder(spark, f"{root}/{days}", target, checkpoint)
+    return read_target(spark, target).select("files", "ext", "raw_text", "status", "error")

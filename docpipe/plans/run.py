@@ -8,13 +8,19 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docpipe.functions.names import stem
 from docpipe.operators.extract.job import READERS, extract_from, extract_plain
 from docpipe.operators.joins import natural_inner_join
+from docpipe.operators.manifest import attach_keys, changed, unprocessed
 from docpipe.operators.outcomes import count_outcomes, error_listing
 from docpipe.operators.pages import PageReader, clean_pages, page_outcomes, read_pages
+from docpipe.operators.report import reconcile_outcomes
+from docpipe.session import folder_exists, snapshot
 from docpipe.sinks import files as sink
+from docpipe.sinks.log import mark_processed, read_log
 from docpipe.sinks.tables import TEXT_COLUMNS, create_table, overwrite_table
 from docpipe.sources.files import converted_doc_files, raw_files
+from docpipe.sources.manifests import read_backlog
 from docpipe.sources.mapping import read_mapping
 from docpipe.sources.snapshots import read_outcomes, read_pages_of, read_snapshot
 
@@ -72,24 +78,38 @@ def merge_mapping(spark: SparkSession, ext: str, folders: Folders, mapping_path:
     )
 
 
-def publish(merged: DataFrame, table: str, keys: dict[str, str], ext: str) -> None:
+def publish(merged: DataFrame, table: str, keys: dict[str, str], ext: str) -> int:
     """Replace the table content; ``keys`` says which merged column fills which key column.
 
-    Key columns the mapping does not have stay null.
+    Key columns that are not filled stay null. Returns the rows written.
     """
-    spark = merged.sparkSession
-    create_table(spark, table, TEXT_COLUMNS)
+    create_table(merged.sparkSession, table, TEXT_COLUMNS)
     filled = {
         "filename": F.col("files"),
         "file_extension": F.lit(ext),
         "extracted_text": F.col("raw_text"),
         **{target: F.col(source) for target, source in keys.items()},
     }
-    overwrite_table(
+    return overwrite_table(
         merged.select(*[filled.get(c, F.lit(None)).cast("string").alias(c) for c in TEXT_COLUMNS]), table
     )
 
 
+def publish_and_export(
+    merged: DataFrame, table: str, keys: dict[str, str], ext: str, csv_folder: str, run_date: dt.date
+) -> dict[str, int]:
+    """Load the table, write its CSV from it, and tell the rows of both.
+
+    The table is loaded from the rows themselves, so an empty text stays empty; joins and
+    cleaning run once.
+    """
+    spark = merged.sparkSession
+    table_rows = publish(merged, table, keys, ext)
+    _, csv_rows = sink.write_csv(spark.table(table), csv_folder, "MergedDataFrame", ext, run_date)
+    # counted where they lie, from the footers of the table's files
+    return {"csv_rows": csv_rows, "table_rows": table_rows, "cluster_rows": spark.table(table).count()}
+
+
 def run_format(
     spark: SparkSession,
     ext: str,
@@ -101,12 +121,60 @@ def run_format(
     keys: dict[str, str] | None = None,
     page_reader: PageReader | None = None,
 ) -> DataFrame:
-    """The whole daily run of one format; returns the published table."""
+    """One format with a mapping file; returns the published table."""
     if extract_folder(spark, ext, folders, run_date, page_reader) is None:
         raise ValueError(f"unknown format {ext}")
     merged = merge_mapping(spark, ext, folders, mapping_path, run_date)
-    path = sink.write_csv(merged, csv_folder, "MergedDataFrame", ext, run_date)
-    publish(sink.read_csv(spark, path, merged.schema), table, keys or {}, ext)
+    publish_and_export(merged, table, keys or {}, ext, csv_folder, run_date)
     return spark.table(table)
 
 
+def newest_keys(manifest: DataFrame) -> DataFrame:
+    """One row per object: that of its newest manifest."""
+    keys = F.struct("object_id", "claim_id", "Prior_Version_Object_Name")
+    newest = manifest.where(F.col("Object_name").isNotNull()).groupBy("Object_name").agg(
+        F.max(F.struct("manifest_date", keys.alias("keys"))).alias("last")
+    )
+    return newest.select("Object_name", "last.keys.*")
+
+
+def run_daily(
+    spark: SparkSession,
+    ext: str,
+    folders: Folders,
+    manifest_root: str,
+    log_path: str,
+    csv_folder: str,
+    table: str,
+    run_date: dt.date,
+    days: int = 1,
+    page_reader: PageReader | None = None,
+) -> DataFrame | None:
+    """The daily loop of one format; returns the report, or None if there is nothing to do.
+
+    Manifests of the days before ``run_date`` that the log does not have are read. The texts of the
+    folder get the keys of these manifests and are published. The log is written last, so a run that
+    broke off is repeated and a run that is done is not. Manifest rows and files that could not be taken are
+    written beside the error list.
+    """
+    manifest = read_backlog(spark, manifest_root, run_date, days, extra=["object_id"])
+    rows = manifest.rows
+    if folder_exists(spark, log_path):
+        rows = unprocessed(rows, read_log(spark, log_path))
+    rows = snapshot(rows, "manifest-rows")
+    sink.write_errors(manifest.rejects, folders.errors, "manifest", run_date)
+    if not rows.head(1):
+        return None
+    if extract_folder(spark, ext, folders, run_date, page_reader) is None:
+        raise ValueError(f"unknown format {ext}")
+    texts = read_snapshot(spark, folders.snapshots, ext, run_date).select(stem(F.col("files")).alias("Object_name"), "files", "raw_text")
+    keyed = attach_keys(texts, newest_keys(rows))
+    published = publish_and_export(
+        keyed, table, {"object_id": "object_id", "claim_id": "claim_id"}, ext, csv_folder, run_date
+    )
+    outcomes = read_outcomes(spark, folders.snapshots).where((F.col("ext") == ext) & (F.col("run_date") == F.lit(run_date)))
+    named = snapshot(changed(rows).select("Object_name").distinct(), "manifest-changed")
+    marked = outcomes.withColumn("Object_name", stem(F.col("files"))).join(named.withColumn("daily", F.lit(True)), "Object_name", "left")
+    report = snapshot(reconcile_outcomes(marked, F.coalesce("daily", F.lit(False)), published), "report")
+    mark_processed(rows, log_path)
+    return report

@@ -8,15 +8,17 @@ from __future__ import annotations
 
 import io
 import zipfile
+from collections.abc import Iterator
 from xml.sax.saxutils import escape
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docpipe.functions.names import extension
-from docpipe.sources.files import spread
+from docpipe.functions.names import DAY_STAMP, extension
 
 WORD_XMLNS = "http://schemas.openxmlformats.org/wordprocessingml/2006/main"
 
@@ -25,6 +27,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """One task per core: the test tables have one row group, which would be one task.
+
+    Only stand-ins do this; it is a shuffle of all rows.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+
+
 def busy_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table whose rows cost much work each; a single row group still uses all cores."""
     return spread(table(spark, sf_dir, name))
@@ -108,9 +119,9 @@ def raw_of(documents: DataFrame, ext: str, content: Column) -> DataFrame:
     )
 
 
-def named_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+def named_files(spark: SparkSession, sf_dir: str, load=busy_table) -> DataFrame:
     """``files, ext`` and the text behind each file of a folder of all formats."""
-    files = files_view(spark, sf_dir, busy_table)
+    files = files_view(spark, sf_dir, load)
     return files.select("files", F.substring(extension(F.col("files")), 2, 100).alias("ext"), "text", "n_chars")
 
 
@@ -172,3 +183,40 @@ def manifest_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 def mapping_view(spark: SparkSession, sf_dir: str, suffix: str = ".doc") -> DataFrame:
     """Labels as the mapping: business values by file name."""
     return table(spark, sf_dir, "labels").select(doc_name(suffix).alias("files"), "quality", "toxic")
+
+
+def write_bytes(rows: DataFrame, root: str) -> None:
+    """Each row (``path`` below the root, ``content``) as a file of the shared folder."""
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, base = pafs.FileSystem.from_uri(root)
+        for batch in batches:
+            for path, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                fs.create_dir(f"{base}/{path}".rpartition("/")[0], recursive=True)
+                with fs.open_output_stream(f"{base}/{path}", compression=None) as out:
+                    out.write(content)
+            yield pa.record_batch([pa.array([batch.num_rows])], names=["n"])
+
+    rows.select("path", "content").mapInArrow(write, "n long").write.format("noop").mode("overwrite").save()
+
+
+def manifest_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One manifest file per order date. Even days have another order of columns and one more column."""
+    view = manifest_view(spark, sf_dir).withColumn("Business_segment", F.concat("Business_segment", F.lit(' "€", x')))
+    names = ["Object_name", "Prior_Version_Object_Name", "Document_date", "Business_segment", "new/changed", "claim_id", "cedent_id", "object_id"]
+
+    def line(columns: list[str]) -> Column:
+        cell = lambda c: F.concat(F.lit('"'), F.replace(F.col(f"`{c}`"), F.lit('"'), F.lit('""')), F.lit('"'))
+        return F.concat_ws(",", *[F.coalesce(cell(c), F.lit("")) for c in columns])
+
+    other = [*reversed(names), "claim_id"]
+    even = F.dayofmonth("manifest_date") % 2 == 0
+    body = F.when(even, F.concat(line(other), F.lit(","), F.col("object_id"))).otherwise(line(names))
+    head = F.when(even, ",".join([*reversed(names), "again", "more"])).otherwise(",".join(names))
+    days = view.select("manifest_date", head.alias("head"), body.alias("line")).groupBy("manifest_date", "head").agg(
+        F.array_join(F.array_sort(F.collect_list("line")), "\r\n").alias("lines")  # the orders of one day
+    )
+    day = F.date_format("manifest_date", DAY_STAMP)
+    text = F.concat("head", F.lit("\r\n"), "lines", F.lit("\r\n"))
+    latin = F.translate(text, "€", "\x80")  # windows-1252
+    return days.select(F.concat(day, F.lit("/Metadata/"), day, F.lit(".csv")).alias("path"), F.encode(latin, "ISO-8859-1").alias("content"))

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the jobs want; each is applied only where the session has none.
 PREFERRED = {
@@ -58,6 +58,31 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def run_name(spark: SparkSession) -> str:
+    """What the work files and databases of this application are named after."""
+    return "docpipe_" + "".join(c if c.isalnum() else "_" for c in spark.sparkContext.applicationId)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared folder; nothing there is ever overwritten."""
-    return f"{shared_folder(spark)}/docpipe/{name}-{uuid.uuid4().hex}"
+    """A fresh path in this application's part of the shared folder; nothing there is ever overwritten."""
+    return f"{shared_folder(spark)}/{run_name(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove the work files and databases of this application. Call it when no result is read any more."""
+    for database in spark.catalog.listDatabases(f"{run_name(spark)}*"):
+        spark.sql(f"DROP DATABASE IF EXISTS `{database.name}` CASCADE")
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/{run_name(spark)}")
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
+def snapshot(df: DataFrame, name: str) -> DataFrame:
+    """The rows as a Parquet table in the shared folder, read again; it cuts the lineage."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

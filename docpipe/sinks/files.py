@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# A multi-line CSV part is read by one task, so parts are kept small.
-CSV_ROWS_PER_PART = 50_000
+# A multi-line CSV part is read by one task, so parts are bounded by their bytes.
+CSV_BYTES_PER_PART = 128 * 1024 * 1024
 
 # These settings keep quotes, line ends and outer blanks of a cell as they are.
 CSV_OPTIONS = {
@@ -25,12 +26,34 @@ def csv_name(name: str, ext: str, run_date: dt.date) -> str:
     return f"{ext.title()}_{name}_{run_date:%Y_%m_%d}.csv"
 
 
-def write_csv(df: DataFrame, folder: str, name: str, ext: str, run_date: dt.date) -> str:
-    """Write a CSV folder and return its path."""
+def _in_parts(df: DataFrame) -> DataFrame:
+    """Rows dealt so that a CSV part holds about ``CSV_BYTES_PER_PART`` of text or less.
+
+    The size is measured once; rows are dealt by a hash, so one long run of long texts spreads. A frame
+    that is small as a whole keeps its partitions.
+    """
+    texts = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
+    size = sum((F.coalesce(F.octet_length(F.col(f"`{c}`")), F.lit(0)) for c in texts), F.lit(0).cast("bigint"))
+    total, widest = df.agg(F.sum(size), F.max(size)).first()
+    parts = -(-(total or 0) // max(1, CSV_BYTES_PER_PART - min(widest or 0, CSV_BYTES_PER_PART // 2)))
+    return df.repartition(int(parts), F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])) if parts > 1 else df
+
+
+def write_csv(df: DataFrame, folder: str, name: str, ext: str, run_date: dt.date) -> tuple[str, int]:
+    """Write a CSV folder; returns its path and the number of rows written."""
     path = f"{folder}/{csv_name(name, ext, run_date)}"
-    writer = df.write.mode("overwrite").options(**CSV_OPTIONS)
-    writer.option("emptyValue", "").option("maxRecordsPerFile", CSV_ROWS_PER_PART).csv(path)
-    return path
+    return path, write_counted(_in_parts(df), lambda rows: _csv_writer(rows).csv(path))
+
+
+def _csv_writer(df: DataFrame) -> DataFrameWriter:
+    return df.write.mode("overwrite").options(**CSV_OPTIONS).option("emptyValue", "")
+
+
+def write_counted(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
+    """Run a write and return how many rows went through it, without another read."""
+    seen = Observation()
+    write(df.observe(seen, F.count(F.lit(1)).alias("n")))
+    return seen.get["n"]
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -62,5 +85,5 @@ def write_pages(pages: DataFrame, path: str, run_date: dt.date) -> None:
 def write_errors(errors: DataFrame, folder: str, ext: str, run_date: dt.date) -> str:
     """The error list of one format, ``ErrorFileDocx_2019_05_08.csv``."""
     path = f"{folder}/ErrorFile{ext.title()}_{run_date:%Y_%m_%d}.csv"
-    errors.write.mode("overwrite").options(**CSV_OPTIONS).option("emptyValue", "").csv(path)
+    _csv_writer(_in_parts(errors)).csv(path)
     return path

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from docpipe.sinks.files import write_counted
+
 # The target table, every column a string.
 TEXT_COLUMNS = {
     "object_id": "string",
@@ -25,16 +27,15 @@ def create_table(spark: SparkSession, table: str, columns: dict[str, str] = TEXT
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({listed}) USING parquet")
 
 
-def overwrite_table(df: DataFrame, table: str) -> None:
-    """Replace the content of an existing table; columns are matched by name."""
+def overwrite_table(df: DataFrame, table: str) -> int:
+    """Replace the content of an existing table; columns are matched by name. Returns the rows written."""
     spark = df.sparkSession
     target = spark.table(table)
     missing = set(target.columns) - set(df.columns)
     if missing:
         raise ValueError(f"{table} needs columns {sorted(missing)}")
-    df.select(*[df[c].cast(target.schema[c].dataType).alias(c) for c in target.columns]).write.insertInto(
-        table, overwrite=True
-    )
+    rows = df.select(*[df[c].cast(target.schema[c].dataType).alias(c) for c in target.columns])
+    return write_counted(rows, lambda counted: counted.write.insertInto(table, overwrite=True))
 
 
 def drop_table(spark: SparkSession, table: str) -> None:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import datetime as dt
+import re
+from collections.abc import Iterable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,16 +20,6 @@ BINARY_SCHEMA = T.StructType([
 ])
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """One task per core for costly per-row work on a scan of few splits.
-
-    The number of splits is checked on the plan: a scan that already keeps every
-    core busy is returned as it is, without a shuffle.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
-
-
 def name_glob(exts: Iterable[str]) -> str:
     """Glob for file names with one of the extensions (no dot, case-sensitive)."""
     return "*.{" + ",".join(exts) + "}"
@@ -46,31 +38,43 @@ def with_names(binary: DataFrame) -> DataFrame:
     )
 
 
-def file_names(spark: SparkSession, folder: str) -> DataFrame:
-    """``path`` of every file of one folder, listed through Hadoop's input format.
+# One status as Hadoop prints it. Statuses come over in blocks, not one by one.
+_STATUS = re.compile(r"\bpath=(.*?); isDirectory=(true|false); length=(\d+);.*?modification_time=(\d+);", re.S)
+_STATUSES_PER_BLOCK = 10_000
+
+
+def listed(scan: DataFrame) -> Iterator[tuple[str, int, int]]:
+    """Path, measured length and time (milliseconds) of every file that Spark listed for a scan.
 
-    Unlike Spark's own sources this keeps files of zero length. Nothing is opened.
+    It is the listing that the scan itself uses: nothing is listed again, and nothing is opened.
     """
-    slots = spark.sparkContext.defaultParallelism
-    paths = spark._jsc.binaryFiles(folder, slots).keys()
-    strings = spark._jvm.org.apache.spark.sql.Encoders.STRING()
-    listed = spark._jsparkSession.createDataset(paths.rdd(), strings).toDF()
-    return DataFrame(listed, spark).toDF("path")
-
-
-def _with_empty(spark: SparkSession, folder: str, found: DataFrame, exts: Iterable[str] | None) -> DataFrame:
-    """Add the files of zero length, which Spark's file sources leave out."""
-    listed = with_names(
-        file_names(spark, folder).select(
-            "path",
-            F.lit(None).cast("timestamp").alias("modificationTime"),
-            F.lit(0).cast("bigint").alias("length"),
-            F.lit("").cast("binary").alias("content"),
-        )
-    )
-    if exts is not None:
-        listed = listed.where(F.col("ext").isin(list(exts)))
-    return found.unionByName(listed.join(found.select("files"), "files", "left_anti").select(found.columns))
+    statuses = scan._jdf.queryExecution().analyzed().relation().location().allFiles()
+    n = statuses.size()
+    for start in range(0, n, _STATUSES_PER_BLOCK):
+        block = statuses.slice(start, min(n, start + _STATUSES_PER_BLOCK))
+        parsed = [(path, int(length), int(at)) for path, _, length, at in _STATUS.findall(block.mkString("\n"))]
+        if len(parsed) != block.size():  # a store that prints its statuses differently
+            each = (block.apply(i) for i in range(block.size()))
+            parsed = [(x.getPath().toString(), x.getLen(), x.getModificationTime()) for x in each]
+        yield from parsed
+
+
+def empty_files(scan: DataFrame) -> DataFrame:
+    """The files of a binaryFile scan whose measured length is zero, which Spark's sources leave out.
+
+    Only their names come to Python; files with content stay in Spark's listing.
+    """
+    rows = [
+        (path, dt.datetime.fromtimestamp(at / 1000, dt.timezone.utc), 0) for path, length, at in listed(scan) if length == 0
+    ]
+    empty = scan.sparkSession.createDataFrame(rows, T.StructType(BINARY_SCHEMA.fields[:3]))
+    return with_names(empty.withColumn("content", F.lit("").cast("binary"))).withColumn("unread", F.lit(None).cast("string"))
+
+
+def folder_scan(spark: SparkSession, folder: str, exts: Iterable[str] | None = None) -> DataFrame:
+    """The binaryFile rows of a folder or glob; the extensions are matched while listing."""
+    reader = spark.read.format("binaryFile")
+    return (reader if exts is None else reader.option("pathGlobFilter", name_glob(exts))).load(folder)
 
 
 def raw_files(spark: SparkSession, folder: str, exts: Iterable[str]) -> DataFrame:
@@ -78,12 +82,10 @@ def raw_files(spark: SparkSession, folder: str, exts: Iterable[str]) -> DataFram
 
     Not recursive; the match is exact and case-sensitive and happens while listing,
     so other files are never opened. A missing folder is an error. ``content`` is
-    read only if a later step uses it, and null for a file above Spark's size limit.
+    read only if a later step uses it. Above Spark's size limit it is null, and ``unread`` says so.
     """
-    exts = list(exts)
-    reader = spark.read.format("binaryFile").option("pathGlobFilter", name_glob(exts))
-    found = _oversize_unread(spark, with_names(reader.load(folder)))
-    return _with_empty(spark, folder, found, exts)
+    scan = folder_scan(spark, folder, exts)
+    return _oversize_unread(spark, with_names(scan)).unionByName(empty_files(scan))
 
 
 def _oversize_unread(spark: SparkSession, found: DataFrame) -> DataFrame:
@@ -92,48 +94,53 @@ def _oversize_unread(spark: SparkSession, found: DataFrame) -> DataFrame:
     The test on ``length`` reaches the source, so each file is opened by one side only.
     """
     limit = int(spark.conf.get("spark.sql.sources.binaryFile.maxLength", str(2**31 - 1)))
-    oversize = found.where(F.col("length") > limit).withColumn("content", F.lit(None).cast("binary"))
-    return found.where(F.col("length") <= limit).unionByName(oversize)
+    oversize = found.where(F.col("length") > limit).withColumns({
+        "content": F.lit(None).cast("binary"),
+        "unread": F.concat(F.col("length").cast("string"), F.lit(f" bytes are above the limit of {limit}")),
+    })
+    return found.where(F.col("length") <= limit).withColumn("unread", F.lit(None).cast("string")).unionByName(oversize)
 
 
-def converted_doc_files(spark: SparkSession, folder: str) -> DataFrame:
+def as_converted_doc(files: DataFrame) -> DataFrame:
     """Word 97 files that were converted to text: ``x.csv`` stands for ``x.doc``."""
-    return raw_files(spark, folder, ["csv"]).withColumns({
-        "files": replace_suffix(F.col("files"), ".csv", ".doc"),
-        "ext": F.lit("doc"),
-    })
+    return files.withColumns({"files": replace_suffix(F.col("files"), ".csv", ".doc"), "ext": F.lit("doc")})
+
+
+def converted_doc_files(spark: SparkSession, folder: str) -> DataFrame:
+    return as_converted_doc(raw_files(spark, folder, ["csv"]))
 
 
 def list_folder(spark: SparkSession, folder: str) -> DataFrame:
     """Every file of one folder, without its content."""
-    found = with_names(spark.read.format("binaryFile").load(folder))
-    return _with_empty(spark, folder, found, None).drop("content")
+    scan = folder_scan(spark, folder)
+    found = with_names(scan).drop("content")
+    return found.unionByName(empty_files(scan).select(found.columns))
 
 
 def raw_file_stream(
     spark: SparkSession,
     folder: str,
-    exts: Iterable[str],
+    exts: Iterable[str] | None = None,
     max_files_per_trigger: int = 100_000,
-    max_file_age: str = "3650d",
 ) -> DataFrame:
     """New files of one folder, or of a glob of daily folders, as a stream.
 
     A path is taken once: a new version has to come under a new path, such as the
-    next day's folder. Files of zero length are not seen.
+    next day's folder. Files above Spark's size limit come without content. Files of
+    zero length are not seen by a stream; ``streaming.ingest.ingest_folder`` adds them.
 
-    ``max_file_age`` is high on purpose: by default files older than a week, seen
-    from the newest file, would be skipped after the first batch.
+    By default files older than a week, seen from the newest file, would be skipped
+    after the first batch; the age here is beyond any file's.
     """
     stream = (
         spark.readStream.format("binaryFile")
         .schema(BINARY_SCHEMA)
-        .option("pathGlobFilter", name_glob(exts))
         .option("maxFilesPerTrigger", max_files_per_trigger)
-        .option("maxFileAge", max_file_age)
-        .load(folder)
+        .option("maxFileAge", "100000d")
     )
-    return with_names(stream)
+    if exts is not None:
+        stream = stream.option("pathGlobFilter", name_glob(exts))
+    return _oversize_unread(spark, with_names(stream.load(folder)))
 
 
 def select_by_extension(files: DataFrame, ext: str, name_col: str = "files") -> DataFrame:

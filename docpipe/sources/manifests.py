@@ -1,14 +1,25 @@
-"""Daily manifests: ``<root>/<yyyyMMdd>/Metadata/<yyyyMMdd>.csv``."""
+"""Daily manifests: ``<root>/<yyyyMMdd>/Metadata/<yyyyMMdd>.csv``.
+
+Every file is read by its own header: columns are found by name, in any order, with any others
+beside them, and days may differ. A manifest of one day is small and is read as one value; its
+records and cells are then cut out by column expressions.
+
+Nothing is lost without a word: what cannot be taken comes back as rows of its own.
+"""
 
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterable
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docpipe.functions.names import DAY_STAMP
+from docpipe.functions.text import decode_utf8
+from docpipe.sources.files import _oversize_unread, with_names
 
 MANIFEST_SCHEMA = T.StructType([
     T.StructField("Object_name", T.StringType()),
@@ -22,32 +33,105 @@ MANIFEST_SCHEMA = T.StructType([
 
 MANIFEST_COLUMNS = MANIFEST_SCHEMA.names
 
+# A cell in quotes may hold commas, line ends and doubled quotes; a line that breaks these rules
+# is a record of its own, to be refused.
+_CELL = r'(?:"(?:[^"]++|"")*+"|[^",\r\n][^,\r\n]*+|)'
+_RECORD = rf"{_CELL}(?:,{_CELL})*+"
+_RECORDS = rf"\G((?:{_RECORD})(?=[\r\n]|\z)|[^\r\n]*+)(?:\r\n|\n|\r|\z)"
+
+
+class Manifest(NamedTuple):
+    """``rows``: manifest columns and ``manifest_date``. ``rejects``: ``path, line, record, reason``."""
+
+    rows: DataFrame
+    rejects: DataFrame
 
-def _reader(spark: SparkSession, encoding: str):
-    if encoding.lower() == "windows-1252":
-        # Spark 4 accepts this charset only in its compatibility mode
-        spark.conf.set("spark.sql.legacy.javaCharsets", "true")
-    return spark.read.schema(MANIFEST_SCHEMA).option("header", True).option("encoding", encoding).option("escape", '"')
 
+def _decoded(content: Column, encoding: str) -> Column:
+    name = encoding.lower()
+    if name in ("windows-1252", "cp1252"):
+        # Latin-1 but for the bytes 80 to 9F; Spark's decoders no longer know this charset
+        codes = [bytes([b]).decode("cp1252", "ignore") for b in range(0x80, 0xA0)]
+        own = [(chr(0x80 + i), c) for i, c in enumerate(codes) if c]
+        return F.translate(F.decode(content, "ISO-8859-1"), "".join(a for a, _ in own), "".join(b for _, b in own))
+    return decode_utf8(content) if name in ("utf-8", "utf8") else F.decode(content, encoding)
 
-def _with_day(manifest: DataFrame) -> DataFrame:
-    stamp = F.regexp_extract(F.col("_metadata.file_path"), r"/(\d{8})/Metadata/[^/]*$", 1)
-    return manifest.select("*", F.to_date(F.nullif(stamp, F.lit("")), DAY_STAMP).alias("manifest_date"))
 
+def _cells(record: Column) -> Column:
+    """The cells of a record; an empty cell without quotes is null."""
+    raw = F.regexp_extract_all(F.concat(F.lit(","), record), F.lit(rf",({_CELL})"), 1)
 
-def read_manifest_file(spark: SparkSession, path: str, encoding: str = "windows-1252") -> DataFrame:
+    def cell(c: Column) -> Column:
+        inner = F.replace(F.substr(c, F.lit(2), F.length(c) - 2), F.lit('""'), F.lit('"'))
+        return F.when(c.startswith('"'), inner).when(c != "", c)
+
+    return F.transform(raw, cell)
+
+
+def parse_manifests(files: DataFrame, encoding: str = "windows-1252", extra: Iterable[str] = ()) -> Manifest:
+    """Manifests from raw file rows (``path, content, unread``).
+
+    ``extra`` names further columns to keep as text; they are null for files without them.
+    """
+    text = F.regexp_replace(_decoded(F.col("content"), encoding), "^﻿", "")
+    records = F.filter(F.regexp_extract_all(text, F.lit(_RECORDS), 1), lambda r: r != "")
+    stamp = F.regexp_extract("path", r"/(\d{8})/Metadata/[^/]*$", 1)
+    read = files.select(
+        "path", "unread", F.try_to_date(F.nullif(stamp, F.lit("")), DAY_STAMP).alias("manifest_date"), records.alias("records")
+    )
+    header = F.transform(_cells(F.get("records", F.lit(0))), lambda c: F.trim(F.coalesce(c, F.lit(""))))
+    read = read.withColumn("header", header)
+    missing = F.filter(F.array(*map(F.lit, MANIFEST_COLUMNS)), lambda c: ~F.array_contains(F.coalesce("header", F.array()), c))
+    reason = (
+        F.when(F.col("unread").isNotNull(), F.concat(F.lit("not read: "), F.col("unread")))
+        .when(F.coalesce(F.size("records"), F.lit(0)) == 0, "no header")
+        .when(F.size(missing) > 0, F.concat(F.lit("no column "), F.array_join(missing, ", ")))
+    )
+    read = read.withColumn("file_reason", reason)
+    bad_files = read.where("file_reason IS NOT NULL").select(
+        "path", F.lit(None).cast("int").alias("line"), F.lit(None).cast("string").alias("record"), F.col("file_reason").alias("reason")
+    )
+    body = read.where("file_reason IS NULL").select(
+        "path", "manifest_date", "header", F.posexplode("records").alias("line", "record")
+    ).where("line > 0")
+    body = body.withColumn("cells", _cells(F.col("record")))
+    value = lambda name: F.get("cells", F.array_position("header", F.lit(name)).cast("int") - 1)
+    dates = [f.name for f in MANIFEST_SCHEMA if f.dataType == T.TimestampType()]
+    unread_date = F.lit(None).cast("string")
+    for name in dates:
+        bad = value(name).isNotNull() & value(name).try_cast("timestamp").isNull()
+        unread_date = F.when(bad, F.concat(F.lit(f"{name} is no time: "), value(name))).otherwise(unread_date)
+    reason = (
+        F.when(~F.col("record").rlike(rf"^(?:{_RECORD})\z"), "quotes do not match")
+        .when(F.size("cells") != F.size("header"), F.concat_ws(" ", F.size("cells").cast("string"), F.lit("cells, not"), F.size("header").cast("string")))
+        .otherwise(unread_date)
+    )
+    body = body.withColumn("reason", reason)
+    rows = body.where("reason IS NULL").select(
+        *[value(f.name).try_cast(f.dataType).alias(f.name) for f in MANIFEST_SCHEMA], *[value(c).alias(c) for c in extra], "manifest_date"
+    )
+    bad_rows = body.where("reason IS NOT NULL").select("path", (F.col("line") + 1).alias("line"), "record", "reason")
+    return Manifest(rows, bad_files.unionByName(bad_rows))
+
+
+def _read(spark: SparkSession, pattern: str, encoding: str, extra: Iterable[str]) -> Manifest:
+    files = _oversize_unread(spark, with_names(spark.read.format("binaryFile").load(pattern)))
+    return parse_manifests(files, encoding, extra)
+
+
+def read_manifest_file(spark: SparkSession, path: str, encoding: str = "windows-1252", extra: Iterable[str] = ()) -> Manifest:
     """One named manifest; anything but a .csv file is refused."""
     if not path.endswith(".csv"):
         raise ValueError(f"not a manifest file: {path}")
-    return _with_day(_reader(spark, encoding).csv(path))
+    return _read(spark, path, encoding, extra)
 
 
 def read_manifest(
-    spark: SparkSession, root: str, run_date: dt.date, encoding: str = "windows-1252"
-) -> DataFrame:
+    spark: SparkSession, root: str, run_date: dt.date, encoding: str = "windows-1252", extra: Iterable[str] = ()
+) -> Manifest:
     """The manifest of the day before ``run_date``."""
     day = (run_date - dt.timedelta(days=1)).strftime("%Y%m%d")
-    return read_manifest_file(spark, f"{root}/{day}/Metadata/{day}.csv", encoding)
+    return read_manifest_file(spark, f"{root}/{day}/Metadata/{day}.csv", encoding, extra)
 
 
 def read_backlog(
@@ -56,11 +140,12 @@ def read_backlog(
     run_date: dt.date | None = None,
     days: int | None = None,
     encoding: str = "windows-1252",
-) -> DataFrame:
+    extra: Iterable[str] = (),
+) -> Manifest:
     """All manifests under ``root``, or those of the ``days`` days before ``run_date``.
 
-    One read for all folders: the date folders are pruned while listing, folders
-    that do not exist are no error and unreadable files are skipped.
+    One read for all folders: the date folders are pruned while listing, and folders
+    that do not exist are no error.
     """
     if days is None:
         folders = "[0-9]" * 8
@@ -69,5 +154,4 @@ def read_backlog(
             raise ValueError("days needs a run_date to count from")
         stamps = [(run_date - dt.timedelta(days=n)).strftime("%Y%m%d") for n in range(days, 0, -1)]
         folders = "{" + ",".join(stamps) + "}"
-    reader = _reader(spark, encoding).option("ignoreCorruptFiles", True)
-    return _with_day(reader.csv(f"{root}/{folders}/Metadata/*.csv"))
+    return _read(spark, f"{root}/{folders}/Metadata/*.csv", encoding, extra)

@@ -21,18 +21,25 @@ def parse_mapping_lines(
 
 
 def read_mapping(spark: SparkSession, path: str) -> DataFrame:
-    """Read a mapping file; its first line names the two columns.
+    """Read mapping files; the first line of each names the two columns.
 
-    Lines end at CR or LF. The header is looked for in the first block of a file
-    only, so the same text further down is data. Only the header line itself
-    comes to the driver.
+    Lines end at CR or LF. All files of a folder must have the same header. Exactly one line per
+    file is taken as the header: lines equal to it further down are data, wherever the file is split.
+    Only the header itself comes to the driver.
     """
-    lines = spark.read.text(path)
-    head = lines.first()
-    if head is None:
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"))
+    # the first block of a file lies in one task, which meets its lines in order
+    heads = lines.where("start = 0").groupBy("path").agg(F.first("value").alias("head"))
+    found = [r["head"] for r in heads.select("head").distinct().limit(2).collect()]
+    if not found:
         raise ValueError(f"mapping file {path} is empty")
-    names = head.value.split(",")
+    if len(found) > 1:
+        raise ValueError(f"mapping files in {path} have different headers, such as {found[0]!r} and {found[1]!r}")
+    head = found[0]
+    names = head.split(",")
     if len(names) < 2:
-        raise ValueError(f"mapping file {path} needs two column names, found {head.value!r}")
-    body = lines.where((F.col("_metadata.file_block_start") > 0) | (F.col("value") != head.value))
+        raise ValueError(f"mapping file {path} needs two column names, found {head!r}")
+    alike = lines.where(F.col("value") == head).groupBy("path").agg(F.count("*").alias("n")).where("n > 1")
+    again = alike.select(F.lit(head).alias("value"), F.explode(F.sequence(F.lit(2), F.col("n").cast("int"))).alias("_"))
+    body = lines.where(F.col("value") != head).select("value").union(again.select("value"))
     return parse_mapping_lines(body, names[0], names[1])

@@ -12,8 +12,12 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docpipe.functions.names import basename
 from docpipe.operators.extract.job import SUPPORTED, extract_in_one_pass
 from docpipe.operators.outcomes import latest_per_file
+from docpipe.operators.pages import PageReader, clean_pages, page_outcomes, read_pages
+from docpipe.session import folder_exists
+from docpipe.sources.files import as_converted_doc, empty_files, folder_scan, raw_file_stream
 
 TARGET_SCHEMA = (
     "files string, ext string, raw_text string, status string, error string, "
@@ -24,6 +28,8 @@ TARGET_SCHEMA = (
 # what tells two deliveries of the same file apart
 VERSION = ["modificationTime", "path"]
 
+Transform = Callable[[DataFrame], DataFrame]
+
 
 def write_batch(outcomes: DataFrame, batch_id: int, target: str) -> None:
     (
@@ -39,11 +45,11 @@ def ingest_available(
     new_files: DataFrame,
     target: str,
     checkpoint: str,
-    exts: Iterable[str] = SUPPORTED,
-    transform: Callable[[DataFrame], DataFrame] | None = None,
+    exts: Iterable[str] | None = SUPPORTED,
+    transform: Transform | None = None,
 ) -> None:
     """Process everything the stream has now, then stop."""
-    exts = list(exts)
+    exts = None if exts is None else list(exts)
     transform = transform or (lambda raw: extract_in_one_pass(raw, exts, VERSION))
     query = (
         new_files.writeStream.foreachBatch(
@@ -56,7 +62,61 @@ def ingest_available(
     query.awaitTermination()
 
 
+def pages_transform(page_reader: PageReader, sep: str = "") -> Transform:
+    """Outcomes of files that are read page by page, such as pdf.
+
+    Files are told apart by path, since two days may bring the same name in one batch.
+    """
+
+    def transform(raw: DataFrame) -> DataFrame:
+        by_path = raw.withColumn("files", F.col("path"))
+        done = page_outcomes(clean_pages(read_pages(by_path, page_reader)), sep=sep).withColumnRenamed("files", "path")
+        return done.join(raw.select("path", "modificationTime"), "path").withColumn("files", basename(F.col("path")))
+
+    return transform
+
+
+def ingest_folder(
+    spark: SparkSession,
+    folder: str,
+    target: str,
+    checkpoint: str,
+    exts: Iterable[str] | None = None,
+    page_reader: PageReader | None = None,
+    converted_doc: bool = False,
+) -> None:
+    """New files of a folder, or of a glob of daily folders, with a row for each as in a batch run.
+
+    Without ``exts`` every file counts, those without a reader as ``unsupported``. With a page
+    reader the files are pdf, and with ``converted_doc`` they are the text of Word files. Files of zero length,
+    which streams do not see, are added from a listing, once per path.
+    """
+    if page_reader is not None:
+        exts, transform = ["pdf"], pages_transform(page_reader)
+    elif converted_doc:
+        exts, transform = ["csv"], lambda raw: extract_in_one_pass(as_converted_doc(raw), ["doc"], VERSION)
+    else:
+        exts = None if exts is None else list(exts)
+        transform = lambda raw: extract_in_one_pass(raw, exts, VERSION)
+    ingest_available(raw_file_stream(spark, folder, exts), target, checkpoint, transform=transform)
+    empty = empty_files(folder_scan(spark, folder, exts))
+    if not empty.head(1):
+        return
+    first = 0
+    if folder_exists(spark, target):
+        seen = spark.read.schema(TARGET_SCHEMA).parquet(target).select("path", "batch_id")
+        empty = empty.join(seen, "path", "left_anti")
+        first = seen.agg(F.min("batch_id")).first()[0] or 0
+        if not empty.head(1):
+            return
+    # numbers below zero are never a stream's
+    write_batch(transform(empty), min(first, 0) - 1, target)
+
+
 def read_target(spark: SparkSession, target: str) -> DataFrame:
-    """The newest outcome of every file over all batches."""
+    """The newest outcome of every file over all batches.
+
+    Only names and versions of all history are reduced; text is read for the rows that won.
+    """
     rows = spark.read.schema(TARGET_SCHEMA).parquet(target)
     return latest_per_file(rows, "modificationTime", "batch_id", "path").drop("batch_id", *VERSION)

@@ -1,6 +1,7 @@
 """Extraction of hand-made files; the expected answers are worked out by hand."""
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docpipe.operators.extract import job
@@ -95,6 +96,7 @@ def test_one_pass_gives_the_same_rows(raw):
         return sorted((tuple(r) for r in df.collect()), key=repr)
 
     assert ordered(job.extract_in_one_pass(raw)) == ordered(job.extract(raw))
+    assert ordered(job.extract_in_one_pass(raw, None)) == ordered(job.extract_everything(raw))
     assert ordered(job.extract_in_one_pass(raw, ["doc"])) == ordered(job.extract(raw, ["doc"]))
     plan = job.extract_in_one_pass(raw)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("MapInArrow") == 1 and "Union" not in plan
@@ -126,12 +128,12 @@ def test_unknown_format_is_refused(raw):
 
 def test_own_reader(raw):
     readers = {**job.READERS, "gz": lambda content: ["Zipped!"]}
-    assert job.extract(raw, ["gz"], readers).first().raw_text == "zipped"
+    assert job.extract(raw, ["gz"], readers, sep="+").first().raw_text == "Zipped!"
+    readers["gz"] = job.Format(lambda content: ["Zip", "ped!"], lambda parts, sep: F.lower(F.array_join(parts, sep)))
+    assert job.extract(raw, ["gz"], readers, sep="-").first().raw_text == "zip-ped!"
 
 
 def test_columns_can_be_carried(raw):
-    from pyspark.sql import functions as F
-
     rows = job.extract(raw.withColumn("n", F.length("content")), carry=["n"]).collect()
     assert all(r.n == len(CASES[r.files][0]) for r in rows)
     assert len(rows) == len(CASES)

@@ -9,14 +9,14 @@ from pyspark.sql import Row
 from docpipe import session
 from docpipe.operators import manifest as m
 from docpipe.operators.extract.job import extract_from
-from docpipe.plans.run import Folders, extract_folder, run_format
+from docpipe.plans.run import Folders, extract_folder, run_daily, run_format
 from docpipe.sinks import files as sink
 from docpipe.sinks import log, tables
 from docpipe.sources import files as source
 from docpipe.sources import manifests
 from docpipe.sources.mapping import read_mapping
 from docpipe.sources.snapshots import read_outcomes, read_snapshot, rows_of_map
-from docpipe.streaming.ingest import ingest_available, read_target
+from docpipe.streaming.ingest import ingest_available, ingest_folder, read_target
 from tests.helpers import docx, eml, run
 
 DAY = dt.date(2019, 5, 8)
@@ -64,13 +64,27 @@ def test_file_above_the_size_limit_is_an_error_row(spark, tmp_path):
         outcomes = extract_from(lambda exts: source.raw_files(spark, folder, exts))
         assert rows(outcomes.select("files", "raw_text", "status", "error")) == [
             ("a.rtf", "fits", "ok", None),
-            ("b.rtf", None, "error", "content not read"),
-            ("c.doc", None, "error", "content not read"),
+            ("b.rtf", None, "error", "content not read: 508 bytes are above the limit of 100"),
+            ("c.doc", None, "error", "content not read: 500 bytes are above the limit of 100"),
         ]
     finally:
         spark.conf.unset("spark.sql.sources.binaryFile.maxLength")
 
 
+def test_files_that_arrive_late_are_never_taken_for_empty(spark, tmp_path):
+    folder = fill(tmp_path / "raw", a__docx=b"x", b__docx=b"")
+    found = source.raw_files(spark, folder, ["docx"])
+    fill(tmp_path / "raw", late__docx=b"sixteen bytes ok")
+    assert rows(found.select("files", "length")) == [("a.docx", 1), ("b.docx", 0)]
+    assert rows(source.raw_files(spark, folder, ["docx"]).select("files", "length"))[-1] == ("late.docx", 16)
+
+
+def test_folder_is_listed_without_a_join(spark, tmp_path):
+    folder = fill(tmp_path / "raw", a__docx=b"x", b__docx=b"", c__doc=b"y")
+    plan = extract_from(lambda exts: source.raw_files(spark, folder, exts))._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Exchange" not in plan
+
+
 def test_folder_without_a_match(spark, tmp_path):
     folder = fill(tmp_path / "raw", a__eml=b"x")
     assert source.raw_files(spark, folder, ["docx"]).count() == 0
@@ -112,6 +126,29 @@ def test_mapping_names_come_from_the_first_two_fields(spark, tmp_path):
     assert read_mapping(spark, str(path)).columns == ["files", "claim"]
 
 
+@pytest.mark.parametrize("block", ["128MB", "1000"])
+def test_one_header_line_per_file_whatever_the_blocks(spark, tmp_path, block):
+    body = [f"f{i},claim {i}" for i in range(200)]
+    lines = ["files,meta", *body, "files,meta", *body, "files,meta", "x"]
+    (tmp_path / "m").mkdir()
+    (tmp_path / "m" / "a.csv").write_text("\n".join(lines))
+    (tmp_path / "m" / "b.csv").write_text("files,meta\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", block)
+    try:
+        got = read_mapping(spark, str(tmp_path / "m"))
+        assert got.count() == 403 and got.where("files = 'files'").count() == 2
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_mapping_files_with_different_headers_are_refused(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("files,meta\na,1\n")
+    (tmp_path / "b.csv").write_text("files,claim\nb,2\nc,3\n")
+    with pytest.raises(ValueError, match="different headers"):
+        read_mapping(spark, str(tmp_path))
+
+
 def test_bad_mapping_files(spark, tmp_path):
     (tmp_path / "empty.csv").write_text("")
     (tmp_path / "one.csv").write_text("files\na\n")
@@ -145,7 +182,8 @@ def manifest_root(tmp_path):
 
 
 def test_manifest_of_the_day_before(spark, manifest_root):
-    df = manifests.read_manifest(spark, manifest_root, DAY)
+    df, rejects = manifests.read_manifest(spark, manifest_root, DAY)
+    assert rejects.count() == 0
     assert rows(df.select("Object_name", "manifest_date")) == [
         ("price € – list", dt.date(2019, 5, 7)),
         ("second", dt.date(2019, 5, 7)),
@@ -157,14 +195,37 @@ def test_manifest_of_the_day_before(spark, manifest_root):
 
 
 def test_backlog(spark, manifest_root):
-    names = lambda df: [r[0] for r in rows(df.select("claim_id"))]
+    names = lambda found: [r[0] for r in rows(found.rows.select("claim_id"))]
     assert names(manifests.read_backlog(spark, manifest_root)) == ["1", "2", "3", "4"]
     assert names(manifests.read_backlog(spark, manifest_root, DAY, 5)) == ["1", "2", "3"]
     assert names(manifests.read_backlog(spark, manifest_root, DAY, 1)) == ["2", "3"]
-    days = manifests.read_backlog(spark, manifest_root).select("manifest_date").distinct()
+    days = manifests.read_backlog(spark, manifest_root).rows.select("manifest_date").distinct()
     assert [r[0] for r in rows(days)] == [dt.date(2019, 4, 1), dt.date(2019, 5, 6), dt.date(2019, 5, 7)]
 
 
+def test_columns_are_found_by_name_and_rejects_come_back(spark, tmp_path):
+    write_manifest(tmp_path, "20190506", "a,,2019-05-01,seg,New,1,9")
+    folder = tmp_path / "20190507" / "Metadata"
+    folder.mkdir(parents=True)
+    header = "claim_id,more,cedent_id,new/changed,Business_segment,Document_date,Prior_Version_Object_Name,Object_name,object_id"
+    (folder / "x.csv").write_bytes("\r\n".join([
+        header, '77,"x, ""y""\r\nz",9,Changed,"two\nlines",2019-05-02 10:00:00,"",b €,o7', "78,m,9,New,seg,not a date,,c,o8", "79,m,9,New", '80,"m,9,New,seg,,,d,o9',
+    ]).encode("cp1252"))
+    (folder / "short.csv").write_bytes(b"Object_name,claim_id\na,1\n")
+    found = manifests.read_backlog(spark, str(tmp_path), extra=["object_id"])
+    got = {r.Object_name: r for r in found.rows.collect()}
+    assert set(got) == {"a", "b €"} and got["a"].object_id is None
+    b = got["b €"]
+    assert (b.claim_id, b.cedent_id, b["new/changed"], b.Business_segment, b.Prior_Version_Object_Name, b.object_id) == (
+        "77", "9", "Changed", "two\nlines", "", "o7"
+    )
+    assert b.Document_date == dt.datetime(2019, 5, 2, 10) and b.manifest_date == dt.date(2019, 5, 7)
+    rejects = {(r.path.rpartition("/")[2], r.line): r.reason for r in found.rejects.collect()}
+    assert rejects[("x.csv", 3)].startswith("Document_date is no time") and rejects[("x.csv", 4)] == "4 cells, not 9"
+    assert rejects[("x.csv", 5)] == "quotes do not match" and "no column Prior_Version" in rejects[("short.csv", None)]
+    assert len(rejects) == 4
+
+
 def test_backlog_needs_a_date(spark, manifest_root):
     with pytest.raises(ValueError):
         manifests.read_backlog(spark, manifest_root, days=3)
@@ -183,7 +244,7 @@ def test_backlog_dates(spark):  # F22
 
 def test_processed_log(spark, manifest_root, tmp_path):
     path = str(tmp_path / "log")
-    everything = manifests.read_backlog(spark, manifest_root)
+    everything = manifests.read_backlog(spark, manifest_root).rows
     log.mark_processed(everything.where("manifest_date < '2019-05-07'"), path)
     left = m.unprocessed(everything, log.read_log(spark, path))
     assert rows(left.select("claim_id")) == [("2",), ("3",)]
@@ -199,12 +260,22 @@ def test_processed_log(spark, manifest_root, tmp_path):
 def test_csv_keeps_cells(spark, tmp_path):  # F20
     cells = ['say "hi", you', "a\nb", "a\r\nb", "  blanks  ", "tab\t", "\\", 'end\\"', "", None, "=1"]
     df = spark.createDataFrame([(i, c) for i, c in enumerate(cells)], "i int, cell string")
-    path = sink.write_csv(df, str(tmp_path), "MergedDataFrame", "docx", DAY)
+    path, n = sink.write_csv(df, str(tmp_path), "MergedDataFrame", "docx", DAY)
+    assert n == len(cells)
     assert path.endswith("/Docx_MergedDataFrame_2019_05_08.csv")
     back = [r.cell for r in sink.read_csv(spark, path, df.schema).orderBy("i").collect()]
     assert back == [c or None for c in cells]
 
 
+def test_csv_parts_are_bounded_by_bytes(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sink, "CSV_BYTES_PER_PART", 100_000)
+    df = spark.range(400).selectExpr("id", "repeat('x', 5000) AS cell").coalesce(1)
+    path, n = sink.write_csv(df, str(tmp_path), "MergedDataFrame", "docx", DAY)
+    sizes = [f.stat().st_size for f in (tmp_path / path.rpartition("/")[2]).glob("part-*")]
+    assert n == 400 and len(sizes) > 15 and max(sizes) < 300_000
+    assert sink.read_csv(spark, path, df.schema).count() == 400
+
+
 def test_snapshot_replaces_only_its_own_part(spark, tmp_path):
     path = str(tmp_path / "snap")
     schema = "files string, ext string, raw_text string, status string, error string"
@@ -245,6 +316,8 @@ def test_table_is_loaded_by_name(spark, database):
     tables.overwrite_table(df, table)
     assert rows(spark.table(table)) == [("1", "7", "f", "doc", "t")]
     tables.create_table(spark, table)
+    assert tables.overwrite_table(df.union(df), table) == 2
+    assert tables.overwrite_table(df, table) == 1
     assert tables.run_sql(spark, "SELECT count(*) AS n", f"FROM {table}").first().n == 1
     with pytest.raises(ValueError, match="needs columns"):
         tables.overwrite_table(df.drop("filename"), table)
@@ -280,6 +353,48 @@ def test_docx_run(spark, tmp_path, database):
     assert (counts.n_files, counts.n_ok, counts.n_error) == (4, 2, 2)
 
 
+def test_empty_text_stays_empty_in_the_table(spark, tmp_path, database):
+    raw = fill(tmp_path / "raw", a__csv=b"HEADER", b__csv=b"HEADERx")
+    (tmp_path / "m.csv").write_text("files,claim\na.doc,7\nb.doc,8\n")
+    folders = Folders(raw, str(tmp_path / "snap"), str(tmp_path / "err"))
+    table = run_format(spark, "doc", folders, str(tmp_path / "m.csv"), str(tmp_path / "csv"), f"{database}.doc", DAY)
+    assert rows(table.select("filename", "extracted_text")) == [("a.doc", ""), ("b.doc", "x")]
+
+
+def test_daily_runs(spark, tmp_path, database):
+    def day(stamp, *lines):
+        folder = tmp_path / "in" / stamp / "Metadata"
+        folder.mkdir(parents=True)
+        header = "object_id,Object_name,Prior_Version_Object_Name,Document_date,Business_segment,new/changed,claim_id,cedent_id"
+        (folder / f"{stamp}.csv").write_bytes("\n".join([header, *lines]).encode("cp1252"))
+
+    day("20190505", "o1,a,,2019-05-01,s,New,1,9", "broken")
+    day("20190506", "o2,a,,2019-05-02,s,Changed,2,9")
+    day("20190507", "o3,b,,2019-05-03,s,New,3,9")
+    raw = fill(tmp_path / "raw", a__rtf=b"{\\rtf1 A}", b__rtf=b"{\\rtf1 B}", c__rtf=b"")
+    folders = Folders(raw, str(tmp_path / "snap"), str(tmp_path / "err"))
+
+    def go(run_date, days):
+        report = run_daily(
+            spark, "rtf", folders, str(tmp_path / "in"), str(tmp_path / "log"), str(tmp_path / "csv"), f"{database}.t", run_date, days
+        )
+        return report and {r.stage: r.n for r in report.collect()}
+
+    table = lambda: rows(spark.table(f"{database}.t").select("object_id", "claim_id", "filename", "extracted_text"))
+    first = go(DAY, 3)
+    assert table() == [("o2", "2", "a.rtf", "a"), ("o3", "3", "b.rtf", "b")]
+    assert first == {
+        "source_total": 3, "daily_files": 1, "extracted": 2, "csv_rows": 2, "table_rows": 2, "cluster_rows": 2,
+        "source_less_daily": 2, "extracted_and_errors": 3,
+    }
+    rejects = spark.read.csv(str(tmp_path / "err" / "ErrorFileManifest_2019_05_08.csv"), header=True)
+    assert [r.record for r in rejects.collect()] == ["broken"]
+    assert go(DAY, 3) is None and log.last_processed(spark, str(tmp_path / "log")) == dt.date(2019, 5, 7)
+    day("20190508", "o4,b,,2019-05-04,s,Changed,4,9")
+    assert go(DAY + dt.timedelta(days=1), 2)["daily_files"] == 1
+    assert table() == [(None, None, "a.rtf", "a"), ("o4", "4", "b.rtf", "b")] or table()[0][0] == "o4"
+
+
 def test_repeated_run_forgets_files_that_are_gone(spark, tmp_path):
     raw = fill(tmp_path / "raw", a__rtf=b"{\\rtf1 a}", b__eml=b"x")
     folders = Folders(raw, str(tmp_path / "snap"), str(tmp_path / "err"))
@@ -362,6 +477,43 @@ def test_newer_delivery_wins(spark, tmp_path):
     assert rows(read_target(spark, target).select("files", "raw_text")) == [("a.txt", "new")]
 
 
+def test_stream_has_the_rows_of_a_batch(spark, tmp_path):
+    import os
+
+    folder = tmp_path / "raw"
+    target, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
+    fill(folder, a__txt=b"HEADERold", e__docx=b"", x__zip=b"x", big__txt=b"y" * 500)
+    os.utime(folder / "a.txt", (0, 0))
+    spark.conf.set("spark.sql.sources.binaryFile.maxLength", "100")
+    try:
+        ingest_folder(spark, str(folder), target, checkpoint)
+        fill(folder, f__docx=b"", b__txt=b"HEADERnew")
+        os.utime(folder / "b.txt", (0, 0))  # far older than the newest file
+        for _ in range(2):
+            ingest_folder(spark, str(folder), target, checkpoint)
+    finally:
+        spark.conf.unset("spark.sql.sources.binaryFile.maxLength")
+    assert rows(read_target(spark, target).select("files", "raw_text", "status", "error")) == [
+        ("a.txt", "old", "ok", None), ("b.txt", "new", "ok", None),
+        ("big.txt", None, "error", "content not read: 500 bytes are above the limit of 100"),
+        ("e.docx", None, "error", "is empty"), ("f.docx", None, "error", "is empty"), ("x.zip", None, "unsupported", None),
+    ]
+    assert spark.read.parquet(target).count() == 6
+
+
+def test_stream_of_pages_and_of_converted_files(spark, tmp_path):
+    def reader(content):
+        return [(i, page.decode(), None) for i, page in enumerate(content.split(b"\f"))]
+
+    fill(tmp_path / "raw" / "d1", a__pdf=b"One\fTwo", c__csv=b"HEADERText")
+    fill(tmp_path / "raw" / "d2", a__pdf=b"", c__csv=b"")
+    out = lambda name: str(tmp_path / name)
+    ingest_folder(spark, f"{tmp_path}/raw/*", out("pdf"), out("pdf-checkpoint"), page_reader=reader)
+    ingest_folder(spark, f"{tmp_path}/raw/*", out("doc"), out("doc-checkpoint"), converted_doc=True)
+    assert rows(spark.read.parquet(out("pdf")).select("files", "raw_text", "status")) == [("a.pdf", "", "ok"), ("a.pdf", "onetwo", "ok")]
+    assert rows(spark.read.parquet(out("doc")).select("files", "raw_text")) == [("c.doc", ""), ("c.doc", "text")]
+
+
 def test_repeated_batch_replaces_itself(spark, tmp_path):
     from docpipe.streaming.ingest import write_batch
 
@@ -382,6 +534,16 @@ def test_shared_folder_comes_from_the_session(spark):
     assert path != session.scratch_path(spark, "x")
 
 
+def test_work_files_and_databases_go_with_one_call(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "run_name", lambda _: "docpipe_test_clear")
+    path = session.scratch_path(spark, "x")
+    spark.range(3).write.parquet(path)
+    tables.create_database(spark, "docpipe_test_clear_db", session.scratch_path(spark, "db"))
+    session.clear_scratch(spark)
+    assert not session.folder_exists(spark, path)
+    assert "docpipe_test_clear_db" not in [d.name for d in spark.catalog.listDatabases()]
+
+
 def test_set_values_stay(spark):
     before = spark.conf.get("spark.sql.adaptive.forceOptimizeSkewedJoin")
     spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "false")

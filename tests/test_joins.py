@@ -61,9 +61,11 @@ def test_left_join(texts, mapping, mapping_rows):
     assert rows(left_join_heavy_right(texts, mapping, "files")) == sorted(expected, key=repr)
 
 
-def test_left_join_keeps_null_keys(spark, mapping):
-    left = spark.createDataFrame([(None, "n")], "files string, raw_text string")
-    assert rows(left_join_heavy_right(left, mapping, "files")) == [(None, "n", None)]
+def test_left_join_keeps_null_and_empty_keys(spark, mapping):
+    left = spark.createDataFrame([(None, "n"), (None, "n"), ("", "e")], "files string, raw_text string")
+    assert rows(left_join_heavy_right(left, mapping, "files")) == [("", "e", None), (None, "n", None), (None, "n", None)]
+    right = spark.createDataFrame([("", "m")], "files string, meta string")
+    assert rows(left_join_heavy_right(left, right, "files")) == [("", "e", "m"), (None, "n", None), (None, "n", None)]
 
 
 def test_comparison(spark):
@@ -96,7 +98,8 @@ def test_latest_of_a_hot_file_is_reduced_before_the_shuffle(spark):
         best[key] = i
     assert got == best
     plan = latest._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("partial_max_by") >= 1
+    reduced = [line for line in plan.splitlines() if "Aggregate" in line]
+    assert any("partial_max" in line for line in reduced) and not any("raw_text" in line for line in reduced)
 
 
 def test_pinned_is_the_identity(mapping):
@@ -182,9 +185,19 @@ def test_hot_manifest_name_is_split(spark, splitting):
     assert joined.where(F.col("Object_name") == "hot").count() == 6667
 
 
-def test_left_side_is_shuffled_once(spark, splitting):
-    joined = m.attach_keys(hot_texts(spark, "Object_name"), hot_manifest(spark))
-    assert "ReusedExchange" in final_plan(joined)
+def test_text_is_scanned_and_shuffled_once(spark, splitting, tmp_path):
+    hot_texts(spark, "Object_name").write.parquet(str(tmp_path / "texts"))
+    texts = spark.read.parquet(str(tmp_path / "texts"))
+    plan = m.attach_keys(texts, hot_manifest(spark))._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "FileScan" in line and "raw_text:string" in line]
+    assert len(scans) == 1 and plan.count("upper(") <= 1
+
+
+def test_filters_on_keys_reach_the_scan_of_pinned_texts(spark, tmp_path):
+    spark.createDataFrame([("a", "x")], "files string, text string").write.parquet(str(tmp_path / "t"))
+    texts = spark.read.parquet(str(tmp_path / "t")).select("files", F.upper("text").alias("raw_text"))
+    plan = pinned(texts).where("files = 'a'")._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(files,a)" in plan
 
 
 def test_hot_prior_name_is_split(spark, splitting):

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from docpipe import session
 from docpipe.operators import manifest as m
 from docpipe.operators.outcomes import count_outcomes, error_listing
-from docpipe.operators.report import reconcile, reconcile_outcomes
-from docpipe.sources.files import spread
+from docpipe.operators.report import reconcile_outcomes
+from docpipe.plans.stand_in import spread
 
 OUTCOME = "files string, ext string, raw_text string, status string, error string"
 
@@ -43,23 +43,15 @@ def test_errors_include_partly_failed_files(outcomes):
     assert rows(error_listing(twice)) == [("b.docx", "is empty"), ("e.pdf", "1 of 2 pages failed")]
 
 
-def test_reconcile(spark):
-    counts = {"source_total": spark.range(10), "extracted": spark.range(7), "table_rows": spark.range(8)}
-    assert rows(reconcile(counts)) == [
-        (0, "source_total", 10, None),
-        (1, "extracted", 7, -3),
-        (2, "table_rows", 8, 1),
-    ]
-
-
 def test_reconcile_outcomes(spark, outcomes):
-    report = reconcile_outcomes(outcomes, F.col("ext") == "docx", spark.range(2), spark.range(1))
+    report = reconcile_outcomes(outcomes, F.col("ext") == "docx", {"csv_rows": 2, "table_rows": 1, "cluster_rows": 1})
     assert {r.stage: (r.n, r.change) for r in report.collect()} == {
         "source_total": (5, None),
         "daily_files": (2, -3),
         "extracted": (2, 0),
         "csv_rows": (2, 0),
         "table_rows": (1, -1),
+        "cluster_rows": (1, 0),
         "source_less_daily": (3, 2),
         "extracted_and_errors": (3, 0),
     }
@@ -67,7 +59,7 @@ def test_reconcile_outcomes(spark, outcomes):
 
 def test_report_of_nothing(spark, outcomes):
     none = outcomes.where("1 = 0")
-    report = reconcile_outcomes(none, F.col("ext") == "docx", none, none)
+    report = reconcile_outcomes(none, F.col("ext") == "docx", {"csv_rows": 0})
     assert {r.n for r in report.collect()} == {0}
 
 

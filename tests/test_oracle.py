@@ -25,7 +25,7 @@ def rows_by_name(columns, rows):
     return sorted((tuple(row[i] for i in order) for row in rows), key=repr)
 
 
-KINDS = {"VARCHAR": "string", "BIGINT": "bigint", "INTEGER": "int", "BOOLEAN": "boolean", "DOUBLE": "double"}
+KINDS = {"VARCHAR": "string", "BIGINT": "bigint", "INTEGER": "int", "BOOLEAN": "boolean", "DOUBLE": "double", "DATE": "date", "TIMESTAMP": "timestamp"}
 
 
 @pytest.mark.parametrize("name", sorted(queries()))

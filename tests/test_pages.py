@@ -78,6 +78,16 @@ def test_reader_without_pages(spark):
 
 
 def test_route(spark):
-    texts = spark.createDataFrame([("a", ""), ("b", "  "), ("c", "x")], "files string, raw_text string")
+    texts = spark.createDataFrame(
+        [("a", "", "ok"), ("b", " \t\r\n", "ok"), ("c", "x", "ok"), ("d", None, "ok"), ("e", None, "error"), ("f", None, "skipped")],
+        "files string, raw_text string, status string",
+    )
     routes = {r.files: r.route for r in pg.route_empty_text(texts).collect()}
-    assert routes == {"a": "needs_ocr", "b": "needs_ocr", "c": "text"}
+    assert routes == {"a": "needs_ocr", "b": "needs_ocr", "c": "text", "d": "needs_ocr", "e": "error", "f": "skipped"}
+    assert pg.route_empty_text(texts.drop("status")).where("route = 'text'").count() == 1
+
+
+def test_a_page_that_is_no_text_is_an_error_of_that_page(spark):
+    raw = spark.createDataFrame([("a.pdf", b"x")], "files string, content binary")
+    pages = pg.read_pages(raw, lambda _: [(0, "fine", None), (1, "lone \ud800", None), (2, "too", None)]).collect()
+    assert [(p.page_no, p.page_text, p.page_error is None) for p in pages] == [(0, "fine", True), (1, None, False), (2, "too", True)]

@@ -4,7 +4,8 @@ The search walks over the text once. For each position it keeps a back pointer t
 last piece of the best path to it begins. A piece is at most ``max_len`` characters long, so
 only the back pointers of the last ``max_len`` positions can still be part of a path that goes
 on. Whenever the paths of all of these run through one boundary, the ids before it are final:
-they are given out, and the window moves there. Memory is bounded by the window, not the text.
+they are given out, and the window moves there. Memory is bounded by the window and the stretch over which
+paths stay apart (in practice a word), not by the text.
 
 Two kinds of vocabulary share the search and differ in what makes a path good:
 

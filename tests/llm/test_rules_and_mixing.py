@@ -1,0 +1,105 @@
+"""The rule ledger and the mix on small cases; whole tables are compared with SQL elsewhere."""
+
+import math
+from collections import Counter, defaultdict
+
+import pytest
+
+from docpipe.llm import mixing, quality_rules
+
+
+def brute_repeats(words):
+    windows = [tuple(words[i:i + 3]) for i in range(len(words) - 2)]
+    often = Counter(windows)
+    return len({i + j for i, w in enumerate(windows) if often[w] > 1 for j in range(3)})
+
+
+@pytest.mark.parametrize("text", ["", "a", "a b c", "a b c a b c", "a a a a", "a b c d a b c e b c a b c", "x " * 50, "a b a b a b"])
+def test_repeated_words(text):
+    words = text.encode().split()
+    assert quality_rules.repeated_words(words) == brute_repeats(words)
+
+
+def test_measures_use_the_six_blanks_only():
+    m = dict(zip(quality_rules.MEASURES, quality_rules.measure("a b\x1cc d\x0be\n\n# #\né\nd\n # #\n# #")))
+    assert (m["n_words"], m["word_chars"], m["n_symbols"], m["n_dup_lines"], m["n_lines"]) == (11, 15, 6, 1, 6)
+
+
+def ledger_rows(spark):
+    clean = " ".join(f"word{chr(97 + i % 26)}{i}" for i in range(80))
+    return spark.createDataFrame(
+        [(1, clean, 5), (1, clean, 5), (2, None, 1), (None, "", 2), (3, clean.upper(), 3), (4, " ".join(f"{w}$$$" for w in clean.split()), 4)],
+        "doc_id long, text string, fail_bits int",
+    )
+
+
+def test_ledger_policies_and_ablations(spark):
+    docs = ledger_rows(spark)
+    entries = quality_rules.ledger(docs)
+    kept = quality_rules.apply_policy(entries).where("kept").select("row.doc_id").collect()
+    assert [r.doc_id for r in kept] == [1, 1]
+    base = quality_rules.apply_policy(entries, quality_rules.POLICIES["base"])
+    assert sorted(r.doc_id for r in base.where("kept").select("row.doc_id").collect()) == [1, 1, 3, 4]
+    table = {r.rule: (r.n_fails, r.n_only_this_rule) for r in quality_rules.ablations(entries).collect()}
+    assert table["few_words"] == (2, 2) and table["capitals"] == (1, 1) and table["symbols"] == (1, 1)
+    out = quality_rules.accepted(docs)
+    assert out.columns == docs.columns and out.count() == 2
+    assert quality_rules.accepted(docs.limit(0)).count() == 0
+
+
+def brute_targets(sizes):
+    names = sorted((s for s in sizes if s is not None), key=lambda s: s.encode()) + [None] * (None in sizes)
+    weight = {s: mixing.WEIGHTS[i % 3] for i, s in enumerate(names)}
+    capped = {}
+    while True:
+        rest = sum(sizes.values()) - sum(capped.values())
+        free = [s for s in names if s not in capped]
+        share = {s: rest * weight[s] / sum(weight[f] for f in free) for s in free}
+        over = [s for s in free if share[s] > 3 * sizes[s]]
+        if not over:
+            return capped | share
+        capped |= {s: 3 * sizes[s] for s in over}
+
+
+def test_targets_and_taken_words(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "ROWS_PER_BUCKET", 7)
+    rows = [(i, ["b", "ä", None, "a", "z", "tiny"][i % 6 if i % 50 else 5], "w " * (1 + i % 9)) for i in range(600) if i % 6 != 5 or i % 90 == 5]
+    rows += [(7, "a", "w " * 5)] * 3 + [(1000, "b", None), (None, "b", "x y"), (1001, "empty", "")]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    out = mixing.mixed(mixing.sized(docs)).collect()
+    assert len(out) == len(rows)
+    sizes = defaultdict(int)
+    for _, source, text in rows:
+        sizes[source] += len((text or "").split())
+    targets = brute_targets(sizes)
+    taken = defaultdict(int)
+    for r in out:
+        source = r.row.source
+        assert r.source_size == sizes[source] and math.isclose(r.target, targets[source], abs_tol=1e-6)
+        assert r.taken <= 3 * r.size and r.taken == r.copies * r.size and len(r.due) == r.copies
+        assert all(0 <= t <= 1 for t in r.due) and r.due == sorted(r.due)
+        taken[source] += r.taken
+    assert all(abs(taken[s] - targets[s]) <= 9 for s in sizes)
+    again = mixing.mixed(mixing.sized(docs.repartition(3))).collect()
+    assert sorted(map(str, out)) == sorted(map(str, again))
+
+
+def test_demand_is_the_integral_of_the_schedule(spark):
+    from pyspark.sql import functions as F
+
+    rows = spark.range(21).select(F.explode(F.sequence(F.lit(0), F.lit(2))).alias("place"), (F.col("id") / 20).alias("q"))
+    for r in rows.select("place", "q", mixing.due(F.col("q"), F.col("place")).alias("t")).collect():
+        a, b = mixing.SCHEDULES[r.place]
+        steps = 20_000
+        integral = sum(a + (b - a) * (i + 0.5) / steps for i in range(round(r.t * steps))) / steps / ((a + b) / 2)
+        assert abs(integral - r.q) < 1e-3
+
+
+def test_curriculum_repeats_documents_in_order_of_time(spark):
+    rows = [(i, "s" if i < 90 else "t", "w " * 10, "c") for i in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string, due string")
+    out = mixing.curriculum(docs)
+    assert out.columns == docs.columns
+    counts = Counter(r.doc_id for r in out.collect())
+    assert all(counts[i] == 3 for i in range(90, 100)) and abs(sum(counts.values()) - 100) <= 1
+    assert mixing.curriculum(docs.limit(0)).count() == 0

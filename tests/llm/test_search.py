@@ -49,7 +49,7 @@ def test_bound_order_stops_early_and_exactly():
 
     class Counted(np.ndarray):
         def __getitem__(self, at):
-            if isinstance(at, np.ndarray):
+            if self.ndim == 2 and isinstance(at, np.ndarray):
                 read.append(len(at))
             return super().__getitem__(at)
 

@@ -49,9 +49,27 @@ PREFORMATTED = {"pre", "textarea"}
 ASCII_SPACE = " \t\n\r\x0b\x0c"
 
 
+NUMBER = r"&#([0-9]{1,7}|[xX][0-9A-Fa-f]{1,6});"
+
+
+def numeric_references(text: Column) -> Column:
+    """``&#8364;`` and ``&#x20ac;`` to their characters; numbers that are no character to U+FFFD."""
+
+    def char(number: Column) -> Column:
+        hexadecimal = F.lower(F.left(number, F.lit(1))) == "x"
+        code = F.when(hexadecimal, F.conv(F.substr(number, F.lit(2)), 16, 10)).otherwise(number).cast("int")
+        known = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+        return F.decode(F.unhex(F.lpad(F.hex(F.when(known, code).otherwise(0xFFFD)), 8, "0")), "UTF-32")
+
+    rest = F.split(text, NUMBER, -1)
+    chars = F.transform(F.regexp_extract_all(text, F.lit(NUMBER), 1), char)
+    joined = F.array_join(F.zip_with(rest, chars, lambda a, c: F.concat(a, F.coalesce(c, F.lit("")))), "")
+    return F.when(F.contains(text, F.lit("&#")), joined).otherwise(text)
+
+
 def visible_text(html: Column) -> Column:
     """What a reader sees: no comments, scripts, styles or tags."""
-    text = F.regexp_replace(html, INVISIBLE, " ")
+    text = numeric_references(F.regexp_replace(html, INVISIBLE, " "))
     for reference, char in ENTITIES:
         text = F.replace(text, F.lit(reference), F.lit(char))
     return collapse_whitespace(text)

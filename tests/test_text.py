@@ -145,4 +145,6 @@ def test_string_nodes(page):
 def test_html_columns(spark):
     page = "<html><head><style>p{}</style><script>x < y</script></head><body><!-- no --><p>A&nbsp;&lt;b&gt;</p>c</body>"
     assert apply(spark, [page], html.visible_text) == ["A <b> c"]
+    loud = "<SCRIPT>var x;</Script><STYLE>p{}</STYLE><P>A &#8364;&#x1F600;&#39;&#xD800;b&#99999999; &#;</P>"
+    assert apply(spark, [loud], html.visible_text) == ["A €😀'�b&#99999999; &#;"]
     assert apply(spark, [None, "<p>x</p>"], html.all_nodes) == [None, ["x"]]

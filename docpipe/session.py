@@ -20,8 +20,6 @@ PREFERRED = {
     # document bytes reach Python in batches bounded by size, not by row count
     "spark.sql.execution.arrow.maxBytesPerBatch": str(64 * 1024 * 1024),
     "spark.sql.session.timeZone": "UTC",
-    # daily manifests are windows-1252
-    "spark.sql.legacy.javaCharsets": "true",
 }
 
 

@@ -12,10 +12,9 @@ band meet in a bucket. A pair is linked if the Jaccard similarity of its distinc
 reaches the threshold exactly; classes are the connected components.
 
 A bucket is never expanded into its pairs. Each member is verified against the bucket's hub, the
-member that meets most others over all bands (the common origin of a group of copies). Only
-members that stay outside the hub's class go on, and of these only those that can still reach the
-threshold with some member: shingles that no other text in question has bound the similarity of
-all pairs of a text from above. Every pair that remains is verified.
+member that meets most others over all bands (the common origin of a group of copies). Pairs of
+members in different classes follow only if a bound from their overlaps with the hub lets them reach the
+threshold; every such pair is verified.
 
 Defined cases: rows without a doc_id take no part and have a null class. Rows that share a doc_id
 are one document. Texts with one to four words are one shingle; a text without words is a class of
@@ -244,28 +243,61 @@ def _same_id(known: DataFrame) -> DataFrame:
 
 
 def _rest(to_hub: DataFrame, roots: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
-    """Pairs of a bucket that could be similar, are in different classes, and were not verified."""
+    """Pairs that share a bucket and a hub, are in different classes, and could be similar.
+
+    For a hub h, what two members a and b have in common is at most the smaller of their overlaps
+    with h, plus the shingles outside h that both have. So a pair has one of two forms:
+
+    - the overlaps with h suffice alone. Since one of the two is not similar to h, the other must be smaller
+      than h by a margin; sizes are dealt into narrow cells and only fitting cells meet.
+    - they share shingles outside h. These are counted per pair; shingles that only one class has are left out, and
+      so are members for which all that they share would not be enough.
+
+    A group of copies of one text has neither: its members differ from the hub each in its own way.
+    """
     placed = to_hub.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
-    mixed = placed.where("size > 2").groupBy("band").agg(
-        F.min("root").alias("low"), F.max("root").alias("high"), F.min("n").alias("least")
-    ).where("low <> high").select("band", "least")
-    open_ = written(placed.join(mixed, "band"), "near-open")
-    # a shingle that only one of these texts has can be in no intersection
-    texts = open_.select("id").distinct().join(sets, "id")
-    alone = texts.select("id", F.explode("shingles").alias("shingle")).groupBy("shingle").agg(
-        F.count("*").alias("n_texts"), F.min("id").alias("id")
-    ).where("n_texts = 1").groupBy("id").agg(F.count("*").alias("alone"))
-    bounded = open_.join(alone, "id", "left").withColumn("shared", F.col("n") - F.coalesce("alone", F.lit(0)))
-    # the partner with the fewest shingles allows the largest similarity
-    able = written(bounded.where(
-        _similar(F.col("n"), F.greatest("least", F.col("shared")), F.col("shared"), s)
-    ).select("band", "id", "n", "hub", "root", "shared"), "near-able")
-    a, b = able.alias("a"), able.alias("b")
-    return a.join(
-        b, (F.col("a.band") == F.col("b.band")) & (F.col("a.id") < F.col("b.id")) & (F.col("a.root") != F.col("b.root"))
-        & (F.col("a.id") != F.col("a.hub")) & (F.col("b.id") != F.col("b.hub"))
-        & _similar(F.col("a.n"), F.col("b.n"), F.least("a.shared", "b.shared"), s)
-    ).select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct()
+    mixed = placed.where("size > 2").groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    open_ = placed.join(mixed.where("low <> high").select("band"), "band").select("hub", "id", "n", "root").distinct()
+    own, of_hub = sets.select("id", F.col("shingles").alias("own")), sets.select(F.col("id").alias("hub"), F.col("shingles").alias("base"))
+    hub_roots = roots.select(F.col("id").alias("hub"), F.col("root").alias("hub_root"))
+    members = written(
+        open_.join(own, "id").join(of_hub, "hub").join(hub_roots, "hub", "left").select(
+            "hub", "id", "n", "root", F.size(F.array_intersect("own", "base")).alias("overlap"),
+            F.array_except("own", "base").alias("outside"), (F.col("root") != F.coalesce("hub_root", "hub")).alias("apart"),
+        ), "near-members",
+    )
+    narrow = ["hub", "id", "n", "root", "overlap"]
+    # shingles outside the hub that members of several classes have
+    outside = members.select(*narrow, F.explode("outside").alias("shingle"))
+    several = outside.groupBy("hub", "shingle").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
+    shared = outside.join(several.select("hub", "shingle"), ["hub", "shingle"])
+    # members that no partner of a size found around this hub could reach, even with all they share
+    sizes = members.select("hub", F.col("n").alias("size")).distinct()
+    least = members.select("hub", "n").distinct().join(sizes, "hub").where(
+        (F.col("size") * 100 >= F.col("n") * s.percent) & (F.col("n") * 100 >= F.col("size") * s.percent)
+    ).groupBy("hub", "n").agg(F.min("size").alias("least"))
+    most = shared.groupBy(*narrow).agg(F.count("*").alias("shared")).join(least, ["hub", "n"])
+    able = most.where(_similar(F.col("n"), F.col("least"), F.col("overlap") + F.col("shared"), s)).select("hub", "id")
+    shared = written(shared.join(able, ["hub", "id"]), "near-outside")
+    a, b = shared.alias("a"), shared.alias("b")
+    smaller = F.least("a.overlap", "b.overlap")
+    together = a.join(
+        b, (F.col("a.hub") == F.col("b.hub")) & (F.col("a.shingle") == F.col("b.shingle"))
+        & (F.col("a.id") < F.col("b.id")) & (F.col("a.root") != F.col("b.root"))
+    ).groupBy("a.hub", F.col("a.id").alias("a"), F.col("b.id").alias("b"), F.col("a.n").alias("na"), F.col("b.n").alias("nb"), smaller.alias("overlap")).agg(
+        F.count("*").alias("extra")
+    ).where(_similar(F.col("na"), F.col("nb"), F.col("overlap") + F.col("extra"), s)).select("a", "b")
+    # sizes at which the overlaps with the hub suffice alone
+    cell = lambda n: F.floor(F.log(n) / np.log(1.02)).cast("int")
+    low = F.ceil(F.col("n") * s.percent / 100)
+    high = F.floor(F.col("overlap") * (100 + s.percent) / s.percent - F.col("n"))
+    wanted = members.where("apart").select(*narrow).where(high >= low).withColumn("cell", F.explode(F.sequence(cell(low) - 1, cell(high) + 1)))
+    c, d = wanted.alias("c"), members.select(*narrow, cell(F.col("n")).alias("cell")).alias("d")
+    alone = c.join(
+        d, (F.col("c.hub") == F.col("d.hub")) & (F.col("c.cell") == F.col("d.cell")) & (F.col("c.id") != F.col("d.id"))
+        & (F.col("c.root") != F.col("d.root")) & _similar(F.col("c.n"), F.col("d.n"), F.least("c.overlap", "d.overlap"), s)
+    ).select(F.least("c.id", "d.id").alias("a"), F.greatest("c.id", "d.id").alias("b"))
+    return together.union(alone).distinct()
 
 
 def deduplicated(docs: DataFrame, settings: Settings = Settings(), text: str = "text") -> DataFrame:

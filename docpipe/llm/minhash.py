@@ -203,12 +203,13 @@ def classes(docs: DataFrame, settings: Settings = Settings(), text: str = "text"
         "near-texts",
     )
     members = groups.select(F.explode("s.bands").alias("band"), "id", F.col("s.n").alias("n"))
-    crowds = members.groupBy("band").agg(F.count("*").alias("size")).where("size > 1")
+    # written first, so that the join meets two plain shuffles and a hot bucket can be split
+    crowds = written(members.groupBy("band").agg(F.count("*").alias("size")).where("size > 1"), "near-crowds")
     met = written(members.join(crowds, "band"), "near-buckets")
     met_by = met.groupBy("id").agg(F.sum("size").alias("met"))
     # struct order: most meetings first, then the smallest id
     rank = F.struct("met", (-F.col("id")).alias("neg"), "n")
-    hubs = met.join(met_by, "id").groupBy("band").agg(F.max(rank).alias("hub"))
+    hubs = written(met.join(met_by, "id").groupBy("band").agg(F.max(rank).alias("hub")), "near-centres")
     to_hub = written(
         met.join(hubs, "band").select(
             "band", "size", "id", "n", (-F.col("hub.neg")).alias("hub"), F.col("hub.n").alias("hub_n")
@@ -230,8 +231,10 @@ def classes(docs: DataFrame, settings: Settings = Settings(), text: str = "text"
     more = written(verified(rest, sets, s), "near-links")
     roots = components(_same_id(known).union(links).union(more))
     of_text = groups.join(roots, "id", "left").select("digest", F.coalesce("root", "id").alias("class_id"))
-    found = sketches.join(of_text, "digest", "left")
-    return found.select("doc_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("class_id", "doc_id")).alias("class_id"))
+    found = known.select("doc_id", "digest").join(written(of_text, "near-classes"), "digest").select("doc_id", "class_id")
+    # rows without words or id meet nothing, however many there are
+    alone = sketches.where("doc_id IS NULL OR digest IS NULL").select("doc_id", F.col("doc_id").alias("class_id"))
+    return found.union(alone)
 
 
 def _same_id(known: DataFrame) -> DataFrame:
@@ -256,6 +259,7 @@ def _rest(to_hub: DataFrame, roots: DataFrame, sets: DataFrame, s: Settings) ->
     A group of copies of one text has neither: its members differ from the hub each in its own way.
     """
     placed = to_hub.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    placed = written(placed, "near-placed")
     mixed = placed.where("size > 2").groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high"))
     open_ = placed.join(mixed.where("low <> high").select("band"), "band").select("hub", "id", "n", "root").distinct()
     own, of_hub = sets.select("id", F.col("shingles").alias("own")), sets.select(F.col("id").alias("hub"), F.col("shingles").alias("base"))

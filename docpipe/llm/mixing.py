@@ -22,7 +22,7 @@ WEIGHTS = (1, 2, 3)
 MOST_REPEATS = 3
 # Relative weight of a source at the start and at the end of training, by its place in WEIGHTS.
 SCHEDULES = ((1.5, 0.5), (1.0, 1.0), (0.5, 1.5))
-ROWS_PER_BUCKET = 20_000
+ROWS_PER_BUCKET = 4_000
 HASH_VALUES = 1 << 16
 
 

@@ -18,6 +18,13 @@ def brute_repeats(words):
 def test_repeated_words(text):
     words = text.encode().split()
     assert quality_rules.repeated_words(words) == brute_repeats(words)
+    if len(words) > 2:
+        assert quality_rules._repeated_words_of_long_text(words) == brute_repeats(words)
+
+
+def test_repeated_words_of_a_very_long_text():
+    words = [b"%d" % (i * i % 9973) for i in range(60_000)]
+    assert quality_rules.repeated_words(words) == brute_repeats(words)
 
 
 def test_measures_use_the_six_blanks_only():

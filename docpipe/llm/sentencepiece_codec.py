@@ -16,7 +16,7 @@ Two kinds of vocabulary share the search and differ in what makes a path good:
 
 Where no piece of the vocabulary can cross a boundary (a space after something else, or a
 character outside the vocabulary), all paths meet. The job uses that: stretches between such
-boundaries are searched once per worker and remembered, in a table of bounded size.
+boundaries are searched once per task and remembered, in a table of bounded size.
 
 Null text counts as empty and has no ids. Rows are never merged. A literal U+2581 in a text is
 the vocabulary's space and decodes as one.
@@ -38,10 +38,10 @@ from pyspark.sql import functions as F
 
 SPACE = "▁"
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
-REMEMBERED = 500_000  # stretches per worker
+REMEMBERED = 300_000  # stretches per task
 LONGEST_REMEMBERED = 64
-PAIRS = 1_000_000  # pairs of pieces per worker
-BYTES_PER_STEP = 4_000_000
+PAIRS = 500_000  # pairs of pieces per task
+BYTES_PER_STEP = 3_000_000
 
 
 @dataclass
@@ -277,7 +277,7 @@ def stretches(v: Vocabulary) -> Callable[[str], list[str]]:
 
 
 class Coder:
-    """Encodes and decodes batches of one worker."""
+    """Encodes and decodes batches of one task."""
 
     def __init__(self, v: Vocabulary) -> None:
         self.v = v
@@ -289,7 +289,7 @@ class Coder:
         self.surfaces = pa.array(raw + [r.removeprefix(b" ") if v.prefix else r for r in raw], type=pa.binary())
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        """Ids of each text. Stretches that the worker does not remember are searched in order."""
+        """Ids of each text. Stretches that are not remembered are searched in order."""
         parts = [self.cut(prepared(t or "", self.v)) for t in texts]
         new = set().union(*parts).difference(self.memory)
         if len(self.memory) > REMEMBERED:
@@ -317,21 +317,9 @@ class Coder:
             return pa.array([x.decode("utf-8", "replace") for x in joined.to_pylist()], type=pa.string())
 
 
-_CODERS: dict[int, Coder] = {}
-
-
-def _coder(v: Vocabulary) -> Coder:
-    """One per worker process and vocabulary, kept between tasks."""
-    key = hash((tuple(v.pieces), v.bpe, v.prefix))
-    if key not in _CODERS:
-        _CODERS.clear()
-        _CODERS[key] = Coder(v)
-    return _CODERS[key]
-
-
 def _encoder(v: Vocabulary):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = _coder(v)
+        coder = Coder(v)
 
         def made(keys: pa.Array, texts: list) -> pa.RecordBatch:
             rows = coder.encode(texts)
@@ -368,7 +356,7 @@ def decoded(ids: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """``doc_id`` and ``text`` from ``doc_id`` and ``ids``; null ids give an empty text."""
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = _coder(vocabulary)
+        coder = Coder(vocabulary)
         for batch in batches:
             lists = batch.column(1).fill_null([]) if batch.column(1).null_count else batch.column(1)
             lists = pa.array(lists.to_pylist(), pa.list_(pa.int32()))

@@ -17,8 +17,9 @@ PREFERRED = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # a broadcast side is sized by its files; text shrinks a lot in them
     "spark.sql.sources.fileCompressionFactor": "4.0",
-    # document bytes reach Python in batches bounded by size, not by row count
-    "spark.sql.execution.arrow.maxBytesPerBatch": str(64 * 1024 * 1024),
+    # documents reach Python in batches bounded by size; a batch is held on both sides at once
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(16 * 1024 * 1024),
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "4000",
     "spark.sql.session.timeZone": "UTC",
 }
 

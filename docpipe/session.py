@@ -20,6 +20,8 @@ PREFERRED = {
     # documents reach Python in batches bounded by size; a batch is held on both sides at once
     "spark.sql.execution.arrow.maxBytesPerBatch": str(16 * 1024 * 1024),
     "spark.sql.execution.arrow.maxRecordsPerBatch": "4000",
+    # a stream names its files one by one; by default each would be listed by a task of its own
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "200",
     "spark.sql.session.timeZone": "UTC",
 }
 

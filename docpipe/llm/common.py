@@ -21,14 +21,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a Parquet table in the shared work folder, read again.
-
-    It cuts the lineage: later steps, and tasks repeated after a lost executor, read files.
-    """
-    path = session.scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+# A DataFrame as a Parquet table in the shared work folder, read again. It cuts the lineage: later
+# steps, and tasks repeated after a lost executor, read files.
+written = session.snapshot
 
 
 def crc_bucket(doc_id: Column, n: int) -> Column:

@@ -7,6 +7,9 @@ agree in a register with the probability Jaccard similarity of the sets, which i
 when all weights are equal. Elements whose next arrival is later than the slowest register are
 done; the pass ends when all are.
 
+A repeated line moves the weights, and with them probability Jaccard far below plain Jaccard. So a text with
+repeated shingles has a second signature, of unit weights, and is in the bands of both.
+
 Texts whose words are the same are one text first. Of the others, signatures that agree in a
 band meet in a bucket. A pair is linked if the Jaccard similarity of its distinct shingles
 reaches the threshold exactly; classes are the connected components.
@@ -117,6 +120,18 @@ def bands(sig: np.ndarray, s: Settings) -> np.ndarray:
     return out
 
 
+def keys(elements: np.ndarray, counts: np.ndarray, s: Settings) -> np.ndarray:
+    """The bands under which distinct shingles are looked up.
+
+    Those of unit weights find what plain Jaccard decides, however often shingles occur. Those of the weighted
+    set come on top; without repeats they are the same.
+    """
+    plain = bands(signature(elements, np.ones(len(elements)), s.registers), s)
+    if counts.max() == 1:
+        return plain
+    return np.union1d(plain, bands(signature(elements, 1.0 + np.log(counts), s.registers), s))
+
+
 def _lists(rows: list[np.ndarray]) -> pa.ListArray:
     offsets = np.zeros(len(rows) + 1, np.int32)
     np.cumsum([len(r) for r in rows], out=offsets[1:])
@@ -127,15 +142,15 @@ def _lists(rows: list[np.ndarray]) -> pa.ListArray:
 def _sketcher(s: Settings):
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            digests, sizes, keys = [], [], []
+            digests, sizes, found = [], [], []
             for text in batch.column(1):
                 words = (text.as_py() or "").encode().split()
                 digests.append(xxhash.xxh3_128_digest(b" ".join(words)) if words else None)
                 elements, counts = np.unique(shingles(words, s.words), return_counts=True)
                 sizes.append(len(elements))
-                keys.append(bands(signature(elements, 1.0 + np.log(counts), s.registers), s) if words else np.empty(0, np.uint64))
+                found.append(keys(elements, counts, s) if words else np.empty(0, np.uint64))
             yield pa.record_batch(
-                [batch.column(0), pa.array(digests, pa.binary()), pa.array(sizes, pa.int64()), _lists(keys)],
+                [batch.column(0), pa.array(digests, pa.binary()), pa.array(sizes, pa.int64()), _lists(found)],
                 names=["doc_id", "digest", "n", "bands"],
             )
 

@@ -101,6 +101,21 @@ def test_nulls_repeated_ids_and_empty_texts(spark):
     assert minhash.classes(docs.limit(0)).count() == 0
 
 
+def test_copies_with_a_line_repeated_equal_all_pairs(spark):
+    rng = random.Random(7)
+    words = lambda n: ["".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(n)]
+    rows = []
+    for times in (5, 30, 100, 1000):
+        for _ in range(15):
+            origin, line = words(104), words(15)
+            for text in (origin, origin + origin[:20] * times, words(104), (new := words(104)) + line * times, new):
+                rows.append((len(rows), " ".join(text)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    expected = brute_classes(rows)
+    assert len(set(expected.values())) == 3 * 60
+    assert {r.doc_id: r.class_id for r in minhash.classes(docs).collect()} == expected
+
+
 def test_signature_estimates_probability_jaccard():
     rng = np.random.default_rng(3)
     pool = rng.integers(1, 2**63, 400).astype(np.uint64)

@@ -20,7 +20,7 @@ members in different classes follow only if a bound from their overlaps with the
 threshold; every such pair is verified.
 
 Defined cases: rows without a doc_id take no part and have a null class. Rows that share a doc_id
-are one document. Texts with one to four words are one shingle; a text without words is a class of
+are one document; each of its texts is compared. Texts with one to four words are one shingle; a text without words is a class of
 its own. The class id is the smallest doc_id of the class.
 """
 
@@ -139,13 +139,17 @@ def _lists(rows: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.view(np.int64)))
 
 
+def _digest(words: list[bytes]) -> bytes | None:
+    return xxhash.xxh3_128_digest(b" ".join(words)) if words else None
+
+
 def _sketcher(s: Settings):
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             digests, sizes, found = [], [], []
             for text in batch.column(1):
                 words = (text.as_py() or "").encode().split()
-                digests.append(xxhash.xxh3_128_digest(b" ".join(words)) if words else None)
+                digests.append(_digest(words))
                 elements, counts = np.unique(shingles(words, s.words), return_counts=True)
                 sizes.append(len(elements))
                 found.append(keys(elements, counts, s) if words else np.empty(0, np.uint64))
@@ -160,8 +164,12 @@ def _sketcher(s: Settings):
 def _sets(s: Settings):
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [np.unique(shingles((t.as_py() or "").encode().split(), s.words)) for t in batch.column(1)]
-            yield pa.record_batch([batch.column(0), _lists(rows)], names=["id", "shingles"])
+            digests, rows = [], []
+            for text in batch.column(1):
+                words = (text.as_py() or "").encode().split()
+                digests.append(_digest(words))
+                rows.append(np.unique(shingles(words, s.words)))
+            yield pa.record_batch([pa.array(digests, pa.binary()), _lists(rows)], names=["digest", "shingles"])
 
     return sets
 
@@ -212,11 +220,12 @@ def classes(docs: DataFrame, settings: Settings = Settings(), text: str = "text"
         texts.mapInArrow(_sketcher(s), "doc_id long, digest binary, n long, bands array<long>"), "near-sketches"
     )
     known = sketches.where("doc_id IS NOT NULL AND digest IS NOT NULL")
-    # one document per text: the smallest id
+    # one node per text, numbered as it is written; documents with several texts have several
     groups = written(
-        known.groupBy("digest").agg(F.min("doc_id").alias("id"), F.count("*").alias("rows"), F.min(F.struct("n", "bands")).alias("s")),
-        "near-texts",
+        known.groupBy("digest").agg(F.min("doc_id").alias("first"), F.min(F.struct("n", "bands")).alias("s"))
+        .withColumn("id", F.monotonically_increasing_id()), "near-texts",
     )
+    nodes = groups.select("digest", "id", "first")
     members = groups.select(F.explode("s.bands").alias("band"), "id", F.col("s.n").alias("n"))
     # written first, so that the join meets two plain shuffles and a hot bucket can be split
     crowds = written(members.groupBy("band").agg(F.count("*").alias("size")).where("size > 1"), "near-crowds")
@@ -234,30 +243,35 @@ def classes(docs: DataFrame, settings: Settings = Settings(), text: str = "text"
         to_hub.where((F.col("id") != F.col("hub")) & _similar(F.col("n"), F.col("hub_n"), F.least("n", "hub_n"), s))
         .select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct(), "near-pairs",
     )
-    # texts of the documents in question, once; their shingles serve both rounds of verifying
-    in_question = met.select("id").distinct()
+    # the texts in question, once; their shingles serve both rounds of verifying
+    in_question = written(nodes.join(met.select("id").distinct(), "id", "left_semi"), "near-question")
     sets = written(
-        texts.join(in_question, F.col("doc_id") == F.col("id"), "left_semi").mapInArrow(_sets(s), "id long, shingles array<long>")
-        .groupBy("id").agg(F.min("shingles").alias("shingles")), "near-sets",
+        texts.join(in_question, F.col("doc_id") == F.col("first"), "left_semi")
+        .mapInArrow(_sets(s), "digest binary, shingles array<long>")
+        .groupBy("digest").agg(F.min("shingles").alias("shingles"))
+        .join(in_question.select("digest", "id"), "digest").select("id", "shingles"), "near-sets",
     )
     links = written(verified(pairs, sets, s), "near-links")
     roots = components(links)
     rest = written(_rest(to_hub, roots, sets, s), "near-rest")
     more = written(verified(rest, sets, s), "near-links")
-    roots = components(_same_id(known).union(links).union(more))
-    of_text = groups.join(roots, "id", "left").select("digest", F.coalesce("root", "id").alias("class_id"))
+    roots = components(_same_id(known, nodes).union(links).union(more))
+    linked = written(nodes.join(roots, "id").select("id", "root", "first"), "near-linked")
+    least = linked.groupBy("root").agg(F.min("first").alias("class_id"))
+    named = written(linked.join(least, "root").select("id", "class_id"), "near-named")
+    of_text = nodes.join(named, "id", "left").select("digest", F.coalesce("class_id", "first").alias("class_id"))
     found = known.select("doc_id", "digest").join(written(of_text, "near-classes"), "digest").select("doc_id", "class_id")
     # rows without words or id meet nothing, however many there are
     alone = sketches.where("doc_id IS NULL OR digest IS NULL").select("doc_id", F.col("doc_id").alias("class_id"))
     return found.union(alone)
 
 
-def _same_id(known: DataFrame) -> DataFrame:
+def _same_id(known: DataFrame, nodes: DataFrame) -> DataFrame:
     """Links between the texts of rows that share a doc_id."""
-    firsts = known.groupBy("digest").agg(F.min("doc_id").alias("id"))
     repeated = known.groupBy("doc_id").agg(F.count("*").alias("rows")).where("rows > 1").select("doc_id")
-    rows = known.join(repeated, "doc_id").select("doc_id", "digest").distinct().join(firsts, "digest")
-    return rows.where("doc_id <> id").select(F.col("doc_id").alias("a"), F.col("id").alias("b"))
+    rows = known.join(repeated, "doc_id").select("doc_id", "digest").distinct().join(nodes, "digest").select("doc_id", "id")
+    least = rows.groupBy("doc_id").agg(F.min("id").alias("b"))
+    return rows.join(least, "doc_id").where("id <> b").select(F.col("id").alias("a"), "b")
 
 
 def _rest(to_hub: DataFrame, roots: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:

@@ -116,6 +116,20 @@ def test_copies_with_a_line_repeated_equal_all_pairs(spark):
     assert {r.doc_id: r.class_id for r in minhash.classes(docs).collect()} == expected
 
 
+def test_every_text_of_a_repeated_id_is_compared(spark):
+    rng = random.Random(5)
+    rows = []
+    for n in range(0, 60, 6):
+        for k, words in enumerate([[f"w{rng.random()}" for _ in range(60)] for _ in range(3)]):
+            rows += [(n + 1, " ".join(words)), (n + 2 + k - 2 * (k == 2), " ".join(words[1:]))]
+        rows.append((n + 5, " ".join(words[2:])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    expected = brute_classes(rows)
+    assert len(set(expected.values())) == 10
+    got = minhash.classes(docs).collect()
+    assert len(got) == len(rows) and all(r.class_id == expected[r.doc_id] for r in got)
+
+
 def test_signature_estimates_probability_jaccard():
     rng = np.random.default_rng(3)
     pool = rng.integers(1, 2**63, 400).astype(np.uint64)

@@ -116,7 +116,7 @@ def _holds(kind: str):
     return lambda span: base_holds(kind, span["value"])
 
 
-SPAN = "array<struct<k:int,s:int,e:int,value:string,left:string,right:string>>"
+SPAN = "array<struct<k:int,s:int,e:int,value:string>>"
 PATTERNS = [(kind, of[kind]) for of in (BASE, PROPOSED) for kind in KINDS]
 
 
@@ -142,15 +142,14 @@ def _matched(rows: DataFrame) -> DataFrame:
     def spans(i: int) -> Column:
         n = F.size(f"hits{i}")
         parts = F.arrays_zip(
-            F.col(f"hits{i}").alias("hit"), F.slice(f"gaps{i}", 1, n).alias("left"),
-            F.slice(f"gaps{i}", 2, n).alias("right"), running(F.col(f"steps{i}")).alias("at"),
+            F.col(f"hits{i}").alias("hit"), F.slice(f"gaps{i}", 1, n).alias("left"), running(F.col(f"steps{i}")).alias("at"),
         )
 
         def span(p: Column) -> Column:
             start = p["at"] + F.length(p["left"])
             return F.struct(
                 F.lit(KINDS.index(PATTERNS[i][0])).alias("k"), start.alias("s"), (start + F.length(p["hit"])).alias("e"),
-                p["hit"].alias("value"), F.right(p["left"], F.lit(BEFORE)).alias("left"), F.left(p["right"], F.lit(AFTER)).alias("right"),
+                p["hit"].alias("value"),
             )
 
         return F.when(n > 0, F.transform(parts, span)).otherwise(F.array().cast(SPAN)).cast(SPAN).alias(f"spans{i}")
@@ -158,6 +157,27 @@ def _matched(rows: DataFrame) -> DataFrame:
     return rows.select("row", *[spans(i) for i in numbers])
 
 
+BLOCK_BITS = 8
+
+
+def _with_window(span: Column) -> Column:
+    """The span with the text that stands before and after it, other matches included.
+
+    It is cut out of the column ``blocks``, so that a span late in a long text costs no more than an early one.
+    """
+
+    def cut(start: Column, length: Column) -> Column:
+        block = F.shiftright(start, BLOCK_BITS)
+        two = F.concat(*[F.coalesce(F.get("blocks", block + i), F.lit("")) for i in range(2)])
+        return F.substr(two, start.bitwiseAND(F.lit((1 << BLOCK_BITS) - 1)) + 1, length)
+
+    first = F.greatest(span["s"] - BEFORE, F.lit(0))
+    return F.struct(
+        *[span[c].alias(c) for c in ("k", "s", "e", "value")],
+        cut(first, span["s"] - first).alias("left"), cut(span["e"], F.lit(AFTER)).alias("right"),
+    )
+
+
 def found(docs: DataFrame, text: str = "text") -> DataFrame:
     """``row`` (the document), ``base`` (its base spans) and ``proposed`` (free of base spans)."""
     rows = docs.select(F.struct("*").alias("row"))
@@ -166,7 +186,11 @@ def found(docs: DataFrame, text: str = "text") -> DataFrame:
     base = [F.filter(f"spans{i}", _holds(k)) for i, k in enumerate(KINDS)]
     rows = rows.select("row", F.concat(*base).alias("base"), F.concat(*[f"spans{n + i}" for i in range(n)]).alias("loose"))
     free = F.filter("loose", lambda p: ~F.exists("base", lambda b: (b["s"] < p["e"]) & (p["s"] < b["e"])))
-    return rows.select("row", "base", free.alias("proposed"))
+    rows = rows.select("row", "base", free.alias("proposed"))
+    blocks = F.regexp_extract_all(F.col(f"row.{text}"), F.lit(rf"(?s).{{1,{1 << BLOCK_BITS}}}+"), 0)
+    some = F.size("base") + F.size("proposed") > 0
+    rows = rows.select("row", "base", "proposed", F.when(some, blocks).alias("blocks"))
+    return rows.select("row", *[F.transform(c, _with_window).alias(c) for c in ("base", "proposed")])
 
 
 def _by_kind(span: Column, column) -> Column:

@@ -97,6 +97,21 @@ def test_labelers_that_agree_are_found_reliable_and_good_proposals_join(spark):
     assert not any(added[i] for i in range(60, 120))
 
 
+def test_windows_reach_over_neighbouring_matches(spark):
+    texts = [
+        "call 555-123-4567 or 555-987-6543", "+1 234 567 8901+1 234 567 8902", "1.1.1.1 " * 700, "é😀" * 300 + " 8.8.8.8 9 8.8.4.4,a@b.cd" * 40,
+        *["x" * n + " 8.8.8.8" + "y" * 30 for n in (240, 247, 248, 255, 256, 290, 504)], "8.8.8.8", " " * 249 + "8.8.8.8", None,
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    n = 0
+    for r in pii.found(docs).collect():
+        text = texts[r.row.doc_id]
+        for s in [*r.base, *r.proposed]:
+            n += 1
+            assert (s.value, s.left, s.right) == (text[s.s:s.e], text[max(0, s.s - pii.BEFORE):s.s], text[s.e:s.e + pii.AFTER])
+    assert n > 800
+
+
 def test_redaction_keeps_other_columns_and_rows(spark):
     rows = [(1, "mail a@b.cd, 8.8.8.8", "k"), (1, "mail a@b.cd, 8.8.8.8", "k"), (2, None, None), (None, "", "z"), (4, "😀 +1 234 567 890é", "s")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, spans string")

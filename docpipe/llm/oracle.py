@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from docpipe.llm import mixing, quality_rules
+from docpipe.llm import centroid_clusters, mixing, quality_rules
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
@@ -110,4 +110,50 @@ SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, {_B32} AS p
 FROM (SELECT *, min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first FROM pages)
 """
 
-ORACLE = {"op3_quality_rules": OP3, "op4_pivot_search": OP4, "op6_warc": OP6, "op9_mixing": OP9}
+
+
+def _clusters(s: centroid_clusters.Settings) -> str:
+    """One step per round, written out: assignment to the last centroids, then their floored means."""
+
+    def assigned(k: int) -> str:
+        square = "list_sum(list_transform(list_zip(v.x, c.x), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT"
+        return f"""a{k} AS MATERIALIZED (
+  SELECT r, vec_id, x, cluster, d FROM (
+    SELECT *, row_number() OVER (PARTITION BY r ORDER BY d, cluster) AS place
+    FROM (SELECT v.*, c.cluster, {square} AS d FROM v, c{k} c)
+  ) WHERE place = 1
+)"""
+
+    def moved(k: int) -> str:
+        return f"""c{k + 1} AS MATERIALIZED (
+  SELECT c.cluster, coalesce(m.x, c.x) AS x FROM c{k} c LEFT JOIN (
+    SELECT cluster, list((s - ((s % n) + n) % n) // n ORDER BY i) AS x
+    FROM (
+      SELECT cluster, i, sum(x[i])::BIGINT AS s, count(*) AS n FROM a{k}, range(1, {s.dims + 1}) t(i) GROUP BY cluster, i
+    ) GROUP BY cluster
+  ) m USING (cluster)
+)"""
+
+    steps = ",\n".join(f"{assigned(k)},\n{moved(k)}" for k in range(s.rounds))
+    return f"""
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor({s.scale} * x::DOUBLE)::BIGINT) AS x
+  FROM embeddings WHERE len(embedding) = {s.dims} AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h, x) - 1 AS cluster, x
+  FROM (SELECT sha256('{s.seed}:' || vec_id::VARCHAR) AS h, x FROM v WHERE vec_id IS NOT NULL ORDER BY h, x LIMIT {s.centroids})
+),
+{steps},
+{assigned(s.rounds)}
+SELECT vec_id, a.cluster::INTEGER AS cluster, d AS distance, (sum(d) OVER (PARTITION BY a.cluster))::BIGINT AS cluster_inertia,
+  (sum(d) OVER ())::BIGINT AS inertia, sha256(array_to_string(c.x, ',')) AS centroid_sha256
+FROM a{s.rounds} a JOIN c{s.rounds} c USING (cluster)
+"""
+
+
+OP11 = _clusters(centroid_clusters.Settings())
+
+ORACLE = {
+    "op3_quality_rules": OP3, "op4_pivot_search": OP4, "op6_warc": OP6, "op9_mixing": OP9, "op11_centroid_clusters": OP11,
+}

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docpipe.llm import (
+    centroid_clusters,
     language_id,
     minhash,
     mixing,
@@ -82,10 +83,17 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.classes(table(spark, sf_dir, "documents"))
 
 
+def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = centroid_clusters.clustered(table(spark, sf_dir, "embeddings"))
+    digest = F.sha2(F.array_join(F.col("centroid").cast("array<string>"), ","), 256)
+    return found.withColumn("centroid_sha256", digest).drop("centroid")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_sentencepiece, op2_pii_weak_supervision, op3_quality_rules, op4_pivot_search, op5_language_id,
         op6_warc, op7_toxicity, op8_quality_classifier, op9_mixing, op10_minhash,
+        op11_centroid_clusters,
     )
 }

@@ -154,6 +154,52 @@ FROM a{s.rounds} a JOIN c{s.rounds} c USING (cluster)
 
 OP11 = _clusters(centroid_clusters.Settings())
 
+# CRC-32 by hand: the table of its 256 steps from the polynomial, then one step per byte of each distinct word
+OP13 = r"""
+WITH RECURSIVE steps AS (
+  SELECT b, b AS c, 0 AS turn FROM range(256) t(b)
+  UNION ALL
+  SELECT b, CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, turn + 1 FROM steps WHERE turn < 8
+),
+crc_table AS MATERIALIZED (SELECT list(c ORDER BY b) AS c FROM steps WHERE turn = 8),
+texts AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, true AS of_docs, text FROM documents
+  UNION ALL SELECT 0, NULL, false, text FROM benchmark
+),
+words AS MATERIALIZED (
+  SELECT r, doc_id, of_docs, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM texts
+),
+hexed AS (SELECT word, lower(hex(encode(word))) AS h FROM (SELECT DISTINCT word FROM words)),
+codes AS MATERIALIZED (
+  SELECT word, xor(list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(range(1, len(h), 2), lambda i: ('0x' || substr(h, i::INTEGER, 2))::BIGINT)),
+    lambda s, b: xor(s // 256, c[xor(s % 256, b) + 1])), 4294967295) % 10000 AS bucket
+  FROM hexed, crc_table
+),
+used AS MATERIALIZED (SELECT r, of_docs, bucket FROM words JOIN codes USING (word)),
+sums AS (
+  SELECT (SELECT count(*) FROM used WHERE of_docs)::DOUBLE AS all_docs, (SELECT count(*) FROM used WHERE NOT of_docs)::DOUBLE AS all_target
+),
+gains AS (
+  SELECT bucket, floor(1000 * ln((count(*) FILTER (NOT of_docs) + 1)::DOUBLE * (any_value(all_docs) + 10000)
+    / ((count(*) FILTER (of_docs) + 1)::DOUBLE * (any_value(all_target) + 10000))))::BIGINT AS gain
+  FROM used, sums GROUP BY bucket
+),
+weights AS (SELECT r, count(*) AS n_features, sum(gain)::BIGINT AS weight FROM used JOIN gains USING (bucket) WHERE of_docs GROUP BY r),
+scored AS (
+  SELECT r, doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || doc_id::VARCHAR), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+  FROM texts LEFT JOIN weights USING (r) WHERE of_docs
+),
+places AS (
+  SELECT r, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS n FROM scored WHERE n_features >= 20 AND score IS NOT NULL
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= n * 10 // 100 THEN place END AS rank
+FROM scored LEFT JOIN places USING (r)
+"""
+
 ORACLE = {
     "op3_quality_rules": OP3, "op4_pivot_search": OP4, "op6_warc": OP6, "op9_mixing": OP9, "op11_centroid_clusters": OP11,
+    "op13_importance_resampling": OP13,
 }

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from docpipe.llm import (
     centroid_clusters,
+    importance,
     language_id,
     minhash,
     mixing,
@@ -89,11 +90,15 @@ def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("centroid_sha256", digest).drop("centroid")
 
 
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.drawn(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("n_words")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_sentencepiece, op2_pii_weak_supervision, op3_quality_rules, op4_pivot_search, op5_language_id,
         op6_warc, op7_toxicity, op8_quality_classifier, op9_mixing, op10_minhash,
-        op11_centroid_clusters,
+        op11_centroid_clusters, op13_importance_resampling,
     )
 }

@@ -199,7 +199,31 @@ SELECT doc_id, n_features, weight, score, CASE WHEN place <= n * 10 // 100 THEN
 FROM scored LEFT JOIN places USING (r)
 """
 
+# all pairs that share a shingle, counted; then the smallest id that links lead to
+OP12 = r"""
+WITH RECURSIVE d AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+),
+sets AS MATERIALIZED (
+  SELECT r, doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS x FROM d
+),
+sizes AS MATERIALIZED (SELECT r, len(x) AS n FROM sets),
+items AS MATERIALIZED (SELECT r, unnest(x) AS item FROM sets),
+links AS MATERIALIZED (
+  SELECT a.r AS a, b.r AS b FROM items a JOIN items b ON a.item = b.item AND a.r <> b.r
+  JOIN sizes sa ON sa.r = a.r JOIN sizes sb ON sb.r = b.r
+  WHERE least(sa.n, sb.n) * 100 >= greatest(sa.n, sb.n) * 90
+  GROUP BY a.r, b.r, sa.n, sb.n HAVING 100 * count(*) >= 90 * (sa.n + sb.n - count(*))
+),
+reach AS (SELECT r AS a, r AS b FROM sets UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b)
+SELECT s.doc_id, len(s.x)::BIGINT AS n_shingles, c.component_id
+FROM sets s JOIN (SELECT reach.a AS r, min(t.doc_id) AS component_id FROM reach JOIN sets t ON t.r = reach.b GROUP BY reach.a) c USING (r)
+"""
+
 ORACLE = {
     "op3_quality_rules": OP3, "op4_pivot_search": OP4, "op6_warc": OP6, "op9_mixing": OP9, "op11_centroid_clusters": OP11,
+    "op12_jaccard_join": OP12,
     "op13_importance_resampling": OP13,
 }

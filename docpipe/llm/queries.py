@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from docpipe.llm import (
     centroid_clusters,
     importance,
+    jaccard_join,
     language_id,
     minhash,
     mixing,
@@ -90,6 +91,10 @@ def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("centroid_sha256", digest).drop("centroid")
 
 
+def op12_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.joined(table(spark, sf_dir, "documents"))
+
+
 def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.drawn(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("n_words")
 
@@ -99,6 +104,6 @@ QUERIES = {
     for f in (
         op1_sentencepiece, op2_pii_weak_supervision, op3_quality_rules, op4_pivot_search, op5_language_id,
         op6_warc, op7_toxicity, op8_quality_classifier, op9_mixing, op10_minhash,
-        op11_centroid_clusters, op13_importance_resampling,
+        op11_centroid_clusters, op12_jaccard_join, op13_importance_resampling,
     )
 }

@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-import datetime as dt
-import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docpipe.functions.names import basename, extension, listed_type, replace_suffix
+from docpipe.sources.listing import listed
 
 BINARY_SCHEMA = T.StructType([
     T.StructField("path", T.StringType()),
@@ -38,37 +37,10 @@ def with_names(binary: DataFrame) -> DataFrame:
     )
 
 
-# One status as Hadoop prints it. Statuses come over in blocks, not one by one.
-_STATUS = re.compile(r"\bpath=(.*?); isDirectory=(true|false); length=(\d+);.*?modification_time=(\d+);", re.S)
-_STATUSES_PER_BLOCK = 10_000
-
-
-def listed(scan: DataFrame) -> Iterator[tuple[str, int, int]]:
-    """Path, measured length and time (milliseconds) of every file that Spark listed for a scan.
-
-    It is the listing that the scan itself uses: nothing is listed again, and nothing is opened.
-    """
-    statuses = scan._jdf.queryExecution().analyzed().relation().location().allFiles()
-    n = statuses.size()
-    for start in range(0, n, _STATUSES_PER_BLOCK):
-        block = statuses.slice(start, min(n, start + _STATUSES_PER_BLOCK))
-        parsed = [(path, int(length), int(at)) for path, _, length, at in _STATUS.findall(block.mkString("\n"))]
-        if len(parsed) != block.size():  # a store that prints its statuses differently
-            each = (block.apply(i) for i in range(block.size()))
-            parsed = [(x.getPath().toString(), x.getLen(), x.getModificationTime()) for x in each]
-        yield from parsed
-
-
-def empty_files(scan: DataFrame) -> DataFrame:
-    """The files of a binaryFile scan whose measured length is zero, which Spark's sources leave out.
-
-    Only their names come to Python; files with content stay in Spark's listing.
-    """
-    rows = [
-        (path, dt.datetime.fromtimestamp(at / 1000, dt.timezone.utc), 0) for path, length, at in listed(scan) if length == 0
-    ]
-    empty = scan.sparkSession.createDataFrame(rows, T.StructType(BINARY_SCHEMA.fields[:3]))
-    return with_names(empty.withColumn("content", F.lit("").cast("binary"))).withColumn("unread", F.lit(None).cast("string"))
+def empty_files(spark: SparkSession, folder: str, exts: Iterable[str] | None = None) -> DataFrame:
+    """The files of a folder or glob whose length is zero, which Spark's sources leave out; tasks list them."""
+    empty = listed(spark, folder, exts).where("length = 0").withColumn("content", F.lit("").cast("binary"))
+    return with_names(empty).withColumn("unread", F.lit(None).cast("string"))
 
 
 def folder_scan(spark: SparkSession, folder: str, exts: Iterable[str] | None = None) -> DataFrame:
@@ -84,8 +56,9 @@ def raw_files(spark: SparkSession, folder: str, exts: Iterable[str]) -> DataFram
     so other files are never opened. A missing folder is an error. ``content`` is
     read only if a later step uses it. Above Spark's size limit it is null, and ``unread`` says so.
     """
-    scan = folder_scan(spark, folder, exts)
-    return _oversize_unread(spark, with_names(scan)).unionByName(empty_files(scan))
+    exts = list(exts)
+    found = with_names(folder_scan(spark, folder, exts))
+    return _oversize_unread(spark, found).unionByName(empty_files(spark, folder, exts))
 
 
 def _oversize_unread(spark: SparkSession, found: DataFrame) -> DataFrame:
@@ -111,10 +84,8 @@ def converted_doc_files(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def list_folder(spark: SparkSession, folder: str) -> DataFrame:
-    """Every file of one folder, without its content."""
-    scan = folder_scan(spark, folder)
-    found = with_names(scan).drop("content")
-    return found.unionByName(empty_files(scan).select(found.columns))
+    """Every file of one folder or glob, empty ones included, without its content; tasks list it."""
+    return with_names(listed(spark, folder).withColumn("content", F.lit(None).cast("binary"))).drop("content")
 
 
 def raw_file_stream(
@@ -159,3 +130,14 @@ def sample_files(files: DataFrame, n: int = 100, name_col: str = "files") -> Dat
     A top-n by digest: each task keeps its own best ``n`` and only those meet.
     """
     return files.orderBy(F.md5(F.col(name_col)), name_col).limit(n)
+
+
+def sample_per_type(files: DataFrame, n: int = 100, name_col: str = "files") -> DataFrame:
+    """``n`` files of each extension, in the same random-looking order as ``sample_files``, with ``ext``.
+
+    Each task keeps its own first ``n`` of an extension, and only those are shuffled, so an extension that most files
+    have is no burden for one task. Spark does so for ``n`` up to ``spark.sql.optimizer.windowGroupLimitThreshold``.
+    """
+    drawn = Window.partitionBy("ext").orderBy(F.md5(F.col(name_col)), name_col)
+    typed = files.withColumn("ext", extension(F.col(name_col)))
+    return typed.withColumn("nth", F.row_number().over(drawn)).where(F.col("nth") <= n).drop("nth")

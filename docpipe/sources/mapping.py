@@ -25,21 +25,34 @@ def read_mapping(spark: SparkSession, path: str) -> DataFrame:
 
     Lines end at CR or LF. All files of a folder must have the same header. Exactly one line per
     file is taken as the header: lines equal to it further down are data, wherever the file is split.
-    Only the header itself comes to the driver.
+    Only header lines and counts come to the driver.
     """
     lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"))
-    # the first block of a file lies in one task, which meets its lines in order
-    heads = lines.where("start = 0").groupBy("path").agg(F.first("value").alias("head"))
-    found = [r["head"] for r in heads.select("head").distinct().limit(2).collect()]
-    if not found:
+    some = lines.where("start = 0").limit(1).collect()  # the first line of some file: its first bytes only
+    if not some:
         raise ValueError(f"mapping file {path} is empty")
-    if len(found) > 1:
-        raise ValueError(f"mapping files in {path} have different headers, such as {found[0]!r} and {found[1]!r}")
-    head = found[0]
+    head = some[0]["value"]
     names = head.split(",")
     if len(names) < 2:
         raise ValueError(f"mapping file {path} needs two column names, found {head!r}")
-    alike = lines.where(F.col("value") == head).groupBy("path").agg(F.count("*").alias("n")).where("n > 1")
-    again = alike.select(F.lit(head).alias("value"), F.explode(F.sequence(F.lit(2), F.col("n").cast("int"))).alias("_"))
-    body = lines.where(F.col("value") != head).select("value").union(again.select("value"))
-    return parse_mapping_lines(body, names[0], names[1])
+    firsts = first_lines(lines, F.col("value") == head)
+    checked = firsts.agg(F.count_if(F.col("first") != F.col("first_alike")), F.sum(F.col("alike") - 1), F.count_if(F.col("alike") == 0))
+    different, repeats, without = checked.first()
+    if different or without:
+        raise ValueError(f"mapping files in {path} have different headers; one of them is {head!r}")
+    again = spark.range(repeats).select(F.lit(head).alias("value"))
+    return parse_mapping_lines(lines.where(F.col("value") != head).select("value").union(again), names[0], names[1])
+
+
+def first_lines(lines: DataFrame, alike: Column) -> DataFrame:
+    """Per file the place of its first line, that of its first line that is ``alike``, and how many are.
+
+    The first block of a file lies in one task, whose rows are numbered as they are read; least numbers need no order
+    in any shuffle.
+    """
+    first_block = F.col("start") == 0
+    return lines.select("path", "start", alike.alias("is_alike"), F.monotonically_increasing_id().alias("at")).groupBy("path").agg(
+        F.min(F.when(first_block, F.col("at"))).alias("first"),
+        F.coalesce(F.min(F.when(first_block & F.col("is_alike"), F.col("at"))), F.lit(-1)).alias("first_alike"),
+        F.count_if("is_alike").alias("alike"),
+    )

@@ -73,13 +73,57 @@ def clear_scratch(spark: SparkSession) -> None:
     """Remove the work files and databases of this application. Call it when no result is read any more."""
     for database in spark.catalog.listDatabases(f"{run_name(spark)}*"):
         spark.sql(f"DROP DATABASE IF EXISTS `{database.name}` CASCADE")
-    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/{run_name(spark)}")
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    remove(spark, f"{shared_folder(spark)}/{run_name(spark)}")
 
 
-def folder_exists(spark: SparkSession, path: str) -> bool:
+def _file_system(spark: SparkSession, path: str):
+    """Spark's own file system for a path, so any URI the cluster knows will do."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+    return where, where.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    where, files = _file_system(spark, path)
+    return files.exists(where)
+
+
+def names_in(spark: SparkSession, folder: str) -> list[str]:
+    """Names in a folder of work files; none if there is no such folder."""
+    where, files = _file_system(spark, folder)
+    return [status.getPath().getName() for status in files.listStatus(where)] if files.exists(where) else []
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    where, files = _file_system(spark, path)
+    stream = files.open(where)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_new(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file that appears whole or not at all; false if there is one already."""
+    where, files = _file_system(spark, path)
+    draft = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.tmp")
+    stream = files.create(draft, False)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(files.getUri(), spark._jsc.hadoopConfiguration())
+    no_options = spark.sparkContext._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Options.Rename, 0)
+    try:
+        context.rename(draft, where, no_options)  # refuses a target that exists
+        return True
+    except Exception:
+        if not files.exists(where):
+            raise
+        files.delete(draft, False)
+        return False
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    where, files = _file_system(spark, path)
+    files.delete(where, True)
 
 
 def snapshot(df: DataFrame, name: str) -> DataFrame:

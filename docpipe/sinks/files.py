@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from docpipe.session import snapshot
+
 # A multi-line CSV part is read by one task, so parts are bounded by their bytes.
 CSV_BYTES_PER_PART = 128 * 1024 * 1024
 
@@ -26,23 +28,24 @@ def csv_name(name: str, ext: str, run_date: dt.date) -> str:
     return f"{ext.title()}_{name}_{run_date:%Y_%m_%d}.csv"
 
 
-def _in_parts(df: DataFrame) -> DataFrame:
+def _in_parts(df: DataFrame, stored: bool = False) -> DataFrame:
     """Rows dealt so that a CSV part holds about ``CSV_BYTES_PER_PART`` of text or less.
 
-    The size is measured once; rows are dealt by a hash, so one long run of long texts spreads. A frame
-    that is small as a whole keeps its partitions.
+    The rows are computed once, into a work table unless they are ``stored`` in one; their size is read off that table. Rows are dealt by
+    a hash, so one long run of long texts spreads. A frame that is small as a whole keeps its partitions.
     """
-    texts = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
+    rows = df if stored else snapshot(df, "csv-rows")
+    texts = [f.name for f in rows.schema if isinstance(f.dataType, T.StringType)]
     size = sum((F.coalesce(F.octet_length(F.col(f"`{c}`")), F.lit(0)) for c in texts), F.lit(0).cast("bigint"))
-    total, widest = df.agg(F.sum(size), F.max(size)).first()
+    total, widest = rows.agg(F.sum(size), F.max(size)).first()
     parts = -(-(total or 0) // max(1, CSV_BYTES_PER_PART - min(widest or 0, CSV_BYTES_PER_PART // 2)))
-    return df.repartition(int(parts), F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])) if parts > 1 else df
+    return rows.repartition(int(parts), F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns])) if parts > 1 else rows
 
 
-def write_csv(df: DataFrame, folder: str, name: str, ext: str, run_date: dt.date) -> tuple[str, int]:
-    """Write a CSV folder; returns its path and the number of rows written."""
+def write_csv(df: DataFrame, folder: str, name: str, ext: str, run_date: dt.date, stored: bool = False) -> tuple[str, int]:
+    """Write a CSV folder; returns its path and the number of rows written. ``stored`` says that ``df`` is a scan of a table."""
     path = f"{folder}/{csv_name(name, ext, run_date)}"
-    return path, write_counted(_in_parts(df), lambda rows: _csv_writer(rows).csv(path))
+    return path, write_counted(_in_parts(df, stored), lambda rows: _csv_writer(rows).csv(path))
 
 
 def _csv_writer(df: DataFrame) -> DataFrameWriter:

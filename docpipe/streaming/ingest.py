@@ -1,12 +1,13 @@
 """Take files that were not seen before, once.
 
-The checkpoint remembers which files were read. Each micro-batch writes its own
-partition of the target and replaces it when the batch is repeated, so a lost
-executor or a restarted driver neither loses nor doubles rows.
+The checkpoint remembers which files were read. Each micro-batch is merged into the target and committed with its
+number by one file, so a lost executor or a restarted driver neither loses nor doubles rows: a batch that broke off is
+repeated, one that was committed is not applied again. The target holds one row per file, that of its newest version.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,8 +17,9 @@ from docpipe.functions.names import basename
 from docpipe.operators.extract.job import SUPPORTED, extract_in_one_pass
 from docpipe.operators.outcomes import latest_per_file
 from docpipe.operators.pages import PageReader, clean_pages, page_outcomes, read_pages
-from docpipe.session import folder_exists
-from docpipe.sources.files import as_converted_doc, empty_files, folder_scan, raw_file_stream
+from docpipe.session import read_text, snapshot
+from docpipe.sinks.state import Conflict, State, merge, read_state, reports
+from docpipe.sources.files import as_converted_doc, empty_files, raw_file_stream
 
 TARGET_SCHEMA = (
     "files string, ext string, raw_text string, status string, error string, "
@@ -28,17 +30,40 @@ TARGET_SCHEMA = (
 # what tells two deliveries of the same file apart
 VERSION = ["modificationTime", "path"]
 
+# the batch of empty files, whose number is never a stream's
+EMPTY_BATCH = -1
+
 Transform = Callable[[DataFrame], DataFrame]
 
 
-def write_batch(outcomes: DataFrame, batch_id: int, target: str) -> None:
-    (
-        outcomes.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch_id")
-        .parquet(target)
-    )
+def target_state(target: str, buckets: int = 64) -> State:
+    """The target of an ingest: a row per file, merged by name."""
+    return State(target, "files", TARGET_SCHEMA, lambda rows: latest_per_file(rows, "modificationTime", "batch_id", "path"), buckets)
+
+
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """What Spark calls the stream of a checkpoint; a new checkpoint is a new stream."""
+    return json.loads(read_text(spark, f"{checkpoint}/metadata"))["id"]
+
+
+# what is counted of each batch while it is written
+MEASURES = {
+    "n_files": "count(1)",
+    **{f"n_{status}": f"count_if(status = '{status}')" for status in ("ok", "error", "skipped", "unsupported")},
+    "n_chars": "sum(length(raw_text))",
+}
+
+
+def merge_batch(outcomes: DataFrame, batch_id: int, target: str, source: str) -> bool:
+    """Bring a batch into the target; false if it is there. A merge that another one got ahead of is tried again."""
+    rows = outcomes.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+    for tries_left in (2, 1, 0):
+        try:
+            return merge(rows, target_state(target), source, batch_id, MEASURES)
+        except Conflict:
+            if not tries_left:
+                raise
+    return False
 
 
 def ingest_available(
@@ -51,14 +76,11 @@ def ingest_available(
     """Process everything the stream has now, then stop."""
     exts = None if exts is None else list(exts)
     transform = transform or (lambda raw: extract_in_one_pass(raw, exts, VERSION))
-    query = (
-        new_files.writeStream.foreachBatch(
-            lambda batch, batch_id: write_batch(transform(batch), batch_id, target)
-        )
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+
+    def take(batch: DataFrame, batch_id: int) -> None:
+        merge_batch(transform(batch), batch_id, target, stream_id(batch.sparkSession, checkpoint))
+
+    query = new_files.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
 
 
@@ -99,24 +121,26 @@ def ingest_folder(
         exts = None if exts is None else list(exts)
         transform = lambda raw: extract_in_one_pass(raw, exts, VERSION)
     ingest_available(raw_file_stream(spark, folder, exts), target, checkpoint, transform=transform)
-    empty = empty_files(folder_scan(spark, folder, exts))
-    if not empty.head(1):
-        return
-    first = 0
-    if folder_exists(spark, target):
-        seen = spark.read.schema(TARGET_SCHEMA).parquet(target).select("path", "batch_id")
-        empty = empty.join(seen, "path", "left_anti")
-        first = seen.agg(F.min("batch_id")).first()[0] or 0
-        if not empty.head(1):
-            return
-    # numbers below zero are never a stream's
-    write_batch(transform(empty), min(first, 0) - 1, target)
+    state = target_state(target)
+    empty = empty_files(spark, folder, exts)
+    # only rows of empty files can stand for one; they are told by their batch, so the rest of the target is not read
+    seen = read_state(spark, state).where(F.col("batch_id") == EMPTY_BATCH).select("path")
+    found = snapshot(empty.join(seen, "path", "left_anti"), "empty-files")
+    if found.head(1):
+        merge(transform(found).withColumn("batch_id", F.lit(EMPTY_BATCH).cast("bigint")), state, measures=MEASURES)
 
 
-def read_target(spark: SparkSession, target: str) -> DataFrame:
-    """The newest outcome of every file over all batches.
+def batch_reports(spark: SparkSession, target: str) -> DataFrame:
+    """Counts of every batch, taken while it ran: files, outcomes by status, characters of text.
 
-    Only names and versions of all history are reduced; text is read for the rows that won.
+    They are committed with the batch, so one that was repeated counts once, and one that broke off not at all. Empty files, which
+    come beside the stream, have the batch -1 of no source.
     """
-    rows = spark.read.schema(TARGET_SCHEMA).parquet(target)
-    return latest_per_file(rows, "modificationTime", "batch_id", "path").drop("batch_id", *VERSION)
+    rows = reports(spark, target)
+    measured = [F.coalesce(F.col("measures").getItem(name), F.lit(0)).alias(name) for name in MEASURES]
+    return rows.select("version", "source", F.coalesce("batch", F.lit(EMPTY_BATCH).cast("bigint")).alias("batch_id"), *measured)
+
+
+def read_target(spark: SparkSession, target: str) -> DataFrame:
+    """The newest outcome of every file: a scan of the target as of its last commit."""
+    return read_state(spark, target_state(target)).drop("batch_id", *VERSION)

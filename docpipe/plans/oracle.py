@@ -241,4 +241,37 @@ ORACLE: dict[str, str] = {
     "folder_ingest": f"""WITH {OUTCOMES} SELECT files, ext, CASE WHEN ext <> 'pdf' THEN raw_text END AS raw_text,
         CASE WHEN ext = 'pdf' THEN 'unsupported' ELSE status END AS status, CASE WHEN ext <> 'pdf' THEN error END AS error FROM outcomes""",
     "incremental_ingest": f"WITH {TEXTS} SELECT files, raw_text, 'ok' AS status FROM texts",
+    "sample_per_type": f"""WITH {FILES} SELECT files, ext FROM (
+        SELECT files, dotted AS ext, row_number() OVER (PARTITION BY dotted ORDER BY md5(files), files) AS nth FROM files) WHERE nth <= 100""",
+    "key_history": f"""WITH {HISTORY} SELECT "Object_name", valid_from, valid_to, object_id, claim_id,
+        "Prior_Version_Object_Name", "new/changed" FROM history""",
+    "attach_keys_as_of": f"""WITH {HISTORY}, {TEXTS}, dated AS (
+            SELECT *, DATE '1992-01-01' + CAST(doc_id * 37 % 2500 AS INTEGER) AS day FROM texts)
+        SELECT files, day, valid_from, object_id, claim_id, raw_text FROM dated LEFT JOIN history
+        ON "Object_name" = 'doc_' || doc_id AND valid_from <= day AND (valid_to IS NULL OR valid_to > day)""",
+    "daily_key_history": f"""WITH {HISTORY}, {TEXTS}
+        SELECT files, object_id, claim_id, "Prior_Version_Object_Name", raw_text
+        FROM texts LEFT JOIN (FROM history WHERE valid_to IS NULL) ON "Object_name" = 'doc_' || doc_id""",
+    "content_claims": f"""WITH {HISTORY}, delta AS (
+            SELECT 'doc_' || doc_id AS stem, CASE WHEN doc_id % 7 = 0 THEN 'gone' WHEN text IS NULL THEN 'unread'
+                WHEN doc_id % 3 = 0 THEN 'changed' ELSE 'same' END AS status, strlen(text) + 6 AS old_length,
+                CASE WHEN doc_id % 7 <> 0 THEN strlen(text) + 6 + CASE WHEN doc_id % 3 = 0 THEN 6 ELSE 0 END END AS new_length FROM documents
+            UNION ALL SELECT 'page_' || page_id, 'new', NULL, strlen(html) FROM pages)
+        SELECT stem || '.doc' AS files, status, old_length, new_length, "new/changed" AS claim,
+            CASE WHEN status = 'unread' THEN NULL WHEN "new/changed" IS NULL THEN status IN ('same', 'gone')
+                WHEN "new/changed" = 'Changed' THEN status = 'changed' ELSE status = 'new' END AS agrees
+        FROM delta LEFT JOIN (FROM history WHERE valid_to IS NULL) ON "Object_name" = stem""",
+    "version_lineage": f"""WITH {links([1, 2, 1000, 7, 30, 100, 300])}, far AS (SELECT name, max(depth) AS depth FROM up GROUP BY name),
+        round AS (SELECT name, min(at) AS first, bool_or(at = name) AS inside FROM up WHERE depth > 1000 GROUP BY name)
+        SELECT n.name, coalesce(r.first, u.at, n.name) AS first, CASE WHEN r.name IS NULL THEN coalesce(f.depth, 0) END::BIGINT AS depth,
+            CASE WHEN r.inside THEN 'in' WHEN r.name IS NOT NULL THEN 'to' END AS cycle
+        FROM names n LEFT JOIN far f USING (name) LEFT JOIN up u ON u.name = n.name AND u.depth = f.depth LEFT JOIN round r ON r.name = n.name""",
+    "earlier_versions": f"""WITH {links([1, 2, 5, 7, 20, 50])}, endless AS (SELECT DISTINCT name FROM up WHERE depth > 1000)
+        SELECT name, depth::BIGINT AS back, at AS earlier FROM up WHERE name NOT IN (FROM endless)""",
+    "readers_in_sql": f"""WITH parts AS (SELECT doc_id, n_chars, list_filter(string_split(text, {NL}), lambda p: p <> '') AS lines FROM documents)
+        SELECT 'doc_' || doc_id || '.docx' AS files, (i - 1)::INTEGER AS part_no, lines[i] AS part, 'ok' AS status, false AS failed
+        FROM parts, unnest(range(1, len(lines) + 1)) AS t(i) WHERE n_chars >= 300 AND doc_id % 10 <> 0
+        UNION ALL SELECT 'doc_' || doc_id || '.docx', NULL, NULL, 'error', true FROM parts WHERE n_chars < 300 OR doc_id % 10 = 0""",
+    "batch_reports": f"""WITH {TEXTS} SELECT doc_id % 4 AS batch_id, count(*) AS n_files, count(*) AS n_ok, 0::BIGINT AS n_error,
+        sum(length(raw_text))::BIGINT AS n_chars FROM texts GROUP BY doc_id % 4""",
 }

@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 from docpipe.functions import html
 from docpipe.functions.names import DAY_STAMP, extension, replace_suffix, stem, title_case
 from docpipe.functions import text as tx
+from docpipe.functions.table_functions import register_readers
+from docpipe.operators import content_delta as cd
+from docpipe.operators import key_history as kh
+from docpipe.operators import lineage
 from docpipe.operators import manifest as m
 from docpipe.operators import outcomes as oc
 from docpipe.operators import pages as pg
@@ -19,15 +23,16 @@ from docpipe.operators.extract.job import SUPPORTED, extract, extract_from, extr
 from docpipe.operators.joins import natural_inner_join
 from docpipe.operators.report import reconcile_outcomes
 from docpipe.plans import stand_in as si
-from docpipe.plans.run import publish_and_export
-from docpipe.session import configure, run_name, scratch_path
+from docpipe.plans.run import publish_and_export, update_keys
+from docpipe.session import configure, run_name, scratch_path, snapshot
 from docpipe.sinks import files as sink
 from docpipe.sinks import log, tables
 from docpipe.sources import files as source
 from docpipe.sources import mapping as mp
 from docpipe.sources.manifests import read_backlog
 from docpipe.sources.snapshots import read_outcomes, read_pages_of, read_snapshot
-from docpipe.streaming.ingest import ingest_available, ingest_folder, read_target
+from docpipe.streaming import ingest
+from docpipe.streaming.ingest import ingest_available, ingest_folder, merge_batch, read_target
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -36,6 +41,11 @@ QUERIES: dict[str, Query] = {}
 RUN_DATE = dt.date(1995, 6, 20)
 BACKLOG_DAYS = 5
 SAMPLE_SIZE = 100
+FIRST_DAY = dt.date(1992, 1, 1)
+LAST_RUN = dt.date(2000, 1, 1)
+# versions per chain, in turn
+CHAINS = [1, 2, 1000, 7, 30, 100, 300]
+SHORT_CHAINS = [1, 2, 5, 7, 20, 50]
 
 
 def register(query: Query) -> Query:
@@ -64,6 +74,11 @@ def sample_files(spark, sf_dir):
     return source.sample_files(si.files_view(spark, sf_dir).select("files"), SAMPLE_SIZE)
 
 
+@register
+def sample_per_type(spark, sf_dir):
+    return source.sample_per_type(si.files_view(spark, sf_dir).select("files"), SAMPLE_SIZE)
+
+
 @register
 def name_parts(spark, sf_dir):
     name = F.col("files")
@@ -382,6 +397,72 @@ def manifest_files_roundtrip(spark, sf_dir):
     return rows.withColumn("Document_date", F.date_format("Document_date", "yyyy-MM-dd"))
 
 
+@register
+def key_history(spark, sf_dir):
+    """All orders as manifests, taken in three loads, the days out of order and one load twice."""
+    view, path = si.manifest_view(spark, sf_dir), scratch_path(spark, "keys")
+    for load in (2, 0, 1, 0):
+        kh.add_days(view.where(F.dayofyear("manifest_date") % 3 == load), path)
+    return kh.read_history(spark, path)
+
+
+@register
+def attach_keys_as_of(spark, sf_dir):
+    """Every document with the keys in force on a day of its own."""
+    view, path = si.manifest_view(spark, sf_dir), scratch_path(spark, "keys")
+    kh.add_days(view, path)
+    day = F.date_add(F.lit(FIRST_DAY), (F.col("doc_id") * 37 % 2500).cast("int"))
+    texts = extract_plain(_plain_documents(spark, sf_dir).withColumn("day", day), carry=["day"]).select(
+        stem(F.col("files")).alias("Object_name"), "files", "day", "raw_text"
+    )
+    keyed = kh.attach_keys_as_of(texts, kh.read_history(spark, path), "day")
+    return keyed.select("files", "day", "valid_from", "object_id", "claim_id", "raw_text")
+
+
+@register
+def daily_key_history(spark, sf_dir):
+    """The manifest files of all days, taken by three runs of the daily loop; then every document with the keys in force."""
+    root, log_path, keys = (scratch_path(spark, name) for name in ("manifests", "log", "keys"))
+    si.write_bytes(si.manifest_files(spark, sf_dir), root)
+    for run_date in (RUN_DATE, LAST_RUN, LAST_RUN):
+        taken = update_keys(spark, root, log_path, keys, run_date)
+        log.mark_processed(taken.rows, log_path)
+    texts = _plain_texts(spark, sf_dir).select(stem(F.col("files")).alias("Object_name"), "files", "raw_text")
+    current = kh.in_force(kh.read_history(spark, keys), LAST_RUN - dt.timedelta(days=1))
+    return m.attach_keys(texts, current).select("files", "object_id", "claim_id", "Prior_Version_Object_Name", "raw_text")
+
+
+@register
+def content_claims(spark, sf_dir):
+    """Two days of a folder by the bytes of its files, against what the last manifest of each object claims.
+
+    On the second day some files are gone, some have other bytes, and the pages are new files.
+    """
+    first = si.raw_of(si.busy_table(spark, sf_dir, "documents"), "doc", si.plain_bytes(F.col("text")))
+    number = F.regexp_extract("files", r"\d+", 0).cast("bigint")
+    again = F.concat("content", F.lit(" again").cast("binary"))
+    second = first.where(number % 7 != 0).withColumn("content", F.when(number % 3 == 0, again).otherwise(F.col("content")))
+    pages = si.table(spark, sf_dir, "pages").select(
+        F.concat(F.lit("page_"), F.col("page_id").cast("string"), F.lit(".doc")).alias("files"), F.lit("doc").alias("ext"),
+        F.col("html").cast("binary").alias("content"),
+    )
+    kept = snapshot(cd.digests(first), "digests")
+    delta = cd.delta_by_content(kept, cd.digests(second.union(pages))).withColumn("Object_name", stem(F.col("files")))
+    said = si.manifest_view(spark, sf_dir).withColumnsRenamed({"manifest_date": "valid_from"}).withColumn("loaded", F.lit(0).cast("bigint"))
+    return cd.checked_claims(delta, kh.intervals(said).where("valid_to IS NULL"), "Object_name").drop("Object_name")
+
+
+@register
+def version_lineage(spark, sf_dir):
+    """Chains of one to a thousand orders, and cycles."""
+    return lineage.lineage(si.order_links(spark, sf_dir, CHAINS))
+
+
+@register
+def earlier_versions(spark, sf_dir):
+    return lineage.earlier_versions(si.order_links(spark, sf_dir, SHORT_CHAINS))
+
+
 # report, tables, stream
 
 
@@ -455,6 +536,32 @@ def sql_passthrough(spark, sf_dir):
     )
 
 
+@register
+def readers_in_sql(spark, sf_dir):
+    """A byte reader called from SQL; short documents are empty files, and those with a digit in front are no zip files."""
+    register_readers(spark)
+    text, n = F.col("text"), F.col("n_chars")
+    content = F.when(n < 300, F.lit("").cast("binary")).when(F.col("doc_id") % 10 == 0, text.cast("binary")).otherwise(si.docx_bytes(text))
+    view = f"files_{uuid.uuid4().hex[:12]}"
+    si.busy_table(spark, sf_dir, "documents").select(si.doc_name(".docx").alias("files"), content.alias("content")).createOrReplaceTempView(view)
+    return tables.run_sql(
+        spark,
+        "SELECT f.files, r.part_no, r.part, r.status, r.error IS NOT NULL AS failed",
+        f"FROM {view} f, LATERAL read_docx(f.content) r",
+    )
+
+
+@register
+def batch_reports(spark, sf_dir):
+    """Counts of four batches, taken while they are merged; one of them is repeated."""
+    texts = extract_plain(_plain_documents(spark, sf_dir).withColumn("batch", F.regexp_extract("files", r"\d+", 0).cast("bigint") % 4), carry=["batch"])
+    rows = texts.withColumns({"modificationTime": F.lit(None).cast("timestamp"), "path": F.col("files")})
+    target = scratch_path(spark, "ingested")
+    for batch in (0, 1, 2, 2, 3, 1):
+        merge_batch(rows.where(F.col("batch") == batch), batch, target, "documents")
+    return ingest.batch_reports(spark, target).select("batch_id", "n_files", "n_ok", "n_error", "n_chars")
+
+
 @register
 def incremental_ingest(spark, sf_dir):
     """The documents folder as a stream, run twice; the second run finds nothing new."""

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from docpipe.functions.names import stem
 from docpipe.operators.extract.job import READERS, extract_from, extract_plain
 from docpipe.operators.joins import natural_inner_join
+from docpipe.operators.key_history import add_days, has_history, in_force, read_history
 from docpipe.operators.manifest import attach_keys, changed, unprocessed
 from docpipe.operators.outcomes import count_outcomes, error_listing
 from docpipe.operators.pages import PageReader, clean_pages, page_outcomes, read_pages
@@ -20,7 +21,7 @@ from docpipe.sinks import files as sink
 from docpipe.sinks.log import mark_processed, read_log
 from docpipe.sinks.tables import TEXT_COLUMNS, create_table, overwrite_table
 from docpipe.sources.files import converted_doc_files, raw_files
-from docpipe.sources.manifests import read_backlog
+from docpipe.sources.manifests import Manifest, read_backlog
 from docpipe.sources.mapping import read_mapping
 from docpipe.sources.snapshots import read_outcomes, read_pages_of, read_snapshot
 
@@ -105,7 +106,7 @@ def publish_and_export(
     """
     spark = merged.sparkSession
     table_rows = publish(merged, table, keys, ext)
-    _, csv_rows = sink.write_csv(spark.table(table), csv_folder, "MergedDataFrame", ext, run_date)
+    _, csv_rows = sink.write_csv(spark.table(table), csv_folder, "MergedDataFrame", ext, run_date, stored=True)
     # counted where they lie, from the footers of the table's files
     return {"csv_rows": csv_rows, "table_rows": table_rows, "cluster_rows": spark.table(table).count()}
 
@@ -129,13 +130,26 @@ def run_format(
     return spark.table(table)
 
 
-def newest_keys(manifest: DataFrame) -> DataFrame:
-    """One row per object: that of its newest manifest."""
-    keys = F.struct("object_id", "claim_id", "Prior_Version_Object_Name")
-    newest = manifest.where(F.col("Object_name").isNotNull()).groupBy("Object_name").agg(
-        F.max(F.struct("manifest_date", keys.alias("keys"))).alias("last")
-    )
-    return newest.select("Object_name", "last.keys.*")
+def update_keys(
+    spark: SparkSession, manifest_root: str, log_path: str, history_path: str, run_date: dt.date, days: int | None = None
+) -> Manifest:
+    """Bring the manifests of the ``days`` days before ``run_date``, or of all, that the log does not have into the key history.
+
+    Returns their rows, written, and what could not be taken. A history that is missing although days were logged is
+    made anew from every manifest before ``run_date``. The caller logs the days when its run is done; days that
+    are taken again until then say the same again.
+    """
+    known = has_history(spark, history_path)
+    logged = folder_exists(spark, log_path)
+    manifest = read_backlog(spark, manifest_root, run_date, days, extra=["object_id"])
+    rows = manifest.rows.where(F.col("manifest_date") < F.lit(run_date))
+    rows = snapshot(unprocessed(rows, read_log(spark, log_path)) if logged else rows, "manifest-rows")
+    if logged and not known:
+        every = read_backlog(spark, manifest_root, extra=["object_id"]).rows
+        add_days(every.where(F.col("manifest_date") < F.lit(run_date)), history_path)
+    elif rows.head(1):
+        add_days(rows, history_path)
+    return Manifest(rows, manifest.rejects)
 
 
 def run_daily(
@@ -149,26 +163,26 @@ def run_daily(
     run_date: dt.date,
     days: int = 1,
     page_reader: PageReader | None = None,
+    history_path: str | None = None,
 ) -> DataFrame | None:
     """The daily loop of one format; returns the report, or None if there is nothing to do.
 
-    Manifests of the days before ``run_date`` that the log does not have are read. The texts of the
-    folder get the keys of these manifests and are published. The log is written last, so a run that
+    Manifests of the days before ``run_date`` that the log does not have are read into the key history, by default
+    ``<log_path>_keys``. The texts of the folder get the keys that the history has in force on the day before ``run_date``, whenever
+    they came, and are published. The log is written last, so a run that
     broke off is repeated and a run that is done is not. Manifest rows and files that could not be taken are
     written beside the error list.
     """
-    manifest = read_backlog(spark, manifest_root, run_date, days, extra=["object_id"])
+    history_path = history_path or f"{log_path}_keys"
+    manifest = update_keys(spark, manifest_root, log_path, history_path, run_date, days)
     rows = manifest.rows
-    if folder_exists(spark, log_path):
-        rows = unprocessed(rows, read_log(spark, log_path))
-    rows = snapshot(rows, "manifest-rows")
     sink.write_errors(manifest.rejects, folders.errors, "manifest", run_date)
     if not rows.head(1):
         return None
     if extract_folder(spark, ext, folders, run_date, page_reader) is None:
         raise ValueError(f"unknown format {ext}")
     texts = read_snapshot(spark, folders.snapshots, ext, run_date).select(stem(F.col("files")).alias("Object_name"), "files", "raw_text")
-    keyed = attach_keys(texts, newest_keys(rows))
+    keyed = attach_keys(texts, in_force(read_history(spark, history_path), run_date - dt.timedelta(days=1)))
     published = publish_and_export(
         keyed, table, {"object_id": "object_id", "claim_id": "claim_id"}, ext, csv_folder, run_date
     )

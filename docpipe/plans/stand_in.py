@@ -180,6 +180,20 @@ def manifest_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def order_links(spark: SparkSession, sf_dir: str, lengths: list[int]) -> DataFrame:
+    """Orders as versions of documents: in each thousand of keys chains of one length, every order replacing the one before.
+
+    In every fourth thousand the first of a chain names its middle as its prior version: a cycle with a tail.
+    """
+    key = F.col("o_orderkey")
+    length = F.get(F.array(*map(F.lit, lengths)), (F.floor(key / 1000) % len(lengths)).cast("int"))
+    at = (key % 1000) % length
+    back = F.when(at > 0, key - 1).when((F.floor(key / 1000) % 4 == 3) & (length > 1), key + F.floor(length / 2))
+    return table(spark, sf_dir, "orders").select(
+        F.concat(F.lit("ord_"), key.cast("string")).alias("name"), F.concat(F.lit("ord_"), back.cast("string")).alias("prior")
+    )
+
+
 def mapping_view(spark: SparkSession, sf_dir: str, suffix: str = ".doc") -> DataFrame:
     """Labels as the mapping: business values by file name."""
     return table(spark, sf_dir, "labels").select(doc_name(suffix).alias("files"), "quality", "toxic")

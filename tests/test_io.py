@@ -1,22 +1,27 @@
 """Sources and sinks on real files."""
 
 import datetime as dt
+import inspect
+import os
 
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import Row
+from pyspark.sql import functions as F
 
 from docpipe import session
 from docpipe.operators import manifest as m
 from docpipe.operators.extract.job import extract_from
+from docpipe.operators.key_history import add_days, attach_keys_as_of, has_history, in_force, read_history
 from docpipe.plans.run import Folders, extract_folder, run_daily, run_format
 from docpipe.sinks import files as sink
-from docpipe.sinks import log, tables
+from docpipe.sinks import log, state, tables
 from docpipe.sources import files as source
-from docpipe.sources import manifests
-from docpipe.sources.mapping import read_mapping
+from docpipe.sources import listing, manifests
+from docpipe.sources.listing import listed
+from docpipe.sources.mapping import first_lines, read_mapping
 from docpipe.sources.snapshots import read_outcomes, read_snapshot, rows_of_map
-from docpipe.streaming.ingest import ingest_available, ingest_folder, read_target
+from docpipe.streaming.ingest import TARGET_SCHEMA, batch_reports, ingest_available, ingest_folder, merge_batch, read_target, target_state
 from tests.helpers import docx, eml, run
 
 DAY = dt.date(2019, 5, 8)
@@ -79,6 +84,36 @@ def test_files_that_arrive_late_are_never_taken_for_empty(spark, tmp_path):
     assert rows(source.raw_files(spark, folder, ["docx"]).select("files", "length"))[-1] == ("late.docx", 16)
 
 
+def test_globs_match_as_in_spark(spark, tmp_path):
+    for folder in ("day0", "day1", "day12", "other", "_hidden", "day1/deep"):
+        fill(tmp_path / folder, a__docx=b"x", b__doc=b"xy", _c__docx=b"x")
+    for pattern in ("day[01]", "day{0,12}", "*", "day?", "d*[^2]", "day1/deep", "{other,day1}/*", "day\\[", "none*"):
+        folder = f"{tmp_path}/{pattern}"
+        try:
+            expected = rows(source.folder_scan(spark, folder, ["docx", "doc"]).selectExpr("path", "modificationTime", "length"))
+        except AnalysisException:
+            expected = []
+        assert rows(listed(spark, folder, ["docx", "doc"])) == expected, pattern
+        assert rows(listed(spark, f"file://{folder}", ["doc"])) == [r for r in expected if r[0].endswith(".doc")]
+
+
+def test_listing_of_many_names_stays_in_tasks(spark, tmp_path, monkeypatch):
+    for n in range(200):
+        folder = tmp_path / "raw" / f"day{n:03}"
+        folder.mkdir(parents=True)
+        for i in range(500):
+            (folder / f"f{i}.txt").touch()
+    (tmp_path / "raw" / "day007" / "full.txt").write_bytes(b"x")
+    received = []
+    for name in ("collect", "toLocalIterator", "toArrow", "toPandas", "first", "head", "take"):
+        monkeypatch.setattr(type(spark.range(0)), name, lambda *_: received.append(_) or pytest.fail("rows came to the driver"))
+    found = listed(spark, f"{tmp_path}/raw/*", ["txt"])
+    empty = source.empty_files(spark, f"{tmp_path}/raw/*", ["txt"])
+    assert found.count() == 100_001 and empty.count() == 100_000 and received == []
+    assert found.groupBy(F.spark_partition_id()).count().count() >= 8  # many tasks listed
+    assert "_jdf" not in inspect.getsource(source) + inspect.getsource(listing)
+
+
 def test_folder_is_listed_without_a_join(spark, tmp_path):
     folder = fill(tmp_path / "raw", a__docx=b"x", b__docx=b"", c__doc=b"y")
     plan = extract_from(lambda exts: source.raw_files(spark, folder, exts))._jdf.queryExecution().executedPlan().toString()
@@ -149,6 +184,13 @@ def test_mapping_files_with_different_headers_are_refused(spark, tmp_path):
         read_mapping(spark, str(tmp_path))
 
 
+def test_header_check_sorts_nothing_and_reads_once(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("files,meta\na,1\n")
+    lines = spark.read.text(str(tmp_path)).selectExpr("value", "_metadata.file_path AS path", "_metadata.file_block_start AS start")
+    plan = first_lines(lines, lines.value == "files,meta")._jdf.queryExecution().executedPlan().toString()
+    assert "Sort" not in plan and "HashAggregate" in plan and plan.count("FileScan") == 1
+
+
 def test_bad_mapping_files(spark, tmp_path):
     (tmp_path / "empty.csv").write_text("")
     (tmp_path / "one.csv").write_text("files\na\n")
@@ -392,7 +434,53 @@ def test_daily_runs(spark, tmp_path, database):
     assert go(DAY, 3) is None and log.last_processed(spark, str(tmp_path / "log")) == dt.date(2019, 5, 7)
     day("20190508", "o4,b,,2019-05-04,s,Changed,4,9")
     assert go(DAY + dt.timedelta(days=1), 2)["daily_files"] == 1
-    assert table() == [(None, None, "a.rtf", "a"), ("o4", "4", "b.rtf", "b")] or table()[0][0] == "o4"
+    assert table() == [("o2", "2", "a.rtf", "a"), ("o4", "4", "b.rtf", "b")]
+    # a growing folder, and a day that comes late: it does not hide what later days said
+    fill(tmp_path / "raw", d__rtf=b"{\\rtf1 D}", e__rtf=b"{\\rtf1 E}")
+    day("20190504", "o5,d,,2019-05-04,s,New,5,9", "o0,a,,2019-05-04,s,New,0,9")
+    day("20190509", "o6,e,,2019-05-09,s,New,6,9")
+    go(DAY + dt.timedelta(days=2), 9)
+    after = [("o2", "2", "a.rtf", "a"), ("o4", "4", "b.rtf", "b"), ("o5", "5", "d.rtf", "d"), ("o6", "6", "e.rtf", "e")]
+    assert table() == after
+    history = read_history(spark, str(tmp_path / "log_keys")).where("Object_name = 'a'")
+    assert rows(history.selectExpr("day(valid_from)", "day(valid_to)", "object_id")) == [(4, 5, "o0"), (5, 6, "o1"), (6, None, "o2")]
+    # logged days without a history: it is made anew
+    session.remove(spark, str(tmp_path / "log_keys"))
+    day("20190510", "o7,nobody,,2019-05-09,s,New,6,9")
+    go(DAY + dt.timedelta(days=3), 1)
+    assert table() == after
+
+
+def manifest_rows(spark, *rows_):
+    """``name, day of May, object_id`` as manifest rows."""
+    values = [(n, None if d is None else dt.date(2019, 5, d), o, "c" + o, None, "New") for n, d, o in rows_]
+    return spark.createDataFrame(
+        values, "Object_name string, manifest_date date, object_id string, claim_id string, Prior_Version_Object_Name string, `new/changed` string"
+    )
+
+
+def test_key_history_in_any_order_of_days(spark, tmp_path):
+    days = {1: [("a", 1, "a1"), ("b", 1, "b1")], 2: [("a", 2, "a2"), ("a", 2, "a0")], 4: [("a", 4, "a4"), ("c", 4, "c4")], 7: [("b", 7, "b7")]}
+    expected = [("a", 1, 2, "a1"), ("a", 2, 4, "a2"), ("a", 4, None, "a4"), ("b", 1, 7, "b1"), ("b", 7, None, "b7"), ("c", 4, None, "c4")]
+    for n, order in enumerate([[1, 2, 4, 7], [7, 4, 2, 1], [4, 4, 1, 7, 1, 2, 7]]):
+        path = str(tmp_path / f"keys{n}")
+        assert not has_history(spark, path)
+        for day in order:
+            add_days(manifest_rows(spark, *days[day], (None, day, "x"), ("z", None, "x")), path, buckets=3)
+        history = read_history(spark, path)
+        assert rows(history.selectExpr("Object_name", "day(valid_from)", "day(valid_to)", "object_id")) == sorted(expected, key=repr)
+    add_days(manifest_rows(spark, ("a", 2, "corrected")), path)
+    history = read_history(spark, path)
+    got = {r.Object_name: r.object_id for r in in_force(history, dt.date(2019, 5, 3)).collect()}
+    assert got == {"a": "corrected", "b": "b1"}
+    texts = spark.createDataFrame(
+        [(n, None if d is None else dt.date(2019, 5, d), f"{n}{d}") for n, d in [("a", 1), ("a", 3), ("a", 9), ("b", 6), ("c", 3), ("d", 3), (None, 3), ("a", None)]],
+        "Object_name string, day date, raw_text string",
+    )
+    got = attach_keys_as_of(texts, history, "day").select("raw_text", "object_id")
+    assert rows(got) == sorted(
+        [("a1", "a1"), ("a3", "corrected"), ("a9", "a4"), ("b6", "b1"), ("c3", None), ("d3", None), ("None3", None), ("aNone", None)], key=repr
+    )
 
 
 def test_repeated_run_forgets_files_that_are_gone(spark, tmp_path):
@@ -452,7 +540,7 @@ def test_only_new_files_are_ingested(spark, tmp_path):  # F21
     fill(folder, c__eml=eml(("text/html", "<p>C</p>")))
     assert ingest() == [("a.eml", "a", "ok"), ("b.eml", None, "skipped"), ("c.eml", "c", "ok")]
     assert ingest() == [("a.eml", "a", "ok"), ("b.eml", None, "skipped"), ("c.eml", "c", "ok")]
-    batches = spark.read.parquet(target).groupBy("batch_id").count()
+    batches = state.read_state(spark, target_state(target)).groupBy("batch_id").count()
     assert rows(batches) == [(0, 2), (1, 1)]
 
 
@@ -465,8 +553,6 @@ def test_stream_of_several_formats(spark, tmp_path):
 
 
 def test_newer_delivery_wins(spark, tmp_path):
-    import os
-
     folder = tmp_path / "raw"
     target, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
     for day, text, at in (("20190507", b"HEADERold", 1_000_000_000), ("20190508", b"HEADERnew", 1_000_000_100)):
@@ -478,8 +564,6 @@ def test_newer_delivery_wins(spark, tmp_path):
 
 
 def test_stream_has_the_rows_of_a_batch(spark, tmp_path):
-    import os
-
     folder = tmp_path / "raw"
     target, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
     fill(folder, a__txt=b"HEADERold", e__docx=b"", x__zip=b"x", big__txt=b"y" * 500)
@@ -498,7 +582,7 @@ def test_stream_has_the_rows_of_a_batch(spark, tmp_path):
         ("big.txt", None, "error", "content not read: 500 bytes are above the limit of 100"),
         ("e.docx", None, "error", "is empty"), ("f.docx", None, "error", "is empty"), ("x.zip", None, "unsupported", None),
     ]
-    assert spark.read.parquet(target).count() == 6
+    assert read_target(spark, target).count() == 6
 
 
 def test_stream_of_pages_and_of_converted_files(spark, tmp_path):
@@ -507,21 +591,96 @@ def test_stream_of_pages_and_of_converted_files(spark, tmp_path):
 
     fill(tmp_path / "raw" / "d1", a__pdf=b"One\fTwo", c__csv=b"HEADERText")
     fill(tmp_path / "raw" / "d2", a__pdf=b"", c__csv=b"")
+    for file in (tmp_path / "raw" / "d1").iterdir():
+        os.utime(file, (1_000_000_000, 1_000_000_000))
     out = lambda name: str(tmp_path / name)
     ingest_folder(spark, f"{tmp_path}/raw/*", out("pdf"), out("pdf-checkpoint"), page_reader=reader)
     ingest_folder(spark, f"{tmp_path}/raw/*", out("doc"), out("doc-checkpoint"), converted_doc=True)
-    assert rows(spark.read.parquet(out("pdf")).select("files", "raw_text", "status")) == [("a.pdf", "", "ok"), ("a.pdf", "onetwo", "ok")]
-    assert rows(spark.read.parquet(out("doc")).select("files", "raw_text")) == [("c.doc", ""), ("c.doc", "text")]
+    # both days bring the same name; the one that came last counts
+    assert rows(read_target(spark, out("pdf")).select("files", "raw_text", "status")) == [("a.pdf", "", "ok")]
+    assert rows(read_target(spark, out("doc")).select("files", "raw_text")) == [("c.doc", "")]
+    assert rows(batch_reports(spark, out("doc")).select("batch_id", "n_files", "n_ok")) == [(-1, 1, 1), (0, 1, 1)]
+
+
+def outcomes_of(spark, *rows_):
+    """``files, raw_text, second of delivery`` as outcome rows."""
+    values = [(f, "txt", t, "ok", None, dt.datetime(2020, 1, 1, 0, 0, at), f"/in/{f}") for f, t, at in rows_]
+    return spark.createDataFrame(values, TARGET_SCHEMA.rpartition(",")[0])
+
 
+def test_repeated_batch_is_not_applied_again(spark, tmp_path):
+    target = str(tmp_path / "out")
+    assert merge_batch(outcomes_of(spark, ("a", "old", 1), ("b", "b", 1)), 0, target, "s")
+    assert merge_batch(outcomes_of(spark, ("a", "new", 2)), 1, target, "s")
+    before = state.newest(spark, target)
+    assert not merge_batch(outcomes_of(spark, ("a", "again", 3)), 1, target, "s")
+    assert not merge_batch(outcomes_of(spark, ("c", "again", 3)), 0, target, "s")
+    assert state.newest(spark, target) == before
+    assert merge_batch(outcomes_of(spark, ("c", "c", 1), ("a", "late", 0)), 0, target, "another stream")
+    assert rows(read_target(spark, target).select("files", "raw_text")) == [("a", "new"), ("b", "b"), ("c", "c")]
+
+
+def test_reports_of_batches_equal_a_recount(spark, tmp_path):
+    folder, target, checkpoint = tmp_path / "raw", str(tmp_path / "out"), str(tmp_path / "checkpoint")
+    fill(folder, a__txt=b"HEADERabc", b__eml=b"Subject: x\r\n\r\nplain", c__zip=b"x", d__rtf=b"{\\rtf1 }}", e__docx=b"")
+    ingest_folder(spark, str(folder), target, checkpoint)
+    fill(folder, f__txt=b"HEADERdef gh")
+    for _ in range(2):
+        ingest_folder(spark, str(folder), target, checkpoint)
+    reports = batch_reports(spark, target)
+    assert rows(reports.drop("version", "source")) == [(-1, 1, 0, 1, 0, 0, 0), (0, 4, 1, 1, 1, 1, 3), (1, 1, 1, 0, 0, 0, 6)]
+    recount = read_target(spark, target).selectExpr("count(*)", "count_if(status = 'ok')", "count_if(status = 'error')", "sum(length(raw_text))").first()
+    assert tuple(recount) == tuple(reports.selectExpr("sum(n_files)", "sum(n_ok)", "sum(n_error)", "sum(n_chars)").first())
 
-def test_repeated_batch_replaces_itself(spark, tmp_path):
-    from docpipe.streaming.ingest import write_batch
 
-    df = spark.createDataFrame([("a", 1)], "files string, n int")
+def test_batch_that_breaks_off_leaves_no_trace_and_is_repeated(spark, tmp_path, monkeypatch):
+    target = str(tmp_path / "out")
+    merge_batch(outcomes_of(spark, ("a", "a", 1)), 0, target, "s")
+
+    def killed(*_):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as patch:
+        patch.setattr(session, "write_new", killed)
+        with pytest.raises(KeyboardInterrupt):
+            merge_batch(outcomes_of(spark, ("a", "b", 2), ("c", "c", 2)), 1, target, "s")
+    assert rows(read_target(spark, target).select("files", "raw_text")) == [("a", "a")]
+    assert merge_batch(outcomes_of(spark, ("a", "b", 2), ("c", "c", 2)), 1, target, "s")
+    assert rows(read_target(spark, target).select("files", "raw_text")) == [("a", "b"), ("c", "c")]
+
+
+def test_only_touched_buckets_are_rewritten(spark, tmp_path):
+    target = str(tmp_path / "out")
+    first = [(f"f{i}", "x", 1) for i in range(200)]
+    merge_batch(outcomes_of(spark, *first), 0, target, "s")
+    one = state.newest(spark, target)["pieces"]
+    assert len(one) > 40 and all(len(p) == 1 for p in one.values())
+    merge_batch(outcomes_of(spark, ("f7", "y", 2), ("brand new", "z", 2)), 1, target, "s")
+    two = state.newest(spark, target)["pieces"]
+    changed = {b for b in two if two[b] != one.get(b)}
+    assert len(changed) <= 2 and {len(two[b]) for b in changed} <= {1, 2}
+    assert read_target(spark, target).where("files = 'f7'").first().raw_text == "y"
+    plan = read_target(spark, target)._jdf.queryExecution().executedPlan().toString()
+    assert not any(word in plan for word in ("Exchange", "Join", "Aggregate", "Sort"))
+    for batch in range(2, 14):  # pieces are put together in time
+        merge_batch(outcomes_of(spark, (f"more{batch}", "m", 1)), batch, target, "s")
+    assert max(len(p) for p in state.newest(spark, target)["pieces"].values()) <= state.MOST_PIECES
+    assert read_target(spark, target).count() == 213
+    merge_batch(outcomes_of(spark, *[(f, "w", 3) for f, _, _ in first]), 14, target, "s")  # nothing is left of the first piece
+    named = {p for of_bucket in state.newest(spark, target)["pieces"].values() for p in of_bucket}
+    assert state.vacuum(spark, target_state(target), keep=1)
+    assert read_target(spark, target).count() == 213 and set(session.names_in(spark, f"{target}/data")) == named
+
+
+def test_merge_that_another_got_ahead_of_is_refused(spark, tmp_path, monkeypatch):
     target = str(tmp_path / "out")
-    for batch in (0, 1, 1, 0):
-        write_batch(df, batch, target)
-    assert rows(spark.read.parquet(target).groupBy("batch_id").count()) == [(0, 1), (1, 1)]
+    stale = state.newest(spark, target)
+    merge_batch(outcomes_of(spark, ("a", "a", 1)), 0, target, "s")
+    with monkeypatch.context() as patch:
+        patch.setattr(state, "newest", lambda *_: stale)
+        with pytest.raises(state.Conflict):
+            merge_batch(outcomes_of(spark, ("b", "b", 1)), 0, target, "other")
+    assert rows(read_target(spark, target).select("files")) == [("a",)]
 
 
 # session

@@ -7,12 +7,13 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from docpipe.functions.html import string_nodes
+from docpipe.functions.table_functions import register_readers
 from docpipe.operators.extract.docx import read_docx
 from docpipe.operators.extract.eml import read_eml
 from docpipe.operators.extract.job import READERS, read_parts
 from docpipe.operators.extract.rtf import read_rtf
 from docpipe.plans.stand_in import pack_docx
-from tests.helpers import eml
+from tests.helpers import docx, eml, run, zipped
 
 LETTERS = st.text(
     st.one_of(st.sampled_from(string.printable), st.characters(min_codepoint=0x20, exclude_categories=["Cs", "Cc"])),
@@ -75,3 +76,28 @@ def test_any_bytes_give_a_row(content, ext):
 def test_nodes_keep_all_visible_characters(pieces):
     letters = sum(p == "a" for p in pieces)
     assert "".join(string_nodes("".join(pieces))).count("a") == letters
+
+
+def test_readers_as_table_functions(spark):
+    def pages(content):
+        for n, page in enumerate(content.split(b"|")):
+            if page == b"broken":
+                raise ValueError("cut off")
+            yield n, page.decode(), None if page else "blank"
+
+    assert register_readers(spark, pages={"cut": pages})[-1] == "read_cut_pages"
+    body = docx(f"<w:p>{run('A')}</w:p><w:p>{run('B')}</w:p>")
+    files = [("a", body), ("b", b"no zip"), ("c", b""), ("d", None), ("e", zipped(other_xml="<x/>"))]
+    spark.createDataFrame(files, "files string, content binary").createOrReplaceTempView("files_of_readers")
+    sql = "SELECT f.files, r.part_no, r.part, r.status, r.error IS NULL FROM files_of_readers f, LATERAL read_docx(f.content) r"
+    got = sorted((tuple(r) for r in spark.sql(sql).collect()), key=repr)
+    assert got == [
+        ("a", 0, "A", "ok", True), ("a", 1, "B", "ok", True), ("b", None, None, "error", False), ("c", None, None, "error", False),
+        ("d", None, None, "error", False), ("e", None, None, "skipped", True),
+    ]
+    cut = [(1, b"x||y"), (2, b"x|broken|y"), (3, None)]
+    spark.createDataFrame(cut, "id int, content binary").createOrReplaceTempView("cut_of_readers")
+    got = spark.sql("SELECT f.id, r.* FROM cut_of_readers f, LATERAL read_cut_pages(f.content) r").collect()
+    assert sorted((tuple(r) for r in got), key=repr) == [
+        (1, 0, "x", None), (1, 1, "", "blank"), (1, 2, "y", None), (2, 0, "x", None), (2, None, None, "cut off"), (3, None, None, "content not read"),
+    ]

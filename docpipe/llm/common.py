@@ -50,7 +50,7 @@ def kept_by_worker(name: str, make: Callable[[], Any]) -> Any:
 
 
 # A bitmap of ids: its size is fixed, so it can be sent to every task however many ids there are.
-BITMAP_BITS = 1 << 25
+BITMAP_BITS = 1 << 27
 
 
 def _bit(ids: np.ndarray) -> np.ndarray:

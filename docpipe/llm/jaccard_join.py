@@ -6,14 +6,15 @@ visitor, in the one below. In a band with bound H every element is hashed to one
 
 - Screening: with m = H + 1, partners have at least one segment in common. Segments are counted once over all sets; a set
   whose segments nobody shares has no partner, and its elements go no further.
-- Segment subsets: with more segments, partners share at least m - H of them. A set with fewer shared segments is out. Of
-  the others a set looks up only the rarest ones, as many as leave H of all: partners cannot differ in each of these.
+- Segment subsets: with more segments, partners share at least m - H of them. A set with fewer shared segments is out. The
+  members of a list, those with one subset, are verified against its hub, the one on most lists; for most copies that is all, since
+  from here on only lists that hold several classes count. Of these a set looks up the cheapest, as many as leave H of all its
+  segments: partners cannot differ in each of them.
 - One-deletion neighbourhoods: a set for which that would open long lists may pay otherwise. A segment that is looked up with one
   difference allowed (the subset, the subset without any one element, and those of others without one) counts twice, so a frequent
-  segment can be skipped. Units are bought by their list lengths, the cheapest first, until H + 1 are paid.
-- Only sets close to many others still need a long list. They meet its hub, the member that meets most; then the
-  members outside the largest class meet those of the rest that were no hubs yet, in rounds, until no list holds two classes
-  that were not compared. A list is never expanded into its pairs.
+  segment can be skipped. Units are bought by what they cost, the number of sets of other classes on the lists, until H + 1 are paid.
+- Only sets close to many of other classes still need a long list. There the members outside the largest class meet the
+  rest, some at a time, in rounds, until no list holds two classes that were not compared. A list is never expanded into its pairs.
 
 A pair is found as soon as one of its two sets has looked up everything it paid for, so each step looks only at the sets the one before
 left open. Every pair found is verified on the elements; classes are the connected components.
@@ -28,7 +29,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docpipe.llm.common import among, written
-from docpipe.llm.minhash import STEP, _lists, _mixed, components, shingles, verified
+from docpipe.llm.sets import STEP, components, list_array, mixed, shingles, verified
 
 
 @dataclass(frozen=True)
@@ -46,7 +46,7 @@ class Settings:
 
     words: int = 3
     percent: int = 90
-    spread: int = 2
+    spread: int = 3
     cold: int = 12
 
     def bound(self, smallest: int) -> int:
@@ -75,15 +75,15 @@ def set_of(text: str | None, k: int) -> np.ndarray:
 
 def segmented(elements: np.ndarray, salt: np.uint64, m: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Each element's segment and value, and the sum of values of every segment, which names its subset."""
-    h = _mixed(elements + salt)
-    segment, value = (h % np.uint64(m)).astype(np.int64), _mixed(h)
+    h = mixed(elements + salt)
+    segment, value = (h % np.uint64(m)).astype(np.int64), mixed(h)
     sums = np.zeros(m, np.uint64)
     np.add.at(sums, segment, value)
     return segment, value, sums
 
 
 def _key(sums: np.ndarray, segment: np.ndarray, salt: np.uint64) -> np.ndarray:
-    return _mixed(sums + _mixed(segment.astype(np.uint64) + salt))
+    return mixed(sums + mixed(segment.astype(np.uint64) + salt))
 
 
 def _salt(band: int, m: int) -> np.uint64:
@@ -114,7 +114,7 @@ def _sketcher(s: Settings):
                 homes.append(len(keys[0]) if keys else 0)
                 found.append(np.concatenate(keys) if keys else np.empty(0, np.uint64))
             yield pa.record_batch(
-                [batch.column(0), pa.array(digests, pa.binary()), pa.array(sizes, pa.int64()), pa.array(homes, pa.int32()), _lists(found)],
+                [batch.column(0), pa.array(digests, pa.binary()), pa.array(sizes, pa.int64()), pa.array(homes, pa.int32()), list_array(found)],
                 names=["doc_id", "digest", "n", "home", "keys"],
             )
 
@@ -129,11 +129,25 @@ def _setter(s: Settings, wanted):
             batch = batch.filter(pa.array(wanted(batch.column(0).to_numpy())))
             made = [set_of(text.as_py(), s.words) for text in batch.column(1)]
             digests = [xxhash.xxh3_128_digest(m.tobytes()) if len(m) else None for m in made]
-            yield pa.record_batch([pa.array(digests, pa.binary()), _lists(made)], names=["digest", "shingles"])
+            yield pa.record_batch([pa.array(digests, pa.binary()), list_array(made)], names=["digest", "shingles"])
 
     return sets
 
 
+def _those_among(wanted):
+    """Rows of ``id, key`` for the keys that may be shared; the exact choice is a join afterwards."""
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(1)
+            values = lists.flatten().to_numpy()
+            ids = np.repeat(batch.column(0).to_numpy(), np.diff(lists.offsets.to_numpy()))
+            keep = wanted(values)
+            yield pa.record_batch([pa.array(ids[keep]), pa.array(values[keep])], names=["id", "key"])
+
+    return keys
+
+
 ROWS_PER_BATCH = 100_000
 ENTRY = "id long, n long, band int, own boolean, need int, m int"
 
@@ -150,8 +164,10 @@ def _poster(s: Settings, neighbours: bool):
     }
 
     def rows_of(id_: int, elements: np.ndarray, band: int, own: bool) -> list[np.ndarray]:
-        need = int(bounds[band]) + 1
-        m = need * s.spread
+        # what this set may differ from its largest partner here, which is not more than the band's bound
+        largest = len(elements) * 100 // s.percent if own else int(lows[band + 1]) - 1
+        need = (len(elements) + largest) * (100 - s.percent) // (100 + s.percent) + 1
+        m = (int(bounds[band]) + 1) * s.spread
         salt = _salt(band, m)
         segment, value, sums = segmented(elements, salt, m)
         segments, keys, less = np.arange(m), _key(sums, np.arange(m), salt), np.zeros(m, bool)
@@ -183,65 +199,95 @@ def _poster(s: Settings, neighbours: bool):
 
 
 def _postings(sets: DataFrame, s: Settings, neighbours: bool = False) -> DataFrame:
+    """Rows of ``sets`` (``id, shingles, band, root``) in their lists.
+
+    A list holds the sets with one subset in one segment, or those that have it when one element is left out.
+    """
     rows = sets.select("id", "shingles", "band").mapInArrow(_poster(s, neighbours), f"{ENTRY}, segment int, less boolean, key long")
-    return rows if neighbours else rows.drop("segment", "less")
+    return rows.withColumn("list", F.when(F.col("less"), F.bitwise_not("key")).otherwise(F.col("key")))
+
+
+def _lists(postings: DataFrame) -> DataFrame:
+    """``list, size, main, of_main``: lists of several classes, with the class that most of each belong to.
+
+    A list of visitors alone is none, its sets meet in their own band.
+    """
+    of_class = postings.groupBy("list", "root").agg(F.count("*").alias("n"), F.max("own").alias("at_home"))
+    return of_class.groupBy("list").agg(
+        F.sum("n").alias("size"), F.max(F.struct("n", "root")).alias("most"), F.count("*").alias("classes"), F.max("at_home").alias("at_home")
+    ).where("classes > 1 AND at_home").select("list", "size", F.col("most.root").alias("main"), F.col("most.n").alias("of_main"))
+
+
+# How many sets of other classes a set meets on a list. Members of the main class meet only those outside it.
+PRICE = "size - CASE WHEN root = main THEN of_main ELSE 0 END"
 
 
 def _shared(postings: DataFrame, s: Settings, name: str) -> tuple[DataFrame, DataFrame]:
-    """Postings of sets that share enough segments, with list lengths; and these sets, with how many segments are shared and short.
+    """Postings of sets that share enough segments with other classes, with their lists; and these sets.
 
-    Partners share at least m - need + 1 segments. A list of visitors alone is none.
+    Partners share at least m - need + 1 segments.
     """
-    sizes = postings.groupBy("key").agg(F.count("*").alias("size"), F.max("own").alias("at_home")).where("size > 1 AND at_home")
-    met = written(postings.join(sizes.select("key", "size"), "key"), f"{name}-met")
-    entries = met.groupBy("id", "band", "need", "m").agg(
-        F.count("*").alias("shared"), F.count(F.when(F.col("size") <= s.cold, 1)).alias("short")
+    met = written(postings.join(_lists(postings), "list").withColumn("price", F.expr(PRICE)), f"{name}-met")
+    entries = met.groupBy("id", "band", "need", "m", "root").agg(
+        F.count("*").alias("shared"), F.count(F.when(F.col("price") <= s.cold, 1)).alias("short")
     ).where("shared > m - need")
     entries = written(entries, f"{name}-entries")
     return met.join(entries.select("id", "band"), ["id", "band"], "left_semi"), entries
 
 
 def _fits(a: str, b: str, s: Settings) -> Column:
-    """Two rows of a list that may be partners: not the same set, one at home, sizes near enough."""
+    """Two rows of a list that may be partners: in different classes, one at home, sizes near enough."""
     small, large = F.least(f"{a}.n", f"{b}.n"), F.greatest(f"{a}.n", f"{b}.n")
-    return (F.col(f"{a}.id") != F.col(f"{b}.id")) & (F.col(f"{a}.own") | F.col(f"{b}.own")) & (small * 100 >= large * s.percent)
+    return (F.col(f"{a}.root") != F.col(f"{b}.root")) & (F.col(f"{a}.own") | F.col(f"{b}.own")) & (small * 100 >= large * s.percent)
+
+
+def _pairs(probes: DataFrame, index: DataFrame, s: Settings) -> DataFrame:
+    """What the probes meet. Both sides have ``list, id, n, own, root, main``.
+
+    Of two classes on a list one is not the main one. So probes of the main class meet the others only, and no join
+    looks at the pairs within it.
+    """
+    def met(p: DataFrame, x: DataFrame) -> DataFrame:
+        both = p.alias("p").join(x.alias("x"), (F.col("p.list") == F.col("x.list")) & _fits("p", "x", s))
+        return both.select(F.least("p.id", "x.id").alias("a"), F.greatest("p.id", "x.id").alias("b"))
+
+    return met(probes.where("root <> main"), index).union(met(probes.where("root = main"), index.where("root <> main")))
 
 
-def _pairs(probes: DataFrame, index: DataFrame, s: Settings, also: Column | None = None) -> DataFrame:
-    p, x = probes.alias("p"), index.alias("x")
-    met = p.join(x, (F.col("p.key") == F.col("x.key")) & _fits("p", "x", s) & (F.lit(True) if also is None else also))
-    return met.select(F.least("p.id", "x.id").alias("a"), F.greatest("p.id", "x.id").alias("b"))
+def _to_hubs(met: DataFrame, s: Settings) -> DataFrame:
+    """Each list's members with its hub, the set that is on most lists."""
+    often = met.groupBy("id").agg(F.count("*").alias("often"))
+    # struct order: most lists first, then the smallest id
+    rank = F.struct("often", (-F.col("id")).alias("neg"), "n", "own")
+    hubs = met.join(often, "id").groupBy("list").agg(F.max(rank).alias("hub")).select(
+        "list", (-F.col("hub.neg")).alias("id"), F.col("hub.n").alias("n"), F.col("hub.own").alias("own"), (-F.col("hub.neg")).alias("root")
+    )
+    both = met.alias("p").join(hubs.alias("x"), (F.col("p.list") == F.col("x.list")) & (F.col("p.id") != F.col("x.id")) & _fits("p", "x", s))
+    return both.select(F.least("p.id", "x.id").alias("a"), F.greatest("p.id", "x.id").alias("b")).distinct()
 
 
 def _by_subsets(met: DataFrame, entries: DataFrame, s: Settings) -> DataFrame:
-    """Pairs from looking up the rarest segments of every set that has enough of them on short lists."""
+    """Pairs from looking up the cheapest segments of every set that has enough of them on short lists."""
     done = entries.where("short >= shared - (m - need)").select("id", "band", (F.col("shared") - F.col("m") + F.col("need")).alias("look_up"))
-    rarest = Window.partitionBy("id", "band").orderBy("size", "key")  # the segments of one set
-    short = met.where(F.col("size") <= s.cold)
-    probes = short.join(done, ["id", "band"]).withColumn("nth", F.row_number().over(rarest)).where("nth <= look_up")
-    return _pairs(probes, short, s)
+    cheapest = Window.partitionBy("id", "band").orderBy("price", "list")  # the segments of one set
+    probes = met.where(F.col("price") <= s.cold).join(done, ["id", "band"])
+    return _pairs(probes.withColumn("nth", F.row_number().over(cheapest)).where("nth <= look_up"), met, s)
 
 
-def _bought(postings: DataFrame, s: Settings) -> DataFrame:
+def _bought(probes: DataFrame, s: Settings) -> DataFrame:
     """How many differences each set allows in which segment: ``units`` 1 is none, 2 is one; ``hot`` if that opens a long list.
 
-    The price of a unit is the length of the lists it opens; long ones come last.
+    ``probes`` are the lists that a set can look up, with ``unit``, the unit that opens them, and ``price``. Long lists are bought last.
     """
-    sizes = postings.groupBy("key").agg(
-        F.count(F.when(~F.col("less"), 1)).alias("same"), F.count(F.when(F.col("less"), 1)).alias("short_of")
-    ).where("same + short_of > 1")
-    own = F.when(F.col("less"), 0).otherwise(1)  # nobody else has the key
-    priced = postings.join(sizes, "key", "left").withColumns({"same": F.coalesce("same", own), "short_of": F.coalesce("short_of", F.lit(0))})
-    lists = F.when(F.col("less"), F.col("same")).otherwise(F.col("same") - 1 + F.col("short_of"))
-    per_segment = priced.groupBy("id", "band", "need", "segment").agg(
-        F.max(F.when(~F.col("less"), F.col("same") - 1)).alias("one"), F.sum(lists).alias("two"), F.max(lists).alias("longest")
+    per_segment = probes.groupBy("id", "band", "need", "segment").agg(
+        F.sum(F.when(F.col("unit") == 1, F.col("price")).otherwise(0)).alias("one"), F.sum("price").alias("two"), F.max("price").alias("longest")
     )
     long_list = lambda n: F.when(F.col(n) > s.cold, F.lit(1e9)).otherwise(0.0)
     one, two = F.col("one") + long_list("one"), F.col("two") + long_list("longest")
     # a second unit that is cheaper than the first is bought together with it
     prices = F.when(two < 2 * one, F.array(two / 2, two / 2)).otherwise(F.array(one, two - one))
-    units = per_segment.select("id", "band", "need", "segment", "one", "longest", F.explode(prices).alias("price"))
-    cheapest = Window.partitionBy("id", "band").orderBy("price", "segment")  # two units per segment of one set
+    units = per_segment.select("id", "band", "need", "segment", "one", "longest", F.explode(prices).alias("cost"))
+    cheapest = Window.partitionBy("id", "band").orderBy("cost", "segment")  # two units per segment of one set
     chosen = units.withColumn("nth", F.row_number().over(cheapest)).where("nth <= need")
     return chosen.groupBy("id", "band", "segment").agg(
         F.count("*").alias("units"), F.max("one").alias("one"), F.max("longest").alias("longest")
@@ -249,77 +295,122 @@ def _bought(postings: DataFrame, s: Settings) -> DataFrame:
 
 
 def _by_neighbours(sets: DataFrame, entries: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame]:
-    """Pairs from segments bought with and without a difference; and ``key, id, n, own`` of the long lists that sets cannot avoid."""
-    postings = written(_postings(sets.join(entries.select("id", "band"), "id"), s, neighbours=True), "join-neighbours")
-    bought = written(_bought(postings, s), "join-bought")
-    rows = postings.join(bought.select("id", "band", "segment", "units", "hot"), ["id", "band", "segment"]).where("units = 2 OR NOT less")
-    probes = written(rows, "join-probes")
-    one_less = ~F.col("p.less") & F.col("x.less") & (F.col("p.units") == 2)
-    cold = _pairs(probes.where("NOT hot"), postings, s, ~F.col("x.less") | one_less)
+    """Pairs from segments bought with and without a difference; and ``list, id, n, own`` of the long lists that sets cannot avoid."""
+    wanted = sets.join(entries.select("id", "band", "root"), "id")
+    postings = _postings(wanted, s, neighbours=True).join(entries.select("id", "band", "root"), ["id", "band"])
+    postings = written(postings, "join-neighbours")
+    lists = written(_lists(postings), "join-neighbour-lists")
+    index = written(postings.join(lists, "list"), "join-neighbour-index")
+    # a subset opens the list of equal ones and, for one more unit, of those that have it with one element more; a subset
+    # without an element opens the list of its equals
+    opened = F.when(F.col("less"), F.array(F.struct("key", F.lit(2)))).otherwise(
+        F.array(F.struct("key", F.lit(1)), F.struct(F.bitwise_not("key").alias("key"), F.lit(2)))
+    )
+    probes = postings.select("id", "n", "band", "own", "root", "need", "segment", F.inline(opened).alias("list", "unit"))
+    probes = probes.join(lists, "list", "left").withColumn("price", F.coalesce(F.expr(PRICE), F.lit(0)))
+    probes = written(probes, "join-probes")
+    bought = written(_bought(probes, s), "join-bought")
+    chosen = probes.where("price > 0").join(bought.select("id", "band", "segment", "units", "hot"), ["id", "band", "segment"]).where("unit <= units")
+    near = _pairs(chosen.where("NOT hot"), index, s)
     # pairs with a set that avoided all long lists are found; others are both in this table
-    hot = written(probes.where("hot").select("id", "band").distinct(), "join-hot")
-    lists = probes.where("hot").select("key").distinct()
-    crowded = postings.join(hot, ["id", "band"], "left_semi").join(lists, "key").select("key", "id", "n", "own").distinct()
-    return cold, crowded
+    hot = written(chosen.where("hot").select("id", "band", "list").distinct(), "join-hot")
+    crowded = index.join(hot.select("id", "band").distinct(), ["id", "band"], "left_semi").select("list", "id", "n", "own")
+    probing = chosen.where("hot").select("list", "id", "n", "own")
+    return near, crowded.union(probing).join(hot.select("list").distinct(), "list", "left_semi").distinct()
 
 
-def _rounds(lists: DataFrame, links: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
-    """Links of the members of long lists, from verifying members against hubs only.
+def _joined_roots(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """``id, root`` after further links; only classes that these join are worked on."""
+    of = lambda side: roots.select(F.col("id").alias(side), F.col("root").alias(f"r{side}"))
+    named = links.join(of("a"), "a", "left").join(of("b"), "b", "left").select(
+        F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b")
+    ).where("a <> b").distinct()
+    above = components(named).select(F.col("id").alias("root"), F.col("root").alias("above"))
+    known = roots.join(above, "root", "left").select("id", F.coalesce("above", "root").alias("root"))
+    new = above.join(roots.select(F.col("id").alias("root")), "root", "left_anti").select(F.col("root").alias("id"), F.col("above").alias("root"))
+    return written(known.union(new), "join-roots")
+
+
+def _rounds(lists: DataFrame, roots: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
+    """``id, root`` after the members of long lists have been verified against hubs, members outside the largest class of a list.
 
     A list is done when all its members that were no hubs are in one class: every other pair either was verified or is in
-    one class. The number of hubs per list grows by four each round, so few rounds are needed.
+    one class. The number of hubs per list grows sixteenfold each round, so few rounds are needed.
     """
     lists = written(lists, "join-lists")
     met = lists.groupBy("id").agg(F.count("*").alias("met"))
-    members = written(lists.join(met, "id").withColumn("root", F.col("id")), "join-members")
-    found, hubs_per_list = links, 1
+    members, hubs_per_list = lists.join(met, "id"), 16
     while True:
-        roots = components(found)
-        members = members.drop("root").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
-        classes = members.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-        members = written(members.join(classes.where("low <> high").select("key"), "key", "left_semi"), "join-members")
+        members = written(_with_roots(members, roots), "join-members")
+        classes = members.groupBy("list").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+        members = written(members.join(classes.where("low <> high").select("list"), "list", "left_semi"), "join-members")
         if not members.head(1):
-            return found
-        largest = members.groupBy("key", "root").agg(F.count("*").alias("of_class")).groupBy("key").agg(
+            return roots
+        largest = members.groupBy("list", "root").agg(F.count("*").alias("of_class")).groupBy("list").agg(
             F.max(F.struct("of_class", "root")).alias("c")
-        ).select("key", F.col("c.root").alias("main"))
-        order = Window.partitionBy("key").orderBy(F.desc("met"), "id")
-        strays = members if hubs_per_list == 1 else members.join(largest, "key").where("root <> main").drop("main")
+        ).select("list", F.col("c.root").alias("main"))
+        order = Window.partitionBy("list").orderBy(F.desc("met"), "id")
+        strays = members.join(largest, "list").where("root <> main").drop("main")
         hubs = written(
             strays.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= hubs_per_list)
-            .select("key", F.col("id").alias("hub"), F.col("n").alias("hub_n"), F.col("own").alias("hub_own"), F.col("root").alias("hub_root")), "join-hubs",
+            .select("list", F.col("id").alias("hub"), F.col("n").alias("hub_n"), F.col("own").alias("hub_own"), F.col("root").alias("hub_root")), "join-hubs",
         )
         small, large = F.least("n", "hub_n"), F.greatest("n", "hub_n")
-        pairs = members.join(hubs, "key").where(
+        pairs = members.join(hubs, "list").where(
             (F.col("root") != F.col("hub_root")) & (F.col("own") | F.col("hub_own")) & (small * 100 >= large * s.percent)
         ).select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct()
-        found = found.union(written(verified(written(pairs, "join-pairs"), sets, s), "join-links"))
-        members = written(members.join(hubs.select("key", F.col("hub").alias("id")), ["key", "id"], "left_anti"), "join-members")
-        hubs_per_list *= 4
+        found = written(verified(written(pairs, "join-pairs"), sets, s.percent), "join-links")
+        if found.head(1):
+            roots = _joined_roots(roots, found)
+        members = members.join(hubs.select("list", F.col("hub").alias("id")), ["list", "id"], "left_anti").drop("root")
+        hubs_per_list *= 16
 
 
-def links_of(nodes: DataFrame, texts: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame]:
-    """Sets of the nodes in question, and verified links that join all partners of them into classes.
+def classes_among(sets: DataFrame, s: Settings, links: DataFrame | None = None) -> DataFrame:
+    """``id, root``: the classes into which all partners among ``sets`` (``id, shingles``) and the given links join.
 
-    ``nodes`` has ``digest, id, first, n, home, keys``; ``texts`` has ``doc_id, text``.
+    Pairs that the given links join are not compared again. Sets without a link may be missing.
     """
+    everywhere = _postings(sets.withColumn("band", F.lit(None).cast("int")), s).drop("segment", "less", "key")
+    met, _ = _shared(written(everywhere.withColumn("root", F.col("id")), "join-postings"), s, "join-first")
+    met = written(met.drop("price", "size", "main", "of_main"), "join-questioned")
+    roots = None if links is None else components(links)
+    pairs = _to_hubs(met, s) if roots is None else _apart(_to_hubs(met, s), roots)
+    found = written(verified(written(pairs, "join-hub-pairs"), sets, s.percent), "join-hub-links")
+    roots = components(found) if roots is None else _joined_roots(roots, found)
+    # only lists that still hold several classes matter, and sets that share enough of them
+    met, entries = _shared(_with_roots(met.drop("root"), roots), s, "join-second")
+    met = written(met, "join-index")
+    near, long_lists = _by_neighbours(sets, entries.where("short < shared - (m - need)"), s)
+    pairs = _by_subsets(met, entries, s).union(near).distinct()
+    found = written(verified(written(pairs, "join-pairs"), sets, s.percent), "join-links")
+    if found.head(1):
+        roots = _joined_roots(roots, found)
+    return _rounds(long_lists, roots, sets, s)
+
+
+def _with_roots(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    return rows.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+
+
+def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """The pairs that are in different classes."""
+    named = pairs.join(roots.toDF("a", "ra"), "a", "left").join(roots.toDF("b", "rb"), "b", "left")
+    return named.where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b")
+
+
+def classes_of(nodes: DataFrame, texts: DataFrame, s: Settings, links: DataFrame | None) -> DataFrame:
+    """Classes of the nodes (``digest, id, first, n, home, keys``), with sets made from ``texts`` (``doc_id, text``)."""
     exploded = nodes.select("id", F.posexplode("keys").alias("at", "key"), "home").select("id", "key", (F.col("at") < F.col("home")).alias("own"))
     crowds = exploded.groupBy("key").agg(F.count("*").alias("size"), F.max("own").alias("at_home")).where("size > 1 AND at_home").select("key")
-    question = written(
-        nodes.select("id", "digest", "first").join(exploded.join(crowds, "key", "left_semi").select("id").distinct(), "id", "left_semi"), "join-question"
-    )
+    crowds = written(crowds, "join-crowds")
+    likely = nodes.select("id", "keys").mapInArrow(_those_among(among(crowds)), "id long, key long")
+    asked = likely.join(crowds, "key", "left_semi").select("id").distinct()
+    question = written(nodes.select("id", "digest", "first").join(asked, "id", "left_semi"), "join-question")
     made = texts.where("doc_id IS NOT NULL").mapInArrow(_setter(s, among(question.select("first"))), "digest binary, shingles array<long>")
-    sets = written(
+    return classes_among(written(
         made.join(question.select("digest", "id"), "digest").groupBy("id").agg(F.any_value("shingles").alias("shingles")), "join-sets"
-    )
-    met, _ = _shared(written(_postings(sets.withColumn("band", F.lit(None).cast("int")), s), "join-postings"), s, "join-first")
-    # without the sets that are out, lists are shorter
-    met, entries = _shared(met.drop("size"), s, "join-second")
-    met = written(met, "join-index")
-    open_ = entries.where("short < shared - (m - need)")
-    near, lists = _by_neighbours(sets, open_, s)
-    pairs = written(_by_subsets(met, entries, s).union(near).distinct(), "join-pairs")
-    return sets, _rounds(lists, written(verified(pairs, sets, s), "join-links"), sets, s)
+    ), s, links)
 
 
 def joined(docs: DataFrame, settings: Settings = Settings(), text: str = "text") -> DataFrame:
@@ -332,12 +423,11 @@ def joined(docs: DataFrame, settings: Settings = Settings(), text: str = "text")
         known.groupBy("digest").agg(F.min("doc_id").alias("first"), F.any_value(F.struct("n", "home", "keys")).alias("s"))
         .select("digest", F.monotonically_increasing_id().alias("id"), "first", "s.*"), "join-nodes",
     )
-    _, links = links_of(nodes, texts, s)
     repeated = known.groupBy("doc_id").agg(F.count("*").alias("rows")).where("rows > 1").select("doc_id")
     rows = known.join(repeated, "doc_id").select("doc_id", "digest").distinct().join(nodes.select("digest", "id"), "digest")
     least = rows.groupBy("doc_id").agg(F.min("id").alias("b"))
-    same_id = rows.join(least, "doc_id").where("id <> b").select(F.col("id").alias("a"), "b")
-    roots = components(reduce(DataFrame.union, [links, same_id]))
+    same_id = written(rows.join(least, "doc_id").where("id <> b").select(F.col("id").alias("a"), "b"), "join-same-id")
+    roots = classes_of(nodes, texts, s, same_id if same_id.head(1) else None)
     linked = written(nodes.select("digest", "id", "first").join(roots, "id"), "join-linked")
     class_of = linked.join(linked.groupBy("root").agg(F.min("first").alias("component")), "root").select("id", "component")
     names = written(nodes.select("digest", "id", "first").join(class_of, "id", "left").select("digest", F.coalesce("component", "first").alias("component_id")), "join-names")

@@ -15,9 +15,9 @@ band meet in a bucket. A pair is linked if the Jaccard similarity of its distinc
 reaches the threshold exactly; classes are the connected components.
 
 A bucket is never expanded into its pairs. Each member is verified against the bucket's hub, the
-member that meets most others over all bands (the common origin of a group of copies). Pairs of
-members in different classes follow only if a bound from their overlaps with the hub lets them reach the
-threshold; every such pair is verified.
+member that meets most others over all bands (the common origin of a group of copies). Where members are left in
+different classes, the texts of these buckets are compared by the exact join of ``jaccard_join``, which finds
+every pair of them that reaches the threshold and no long list of others.
 
 Defined cases: rows without a doc_id take no part and have a null class. Rows that share a doc_id
 are one document; each of its texts is compared. Texts with one to four words are one shingle; a text without words is a class of
@@ -26,25 +26,19 @@ its own. The class id is the smallest doc_id of the class.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from docpipe.llm.common import written
-
-MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
-STEP = np.uint64(0x9E3779B97F4A7C15)
-
-
-def _nth(i: int) -> np.uint64:
-    """The i-th value of the sequence that seeds an element's draws."""
-    return np.uint64(int(STEP) * i & 0xFFFFFFFFFFFFFFFF)
-
+from docpipe.llm import jaccard_join
+from docpipe.llm.common import among, written
+from docpipe.llm.jaccard_join import classes_among
+from docpipe.llm.sets import STEP, components, list_array, mixed, nth, shingles, similar, verified
 
 @dataclass(frozen=True)
 class Settings:
@@ -63,25 +57,6 @@ class Settings:
         return self.bands * self.rows
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
-    """A bijective scrambling of 64-bit values (the finaliser of splitmix64)."""
-    x = (x ^ (x >> np.uint64(30))) * MIX[0]
-    x = (x ^ (x >> np.uint64(27))) * MIX[1]
-    return x ^ (x >> np.uint64(31))
-
-
-def shingles(words: list[bytes], k: int) -> np.ndarray:
-    """Hashes of all runs of ``k`` words, repeats included; fewer words are one run."""
-    if not words:
-        return np.empty(0, np.uint64)
-    h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
-    n = max(1, len(words) - k + 1)
-    out = np.full(n, len(words) if len(words) < k else k, np.uint64)
-    for j in range(min(k, len(words))):
-        out = _mixed(out * STEP + h[j:j + n])
-    return out
-
-
 def signature(elements: np.ndarray, weights: np.ndarray, m: int) -> np.ndarray:
     """ProbMinHash of distinct elements: per register the element that arrives first.
 
@@ -94,7 +69,7 @@ def signature(elements: np.ndarray, weights: np.ndarray, m: int) -> np.ndarray:
     live, rate = elements, weights
     while len(live):
         turn += 1
-        draw = _mixed(live + _nth(2 * turn))
+        draw = mixed(live + nth(2 * turn))
         wait = -np.log1p(-(draw >> np.uint64(11)).astype(np.float64) * 2.0**-53) / rate
         at = at + wait
         slowest = first.max()
@@ -103,7 +78,7 @@ def signature(elements: np.ndarray, weights: np.ndarray, m: int) -> np.ndarray:
             live, rate, at = live[keep], rate[keep], at[keep]
             if not len(live):
                 break
-        register = (_mixed(live + _nth(2 * turn + 1)) % np.uint64(m)).astype(np.int64)
+        register = (mixed(live + nth(2 * turn + 1)) % np.uint64(m)).astype(np.int64)
         before = first.copy()
         np.minimum.at(first, register, at)
         won = (at == first[register]) & (at < before[register])
@@ -116,7 +91,7 @@ def bands(sig: np.ndarray, s: Settings) -> np.ndarray:
     parts = sig.reshape(s.bands, s.rows)
     out = np.arange(1, s.bands + 1, dtype=np.uint64)
     for j in range(s.rows):
-        out = _mixed(out * STEP + parts[:, j])
+        out = mixed(out * STEP + parts[:, j])
     return out
 
 
@@ -132,13 +107,6 @@ def keys(elements: np.ndarray, counts: np.ndarray, s: Settings) -> np.ndarray:
     return np.union1d(plain, bands(signature(elements, 1.0 + np.log(counts), s.registers), s))
 
 
-def _lists(rows: list[np.ndarray]) -> pa.ListArray:
-    offsets = np.zeros(len(rows) + 1, np.int32)
-    np.cumsum([len(r) for r in rows], out=offsets[1:])
-    values = np.concatenate(rows) if rows else np.empty(0, np.uint64)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.view(np.int64)))
-
-
 def _digest(words: list[bytes]) -> bytes | None:
     return xxhash.xxh3_128_digest(b" ".join(words)) if words else None
 
@@ -154,64 +122,27 @@ def _sketcher(s: Settings):
                 sizes.append(len(elements))
                 found.append(keys(elements, counts, s) if words else np.empty(0, np.uint64))
             yield pa.record_batch(
-                [batch.column(0), pa.array(digests, pa.binary()), pa.array(sizes, pa.int64()), _lists(found)],
+                [batch.column(0), pa.array(digests, pa.binary()), pa.array(sizes, pa.int64()), list_array(found)],
                 names=["doc_id", "digest", "n", "bands"],
             )
 
     return sketch
 
 
-def _sets(s: Settings):
+def _sets(s: Settings, wanted: Callable[[np.ndarray], np.ndarray]):
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            batch = batch.filter(pa.array(wanted(batch.column(0).to_numpy())))
             digests, rows = [], []
             for text in batch.column(1):
                 words = (text.as_py() or "").encode().split()
                 digests.append(_digest(words))
                 rows.append(np.unique(shingles(words, s.words)))
-            yield pa.record_batch([pa.array(digests, pa.binary()), _lists(rows)], names=["digest", "shingles"])
+            yield pa.record_batch([pa.array(digests, pa.binary()), list_array(rows)], names=["digest", "shingles"])
 
     return sets
 
 
-def _similar(a: Column, b: Column, common: Column, s: Settings) -> Column:
-    """``common / (a + b - common) >= percent / 100`` in whole numbers."""
-    return common * (100 + s.percent) >= (a + b) * s.percent
-
-
-def verified(pairs: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
-    """The pairs (a, b) whose shingle sets are similar enough."""
-    left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
-    right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
-    common = F.size(F.array_intersect("sa", "sb"))
-    return pairs.select("a", "b").join(left, "a").join(right, "b").where(
-        _similar(F.size("sa"), F.size("sb"), common, s)
-    ).select("a", "b")
-
-
-def components(links: DataFrame) -> DataFrame:
-    """``id`` and ``root``, the smallest id that links lead to, for every id with a link.
-
-    Each round takes the smallest root among an id's neighbours and then the root of that root,
-    so the number of rounds grows with the logarithm of the longest chain.
-    """
-    both = written(links.select(F.col("a").alias("id"), F.col("b").alias("to")).union(
-        links.select(F.col("b").alias("id"), F.col("a").alias("to"))
-    ).distinct(), "near-edges")
-    roots = written(both.groupBy("id").agg(F.least("id", F.min("to")).alias("root")), "near-roots")
-    while True:
-        near = both.join(roots.select(F.col("id").alias("to"), "root"), "to").groupBy("id").agg(F.min("root").alias("least"))
-        lower = roots.join(near, "id").select("id", F.col("root").alias("was"), F.least("root", "least").alias("root"))
-        jump = roots.select(F.col("id").alias("root"), F.col("root").alias("next"))
-        after = written(
-            lower.join(jump, "root", "left").select("id", "was", F.coalesce("next", "root").alias("root")), "near-roots"
-        )
-        moved = after.where("was <> root").limit(1).count()
-        roots = after.select("id", "root")
-        if not moved:
-            return roots
-
-
 def classes(docs: DataFrame, settings: Settings = Settings(), text: str = "text") -> DataFrame:
     """``doc_id`` and ``class_id`` of every row."""
     s = settings
@@ -240,22 +171,19 @@ def classes(docs: DataFrame, settings: Settings = Settings(), text: str = "text"
         ), "near-hubs",
     )
     pairs = written(
-        to_hub.where((F.col("id") != F.col("hub")) & _similar(F.col("n"), F.col("hub_n"), F.least("n", "hub_n"), s))
+        to_hub.where((F.col("id") != F.col("hub")) & similar(F.col("n"), F.col("hub_n"), F.least("n", "hub_n"), s.percent))
         .select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct(), "near-pairs",
     )
-    # the texts in question, once; their shingles serve both rounds of verifying
+    # the texts in question, once; only their shingles leave the tasks that read them
     in_question = written(nodes.join(met.select("id").distinct(), "id", "left_semi"), "near-question")
+    made = texts.where("doc_id IS NOT NULL").mapInArrow(_sets(s, among(in_question.select("first"))), "digest binary, shingles array<long>")
     sets = written(
-        texts.join(in_question, F.col("doc_id") == F.col("first"), "left_semi")
-        .mapInArrow(_sets(s), "digest binary, shingles array<long>")
-        .groupBy("digest").agg(F.min("shingles").alias("shingles"))
-        .join(in_question.select("digest", "id"), "digest").select("id", "shingles"), "near-sets",
+        made.join(in_question.select("digest", "id"), "digest").groupBy("id").agg(F.any_value("shingles").alias("shingles")), "near-sets"
     )
-    links = written(verified(pairs, sets, s), "near-links")
-    roots = components(links)
-    rest = written(_rest(to_hub, roots, sets, s), "near-rest")
-    more = written(verified(rest, sets, s), "near-links")
-    roots = components(_same_id(known, nodes).union(links).union(more))
+    links = written(verified(pairs, sets, s.percent), "near-links")
+    # buckets that still hold several classes: all their texts, compared by the exact join
+    rest = sets.join(_open(to_hub, components(links)), "id", "left_semi")
+    roots = classes_among(written(rest, "near-rest"), jaccard_join.Settings(s.words, s.percent), links.union(_same_id(known, nodes)))
     linked = written(nodes.join(roots, "id").select("id", "root", "first"), "near-linked")
     least = linked.groupBy("root").agg(F.min("first").alias("class_id"))
     named = written(linked.join(least, "root").select("id", "class_id"), "near-named")
@@ -274,63 +202,11 @@ def _same_id(known: DataFrame, nodes: DataFrame) -> DataFrame:
     return rows.join(least, "doc_id").where("id <> b").select(F.col("id").alias("a"), "b")
 
 
-def _rest(to_hub: DataFrame, roots: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
-    """Pairs that share a bucket and a hub, are in different classes, and could be similar.
-
-    For a hub h, what two members a and b have in common is at most the smaller of their overlaps
-    with h, plus the shingles outside h that both have. So a pair has one of two forms:
-
-    - the overlaps with h suffice alone. Since one of the two is not similar to h, the other must be smaller
-      than h by a margin; sizes are dealt into narrow cells and only fitting cells meet.
-    - they share shingles outside h. These are counted per pair; shingles that only one class has are left out, and
-      so are members for which all that they share would not be enough.
-
-    A group of copies of one text has neither: its members differ from the hub each in its own way.
-    """
-    placed = to_hub.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
-    placed = written(placed, "near-placed")
-    mixed = placed.where("size > 2").groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-    open_ = placed.join(mixed.where("low <> high").select("band"), "band").select("hub", "id", "n", "root").distinct()
-    own, of_hub = sets.select("id", F.col("shingles").alias("own")), sets.select(F.col("id").alias("hub"), F.col("shingles").alias("base"))
-    hub_roots = roots.select(F.col("id").alias("hub"), F.col("root").alias("hub_root"))
-    members = written(
-        open_.join(own, "id").join(of_hub, "hub").join(hub_roots, "hub", "left").select(
-            "hub", "id", "n", "root", F.size(F.array_intersect("own", "base")).alias("overlap"),
-            F.array_except("own", "base").alias("outside"), (F.col("root") != F.coalesce("hub_root", "hub")).alias("apart"),
-        ), "near-members",
-    )
-    narrow = ["hub", "id", "n", "root", "overlap"]
-    # shingles outside the hub that members of several classes have
-    outside = members.select(*narrow, F.explode("outside").alias("shingle"))
-    several = outside.groupBy("hub", "shingle").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-    shared = outside.join(several.select("hub", "shingle"), ["hub", "shingle"])
-    # members that no partner of a size found around this hub could reach, even with all they share
-    sizes = members.select("hub", F.col("n").alias("size")).distinct()
-    least = members.select("hub", "n").distinct().join(sizes, "hub").where(
-        (F.col("size") * 100 >= F.col("n") * s.percent) & (F.col("n") * 100 >= F.col("size") * s.percent)
-    ).groupBy("hub", "n").agg(F.min("size").alias("least"))
-    most = shared.groupBy(*narrow).agg(F.count("*").alias("shared")).join(least, ["hub", "n"])
-    able = most.where(_similar(F.col("n"), F.col("least"), F.col("overlap") + F.col("shared"), s)).select("hub", "id")
-    shared = written(shared.join(able, ["hub", "id"]), "near-outside")
-    a, b = shared.alias("a"), shared.alias("b")
-    smaller = F.least("a.overlap", "b.overlap")
-    together = a.join(
-        b, (F.col("a.hub") == F.col("b.hub")) & (F.col("a.shingle") == F.col("b.shingle"))
-        & (F.col("a.id") < F.col("b.id")) & (F.col("a.root") != F.col("b.root"))
-    ).groupBy("a.hub", F.col("a.id").alias("a"), F.col("b.id").alias("b"), F.col("a.n").alias("na"), F.col("b.n").alias("nb"), smaller.alias("overlap")).agg(
-        F.count("*").alias("extra")
-    ).where(_similar(F.col("na"), F.col("nb"), F.col("overlap") + F.col("extra"), s)).select("a", "b")
-    # sizes at which the overlaps with the hub suffice alone
-    cell = lambda n: F.floor(F.log(n) / np.log(1.02)).cast("int")
-    low = F.ceil(F.col("n") * s.percent / 100)
-    high = F.floor(F.col("overlap") * (100 + s.percent) / s.percent - F.col("n"))
-    wanted = members.where("apart").select(*narrow).where(high >= low).withColumn("cell", F.explode(F.sequence(cell(low) - 1, cell(high) + 1)))
-    c, d = wanted.alias("c"), members.select(*narrow, cell(F.col("n")).alias("cell")).alias("d")
-    alone = c.join(
-        d, (F.col("c.hub") == F.col("d.hub")) & (F.col("c.cell") == F.col("d.cell")) & (F.col("c.id") != F.col("d.id"))
-        & (F.col("c.root") != F.col("d.root")) & _similar(F.col("c.n"), F.col("d.n"), F.least("c.overlap", "d.overlap"), s)
-    ).select(F.least("c.id", "d.id").alias("a"), F.greatest("c.id", "d.id").alias("b"))
-    return together.union(alone).distinct()
+def _open(to_hub: DataFrame, roots: DataFrame) -> DataFrame:
+    """The texts that share a bucket with a text of another class."""
+    placed = written(to_hub.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id")).select("band", "id", "root"), "near-placed")
+    mixed_ = placed.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
+    return placed.join(mixed_.select("band"), "band", "left_semi").select("id").distinct()
 
 
 def deduplicated(docs: DataFrame, settings: Settings = Settings(), text: str = "text") -> DataFrame:

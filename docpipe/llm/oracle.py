@@ -11,6 +11,16 @@ def _bits() -> str:
     return " + ".join(f"(CASE WHEN {fails.replace('m.', '')} THEN {1 << bit} ELSE 0 END)" for bit, _, fails in quality_rules.RULES)
 
 
+def _names() -> str:
+    return " ".join(f"WHEN {1 << bit} THEN '{name}'" for bit, name, _ in quality_rules.RULES)
+
+
+def _kept() -> str:
+    return ", ".join(
+        f"(fail_bits & {p.mask | quality_rules.BASE}) = 0 AS kept_{p.version.replace('-', '_')}" for p in quality_rules.POLICIES.values()
+    )
+
+
 OP3 = rf"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t, {WORDS} AS w FROM documents),
 windows AS (
@@ -32,10 +42,13 @@ m AS (
     length(regexp_replace(t, '[^0-9]', '', 'g')) AS n_digits
   FROM d LEFT JOIN repeated USING (r) LEFT JOIN line_counts USING (r)
 ),
-b AS (SELECT *, ({_bits()})::BIGINT AS fail_bits FROM m)
+b AS (SELECT *, ({_bits()})::BIGINT AS fail_bits FROM m),
+s AS (SELECT *, CASE fail_bits & {quality_rules.CURRENT.mask | quality_rules.BASE} {_names()} END AS sole_rule FROM b)
+-- kept_without_rule: how many documents would come back without the rule that alone rejects this one
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-  (fail_bits & {quality_rules.BASE}) <> 0 AS base_failed, (fail_bits & {quality_rules.CURRENT.mask | quality_rules.BASE}) = 0 AS kept, fail_bits
-FROM b
+  (fail_bits & {quality_rules.BASE}) <> 0 AS base_failed, (fail_bits & {quality_rules.CURRENT.mask | quality_rules.BASE}) = 0 AS kept, fail_bits,
+  {_kept()}, sole_rule, CASE WHEN sole_rule IS NULL THEN 0 ELSE count(*) OVER (PARTITION BY sole_rule) END AS kept_without_rule
+FROM s
 """
 
 _A = "[" + ", ".join(str(s[0]) for s in mixing.SCHEDULES) + "]"

@@ -4,8 +4,9 @@ Every rule is evaluated once per document. The ledger keeps what was measured an
 failure bits, so a new policy, or the question what a rule alone rejects, needs neither the
 text nor the rules again: both are bit operations on the ledger.
 
-Null text counts as empty. Rows are never merged: repeated documents each get their row, an
-empty table an empty ledger.
+Defined cases: null text counts as empty. Rows are never merged: repeated documents each get their row, an
+empty table an empty ledger. Very long texts are measured whole, their repeated windows in arrays. Any further columns, whatever their
+names, travel in a struct.
 """
 
 from __future__ import annotations
@@ -144,6 +145,17 @@ def apply_policy(entries: DataFrame, policy: Policy = CURRENT) -> DataFrame:
     )
 
 
+def verdicts(entries: DataFrame, policy: Policy = CURRENT) -> DataFrame:
+    """The ledger with the verdict of every policy version, and the rule of ``policy`` that alone rejects, if one does.
+
+    Nothing is measured again: all of it is read off the bits.
+    """
+    rejected = F.col("fail_bits").bitwiseAND(F.lit(policy.mask | BASE))
+    sole = F.coalesce(*[F.when(rejected == 1 << bit, name) for bit, name, _ in RULES])
+    kept = [(~p.rejects(F.col("fail_bits").bitwiseAND(F.lit(p.mask | BASE)))).alias(f"kept_{p.version.replace('-', '_')}") for p in POLICIES.values()]
+    return entries.select("*", *kept, sole.alias("sole_rule"))
+
+
 def ablations(entries: DataFrame, policy: Policy = CURRENT) -> DataFrame:
     """Per rule of a policy: documents that fail it, and those that only it rejects.
 

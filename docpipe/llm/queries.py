@@ -40,10 +40,16 @@ def op2_pii_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    entries = quality_rules.apply_policy(quality_rules.ledger(table(spark, sf_dir, "documents").select("doc_id", "text")))
-    return entries.select(
-        F.col("row.doc_id").alias("doc_id"), "m.n_words", "m.word_chars", "m.n_symbols", "m.n_dup_lines", "m.n_repeat_words",
-        "base_failed", "kept", "fail_bits",
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    measured = quality_rules.ledger(docs).select(F.col("row.doc_id").alias("doc_id"), "m", "fail_bits")
+    entries = written(measured, "rule-ledger")  # every rule ran once; what follows reads bits
+    alone = {r.rule: r.n_only_this_rule for r in quality_rules.ablations(entries).collect()}  # a row per rule
+    back = F.coalesce(*[F.when(F.col("sole_rule") == rule, F.lit(n)) for rule, n in sorted(alone.items())], F.lit(0)).cast("long")
+    judged = quality_rules.verdicts(quality_rules.apply_policy(entries))
+    return judged.select(
+        "doc_id", "m.n_words", "m.word_chars", "m.n_symbols", "m.n_dup_lines", "m.n_repeat_words",
+        "base_failed", "kept", "fail_bits", *[c for c in judged.columns if c.startswith("kept_")], "sole_rule",
+        back.alias("kept_without_rule"),
     )
 
 

@@ -110,3 +110,13 @@ def test_curriculum_repeats_documents_in_order_of_time(spark):
     counts = Counter(r.doc_id for r in out.collect())
     assert all(counts[i] == 3 for i in range(90, 100)) and abs(sum(counts.values()) - 100) <= 1
     assert mixing.curriculum(docs.limit(0)).count() == 0
+
+
+def test_verdicts_of_all_versions_are_read_off_the_bits(spark):
+    rows = spark.createDataFrame([(i,) for i in range(256)], "fail_bits long")
+    for r in quality_rules.verdicts(rows).collect():
+        assert r.kept_base == (r.fail_bits & 0b11 == 0)
+        assert r.kept_2024_1 == (r.fail_bits & 0b1111 == 0)
+        assert r.kept_2024_2 == (r.fail_bits == 0)
+        failed = [name for bit, name, _ in quality_rules.RULES if r.fail_bits >> bit & 1]
+        assert r.sole_rule == (failed[0] if len(failed) == 1 else None)

@@ -139,6 +139,26 @@ CONV_PAGES = f"""cleaned AS (SELECT 'conv_' || conv_id || '.pdf' AS files, CAST(
 
 STEM = "regexp_replace(files, '\\.[^.]*$', '')"
 
+# one row per object and day, and until when it holds
+HISTORY = f"""{MANIFEST}, said AS (
+    SELECT *, row_number() OVER (PARTITION BY "Object_name", manifest_date ORDER BY object_id DESC) AS nth FROM manifest),
+  history AS (
+    SELECT *, manifest_date AS valid_from, lead(manifest_date) OVER (PARTITION BY "Object_name" ORDER BY manifest_date) AS valid_to
+    FROM said WHERE nth = 1)"""
+
+
+def links(lengths: list[int]) -> str:
+    """Orders and their prior versions, and all that a walk back from each of them meets in 2,100 steps."""
+    return f"""RECURSIVE links AS MATERIALIZED (
+        SELECT 'ord_' || o_orderkey AS name, 'ord_' || CASE WHEN at > 0 THEN o_orderkey - 1
+            WHEN (o_orderkey // 1000) % 4 = 3 AND length > 1 THEN o_orderkey + length // 2 END AS prior
+        FROM (SELECT o_orderkey, length, (o_orderkey % 1000) % length AS at
+            FROM (SELECT o_orderkey, ({lengths})[(o_orderkey // 1000) % {len(lengths)} + 1] AS length FROM orders))),
+    names AS MATERIALIZED (SELECT name FROM links UNION SELECT prior FROM links WHERE prior IS NOT NULL),
+    up AS (SELECT name, prior AS at, 1 AS depth FROM links WHERE prior IS NOT NULL
+        UNION ALL SELECT up.name, prior, depth + 1 FROM up JOIN links ON up.at = links.name WHERE prior IS NOT NULL AND depth < 2100)"""
+
+
 ORACLE: dict[str, str] = {
     "select_by_extension": f"WITH {FILES} SELECT files FROM files WHERE dotted = '.docx'",
     "distinct_file_types": f"WITH {FILES} SELECT DISTINCT dotted AS ext FROM files WHERE length(dotted) BETWEEN 3 AND 5",

@@ -135,7 +135,7 @@ def running(values: Column, op=lambda a, b: a + b, zero: int = 0, block: int = 2
             lambda acc: acc["out"],
         )
 
-    totals = F.transform(cut, lambda c: F.aggregate(c, F.lit(zero), op))
+    totals = F.transform(cut, lambda c: F.aggregate(c, F.lit(zero), lambda a, b: op(a, b)))
     return F.flatten(F.zip_with(cut, line(totals, F.lit(zero)), line))
 
 

@@ -150,13 +150,13 @@ HISTORY = f"""{MANIFEST}, said AS (
 def links(lengths: list[int]) -> str:
     """Orders and their prior versions, and all that a walk back from each of them meets in 2,100 steps."""
     return f"""RECURSIVE links AS MATERIALIZED (
-        SELECT 'ord_' || o_orderkey AS name, 'ord_' || CASE WHEN at > 0 THEN o_orderkey - 1
+        SELECT 'ord_' || o_orderkey AS name, 'ord_' || CASE WHEN spot > 0 THEN o_orderkey - 1
             WHEN (o_orderkey // 1000) % 4 = 3 AND length > 1 THEN o_orderkey + length // 2 END AS prior
-        FROM (SELECT o_orderkey, length, (o_orderkey % 1000) % length AS at
+        FROM (SELECT o_orderkey, length, (o_orderkey % 1000) % length AS spot
             FROM (SELECT o_orderkey, ({lengths})[(o_orderkey // 1000) % {len(lengths)} + 1] AS length FROM orders))),
     names AS MATERIALIZED (SELECT name FROM links UNION SELECT prior FROM links WHERE prior IS NOT NULL),
-    up AS (SELECT name, prior AS at, 1 AS depth FROM links WHERE prior IS NOT NULL
-        UNION ALL SELECT up.name, prior, depth + 1 FROM up JOIN links ON up.at = links.name WHERE prior IS NOT NULL AND depth < 2100)"""
+    up AS (SELECT name, prior AS prev, 1 AS depth FROM links WHERE prior IS NOT NULL
+        UNION ALL SELECT up.name, prior, depth + 1 FROM up JOIN links ON up.prev = links.name WHERE prior IS NOT NULL AND depth < 2100)"""
 
 
 ORACLE: dict[str, str] = {
@@ -282,12 +282,12 @@ ORACLE: dict[str, str] = {
                 WHEN "new/changed" = 'Changed' THEN status = 'changed' ELSE status = 'new' END AS agrees
         FROM delta LEFT JOIN (FROM history WHERE valid_to IS NULL) ON "Object_name" = stem""",
     "version_lineage": f"""WITH {links([1, 2, 1000, 7, 30, 100, 300])}, far AS (SELECT name, max(depth) AS depth FROM up GROUP BY name),
-        round AS (SELECT name, min(at) AS first, bool_or(at = name) AS inside FROM up WHERE depth > 1000 GROUP BY name)
-        SELECT n.name, coalesce(r.first, u.at, n.name) AS first, CASE WHEN r.name IS NULL THEN coalesce(f.depth, 0) END::BIGINT AS depth,
+        round AS (SELECT name, min(prev) AS first, bool_or(prev = name) AS inside FROM up WHERE depth > 1000 GROUP BY name)
+        SELECT n.name, coalesce(r.first, u.prev, n.name) AS first, CASE WHEN r.name IS NULL THEN coalesce(f.depth, 0) END::BIGINT AS depth,
             CASE WHEN r.inside THEN 'in' WHEN r.name IS NOT NULL THEN 'to' END AS cycle
         FROM names n LEFT JOIN far f USING (name) LEFT JOIN up u ON u.name = n.name AND u.depth = f.depth LEFT JOIN round r ON r.name = n.name""",
     "earlier_versions": f"""WITH {links([1, 2, 5, 7, 20, 50])}, endless AS (SELECT DISTINCT name FROM up WHERE depth > 1000)
-        SELECT name, depth::BIGINT AS back, at AS earlier FROM up WHERE name NOT IN (FROM endless)""",
+        SELECT name, depth::BIGINT AS back, prev AS earlier FROM up WHERE name NOT IN (FROM endless)""",
     "readers_in_sql": f"""WITH parts AS (SELECT doc_id, n_chars, list_filter(string_split(text, {NL}), lambda p: p <> '') AS lines FROM documents)
         SELECT 'doc_' || doc_id || '.docx' AS files, (i - 1)::INTEGER AS part_no, lines[i] AS part, 'ok' AS status, false AS failed
         FROM parts, unnest(range(1, len(lines) + 1)) AS t(i) WHERE n_chars >= 300 AND doc_id % 10 <> 0

@@ -411,7 +411,8 @@ def attach_keys_as_of(spark, sf_dir):
     """Every document with the keys in force on a day of its own."""
     view, path = si.manifest_view(spark, sf_dir), scratch_path(spark, "keys")
     kh.add_days(view, path)
-    day = F.date_add(F.lit(FIRST_DAY), (F.col("doc_id") * 37 % 2500).cast("int"))
+    number = F.regexp_extract("files", r"\d+", 0).cast("bigint")
+    day = F.date_add(F.lit(FIRST_DAY), (number * 37 % 2500).cast("int"))
     texts = extract_plain(_plain_documents(spark, sf_dir).withColumn("day", day), carry=["day"]).select(
         stem(F.col("files")).alias("Object_name"), "files", "day", "raw_text"
     )

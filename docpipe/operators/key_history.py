@@ -16,6 +16,7 @@ from docpipe.operators.joins import pinned
 from docpipe.sinks.state import Conflict, State, exists, merge, newest, read_state
 
 KEYS = ["object_id", "claim_id", "Prior_Version_Object_Name", "new/changed"]
+MEASURES = {"n_rows": "count(1)", "n_days": "approx_count_distinct(valid_from, 0.01)"}
 HISTORY_SCHEMA = (
     "Object_name string, valid_from date, valid_to date, object_id string, claim_id string, "
     "Prior_Version_Object_Name string, `new/changed` string, loaded bigint"
@@ -40,8 +41,11 @@ def history_state(path: str, buckets: int = 64) -> State:
     return State(path, "Object_name", HISTORY_SCHEMA, intervals, buckets)
 
 
-def add_days(manifest: DataFrame, path: str, buckets: int = 64) -> None:
-    """Bring manifest rows into the history. Rows without a name or a day take no part."""
+def add_days(manifest: DataFrame, path: str, buckets: int = 64, source: str | None = None, batch: int | None = None) -> bool:
+    """Bring manifest rows into the history; false if this batch of the source is in it.
+
+    Rows without a name or a day take no part.
+    """
     spark = manifest.sparkSession
     state = history_state(path, buckets)
     known = manifest.where(F.col("Object_name").isNotNull() & F.col("manifest_date").isNotNull())
@@ -51,11 +55,11 @@ def add_days(manifest: DataFrame, path: str, buckets: int = 64) -> None:
             *[F.col(f"`{c}`") for c in KEYS], F.lit(newest(spark, path)["version"] + 1).cast("bigint").alias("loaded"),
         )
         try:
-            merge(rows, state)
-            return
+            return merge(rows, state, source, batch, MEASURES)
         except Conflict:
             if not tries_left:
                 raise
+    return False
 
 
 def has_history(spark: SparkSession, path: str) -> bool:

@@ -257,6 +257,8 @@ ORACLE: dict[str, str] = {
         FROM documents GROUP BY lang, source""",
     "manifest_files_roundtrip": f"""WITH {MANIFEST} SELECT "Object_name", "Prior_Version_Object_Name", "Document_date",
         "Business_segment" || ' "€", x' AS "Business_segment", "new/changed", claim_id, cedent_id, object_id, manifest_date FROM manifest""",
+    "manifest_ranges": f"""WITH {MANIFEST} SELECT "Object_name", "Prior_Version_Object_Name", "Document_date",
+        "Business_segment" || ' "€", x' AS "Business_segment", "new/changed", claim_id, cedent_id, object_id, manifest_date FROM manifest""",
     "folder_outcomes": f"WITH {OUTCOMES} SELECT files, ext, raw_text, status, error FROM outcomes WHERE ext IN ('doc', 'docx', 'eml', 'rtf')",
     "folder_ingest": f"""WITH {OUTCOMES} SELECT files, ext, CASE WHEN ext <> 'pdf' THEN raw_text END AS raw_text,
         CASE WHEN ext = 'pdf' THEN 'unsupported' ELSE status END AS status, CASE WHEN ext <> 'pdf' THEN error END AS error FROM outcomes""",
@@ -265,8 +267,10 @@ ORACLE: dict[str, str] = {
         SELECT files, dotted AS ext, row_number() OVER (PARTITION BY dotted ORDER BY md5(files), files) AS nth FROM files) WHERE nth <= 100""",
     "key_history": f"""WITH {HISTORY} SELECT "Object_name", valid_from, valid_to, object_id, claim_id,
         "Prior_Version_Object_Name", "new/changed" FROM history""",
+    "manifest_stream": f"""WITH {HISTORY} SELECT "Object_name", valid_from, valid_to, object_id, claim_id,
+        "Prior_Version_Object_Name", "new/changed" FROM history""",
     "attach_keys_as_of": f"""WITH {HISTORY}, {TEXTS}, dated AS (
-            SELECT *, DATE '1992-01-01' + CAST(doc_id * 37 % 2500 AS INTEGER) AS day FROM texts)
+            SELECT *, DATE '1995-01-01' + CAST(doc_id * 37 % 2500 AS INTEGER) AS day FROM texts)
         SELECT files, day, valid_from, object_id, claim_id, raw_text FROM dated LEFT JOIN history
         ON "Object_name" = 'doc_' || doc_id AND valid_from <= day AND (valid_to IS NULL OR valid_to > day)""",
     "daily_key_history": f"""WITH {HISTORY}, {TEXTS}

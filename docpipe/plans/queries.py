@@ -33,6 +33,7 @@ from docpipe.sources.manifests import read_backlog
 from docpipe.sources.snapshots import read_outcomes, read_pages_of, read_snapshot
 from docpipe.streaming import ingest
 from docpipe.streaming.ingest import ingest_available, ingest_folder, merge_batch, read_target
+from docpipe.streaming.manifests import ingest_manifests
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -41,8 +42,8 @@ QUERIES: dict[str, Query] = {}
 RUN_DATE = dt.date(1995, 6, 20)
 BACKLOG_DAYS = 5
 SAMPLE_SIZE = 100
-FIRST_DAY = dt.date(1992, 1, 1)
-LAST_RUN = dt.date(2000, 1, 1)
+FIRST_DAY = dt.date(1995, 1, 1)
+MIDDLE_RUN, LAST_RUN = dt.date(1998, 1, 1), dt.date(2002, 1, 1)
 # versions per chain, in turn
 CHAINS = [1, 2, 1000, 7, 30, 100, 300]
 SHORT_CHAINS = [1, 2, 5, 7, 20, 50]
@@ -425,7 +426,7 @@ def daily_key_history(spark, sf_dir):
     """The manifest files of all days, taken by three runs of the daily loop; then every document with the keys in force."""
     root, log_path, keys = (scratch_path(spark, name) for name in ("manifests", "log", "keys"))
     si.write_bytes(si.manifest_files(spark, sf_dir), root)
-    for run_date in (RUN_DATE, LAST_RUN, LAST_RUN):
+    for run_date in (MIDDLE_RUN, LAST_RUN, LAST_RUN):
         taken = update_keys(spark, root, log_path, keys, run_date)
         log.mark_processed(taken.rows, log_path)
     texts = _plain_texts(spark, sf_dir).select(stem(F.col("files")).alias("Object_name"), "files", "raw_text")
@@ -433,6 +434,19 @@ def daily_key_history(spark, sf_dir):
     return m.attach_keys(texts, current).select("files", "object_id", "claim_id", "Prior_Version_Object_Name", "raw_text")
 
 
+@register
+def manifest_stream(spark, sf_dir):
+    """The manifest files of all days as a stream of two deliveries, the older days last, and a round that finds nothing."""
+    root, history, checkpoint, rejects = (scratch_path(spark, name) for name in ("manifests", "keys", "keys-checkpoint", "rejects"))
+    files = si.manifest_files(spark, sf_dir)
+    late = F.col("path") < F.lit(MIDDLE_RUN.strftime("%Y%m%d"))
+    for delivery in (files.where(~late), files.where(late), None):
+        if delivery is not None:
+            si.write_bytes(delivery, root)
+        ingest_manifests(spark, root, history, checkpoint, rejects)
+    return kh.read_history(spark, history)
+
+
 @register
 def content_claims(spark, sf_dir):
     """Two days of a folder by the bytes of its files, against what the last manifest of each object claims.
@@ -464,6 +478,15 @@ def earlier_versions(spark, sf_dir):
     return lineage.earlier_versions(si.order_links(spark, sf_dir, SHORT_CHAINS))
 
 
+@register
+def manifest_ranges(spark, sf_dir):
+    """The manifest files of all days, each cut into ranges of half a kilobyte that are read by many tasks."""
+    root = scratch_path(spark, "manifests")
+    si.write_bytes(si.manifest_files(spark, sf_dir), root)
+    rows = read_backlog(spark, root, extra=["object_id"], range_bytes=512).rows
+    return rows.withColumn("Document_date", F.date_format("Document_date", "yyyy-MM-dd"))
+
+
 # report, tables, stream
 
 

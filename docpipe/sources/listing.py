@@ -129,3 +129,11 @@ def listed(spark: SparkSession, folder: str, exts: Iterable[str] | None = None)
     files = parents.mapInArrow(_lister(root, pafs.FileType.File, rf"(?s)(?=(?:{last})\Z){names}", True), LISTED)
     folders = parents.mapInArrow(_lister(root, pafs.FileType.Directory, f"(?s){last}", False), "path string")
     return _each_alone(folders).mapInArrow(_lister(root, pafs.FileType.File, f"(?s){names}", True), LISTED).union(files)
+
+
+def arrow_file(path: str):
+    """A file, as a listing names it, opened for reading at any place; and its length."""
+    plain = path.removeprefix("file:") if path.startswith("file:") else path
+    files, where = _store(plain)
+    opened = files.open_input_file(where)
+    return opened, opened.size()

@@ -1,8 +1,8 @@
 """Daily manifests: ``<root>/<yyyyMMdd>/Metadata/<yyyyMMdd>.csv``.
 
 Every file is read by its own header: columns are found by name, in any order, with any others
-beside them, and days may differ. A manifest of one day is small and is read as one value; its
-records and cells are then cut out by column expressions.
+beside them, and days may differ. A manifest of one day is usually small and read as one value, its
+records and cells cut out by column expressions; large ones are read in ranges of bytes (``records``).
 
 Nothing is lost without a word: what cannot be taken comes back as rows of its own.
 """
@@ -13,13 +13,16 @@ import datetime as dt
 from collections.abc import Iterable
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docpipe.functions.names import DAY_STAMP
 from docpipe.functions.text import decode_utf8
+from docpipe.session import snapshot
 from docpipe.sources.files import _oversize_unread, with_names
+from docpipe.sources.listing import listed
+from docpipe.sources.records import records
 
 MANIFEST_SCHEMA = T.StructType([
     T.StructField("Object_name", T.StringType()),
@@ -69,31 +72,52 @@ def _cells(record: Column) -> Column:
 
 
 def parse_manifests(files: DataFrame, encoding: str = "windows-1252", extra: Iterable[str] = ()) -> Manifest:
-    """Manifests from raw file rows (``path, content, unread``).
+    """Manifests from raw file rows (``path, content, unread``), each file read as one value.
 
     ``extra`` names further columns to keep as text; they are null for files without them.
     """
     text = F.regexp_replace(_decoded(F.col("content"), encoding), "^﻿", "")
-    records = F.filter(F.regexp_extract_all(text, F.lit(_RECORDS), 1), lambda r: r != "")
+    read = files.select("path", "unread", F.regexp_extract_all(text, F.lit(_RECORDS), 1).alias("records"))
+    first = F.array_position(F.transform("records", lambda r: r != ""), F.lit(True)).cast("int") - 1
+    read = _headed(read.select("*", first.alias("first"), F.when(first >= 0, F.get("records", first)).alias("head")))
+    body = read.where("file_reason IS NULL").select("path", "manifest_date", "header", "first", F.posexplode("records").alias("at", "record"))
+    # the line of a record: one more than the line ends before it, those within quoted cells too
+    ends = F.regexp_count("record", F.lit(r"\r\n|\n|\r")) + 1
+    before = Window.partitionBy("path").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)  # the records of one value
+    body = body.withColumn("line", (F.coalesce(F.sum(ends).over(before), F.lit(0)) + 1).cast("int"))
+    return _parsed(read, body.where("record <> '' AND at > first"), extra)
+
+
+def parse_records(files: DataFrame, found: DataFrame, encoding: str = "windows-1252", extra: Iterable[str] = ()) -> Manifest:
+    """The same from records cut out by many tasks (``path, at, line, record``), so a file may be of any size."""
+    text = F.regexp_replace(_decoded(F.col("record"), encoding), "^﻿", "")
+    body = found.select("path", "at", F.col("line").cast("int").alias("line"), text.alias("record"))
+    heads = body.groupBy("path").agg(F.min(F.struct("at", "record")).alias("f")).select("path", F.col("f.at").alias("first"), F.col("f.record").alias("head"))
+    heads = files.select("path", F.lit(None).cast("string").alias("unread")).join(heads, "path", "left")
+    read = snapshot(_headed(heads), "manifest-heads")
+    good = read.where("file_reason IS NULL").select("path", "manifest_date", "header", "first")
+    return _parsed(read, body.join(good, "path").where("at > first"), extra)
+
+
+def _headed(files: DataFrame) -> DataFrame:
+    """Files (``path, unread, head``) with ``manifest_date``, the names in their ``header``, and why one cannot be taken."""
     stamp = F.regexp_extract("path", r"/(\d{8})/Metadata/[^/]*$", 1)
-    read = files.select(
-        "path", "unread", F.try_to_date(F.nullif(stamp, F.lit("")), DAY_STAMP).alias("manifest_date"), records.alias("records")
-    )
-    header = F.transform(_cells(F.get("records", F.lit(0))), lambda c: F.trim(F.coalesce(c, F.lit(""))))
-    read = read.withColumn("header", header)
+    names = F.transform(_cells(F.col("head")), lambda c: F.trim(F.coalesce(c, F.lit(""))))
+    files = files.withColumns({"manifest_date": F.try_to_date(F.nullif(stamp, F.lit("")), DAY_STAMP), "header": names})
     missing = F.filter(F.array(*map(F.lit, MANIFEST_COLUMNS)), lambda c: ~F.array_contains(F.coalesce("header", F.array()), c))
     reason = (
         F.when(F.col("unread").isNotNull(), F.concat(F.lit("not read: "), F.col("unread")))
-        .when(F.coalesce(F.size("records"), F.lit(0)) == 0, "no header")
+        .when(F.col("head").isNull(), "no header")
         .when(F.size(missing) > 0, F.concat(F.lit("no column "), F.array_join(missing, ", ")))
     )
-    read = read.withColumn("file_reason", reason)
-    bad_files = read.where("file_reason IS NOT NULL").select(
+    return files.withColumn("file_reason", reason)
+
+
+def _parsed(heads: DataFrame, body: DataFrame, extra: Iterable[str]) -> Manifest:
+    """Rows and rejects from files with what is wrong with them, and the records (``path, manifest_date, header, line, record``) of others."""
+    bad_files = heads.where("file_reason IS NOT NULL").select(
         "path", F.lit(None).cast("int").alias("line"), F.lit(None).cast("string").alias("record"), F.col("file_reason").alias("reason")
     )
-    body = read.where("file_reason IS NULL").select(
-        "path", "manifest_date", "header", F.posexplode("records").alias("line", "record")
-    ).where("line > 0")
     body = body.withColumn("cells", _cells(F.col("record")))
     value = lambda name: F.get("cells", F.array_position("header", F.lit(name)).cast("int") - 1)
     dates = [f.name for f in MANIFEST_SCHEMA if f.dataType == T.TimestampType()]
@@ -110,20 +134,22 @@ def parse_manifests(files: DataFrame, encoding: str = "windows-1252", extra: Ite
     rows = body.where("reason IS NULL").select(
         *[value(f.name).try_cast(f.dataType).alias(f.name) for f in MANIFEST_SCHEMA], *[value(c).alias(c) for c in extra], "manifest_date"
     )
-    bad_rows = body.where("reason IS NOT NULL").select("path", (F.col("line") + 1).alias("line"), "record", "reason")
-    return Manifest(rows, bad_files.unionByName(bad_rows))
+    return Manifest(rows, bad_files.unionByName(body.where("reason IS NOT NULL").select("path", "line", "record", "reason")))
 
 
-def _read(spark: SparkSession, pattern: str, encoding: str, extra: Iterable[str]) -> Manifest:
-    files = _oversize_unread(spark, with_names(spark.read.format("binaryFile").load(pattern)))
-    return parse_manifests(files, encoding, extra)
+def _read(spark: SparkSession, pattern: str, encoding: str, extra: Iterable[str], range_bytes: int | None) -> Manifest:
+    if range_bytes is None:
+        files = _oversize_unread(spark, with_names(spark.read.format("binaryFile").load(pattern)))
+        return parse_manifests(files, encoding, extra)
+    files = listed(spark, pattern, ["csv"]).select("path", "length")
+    return parse_records(files, records(files, range_bytes), encoding, extra)
 
 
 def read_manifest_file(spark: SparkSession, path: str, encoding: str = "windows-1252", extra: Iterable[str] = ()) -> Manifest:
     """One named manifest; anything but a .csv file is refused."""
     if not path.endswith(".csv"):
         raise ValueError(f"not a manifest file: {path}")
-    return _read(spark, path, encoding, extra)
+    return _read(spark, path, encoding, extra, None)
 
 
 def read_manifest(
@@ -141,11 +167,13 @@ def read_backlog(
     days: int | None = None,
     encoding: str = "windows-1252",
     extra: Iterable[str] = (),
+    range_bytes: int | None = None,
 ) -> Manifest:
     """All manifests under ``root``, or those of the ``days`` days before ``run_date``.
 
     One read for all folders: the date folders are pruned while listing, and folders
-    that do not exist are no error.
+    that do not exist are no error. With ``range_bytes`` files are read in ranges of so many bytes by many tasks, so one file may be
+    of any size; else each is read as one value.
     """
     if days is None:
         folders = "[0-9]" * 8
@@ -154,4 +182,4 @@ def read_backlog(
             raise ValueError("days needs a run_date to count from")
         stamps = [(run_date - dt.timedelta(days=n)).strftime("%Y%m%d") for n in range(days, 0, -1)]
         folders = "{" + ",".join(stamps) + "}"
-    return _read(spark, f"{root}/{folders}/Metadata/*.csv", encoding, extra)
+    return _read(spark, f"{root}/{folders}/Metadata/*.csv", encoding, extra, range_bytes)

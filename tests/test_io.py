@@ -22,6 +22,7 @@ from docpipe.sources.listing import listed
 from docpipe.sources.mapping import first_lines, read_mapping
 from docpipe.sources.snapshots import read_outcomes, read_snapshot, rows_of_map
 from docpipe.streaming.ingest import TARGET_SCHEMA, batch_reports, ingest_available, ingest_folder, merge_batch, read_target, target_state
+from docpipe.streaming.manifests import ingest_manifests, manifest_log, read_rejects
 from tests.helpers import docx, eml, run
 
 DAY = dt.date(2019, 5, 8)
@@ -263,8 +264,9 @@ def test_columns_are_found_by_name_and_rejects_come_back(spark, tmp_path):
     )
     assert b.Document_date == dt.datetime(2019, 5, 2, 10) and b.manifest_date == dt.date(2019, 5, 7)
     rejects = {(r.path.rpartition("/")[2], r.line): r.reason for r in found.rejects.collect()}
-    assert rejects[("x.csv", 3)].startswith("Document_date is no time") and rejects[("x.csv", 4)] == "4 cells, not 9"
-    assert rejects[("x.csv", 5)] == "quotes do not match" and "no column Prior_Version" in rejects[("short.csv", None)]
+    # two line ends in quoted cells come before them
+    assert rejects[("x.csv", 5)].startswith("Document_date is no time") and rejects[("x.csv", 6)] == "4 cells, not 9"
+    assert rejects[("x.csv", 7)] == "quotes do not match" and "no column Prior_Version" in rejects[("short.csv", None)]
     assert len(rejects) == 4
 
 
@@ -527,6 +529,31 @@ def test_unknown_format_does_nothing(spark, tmp_path):
 # streaming
 
 
+def test_stream_of_manifests_takes_late_days_once(spark, tmp_path):
+    root, history, rejects = tmp_path / "in", str(tmp_path / "keys"), str(tmp_path / "rejects")
+
+    def day(stamp, *lines, name=None):
+        folder = root / stamp / "Metadata"
+        folder.mkdir(parents=True, exist_ok=True)
+        header = "object_id,Object_name,Prior_Version_Object_Name,Document_date,Business_segment,new/changed,claim_id,cedent_id"
+        (folder / f"{name or stamp}.csv").write_bytes("\n".join([header, *lines]).encode("cp1252"))
+
+    def go():
+        ingest_manifests(spark, str(root), history, str(tmp_path / "checkpoint"), rejects)
+        return rows(read_history(spark, history).selectExpr("Object_name", "day(valid_from)", "day(valid_to)", "object_id"))
+
+    day("20190506", "o2,a,,2019-05-02,s,Changed,2,9", "broken")
+    day("20190507", "o3,b,,2019-05-03,s,New,3,9")
+    assert go() == [("a", 6, None, "o2"), ("b", 7, None, "o3")]
+    day("20190504", "o1,a,,2019-05-01,s,New,1,9")  # an old day comes late
+    expected = [("a", 4, 6, "o1"), ("a", 6, None, "o2"), ("b", 7, None, "o3")]
+    assert go() == expected and go() == expected
+    assert rows(manifest_log(spark, history).drop("source")) == [(0, 2, 2), (1, 1, 1)]
+    assert [(r.line, r.record, r.batch_id) for r in read_rejects(spark, rejects).collect()] == [(3, "broken", 0)]
+    day("20190504", "o9,a,,2019-05-01,s,New,1,9", name="again")  # a day is corrected by another file
+    assert go()[0] == ("a", 4, 6, "o9")
+
+
 def test_only_new_files_are_ingested(spark, tmp_path):  # F21
     folder = tmp_path / "raw"
     fill(folder, a__eml=eml(("text/html", "<p>A</p>")), b__eml=b"Subject: x\r\n\r\nplain")

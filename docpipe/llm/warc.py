@@ -34,7 +34,7 @@ from docpipe import session
 from docpipe.llm.common import written
 
 PIECE = 1 << 20
-ARCHIVE_BYTES = 64 << 20  # payload bytes after which a task begins another archive
+ARCHIVE_BYTES = 64 << 20  # bytes of records, headers included, after which a task begins another archive
 LEVEL = 3
 BROADCAST_ROWS = 20_000  # of two short columns: under 2 MB
 DATE = "2024-01-01T00:00:00Z"
@@ -195,8 +195,9 @@ def _writer(folder: str):
                     out, packer, size = fs.open_output_stream(f"{root}/{names[-1]}", compression=None), zlib.compressobj(1, zlib.DEFLATED, 31), 0
                 payload = (html or "").encode()
                 header, block = record(page_id, url, payload, digest_of(payload), first, revisit)
-                out.write(packer.compress(header.raw() + block + b"\r\n\r\n"))
-                size += len(payload)
+                whole = header.raw() + block + b"\r\n\r\n"
+                out.write(packer.compress(whole))
+                size += len(whole)
                 if size >= ARCHIVE_BYTES:
                     closed()
                     out = None

@@ -103,6 +103,24 @@ def test_swap_penalty_keeps_group_names_neutral():
     assert fair.score("the muslims held a feast") < 0.5 < fair.score("the jews are stupid trash")
 
 
+def test_swaps_are_what_the_swapped_text_scores():
+    rng = np.random.default_rng(3)
+    model = toxicity.Model(rng.normal(size=1 << toxicity.BITS), 0.0)
+    margin = lambda text: model.weights[toxicity.features(text)].sum()
+    groups = (("muslims", "jews"), ("frauen", "männer"))
+    for text in ("the muslims met", "the muslims met jews", "frauen und männer", "jews jews frauen", "nobody"):
+        gone, come, new_name = toxicity.counterfactuals(rows_of([text], [1], toxicity.features), groups)
+        got = sorted(model.weights[gone] - new_name * model.weights[come])
+        words = text.split()
+        swaps = [(a, b) for g in groups for a in g for b in g if a != b and a in words]
+        assert np.allclose(got, sorted(margin(text) - margin(" ".join(b if w == a else w for w in words)) for a, b in swaps))
+
+
+def test_identity_names_come_from_a_table(spark):
+    names = spark.createDataFrame([("x", "B"), ("x", "a"), ("y", "c"), (None, "d"), ("y", None)], "kind string, name string")
+    assert toxicity.identities_of(names) == (("a", "b"), ("c",))
+
+
 def test_dual_descent_reaches_the_optimum():
     """The primal objective is no lower at random nearby weights."""
     rng = np.random.default_rng(1)

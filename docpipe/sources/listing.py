@@ -13,7 +13,6 @@ from collections.abc import Iterable, Iterator
 import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 LISTED = "path string, modificationTime timestamp, length long"
 NAMES_PER_BATCH = 50_000

@@ -295,7 +295,10 @@ def _bought(probes: DataFrame, s: Settings) -> DataFrame:
 
 
 def _by_neighbours(sets: DataFrame, entries: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame]:
-    """Pairs from segments bought with and without a difference; and ``list, id, n, own`` of the long lists that sets cannot avoid."""
+    """Pairs from segments bought with and without a difference; and ``list, id, n, own, asks`` of the long lists that sets cannot avoid.
+
+    ``asks`` tells that a set must look the list up; others are on it to be found.
+    """
     wanted = sets.join(entries.select("id", "band", "root"), "id")
     postings = _postings(wanted, s, neighbours=True).join(entries.select("id", "band", "root"), ["id", "band"])
     postings = written(postings, "join-neighbours")
@@ -314,9 +317,10 @@ def _by_neighbours(sets: DataFrame, entries: DataFrame, s: Settings) -> tuple[Da
     near = _pairs(chosen.where("NOT hot"), index, s)
     # pairs with a set that avoided all long lists are found; others are both in this table
     hot = written(chosen.where("hot").select("id", "band", "list").distinct(), "join-hot")
-    crowded = index.join(hot.select("id", "band").distinct(), ["id", "band"], "left_semi").select("list", "id", "n", "own")
-    probing = chosen.where("hot").select("list", "id", "n", "own")
-    return near, crowded.union(probing).join(hot.select("list").distinct(), "list", "left_semi").distinct()
+    crowded = index.join(hot.select("id", "band").distinct(), ["id", "band"], "left_semi").select("list", "id", "n", "own", F.lit(False).alias("asks"))
+    asking = chosen.where("hot").select("list", "id", "n", "own", F.lit(True).alias("asks"))
+    crowded = crowded.union(asking).join(hot.select("list").distinct(), "list", "left_semi")
+    return near, crowded.groupBy("list", "id", "n", "own").agg(F.max("asks").alias("asks"))
 
 
 def _joined_roots(roots: DataFrame, links: DataFrame) -> DataFrame:
@@ -334,8 +338,8 @@ def _joined_roots(roots: DataFrame, links: DataFrame) -> DataFrame:
 def _rounds(lists: DataFrame, roots: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
     """``id, root`` after the members of long lists have been verified against hubs, members outside the largest class of a list.
 
-    A list is done when all its members that were no hubs are in one class: every other pair either was verified or is in
-    one class. The number of hubs per list grows sixteenfold each round, so few rounds are needed.
+    Of two members one must have asked for the list. A list is done when all its members that were no hubs are in one class: every other
+    pair either was verified or is in one class. The number of hubs per list grows sixteenfold each round, so few rounds are needed.
     """
     lists = written(lists, "join-lists")
     met = lists.groupBy("id").agg(F.count("*").alias("met"))
@@ -353,11 +357,11 @@ def _rounds(lists: DataFrame, roots: DataFrame, sets: DataFrame, s: Settings) ->
         strays = members.join(largest, "list").where("root <> main").drop("main")
         hubs = written(
             strays.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= hubs_per_list)
-            .select("list", F.col("id").alias("hub"), F.col("n").alias("hub_n"), F.col("own").alias("hub_own"), F.col("root").alias("hub_root")), "join-hubs",
+            .select("list", F.col("id").alias("hub"), F.col("n").alias("hub_n"), F.col("own").alias("hub_own"), F.col("root").alias("hub_root"), F.col("asks").alias("hub_asks")), "join-hubs",
         )
         small, large = F.least("n", "hub_n"), F.greatest("n", "hub_n")
         pairs = members.join(hubs, "list").where(
-            (F.col("root") != F.col("hub_root")) & (F.col("own") | F.col("hub_own")) & (small * 100 >= large * s.percent)
+            (F.col("root") != F.col("hub_root")) & (F.col("asks") | F.col("hub_asks")) & (F.col("own") | F.col("hub_own")) & (small * 100 >= large * s.percent)
         ).select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct()
         found = written(verified(written(pairs, "join-pairs"), sets, s.percent), "join-links")
         if found.head(1):

@@ -14,10 +14,10 @@ Texts whose words are the same are one text first. Of the others, signatures tha
 band meet in a bucket. A pair is linked if the Jaccard similarity of its distinct shingles
 reaches the threshold exactly; classes are the connected components.
 
-A bucket is never expanded into its pairs. Each member is verified against the bucket's hub, the
-member that meets most others over all bands (the common origin of a group of copies). Where members are left in
-different classes, the texts of these buckets are compared by the exact join of ``jaccard_join``, which finds
-every pair of them that reaches the threshold and no long list of others.
+Each member of a bucket is verified against the bucket's hub, the
+member that meets most others over all bands (the common origin of a group of copies). Pairs of
+members in different classes follow only if a bound from their overlaps with the hub lets them reach the
+threshold, for which most must share rare shingles outside it; every such pair is verified.
 
 Defined cases: rows without a doc_id take no part and have a null class. Rows that share a doc_id
 are one document; each of its texts is compared. Texts with one to four words are one shingle; a text without words is a class of
@@ -35,9 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from docpipe.llm import jaccard_join
 from docpipe.llm.common import among, written
-from docpipe.llm.jaccard_join import classes_among
 from docpipe.llm.sets import STEP, components, list_array, mixed, nth, shingles, similar, verified
 
 @dataclass(frozen=True)
@@ -181,9 +179,10 @@ def classes(docs: DataFrame, settings: Settings = Settings(), text: str = "text"
         made.join(in_question.select("digest", "id"), "digest").groupBy("id").agg(F.any_value("shingles").alias("shingles")), "near-sets"
     )
     links = written(verified(pairs, sets, s.percent), "near-links")
-    # buckets that still hold several classes: all their texts, compared by the exact join
-    rest = sets.join(_open(to_hub, components(links)), "id", "left_semi")
-    roots = classes_among(written(rest, "near-rest"), jaccard_join.Settings(s.words, s.percent), links.union(_same_id(known, nodes)))
+    roots = components(links)
+    rest = written(_rest(to_hub, roots, sets, s), "near-rest")
+    more = written(verified(rest, sets, s.percent), "near-links")
+    roots = components(_same_id(known, nodes).union(links).union(more))
     linked = written(nodes.join(roots, "id").select("id", "root", "first"), "near-linked")
     least = linked.groupBy("root").agg(F.min("first").alias("class_id"))
     named = written(linked.join(least, "root").select("id", "class_id"), "near-named")
@@ -202,11 +201,66 @@ def _same_id(known: DataFrame, nodes: DataFrame) -> DataFrame:
     return rows.join(least, "doc_id").where("id <> b").select(F.col("id").alias("a"), "b")
 
 
-def _open(to_hub: DataFrame, roots: DataFrame) -> DataFrame:
-    """The texts that share a bucket with a text of another class."""
-    placed = written(to_hub.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id")).select("band", "id", "root"), "near-placed")
-    mixed_ = placed.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-    return placed.join(mixed_.select("band"), "band", "left_semi").select("id").distinct()
+def _rest(to_hub: DataFrame, roots: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
+    """Pairs that share a bucket and a hub, are in different classes, and could be similar.
+
+    For a hub h, what two members a and b have in common is at most the smaller of their overlaps
+    with h, plus the shingles outside h that both have. So a pair has one of two forms:
+
+    - the overlaps with h suffice alone. Since one of the two is not similar to h, the other must be smaller
+      than h by a margin; sizes are dealt into narrow cells and only fitting cells meet.
+    - they share shingles outside h. These are counted per pair; shingles that only one class has are left out, and
+      so are members for which all that they share would not be enough.
+
+    A group of copies of one text has neither: its members differ from the hub each in its own way.
+    """
+    placed = to_hub.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    placed = written(placed, "near-placed")
+    mixed = placed.where("size > 2").groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    open_ = placed.join(mixed.where("low <> high").select("band"), "band").select("hub", "id", "n", "root").distinct()
+    own, of_hub = sets.select("id", F.col("shingles").alias("own")), sets.select(F.col("id").alias("hub"), F.col("shingles").alias("base"))
+    hub_roots = roots.select(F.col("id").alias("hub"), F.col("root").alias("hub_root"))
+    members = written(
+        open_.join(own, "id").join(of_hub, "hub").join(hub_roots, "hub", "left").select(
+            "hub", "id", "n", "root", F.size(F.array_intersect("own", "base")).alias("overlap"),
+            F.array_except("own", "base").alias("outside"), (F.col("root") != F.coalesce("hub_root", "hub")).alias("apart"),
+        ), "near-members",
+    )
+    narrow = ["hub", "id", "n", "root", "overlap"]
+    # shingles outside the hub that members of several classes have
+    outside = members.select(*narrow, F.explode("outside").alias("shingle"))
+    several = outside.groupBy("hub", "shingle").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("often")).where("low <> high")
+    shared = written(outside.join(several.select("hub", "shingle", "often"), ["hub", "shingle"]), "near-outside")
+    # how many of them a member must share with a partner of any size found around this hub; some cannot, even with all
+    sizes = members.select("hub", F.col("n").alias("size")).distinct()
+    least = members.select("hub", "n").distinct().join(sizes, "hub").where(
+        (F.col("size") * 100 >= F.col("n") * s.percent) & (F.col("n") * 100 >= F.col("size") * s.percent)
+    ).groupBy("hub", "n").agg(F.min("size").alias("least"))
+    wanted = F.ceil((F.col("n") + F.col("least")) * s.percent / (100 + s.percent)) - F.col("overlap")
+    able = shared.groupBy(*narrow).agg(F.collect_list("shingle").alias("own")).join(least, ["hub", "n"])  # the shingles of one text
+    able = written(able.withColumn("must", F.greatest(wanted, F.lit(1))).where(F.size("own") >= F.col("must")).drop("least"), "near-able")
+    # two lists that share as many, in order of rarity, share one of the first size - must + 1
+    rarest = Window.partitionBy("hub", "id").orderBy("often", "shingle")
+    first = shared.select("hub", "id", "shingle", "often").join(able.select("hub", "id", "root", "must", F.size("own").alias("size")), ["hub", "id"])
+    first = written(first.withColumn("nth", F.row_number().over(rarest)).where("nth <= size - must + 1").select("hub", "shingle", "id", "root"), "near-first")
+    a, b = first.alias("a"), first.alias("b")
+    meeting = a.join(
+        b, (F.col("a.hub") == F.col("b.hub")) & (F.col("a.shingle") == F.col("b.shingle")) & (F.col("a.id") < F.col("b.id")) & (F.col("a.root") != F.col("b.root"))
+    ).select(F.col("a.hub").alias("hub"), F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct()
+    side = lambda name: able.select("hub", F.col("id").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in ("n", "overlap", "own")])
+    common = F.least("overlap_a", "overlap_b") + F.size(F.array_intersect("own_a", "own_b"))
+    together = meeting.join(side("a"), ["hub", "a"]).join(side("b"), ["hub", "b"]).where(similar(F.col("n_a"), F.col("n_b"), common, s.percent)).select("a", "b")
+    # sizes at which the overlaps with the hub suffice alone
+    cell = lambda n: F.floor(F.log(n) / np.log(1.02)).cast("int")
+    low = F.ceil(F.col("n") * s.percent / 100)
+    high = F.floor(F.col("overlap") * (100 + s.percent) / s.percent - F.col("n"))
+    wanted = members.where("apart").select(*narrow).where(high >= low).withColumn("cell", F.explode(F.sequence(cell(low) - 1, cell(high) + 1)))
+    c, d = wanted.alias("c"), members.select(*narrow, cell(F.col("n")).alias("cell")).alias("d")
+    alone = c.join(
+        d, (F.col("c.hub") == F.col("d.hub")) & (F.col("c.cell") == F.col("d.cell")) & (F.col("c.id") != F.col("d.id"))
+        & (F.col("c.root") != F.col("d.root")) & similar(F.col("c.n"), F.col("d.n"), F.least("c.overlap", "d.overlap"), s.percent)
+    ).select(F.least("c.id", "d.id").alias("a"), F.greatest("c.id", "d.id").alias("b"))
+    return together.union(alone).distinct()
 
 
 def deduplicated(docs: DataFrame, settings: Settings = Settings(), text: str = "text") -> DataFrame:

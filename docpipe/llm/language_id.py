@@ -5,8 +5,10 @@ frequencies count all documents to learn from. The weights are trained by follow
 leader with an elastic net (proximal form, one step size per weight) on a bounded sample, and a
 temperature fitted on sampled rows set apart makes the softmax a probability.
 
-Null texts and texts without a letter are ``und`` with score 0, and so is everything if no
-language can be learned. Rows are never merged.
+Defined cases: null texts and texts without a letter are ``und`` with score 0, and so is everything if no
+language can be learned. Of equally likely languages the first by name counts. Rows are never merged, so repeated rows and ids each get theirs; an
+empty table gives no rows. Very long texts are counted whole, piece by piece. Columns other than id, text and lang are not read, whatever
+their names.
 """
 
 from __future__ import annotations

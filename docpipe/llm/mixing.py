@@ -7,8 +7,9 @@ the time at which it is due; documents sorted by that time are the training orde
 All of it is DataFrame operations. No source is ever in one task: prefix sums run over
 buckets of (source, hash), and only the sums per bucket are put in line per source.
 
-Null text has no words and is never taken. Null is a source like any other, after all others.
-Repeated rows are documents of their own. An empty table gives an empty mix.
+Defined cases: null text has no words and is never taken. Null is a source like any other, after all others.
+Repeated rows are documents of their own; An empty table gives an empty mix. Very long texts are only
+counted. Any further columns, whatever their names, travel in a struct.
 """
 
 from __future__ import annotations

@@ -6,8 +6,9 @@ ratio of how often the n-gram occurs in good and bad texts; a linear hinge-loss
 to the scaled indicators by dual coordinate descent, and its margins are calibrated on labelled
 rows set apart.
 
-Null and empty texts are scored like any other. Without labels of both classes the score is the
-share of the class there is, or one half without any. Rows are never merged.
+Defined cases: null and empty texts are scored like any other. Without labels of both classes the score is the
+share of the class there is, or one half without any. Rows are never merged, so repeated rows and ids each get theirs; an empty table gives no
+rows. Very long texts are read whole, each n-gram counts once. Columns other than id and text are not read, whatever their names.
 """
 
 from __future__ import annotations

@@ -18,7 +18,9 @@ Where no piece of the vocabulary can cross a boundary (a space after something e
 character outside the vocabulary), all paths meet. The job uses that: stretches between such
 boundaries are searched once per task and remembered, in a table of bounded size.
 
-Null text counts as empty and has no ids. Rows are never merged. A literal U+2581 in a text is
+Defined cases: null text counts as empty and has no ids. Rows are never merged, so repeated rows and ids each get theirs; an empty
+table gives no rows. Of equally good paths of a unigram model the one with the longest last piece counts. Columns other than id and text are not
+read, whatever their names. Very long texts without a break go through the window. A literal U+2581 in a text is
 the vocabulary's space and decodes as one.
 """
 

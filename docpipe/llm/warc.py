@@ -8,7 +8,7 @@ All steps work on streams: a record's payload passes in pieces. Files are writte
 from any file system that Arrow knows by URI, under names of their own for each attempt of a
 task; only the files named in the manifest of the attempt that counted are read.
 
-Null html is an empty payload. Of records with equal payloads that with the smallest page_id is
+Defined cases: columns other than page_id, url and html are not read, whatever their names. Null html is an empty payload. Of records with equal payloads that with the smallest page_id is
 the response and the others are revisits of it (rows that share this page_id are all responses;
 if no row of the group has an id, all are). An empty table gives no archive.
 """

@@ -105,7 +105,17 @@ def head_of(texts: DataFrame, s: Settings = Settings()) -> Head:
     """The head of one column of texts; ``head_words`` and ``head_pairs`` bound what comes to the driver."""
 
     def most(counts: DataFrame, n: int) -> list[bytes]:
-        return [bytes(r.item) for r in counts.where("n > 1").orderBy(F.desc("n"), "item").limit(n).select("item").collect()]
+        # classes of counts from the largest down, as many as fit: no task sends more than belongs to the head
+        counts = written(counts.where("n > 1").withColumn("size", F.floor(F.log2("n") * 8).cast("int")), "draw-counts")
+        left, least = n, None
+        for r in sorted(counts.groupBy("size").agg(F.count("*").alias("of_size")).collect(), reverse=True):  # at most 8 * 63 rows
+            left -= r.of_size
+            if left < 0:
+                break
+            least = r["size"]
+        if least is None:
+            return []
+        return [bytes(r.item) for r in counts.where(F.col("size") >= least).select("item").collect()]
 
     words = {w: zlib.crc32(w) for w in most(_counted(texts, lambda found: found, s), s.head_words)}
     if s.longest < 2:

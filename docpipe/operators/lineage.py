@@ -2,7 +2,8 @@
 
 A manifest names for an object the one it replaces. In round k every object that is not at its end knows the object 2^k
 steps back, and joins with that one's own knowledge, so a chain of a thousand versions takes ten rounds.
-Objects whose chain has not ended after as many rounds as all links could make are in a cycle or lead to one.
+Chains end in every round up to the longest one; after a round in which none ends, objects left are in a cycle or lead to one, and
+their rounds go on among themselves until they have gone round it.
 
 The rounds are written tables. Objects at their end take no part any more, so a first version that very many chains lead to is
 a join key in no round; other frequent ancestors are split by adaptive execution.
@@ -41,22 +42,20 @@ def lineage(links: DataFrame) -> DataFrame:
         F.coalesce("ended", F.lit(False)).alias("ended"),
     )
     pieces, turn = [snapshot(start, "lineage-steps")], 0
-    open_ = pieces[0].where("NOT ended")
-    while open_.head(1) and 2**turn <= known:
+    open_, ending = pieces[0].where("NOT ended"), True
+    # depths have no gaps: after a round that ends no object, none that is open has an end
+    while ending and open_.head(1) and 2**turn <= known:
         # what is known of the object reached: of ended ones from the round in which they ended, of others from the last
-        back = reduce(DataFrame.union, [*[p.where("ended") for p in pieces], open_]).select(
-            F.col("name").alias("at"), F.col("at").alias("next"), F.col("depth").alias("more"), F.col("least").alias("lower"), F.col("ended").alias("over")
-        )
-        pieces.append(snapshot(open_.join(back, "at").select(
-            "name", F.col("next").alias("at"), (F.col("depth") + F.col("more")).alias("depth"), F.least("least", "lower").alias("least"),
-            F.col("over").alias("ended"),
-        ), "lineage-steps"))
+        pieces.append(snapshot(_doubled(open_, reduce(DataFrame.union, [*[p.where("ended") for p in pieces], open_])), "lineage-steps"))
+        ending = bool(pieces[-1].where("ended").head(1))
         open_ = pieces[-1].where("NOT ended")
         turn += 1
+    if not ending:
+        open_ = _round_cycles(open_, turn, known)
     straight = [p.where("ended").select("name", F.col("at").alias("first"), "depth") for p in pieces]
     straight.append(ends.select("name", F.col("name").alias("first"), F.lit(0).cast("bigint").alias("depth")))
     done = reduce(DataFrame.union, straight).withColumn("cycle", F.lit(None).cast("string"))
-    # more steps than there are objects end inside a cycle, and from every object of a cycle they end at another one of it
+    # these steps end inside a cycle, and from every object of a cycle they end at another one of it
     inside = open_.select(F.col("at").alias("member")).distinct()
     least = open_.join(inside, F.col("name") == F.col("member")).select(F.col("name").alias("at"), F.col("least").alias("first"))
     circular = open_.join(least, "at").join(inside, F.col("name") == F.col("member"), "left").select(
@@ -65,6 +64,34 @@ def lineage(links: DataFrame) -> DataFrame:
     return done.union(circular)
 
 
+def _doubled(open_: DataFrame, known: DataFrame) -> DataFrame:
+    """Objects with twice the steps, joined with what is known of the object they reached."""
+    back = known.select(
+        F.col("name").alias("at"), F.col("at").alias("next"), F.col("depth").alias("more"), F.col("least").alias("lower"), F.col("ended").alias("over")
+    )
+    return open_.join(back, "at").select(
+        "name", F.col("next").alias("at"), (F.col("depth") + F.col("more")).alias("depth"), F.least("least", "lower").alias("least"),
+        F.col("over").alias("ended"),
+    )
+
+
+def _round_cycles(open_: DataFrame, turn: int, known: int) -> DataFrame:
+    """The same objects, none of which has an end, with steps that go round every cycle.
+
+    The objects reached are members of cycles once a round reaches as many as the one before. Their least names are those of whole cycles once
+    a round changes none of them. Both come after the longest cycle with its tail, not after as many steps as there are objects.
+    """
+    reached, settled = open_.select("at").distinct().count(), False
+    while not settled and 2**turn <= known:
+        further = snapshot(_doubled(open_, open_), "lineage-cycles")
+        members = further.select(F.col("at").alias("name")).distinct()
+        before = open_.select("name", F.col("least").alias("old")).join(members, "name")
+        now, lower = before.join(further, "name").agg(F.count("*"), F.count_if(F.col("least") < F.col("old"))).first()
+        settled, reached = now == reached and lower == 0, now
+        open_, turn = further, turn + 1
+    return open_
+
+
 def _steps(links: DataFrame) -> DataFrame:
     """One row per name, with names that only occur as a prior version; of several priors the greatest counts."""
     named = links.where(F.col("name").isNotNull()).groupBy("name").agg(F.max("prior").alias("prior"))

@@ -91,3 +91,15 @@ def test_delta_by_content(spark):
     }
     plan = delta._jdf.queryExecution().executedPlan().toString()
     assert "content" not in "".join(line for line in plan.splitlines() if "Exchange" in line)
+
+
+def test_rounds_follow_the_longest_chain_and_cycle_not_the_number_of_objects(spark, monkeypatch):
+    links = [(f"n{i:05}", f"n{i + 1:05}" if i % 4 else None) for i in range(3000)] + [("r1", "r2"), ("r2", "r3"), ("r3", "r1"), ("t1", "r2"), ("t2", "t1")]
+    written, kept = [], ln.snapshot
+    monkeypatch.setattr(ln, "snapshot", lambda df, name: written.append(name) or kept(df, name))
+    found = rows(ln.lineage(spark.createDataFrame(links, LINKS)))
+    assert found == plain(links)[0]
+    assert len(written) <= 8
+    # a cycle that is longer than every chain, entered by a tail that is longer still
+    ring = [(f"c{i:03}", f"c{(i + 1) % 90:03}") for i in range(90)] + [(f"w{i:03}", f"w{i + 1:03}" if i < 199 else "c040") for i in range(200)]
+    assert rows(ln.lineage(spark.createDataFrame([*ring, ("a", "b")], LINKS))) == plain([*ring, ("a", "b")])[0]

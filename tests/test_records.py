@@ -69,3 +69,44 @@ def test_manifests_in_ranges(spark, tmp_path):
         got = manifests.read_backlog(spark, str(tmp_path), range_bytes=size)
         assert rows(got.rows) == expected[0]
         assert [r for r in rows(got.rejects) if "20190508" not in r[0]] == expected[1]  # an empty file is no value
+
+
+def test_a_range_reads_little_more_than_itself(tmp_path, monkeypatch):
+    line = b'"a, b",,2019-05-01,"x ""y""\r\nz",New,1,9\r\n'
+    path = tmp_path / "m.csv"
+    path.write_bytes(line * 20_000)
+    taken, plain = [], rc.arrow_file
+
+    class Counted:
+        def __init__(self, file):
+            self.file = file
+
+        def seek(self, at):
+            self.file.seek(at)
+
+        def read(self, n):
+            taken.append(n)
+            return self.file.read(n)
+
+    monkeypatch.setattr(rc, "arrow_file", lambda p: (Counted(plain(p)[0]), plain(p)[1]))
+    size = len(line) * 1000
+    rc.surveyed(str(path), size, size + 512)
+    assert len(list(rc.cut_out(str(path), size, size + 512, size, 2000))) == -(-512 // len(line))
+    assert sum(taken) < 100_000
+
+
+def test_a_record_longer_than_what_is_read_at_first(tmp_path):
+    cell = b'"' + b'x ""\r\n' * 10_000 + b'"'
+    path = tmp_path / "m.csv"
+    path.write_bytes(b"h,i\r\n" + cell + b",1\r\nlast," + b"y" * 30_000 + b"\r\n" + b'z,"open\r\n')
+    found = [record for _, _, record in rc.cut_out(str(path), 0, path.stat().st_size, 0, 0)]
+    assert found == [b"h,i", cell + b",1", b"last," + b"y" * 30_000, b'z,"open']
+
+
+def test_the_text_of_a_manifest_is_cut_once(spark, tmp_path):
+    day = tmp_path / "20190506" / "Metadata"
+    day.mkdir(parents=True)
+    (day / "20190506.csv").write_bytes(",".join(manifests.MANIFEST_COLUMNS).encode() + b"\r\na,,2019-05-01,seg,New,1,9\r\n")
+    plan = manifests.read_backlog(spark, str(tmp_path)).rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all(regexp_replace(") <= 2  # files below the size limit, and those above
+    assert plan.count("regexp_extract_all(concat(,, record") <= 2

@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from docpipe.functions.names import DAY_STAMP
 from docpipe.functions.text import decode_utf8
+from docpipe.operators.joins import pinned
 from docpipe.session import snapshot
 from docpipe.sources.files import _oversize_unread, with_names
 from docpipe.sources.listing import listed
@@ -77,7 +78,8 @@ def parse_manifests(files: DataFrame, encoding: str = "windows-1252", extra: Ite
     ``extra`` names further columns to keep as text; they are null for files without them.
     """
     text = F.regexp_replace(_decoded(F.col("content"), encoding), "^﻿", "")
-    read = files.select("path", "unread", F.regexp_extract_all(text, F.lit(_RECORDS), 1).alias("records"))
+    # pinned, or the filters below would cut the whole text again for each of their conditions
+    read = pinned(files.select("path", "unread", F.regexp_extract_all(text, F.lit(_RECORDS), 1).alias("records")), "records")
     first = F.array_position(F.transform("records", lambda r: r != ""), F.lit(True)).cast("int") - 1
     read = _headed(read.select("*", first.alias("first"), F.when(first >= 0, F.get("records", first)).alias("head")))
     body = read.where("file_reason IS NULL").select("path", "manifest_date", "header", "first", F.posexplode("records").alias("at", "record"))
@@ -118,7 +120,7 @@ def _parsed(heads: DataFrame, body: DataFrame, extra: Iterable[str]) -> Manifest
     bad_files = heads.where("file_reason IS NOT NULL").select(
         "path", F.lit(None).cast("int").alias("line"), F.lit(None).cast("string").alias("record"), F.col("file_reason").alias("reason")
     )
-    body = body.withColumn("cells", _cells(F.col("record")))
+    body = pinned(body.withColumn("cells", _cells(F.col("record"))), "cells")
     value = lambda name: F.get("cells", F.array_position("header", F.lit(name)).cast("int") - 1)
     dates = [f.name for f in MANIFEST_SCHEMA if f.dataType == T.TimestampType()]
     unread_date = F.lit(None).cast("string")

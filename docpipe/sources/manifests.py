@@ -83,11 +83,15 @@ def parse_manifests(files: DataFrame, encoding: str = "windows-1252", extra: Ite
     first = F.array_position(F.transform("records", lambda r: r != ""), F.lit(True)).cast("int") - 1
     read = _headed(read.select("*", first.alias("first"), F.when(first >= 0, F.get("records", first)).alias("head")))
     body = read.where("file_reason IS NULL").select("path", "manifest_date", "header", "first", F.posexplode("records").alias("at", "record"))
-    # the line of a record: one more than the line ends before it, those within quoted cells too
+    body = _checked(body)
+    data = F.expr("record <> '' AND at > first")
+    # the line of a record: one more than the line ends before it, those within quoted cells too; of good records only their line ends are moved
+    refused = F.when(data, F.col("reason"))
     ends = F.regexp_count("record", F.lit(r"\r\n|\n|\r")) + 1
+    counted = body.select("path", "at", ends.alias("ends"), F.when(refused.isNotNull(), F.col("record")).alias("record"), refused.alias("reason"))
     before = Window.partitionBy("path").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)  # the records of one value
-    body = body.withColumn("line", (F.coalesce(F.sum(ends).over(before), F.lit(0)) + 1).cast("int"))
-    return _parsed(read, body.where("record <> '' AND at > first"), extra)
+    numbered = counted.withColumn("line", (F.coalesce(F.sum("ends").over(before), F.lit(0)) + 1).cast("int"))
+    return Manifest(_taken(body.where(data), extra), _refused(read, numbered))
 
 
 def parse_records(files: DataFrame, found: DataFrame, encoding: str = "windows-1252", extra: Iterable[str] = ()) -> Manifest:
@@ -98,7 +102,8 @@ def parse_records(files: DataFrame, found: DataFrame, encoding: str = "windows-1
     heads = files.select("path", F.lit(None).cast("string").alias("unread")).join(heads, "path", "left")
     read = snapshot(_headed(heads), "manifest-heads")
     good = read.where("file_reason IS NULL").select("path", "manifest_date", "header", "first")
-    return _parsed(read, body.join(good, "path").where("at > first"), extra)
+    body = _checked(body.join(good, "path").where("at > first"))
+    return Manifest(_taken(body, extra), _refused(read, body))
 
 
 def _headed(files: DataFrame) -> DataFrame:
@@ -115,28 +120,38 @@ def _headed(files: DataFrame) -> DataFrame:
     return files.withColumn("file_reason", reason)
 
 
-def _parsed(heads: DataFrame, body: DataFrame, extra: Iterable[str]) -> Manifest:
-    """Rows and rejects from files with what is wrong with them, and the records (``path, manifest_date, header, line, record``) of others."""
-    bad_files = heads.where("file_reason IS NOT NULL").select(
-        "path", F.lit(None).cast("int").alias("line"), F.lit(None).cast("string").alias("record"), F.col("file_reason").alias("reason")
-    )
+def _value(name: str) -> Column:
+    return F.get("cells", F.array_position("header", F.lit(name)).cast("int") - 1)
+
+
+def _checked(body: DataFrame) -> DataFrame:
+    """Records (``header, record``) with their ``cells``, and the ``reason`` why one cannot be taken."""
     body = pinned(body.withColumn("cells", _cells(F.col("record"))), "cells")
-    value = lambda name: F.get("cells", F.array_position("header", F.lit(name)).cast("int") - 1)
     dates = [f.name for f in MANIFEST_SCHEMA if f.dataType == T.TimestampType()]
     unread_date = F.lit(None).cast("string")
     for name in dates:
-        bad = value(name).isNotNull() & value(name).try_cast("timestamp").isNull()
-        unread_date = F.when(bad, F.concat(F.lit(f"{name} is no time: "), value(name))).otherwise(unread_date)
+        bad = _value(name).isNotNull() & _value(name).try_cast("timestamp").isNull()
+        unread_date = F.when(bad, F.concat(F.lit(f"{name} is no time: "), _value(name))).otherwise(unread_date)
     reason = (
         F.when(~F.col("record").rlike(rf"^(?:{_RECORD})\z"), "quotes do not match")
         .when(F.size("cells") != F.size("header"), F.concat_ws(" ", F.size("cells").cast("string"), F.lit("cells, not"), F.size("header").cast("string")))
         .otherwise(unread_date)
     )
-    body = body.withColumn("reason", reason)
-    rows = body.where("reason IS NULL").select(
-        *[value(f.name).try_cast(f.dataType).alias(f.name) for f in MANIFEST_SCHEMA], *[value(c).alias(c) for c in extra], "manifest_date"
+    return body.withColumn("reason", reason)
+
+
+def _taken(checked: DataFrame, extra: Iterable[str]) -> DataFrame:
+    return checked.where("reason IS NULL").select(
+        *[_value(f.name).try_cast(f.dataType).alias(f.name) for f in MANIFEST_SCHEMA], *[_value(c).alias(c) for c in extra], "manifest_date"
+    )
+
+
+def _refused(heads: DataFrame, numbered: DataFrame) -> DataFrame:
+    """Files with what is wrong with them, and the records of others that cannot be taken."""
+    bad_files = heads.where("file_reason IS NOT NULL").select(
+        "path", F.lit(None).cast("int").alias("line"), F.lit(None).cast("string").alias("record"), F.col("file_reason").alias("reason")
     )
-    return Manifest(rows, bad_files.unionByName(body.where("reason IS NOT NULL").select("path", "line", "record", "reason")))
+    return bad_files.unionByName(numbered.where("reason IS NOT NULL").select("path", "line", "record", "reason"))
 
 
 def _read(spark: SparkSession, pattern: str, encoding: str, extra: Iterable[str], range_bytes: int | None) -> Manifest:

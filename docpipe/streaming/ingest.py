@@ -19,7 +19,7 @@ from docpipe.operators.outcomes import latest_per_file
 from docpipe.operators.pages import PageReader, clean_pages, page_outcomes, read_pages
 from docpipe.session import read_text, snapshot
 from docpipe.sinks.state import Conflict, State, merge, read_state, reports
-from docpipe.sources.files import as_converted_doc, empty_files, raw_file_stream
+from docpipe.sources.files import as_converted_doc, empty_files, packed, raw_file_stream
 
 TARGET_SCHEMA = (
     "files string, ext string, raw_text string, status string, error string, "
@@ -78,7 +78,7 @@ def ingest_available(
     transform = transform or (lambda raw: extract_in_one_pass(raw, exts, VERSION))
 
     def take(batch: DataFrame, batch_id: int) -> None:
-        merge_batch(transform(batch), batch_id, target, stream_id(batch.sparkSession, checkpoint))
+        merge_batch(transform(packed(batch)), batch_id, target, stream_id(batch.sparkSession, checkpoint))
 
     query = new_files.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from docpipe.operators.key_history import add_days, history_state
 from docpipe.sinks.state import reports
-from docpipe.sources.files import raw_file_stream
+from docpipe.sources.files import packed, raw_file_stream
 from docpipe.sources.manifests import parse_manifests
 from docpipe.streaming.ingest import stream_id
 
@@ -26,7 +26,7 @@ def ingest_manifests(
     Records and files that cannot be taken are rows of ``rejects``, a partition per batch that a repeated batch replaces.
     """
     def take(batch: DataFrame, batch_id: int) -> None:
-        manifest = parse_manifests(batch, encoding, extra=["object_id"])
+        manifest = parse_manifests(packed(batch), encoding, extra=["object_id"])
         refused = manifest.rejects.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
         refused.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(rejects)
         add_days(manifest.rows, history, source=stream_id(batch.sparkSession, checkpoint), batch=batch_id)

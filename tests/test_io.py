@@ -121,6 +121,16 @@ def test_folder_is_listed_without_a_join(spark, tmp_path):
     assert "Join" not in plan and "Exchange" not in plan
 
 
+def test_small_files_share_tasks(spark, tmp_path):
+    folder = tmp_path / "raw"
+    folder.mkdir()
+    for n in range(6000):
+        (folder / f"f{n}.txt").write_bytes(b"HEADER" + str(n).encode())
+    found = source.raw_files(spark, str(folder), ["txt"])
+    assert found.rdd.getNumPartitions() <= 8 * spark.sparkContext.defaultParallelism + 1
+    assert found.selectExpr("count(*)", "count(distinct content)").first() == (6000, 6000)
+
+
 def test_folder_without_a_match(spark, tmp_path):
     folder = fill(tmp_path / "raw", a__eml=b"x")
     assert source.raw_files(spark, folder, ["docx"]).count() == 0

@@ -66,7 +66,7 @@ RESULT_FIELDS = [
 NOT_READ = "content not read"
 
 # text collected before a batch goes back to the JVM
-FLUSH_CHARS = 16 * 1024 * 1024
+FLUSH_CHARS = 4 * 1024 * 1024
 
 
 def read_parts(readers: dict[str, Reader], ext: str, content: bytes | None):

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docpipe.functions.names import basename, extension, listed_type, replace_suffix
-from docpipe.sources.listing import listed
+from docpipe.sources.listing import LISTED, arrow_file, listed
 
 BINARY_SCHEMA = T.StructType([
     T.StructField("path", T.StringType()),
@@ -20,6 +21,9 @@ BINARY_SCHEMA = T.StructType([
 
 # Partitions of a scan that one task reads at most, see ``packed``.
 SCANS_PER_TASK = 32
+# Content read before it goes to the JVM, and content for one task, of files that tasks open.
+READ_BYTES = 8 * 1024 * 1024
+TASK_BYTES = 64 * 1024 * 1024
 
 
 def name_glob(exts: Iterable[str]) -> str:
@@ -52,6 +56,43 @@ def folder_scan(spark: SparkSession, folder: str, exts: Iterable[str] | None = N
     return (reader if exts is None else reader.option("pathGlobFilter", name_glob(exts))).load(folder)
 
 
+def with_content(listing: DataFrame) -> DataFrame:
+    """The files of a listing (``path, modificationTime, length``) as raw file rows; tasks open them over Arrow's file systems.
+
+    So the driver knows no file. Above Spark's size limit ``content`` is null, and ``unread`` says so.
+    """
+    spark = listing.sparkSession
+    limit = int(spark.conf.get("spark.sql.sources.binaryFile.maxLength", str(2**31 - 1)))
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            start, held, size = 0, [], 0
+            for path, length in zip(batch.column("path").to_pylist(), batch.column("length").to_pylist()):
+                if length > limit:
+                    held.append(None)
+                else:
+                    with arrow_file(path)[0] as file:
+                        held.append(file.read())
+                    size += len(held[-1])
+                if size >= READ_BYTES:
+                    yield _filled(batch, start, held)
+                    start, held, size = start + len(held), [], 0
+            if held:
+                yield _filled(batch, start, held)
+
+    narrow = listing.select("path", "modificationTime", "length")
+    total = narrow.agg(F.sum("length")).first()[0] or 0
+    tasks = max(4 * spark.sparkContext.defaultParallelism, -(-total // TASK_BYTES))
+    found = with_names(narrow.repartition(tasks, "path").mapInArrow(read, f"{LISTED}, content binary"))
+    why = F.concat(F.col("length").cast("string"), F.lit(f" bytes are above the limit of {limit}"))
+    return found.withColumn("unread", F.when(F.col("length") > limit, why))
+
+
+def _filled(batch: pa.RecordBatch, start: int, contents: list) -> pa.RecordBatch:
+    part = batch.slice(start, len(contents))
+    return pa.RecordBatch.from_arrays([*part.columns, pa.array(contents, pa.binary())], names=[*batch.schema.names, "content"])
+
+
 def packed(scan: DataFrame) -> DataFrame:
     """The same rows in fewer tasks, without a shuffle: up to ``SCANS_PER_TASK`` partitions of a scan, but several tasks per core.
 

@@ -17,9 +17,10 @@ from docpipe.functions.names import basename
 from docpipe.operators.extract.job import SUPPORTED, extract_in_one_pass
 from docpipe.operators.outcomes import latest_per_file
 from docpipe.operators.pages import PageReader, clean_pages, page_outcomes, read_pages
-from docpipe.session import read_text, snapshot
+from docpipe.session import folder_exists, read_text, snapshot
 from docpipe.sinks.state import Conflict, State, merge, read_state, reports
-from docpipe.sources.files import as_converted_doc, empty_files, packed, raw_file_stream
+from docpipe.sources.files import as_converted_doc, empty_files, packed, with_content
+from docpipe.sources.listing import LISTED, listed
 
 TARGET_SCHEMA = (
     "files string, ext string, raw_text string, status string, error string, "
@@ -33,6 +34,9 @@ VERSION = ["modificationTime", "path"]
 # the batch of empty files, whose number is never a stream's
 EMPTY_BATCH = -1
 
+# files of one batch, about
+FILES_PER_BATCH = 100_000
+
 Transform = Callable[[DataFrame], DataFrame]
 
 
@@ -90,14 +94,29 @@ def pages_transform(page_reader: PageReader, sep: str = "") -> Transform:
     Files are told apart by path, since two days may bring the same name in one batch.
     """
 
-    def transform(raw: DataFrame) -> DataFrame:
+    def transform(raw: DataFrame, listing: DataFrame | None = None) -> DataFrame:
         by_path = raw.withColumn("files", F.col("path"))
         done = page_outcomes(clean_pages(read_pages(by_path, page_reader)), sep=sep).withColumnRenamed("files", "path")
-        return done.join(raw.select("path", "modificationTime"), "path").withColumn("files", basename(F.col("path")))
+        times = (raw if listing is None else listing).select("path", "modificationTime")
+        return done.join(times, "path").withColumn("files", basename(F.col("path")))
 
     return transform
 
 
+def list_new(spark: SparkSession, folder: str, exts: Iterable[str] | None, log: str) -> None:
+    """Append the files of a folder or glob that are not in the log of files, empty ones left out; names stay in the tasks.
+
+    A part of the log holds the files of one batch. Parts of an append that broke off count, the other files are found again.
+    """
+    found = listed(spark, folder, exts).where("length > 0")
+    if folder_exists(spark, log):
+        found = found.join(spark.read.schema(LISTED).parquet(log).select("path"), "path", "left_anti")
+    found = snapshot(found, "new-files")
+    n = found.count()
+    if n:
+        found.repartition(-(-n // FILES_PER_BATCH)).write.mode("append").parquet(log)
+
+
 def ingest_folder(
     spark: SparkSession,
     folder: str,
@@ -111,16 +130,23 @@ def ingest_folder(
 
     Without ``exts`` every file counts, those without a reader as ``unsupported``. With a page
     reader the files are pdf, and with ``converted_doc`` they are the text of Word files. Files of zero length,
-    which streams do not see, are added from a listing, once per path.
+    which are no part of the stream, are added from a listing, once per path.
+
+    The stream is that of the log of files beside the checkpoint, to which each round adds what is new; tasks open the files. So neither
+    names nor lengths of files go through the driver.
     """
     if page_reader is not None:
         exts, transform = ["pdf"], pages_transform(page_reader)
     elif converted_doc:
-        exts, transform = ["csv"], lambda raw: extract_in_one_pass(as_converted_doc(raw), ["doc"], VERSION)
+        exts, transform = ["csv"], lambda raw, _=None: extract_in_one_pass(as_converted_doc(raw), ["doc"], VERSION)
     else:
         exts = None if exts is None else list(exts)
-        transform = lambda raw: extract_in_one_pass(raw, exts, VERSION)
-    ingest_available(raw_file_stream(spark, folder, exts), target, checkpoint, transform=transform)
+        transform = lambda raw, _=None: extract_in_one_pass(raw, exts, VERSION)
+    log = f"{checkpoint}/files"
+    list_new(spark, folder, exts, log)
+    if folder_exists(spark, log):
+        parts = spark.readStream.schema(LISTED).option("maxFilesPerTrigger", 1).option("maxFileAge", "100000d").parquet(log)
+        ingest_available(parts, target, checkpoint, transform=lambda listing: transform(with_content(listing), listing))
     state = target_state(target)
     empty = empty_files(spark, folder, exts)
     # only rows of empty files can stand for one; they are told by their batch, so the rest of the target is not read

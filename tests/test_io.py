@@ -21,6 +21,7 @@ from docpipe.sources import listing, manifests
 from docpipe.sources.listing import listed
 from docpipe.sources.mapping import first_lines, read_mapping
 from docpipe.sources.snapshots import read_outcomes, read_snapshot, rows_of_map
+from docpipe.streaming import ingest
 from docpipe.streaming.ingest import TARGET_SCHEMA, batch_reports, ingest_available, ingest_folder, merge_batch, read_target, target_state
 from docpipe.streaming.manifests import ingest_manifests, manifest_log, read_rejects
 from tests.helpers import docx, eml, run
@@ -127,7 +128,7 @@ def test_small_files_share_tasks(spark, tmp_path):
     for n in range(6000):
         (folder / f"f{n}.txt").write_bytes(b"HEADER" + str(n).encode())
     found = source.raw_files(spark, str(folder), ["txt"])
-    assert found.rdd.getNumPartitions() <= 8 * spark.sparkContext.defaultParallelism + 1
+    assert found.rdd.getNumPartitions() <= 10 * spark.sparkContext.defaultParallelism
     assert found.selectExpr("count(*)", "count(distinct content)").first() == (6000, 6000)
 
 
@@ -622,6 +623,19 @@ def test_stream_has_the_rows_of_a_batch(spark, tmp_path):
     assert read_target(spark, target).count() == 6
 
 
+def test_stream_of_a_folder_names_no_file_to_the_driver(spark, tmp_path, monkeypatch):
+    folder, target, checkpoint = tmp_path / "raw", str(tmp_path / "out"), str(tmp_path / "checkpoint")
+    fill(folder, **{f"a{n}__txt": b"HEADERa" for n in range(60)})
+    monkeypatch.setattr(ingest, "FILES_PER_BATCH", 40)
+    ingest_folder(spark, str(folder), target, checkpoint)
+    fill(folder, b__txt=b"HEADERb", a1__txt=b"HEADERagain")  # a path is taken once
+    ingest_folder(spark, str(folder), target, checkpoint)
+    named = [line for log in (tmp_path / "checkpoint" / "sources" / "0").glob("[0-9]*") for line in log.read_text().splitlines()[1:]]
+    assert len(named) == 3 and not any(".txt" in line for line in named)
+    assert rows(read_target(spark, target).groupBy("raw_text").count()) == [("a", 60), ("b", 1)]
+    assert rows(batch_reports(spark, target).select("batch_id", "n_files").where("batch_id = 2")) == [(2, 1)]
+
+
 def test_stream_of_pages_and_of_converted_files(spark, tmp_path):
     def reader(content):
         return [(i, page.decode(), None) for i, page in enumerate(content.split(b"\f"))]

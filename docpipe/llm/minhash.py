@@ -36,7 +36,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from docpipe.llm.common import among, written
-from docpipe.llm.sets import STEP, components, list_array, mixed, nth, shingles, similar, verified
+from docpipe.llm.sets import STEP, components, list_array, mixed, shingles, similar, verified
+
+# Arrivals of an element in one round of a signature at most.
+MOST_TURNS = 64
+
 
 @dataclass(frozen=True)
 class Settings:
@@ -58,29 +62,28 @@ class Settings:
 def signature(elements: np.ndarray, weights: np.ndarray, m: int) -> np.ndarray:
     """ProbMinHash of distinct elements: per register the element that arrives first.
 
-    Arrivals go on in rounds, one per element that can still win a register.
+    Arrivals go on in rounds of elements that can still win a register; few elements make several arrivals in a round.
     """
     first = np.full(m, np.inf)
     winner = np.zeros(m, np.uint64)
     at = np.zeros(len(elements))
-    turn = 0
+    turn = 1
     live, rate = elements, weights
     while len(live):
-        turn += 1
-        draw = mixed(live + nth(2 * turn))
+        turns = min(MOST_TURNS, 1 + 6 * m // len(live))
+        seeds = STEP * np.arange(2 * turn, 2 * (turn + turns), dtype=np.uint64)[:, None]
+        draw = mixed(live + seeds[::2])
         wait = -np.log1p(-(draw >> np.uint64(11)).astype(np.float64) * 2.0**-53) / rate
-        at = at + wait
-        slowest = first.max()
-        keep = at < slowest
-        if not keep.all():
-            live, rate, at = live[keep], rate[keep], at[keep]
-            if not len(live):
-                break
-        register = (mixed(live + nth(2 * turn + 1)) % np.uint64(m)).astype(np.int64)
+        wait[0] += at
+        arrival = np.add.accumulate(wait, axis=0)
+        register = (mixed(live + seeds[1::2]) % np.uint64(m)).astype(np.int64)
         before = first.copy()
-        np.minimum.at(first, register, at)
-        won = (at == first[register]) & (at < before[register])
-        winner[register[won]] = live[won]
+        np.minimum.at(first, register.ravel(), arrival.ravel())
+        won = (arrival == first[register]) & (arrival < before[register])
+        winner[register[won]] = np.broadcast_to(live, won.shape)[won]
+        keep = arrival[-1] < first.max()
+        live, rate, at = live[keep], rate[keep], arrival[-1][keep]
+        turn += turns
     return winner
 
 

@@ -14,11 +14,6 @@ MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
-def nth(i: int) -> np.uint64:
-    """The i-th value of the sequence that seeds an element's draws."""
-    return np.uint64(int(STEP) * i & 0xFFFFFFFFFFFFFFFF)
-
-
 def mixed(x: np.ndarray) -> np.ndarray:
     """A bijective scrambling of 64-bit values (the finaliser of splitmix64)."""
     x = (x ^ (x >> np.uint64(30))) * MIX[0]

@@ -6,7 +6,6 @@ from collections import defaultdict
 import numpy as np
 
 import corpus_pipeline
-from docpipe.llm import minhash as mh
 from docpipe.llm import minhash
 
 
@@ -169,9 +168,9 @@ def one_arrival_a_round(elements, weights, m):
     """The signature by its definition: arrivals of all elements, one after the other."""
     first, winner, at = np.full(m, np.inf), np.zeros(m, np.uint64), np.zeros(len(elements))
     for turn in range(1, 20_000):
-        seeds = mh.STEP * np.arange(2 * turn, 2 * turn + 2, dtype=np.uint64)
-        at = at - np.log1p(-(mh.mixed(elements + seeds[0]) >> np.uint64(11)).astype(np.float64) * 2.0**-53) / weights
-        for e, time, register in zip(elements, at, mh.mixed(elements + seeds[1]) % np.uint64(m)):
+        seeds = minhash.STEP * np.arange(2 * turn, 2 * turn + 2, dtype=np.uint64)
+        at = at - np.log1p(-(minhash.mixed(elements + seeds[0]) >> np.uint64(11)).astype(np.float64) * 2.0**-53) / weights
+        for e, time, register in zip(elements, at, minhash.mixed(elements + seeds[1]) % np.uint64(m)):
             if time < first[register]:
                 first[register], winner[register] = time, e
         if at.min() >= first.max():
@@ -183,8 +182,8 @@ def test_signature_takes_few_rounds(monkeypatch):
     for n in (1, 7, 60, 300):
         elements = np.unique(draw.integers(1, 2**62, n).astype(np.uint64))
         for weights in (np.ones(len(elements)), 1.0 + np.log(draw.integers(1, 9, len(elements)))):
-            assert (mh.signature(elements, weights, 40) == one_arrival_a_round(elements, weights, 40)).all()
-    calls, plain = [], mh.mixed
-    monkeypatch.setattr(mh, "mixed", lambda x: calls.append(1) or plain(x))
-    mh.signature(elements[:60], np.ones(60), 130)
+            assert (minhash.signature(elements, weights, 40) == one_arrival_a_round(elements, weights, 40)).all()
+    calls, plain = [], minhash.mixed
+    monkeypatch.setattr(minhash, "mixed", lambda x: calls.append(1) or plain(x))
+    minhash.signature(elements[:60], np.ones(60), 130)
     assert len(calls) <= 12

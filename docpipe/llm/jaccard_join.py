@@ -1,23 +1,24 @@
-"""Similarity join of n-gram sets by partitions of the universe, exact for any threshold.
+"""Similarity join of n-gram sets by partitions of the universe and ordered prefixes, exact for any threshold.
 
 Two sets of a and b elements with Jaccard similarity p differ in at most (a + b)(1 - p) / (1 + p) elements. Sizes
 are dealt into bands so narrow that partners lie in the same or in neighbouring bands; a set takes part in its own band and, as a
 visitor, in the one below. In a band with bound H every element is hashed to one of m segments.
 
-- Screening: with m = H + 1, partners have at least one segment in common. Segments are counted once over all sets; a set
+- Screening: with m = H + 1 segments, partners have at least one segment in common. Segments are counted once over all sets; a set
   whose segments nobody shares has no partner, and its elements go no further.
-- Segment subsets: with more segments, partners share at least m - H of them. A set with fewer shared segments is out. The
-  members of a list, those with one subset, are verified against its hub, the one on most lists; for most copies that is all, since
-  from here on only lists that hold several classes count. Of these a set looks up the cheapest, as many as leave H of all its
-  segments: partners cannot differ in each of them.
-- One-deletion neighbourhoods: a set for which that would open long lists may pay otherwise. A segment that is looked up with one
-  difference allowed (the subset, the subset without any one element, and those of others without one) counts twice, so a frequent
-  segment can be skipped. Units are bought by what they cost, the number of sets of other classes on the lists, until H + 1 are paid.
-- Only sets close to many of other classes still need a long list. There the members outside the largest class meet the
-  rest, some at a time, in rounds, until no list holds two classes that were not compared. A list is never expanded into its pairs.
-
-A pair is found as soon as one of its two sets has looked up everything it paid for, so each step looks only at the sets the one before
-left open. Every pair found is verified on the elements; classes are the connected components.
+- Prefixes: the elements of the remaining sets are put in one order, rare ones first. The first element that two partners share
+  leaves, itself included, as many elements of either as they must have in common. So a set is on the lists of only those of its elements that
+  leave enough for some partner (a tenth of them at 0.9), of which elements no other set has need no list; and what an element
+  leaves bounds the sizes of the partners that can be met on its list.
+- Hubs: the members of a list are verified against its hub, the one on most lists; for most copies that is all, since from here
+  on only lists that hold several classes count.
+- Openings: per list and size it is known how large a partner its members allow. Members that no size with another class allows
+  are done with the list. So are those of a large group that differ from its origin each in its own way: such elements are rare, come first,
+  and leave too little for each other.
+- What stays open is verified in rounds, the members outside the largest class of a list against the rest, some at a time, until no
+  list has an opening. A list is never expanded into its pairs.
+
+Every pair found is verified on the elements; classes are the connected components.
 
 Defined cases: rows without a doc_id take no part and have a null class. Rows that share a doc_id are one document; each of its texts is
 compared. Texts with fewer words than an n-gram are one element; null texts and those without a word are empty and a class of their own. Equal
@@ -42,7 +43,7 @@ from docpipe.llm.sets import STEP, components, list_array, mixed, shingles, veri
 
 @dataclass(frozen=True)
 class Settings:
-    """Words per n-gram, the threshold in hundredths, segments per unit of the bound, and the longest list that is looked up whole."""
+    """Words per n-gram, the threshold in hundredths, how many times more hubs a list has in each next round, and its hubs in the first."""
 
     words: int = 3
     percent: int = 90
@@ -73,13 +74,12 @@ def set_of(text: str | None, k: int) -> np.ndarray:
     return np.unique(shingles((text or "").encode().lower().split(), k))
 
 
-def segmented(elements: np.ndarray, salt: np.uint64, m: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Each element's segment and value, and the sum of values of every segment, which names its subset."""
+def segmented(elements: np.ndarray, salt: np.uint64, m: int) -> np.ndarray:
+    """The sum of the values of every segment's elements, which names its subset."""
     h = mixed(elements + salt)
-    segment, value = (h % np.uint64(m)).astype(np.int64), mixed(h)
     sums = np.zeros(m, np.uint64)
-    np.add.at(sums, segment, value)
-    return segment, value, sums
+    np.add.at(sums, (h % np.uint64(m)).astype(np.int64), mixed(h))
+    return sums
 
 
 def _key(sums: np.ndarray, segment: np.ndarray, salt: np.uint64) -> np.ndarray:
@@ -110,7 +110,7 @@ def _sketcher(s: Settings):
                 for band, _ in _places(len(elements), lows):
                     m = int(bounds[band]) + 1
                     salt = _salt(band, m)
-                    keys.append(_key(segmented(elements, salt, m)[2], np.arange(m), salt))
+                    keys.append(_key(segmented(elements, salt, m), np.arange(m), salt))
                 homes.append(len(keys[0]) if keys else 0)
                 found.append(np.concatenate(keys) if keys else np.empty(0, np.uint64))
             yield pa.record_batch(
@@ -148,179 +148,42 @@ def _those_among(wanted):
     return keys
 
 
-ROWS_PER_BATCH = 100_000
-ENTRY = "id long, n long, band int, own boolean, need int, m int"
+def _prefixes(sets: DataFrame, s: Settings) -> DataFrame:
+    """``list, id, n, reach``: the elements of ``sets`` (``id, shingles``) at which a partner can be met first, and its largest size.
 
-
-def _poster(s: Settings, neighbours: bool):
-    """A row per segment of a set in each of its bands, with ``neighbours`` also one per element left out.
-
-    A set comes with the band it is wanted in, or null for all of its bands.
-    """
-    lows, bounds = s.bands()
-    kinds = {
-        "id": pa.int64(), "n": pa.int64(), "band": pa.int32(), "own": pa.bool_(), "need": pa.int32(), "m": pa.int32(),
-        "segment": pa.int32(), "less": pa.bool_(), "key": pa.int64(),
-    }
-
-    def rows_of(id_: int, elements: np.ndarray, band: int, own: bool) -> list[np.ndarray]:
-        # what this set may differ from its largest partner here, which is not more than the band's bound
-        largest = len(elements) * 100 // s.percent if own else int(lows[band + 1]) - 1
-        need = (len(elements) + largest) * (100 - s.percent) // (100 + s.percent) + 1
-        m = (int(bounds[band]) + 1) * s.spread
-        salt = _salt(band, m)
-        segment, value, sums = segmented(elements, salt, m)
-        segments, keys, less = np.arange(m), _key(sums, np.arange(m), salt), np.zeros(m, bool)
-        if neighbours:
-            segments, keys = np.concatenate([segments, segment]), np.concatenate([keys, _key(sums[segment] - value, segment, salt)])
-            less = np.concatenate([less, np.ones(len(segment), bool)])
-        same = [np.full(len(keys), v) for v in (id_, len(elements), band, own, need, m)]
-        return [*same, segments, less, keys.view(np.int64)]
-
-    def handed(held: list[list[np.ndarray]]) -> pa.RecordBatch:
-        columns = [np.concatenate(c) for c in zip(*held)] if held else [[]] * len(kinds)
-        return pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds.values())], names=list(kinds))
-
-    def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            held, size = [], 0
-            for id_, elements, only in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
-                elements = np.asarray(elements.values).view(np.uint64)
-                for band, own in _places(len(elements), lows):
-                    if only is None or band == only:
-                        held.append(rows_of(id_, elements, band, own))
-                        size += len(held[-1][0])
-                        if size > ROWS_PER_BATCH:
-                            yield handed(held)
-                            held, size = [], 0
-            yield handed(held)
-
-    return post
-
-
-def _postings(sets: DataFrame, s: Settings, neighbours: bool = False) -> DataFrame:
-    """Rows of ``sets`` (``id, shingles, band, root``) in their lists.
-
-    A list holds the sets with one subset in one segment, or those that have it when one element is left out.
-    """
-    rows = sets.select("id", "shingles", "band").mapInArrow(_poster(s, neighbours), f"{ENTRY}, segment int, less boolean, key long")
-    return rows.withColumn("list", F.when(F.col("less"), F.bitwise_not("key")).otherwise(F.col("key")))
-
-
-def _lists(postings: DataFrame) -> DataFrame:
-    """``list, size, main, of_main``: lists of several classes, with the class that most of each belong to.
-
-    A list of visitors alone is none, its sets meet in their own band.
-    """
-    of_class = postings.groupBy("list", "root").agg(F.count("*").alias("n"), F.max("own").alias("at_home"))
-    return of_class.groupBy("list").agg(
-        F.sum("n").alias("size"), F.max(F.struct("n", "root")).alias("most"), F.count("*").alias("classes"), F.max("at_home").alias("at_home")
-    ).where("classes > 1 AND at_home").select("list", "size", F.col("most.root").alias("main"), F.col("most.n").alias("of_main"))
-
-
-# How many sets of other classes a set meets on a list. Members of the main class meet only those outside it.
-PRICE = "size - CASE WHEN root = main THEN of_main ELSE 0 END"
-
-
-def _shared(postings: DataFrame, s: Settings, name: str) -> tuple[DataFrame, DataFrame]:
-    """Postings of sets that share enough segments with other classes, with their lists; and these sets.
-
-    Partners share at least m - need + 1 segments.
+    In the order of how many sets have an element, the first that two partners share leaves in both sets at least what they have in common.
     """
-    met = written(postings.join(_lists(postings), "list").withColumn("price", F.expr(PRICE)), f"{name}-met")
-    entries = met.groupBy("id", "band", "need", "m", "root").agg(
-        F.count("*").alias("shared"), F.count(F.when(F.col("price") <= s.cold, 1)).alias("short")
-    ).where("shared > m - need")
-    entries = written(entries, f"{name}-entries")
-    return met.join(entries.select("id", "band"), ["id", "band"], "left_semi"), entries
+    elements = sets.select("id", F.size("shingles").alias("n"), F.explode("shingles").alias("element"))
+    often = written(elements.groupBy("element").agg(F.count("*").alias("often")).where("often > 1"), "join-often")
+    # the elements of one set, those without another set left out: they come first and meet nobody
+    ordered = elements.join(often, "element").groupBy("id", "n").agg(F.sort_array(F.collect_list(F.struct("often", "element"))).alias("own"))
+    first = F.size("own") - F.ceil(F.col("n") * s.percent / 100) + 1
+    listed = ordered.withColumn("first", first.cast("int")).where("first > 0").select(
+        "id", "n", F.size("own").alias("size"), F.posexplode(F.slice("own", F.lit(1), F.col("first"))).alias("at", "e")
+    )
+    reach = F.floor((F.col("size") - F.col("at")) * (100 + s.percent) / s.percent) - F.col("n")
+    return listed.select(F.col("e.element").alias("list"), "id", "n", reach.cast("int").alias("reach"))
 
 
 def _fits(a: str, b: str, s: Settings) -> Column:
-    """Two rows of a list that may be partners: in different classes, one at home, sizes near enough."""
+    """Two rows of a list, or a row and a size with the reach of its members, that may be partners."""
     small, large = F.least(f"{a}.n", f"{b}.n"), F.greatest(f"{a}.n", f"{b}.n")
-    return (F.col(f"{a}.root") != F.col(f"{b}.root")) & (F.col(f"{a}.own") | F.col(f"{b}.own")) & (small * 100 >= large * s.percent)
-
+    return (F.col(f"{a}.list") == F.col(f"{b}.list")) & (small * 100 >= large * s.percent) & (F.col(f"{b}.n") <= F.col(f"{a}.reach"))
 
-def _pairs(probes: DataFrame, index: DataFrame, s: Settings) -> DataFrame:
-    """What the probes meet. Both sides have ``list, id, n, own, root, main``.
 
-    Of two classes on a list one is not the main one. So probes of the main class meet the others only, and no join
-    looks at the pairs within it.
-    """
-    def met(p: DataFrame, x: DataFrame) -> DataFrame:
-        both = p.alias("p").join(x.alias("x"), (F.col("p.list") == F.col("x.list")) & _fits("p", "x", s))
-        return both.select(F.least("p.id", "x.id").alias("a"), F.greatest("p.id", "x.id").alias("b"))
-
-    return met(probes.where("root <> main"), index).union(met(probes.where("root = main"), index.where("root <> main")))
+def _pairs(members: DataFrame, hubs: DataFrame, s: Settings) -> DataFrame:
+    """Members in other classes that the hubs of their lists may be partners of. Both sides have ``list, id, n, reach, root``."""
+    both = members.alias("p").join(hubs.alias("x"), _fits("p", "x", s) & (F.col("p.n") <= F.col("x.reach")) & (F.col("p.root") != F.col("x.root")))
+    return both.select(F.least("p.id", "x.id").alias("a"), F.greatest("p.id", "x.id").alias("b")).distinct()
 
 
-def _to_hubs(met: DataFrame, s: Settings) -> DataFrame:
-    """Each list's members with its hub, the set that is on most lists."""
+def _hubs(met: DataFrame) -> DataFrame:
+    """Of each list the member that is on most lists."""
     often = met.groupBy("id").agg(F.count("*").alias("often"))
     # struct order: most lists first, then the smallest id
-    rank = F.struct("often", (-F.col("id")).alias("neg"), "n", "own")
-    hubs = met.join(often, "id").groupBy("list").agg(F.max(rank).alias("hub")).select(
-        "list", (-F.col("hub.neg")).alias("id"), F.col("hub.n").alias("n"), F.col("hub.own").alias("own"), (-F.col("hub.neg")).alias("root")
-    )
-    both = met.alias("p").join(hubs.alias("x"), (F.col("p.list") == F.col("x.list")) & (F.col("p.id") != F.col("x.id")) & _fits("p", "x", s))
-    return both.select(F.least("p.id", "x.id").alias("a"), F.greatest("p.id", "x.id").alias("b")).distinct()
-
-
-def _by_subsets(met: DataFrame, entries: DataFrame, s: Settings) -> DataFrame:
-    """Pairs from looking up the cheapest segments of every set that has enough of them on short lists."""
-    done = entries.where("short >= shared - (m - need)").select("id", "band", (F.col("shared") - F.col("m") + F.col("need")).alias("look_up"))
-    cheapest = Window.partitionBy("id", "band").orderBy("price", "list")  # the segments of one set
-    probes = met.where(F.col("price") <= s.cold).join(done, ["id", "band"])
-    return _pairs(probes.withColumn("nth", F.row_number().over(cheapest)).where("nth <= look_up"), met, s)
-
-
-def _bought(probes: DataFrame, s: Settings) -> DataFrame:
-    """How many differences each set allows in which segment: ``units`` 1 is none, 2 is one; ``hot`` if that opens a long list.
-
-    ``probes`` are the lists that a set can look up, with ``unit``, the unit that opens them, and ``price``. Long lists are bought last.
-    """
-    per_segment = probes.groupBy("id", "band", "need", "segment").agg(
-        F.sum(F.when(F.col("unit") == 1, F.col("price")).otherwise(0)).alias("one"), F.sum("price").alias("two"), F.max("price").alias("longest")
-    )
-    long_list = lambda n: F.when(F.col(n) > s.cold, F.lit(1e9)).otherwise(0.0)
-    one, two = F.col("one") + long_list("one"), F.col("two") + long_list("longest")
-    # a second unit that is cheaper than the first is bought together with it
-    prices = F.when(two < 2 * one, F.array(two / 2, two / 2)).otherwise(F.array(one, two - one))
-    units = per_segment.select("id", "band", "need", "segment", "one", "longest", F.explode(prices).alias("cost"))
-    cheapest = Window.partitionBy("id", "band").orderBy("cost", "segment")  # two units per segment of one set
-    chosen = units.withColumn("nth", F.row_number().over(cheapest)).where("nth <= need")
-    return chosen.groupBy("id", "band", "segment").agg(
-        F.count("*").alias("units"), F.max("one").alias("one"), F.max("longest").alias("longest")
-    ).withColumn("hot", F.when(F.col("units") == 2, F.col("longest")).otherwise(F.col("one")) > s.cold)
-
-
-def _by_neighbours(sets: DataFrame, entries: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame]:
-    """Pairs from segments bought with and without a difference; and ``list, id, n, own, asks`` of the long lists that sets cannot avoid.
-
-    ``asks`` tells that a set must look the list up; others are on it to be found.
-    """
-    wanted = sets.join(entries.select("id", "band", "root"), "id")
-    postings = _postings(wanted, s, neighbours=True).join(entries.select("id", "band", "root"), ["id", "band"])
-    postings = written(postings, "join-neighbours")
-    lists = written(_lists(postings), "join-neighbour-lists")
-    index = written(postings.join(lists, "list"), "join-neighbour-index")
-    # a subset opens the list of equal ones and, for one more unit, of those that have it with one element more; a subset
-    # without an element opens the list of its equals
-    opened = F.when(F.col("less"), F.array(F.struct("key", F.lit(2)))).otherwise(
-        F.array(F.struct("key", F.lit(1)), F.struct(F.bitwise_not("key").alias("key"), F.lit(2)))
-    )
-    probes = postings.select("id", "n", "band", "own", "root", "need", "segment", F.inline(opened).alias("list", "unit"))
-    probes = probes.join(lists, "list", "left").withColumn("price", F.coalesce(F.expr(PRICE), F.lit(0)))
-    probes = written(probes, "join-probes")
-    bought = written(_bought(probes, s), "join-bought")
-    chosen = probes.where("price > 0").join(bought.select("id", "band", "segment", "units", "hot"), ["id", "band", "segment"]).where("unit <= units")
-    near = _pairs(chosen.where("NOT hot"), index, s)
-    # pairs with a set that avoided all long lists are found; others are both in this table
-    hot = written(chosen.where("hot").select("id", "band", "list").distinct(), "join-hot")
-    crowded = index.join(hot.select("id", "band").distinct(), ["id", "band"], "left_semi").select("list", "id", "n", "own", F.lit(False).alias("asks"))
-    asking = chosen.where("hot").select("list", "id", "n", "own", F.lit(True).alias("asks"))
-    crowded = crowded.union(asking).join(hot.select("list").distinct(), "list", "left_semi")
-    return near, crowded.groupBy("list", "id", "n", "own").agg(F.max("asks").alias("asks"))
+    rank = F.struct("often", (-F.col("id")).alias("neg"), "n", "reach", "root")
+    hubs = met.join(often, "id").groupBy("list").agg(F.max(rank).alias("hub"))
+    return hubs.select("list", (-F.col("hub.neg")).alias("id"), "hub.n", "hub.reach", "hub.root")
 
 
 def _joined_roots(roots: DataFrame, links: DataFrame) -> DataFrame:
@@ -335,39 +198,44 @@ def _joined_roots(roots: DataFrame, links: DataFrame) -> DataFrame:
     return written(known.union(new), "join-roots")
 
 
-def _rounds(lists: DataFrame, roots: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
-    """``id, root`` after the members of long lists have been verified against hubs, members outside the largest class of a list.
+def _open(members: DataFrame, s: Settings) -> DataFrame:
+    """The members (``list, id, n, reach, root``) that can still meet another class on their list, with ``main``, its largest class.
 
-    Of two members one must have asked for the list. A list is done when all its members that were no hubs are in one class: every other
-    pair either was verified or is in one class. The number of hubs per list grows sixteenfold each round, so few rounds are needed.
+    Per list and size: the reach in the main class, the longest reach outside it, and the classes there. Few sizes are near enough to a member,
+    so a long list is looked at once per member, not once per pair.
+    """
+    of_class = members.groupBy("list", "root").agg(F.count("*").alias("of_class"))
+    lists = of_class.groupBy("list").agg(F.max(F.struct("of_class", "root")).alias("most"), F.count("*").alias("classes")).where("classes > 1")
+    several = written(members.join(lists.select("list", F.col("most.root").alias("main")), "list"), "join-several")
+    stray = F.col("root") != F.col("main")
+    sizes = written(several.groupBy("list", "n").agg(
+        F.max(F.when(~stray, F.col("reach"))).alias("of_main"), F.max(F.when(stray, F.col("reach"))).alias("of_strays"),
+        F.min(F.when(stray, F.col("root"))).alias("low"), F.max(F.when(stray, F.col("root"))).alias("high"),
+    ), "join-sizes")
+    meets_main = (F.col("p.root") != F.col("p.main")) & (F.col("x.of_main") >= F.col("p.n"))
+    meets_stray = (F.col("x.of_strays") >= F.col("p.n")) & ((F.col("x.low") != F.col("x.high")) | (F.col("x.low") != F.col("p.root")))
+    return several.alias("p").join(sizes.alias("x"), _fits("p", "x", s) & (meets_main | meets_stray), "left_semi")
+
+
+def _rounds(members: DataFrame, roots: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
+    """``id, root`` after the members of lists with openings have been verified against hubs, members outside the largest class of a list.
+
+    A hub has been compared with all that it may be a partner of and leaves the list. The number of hubs per list grows each
+    round, so few rounds are needed.
     """
-    lists = written(lists, "join-lists")
-    met = lists.groupBy("id").agg(F.count("*").alias("met"))
-    members, hubs_per_list = lists.join(met, "id"), 16
+    hubs_per_list = s.cold
+    order = Window.partitionBy("list").orderBy(F.desc("reach"), "id")
     while True:
-        members = written(_with_roots(members, roots), "join-members")
-        classes = members.groupBy("list").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-        members = written(members.join(classes.where("low <> high").select("list"), "list", "left_semi"), "join-members")
+        members = written(_open(written(_with_roots(members, roots), "join-members"), s), "join-open")
         if not members.head(1):
             return roots
-        largest = members.groupBy("list", "root").agg(F.count("*").alias("of_class")).groupBy("list").agg(
-            F.max(F.struct("of_class", "root")).alias("c")
-        ).select("list", F.col("c.root").alias("main"))
-        order = Window.partitionBy("list").orderBy(F.desc("met"), "id")
-        strays = members.join(largest, "list").where("root <> main").drop("main")
-        hubs = written(
-            strays.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= hubs_per_list)
-            .select("list", F.col("id").alias("hub"), F.col("n").alias("hub_n"), F.col("own").alias("hub_own"), F.col("root").alias("hub_root"), F.col("asks").alias("hub_asks")), "join-hubs",
-        )
-        small, large = F.least("n", "hub_n"), F.greatest("n", "hub_n")
-        pairs = members.join(hubs, "list").where(
-            (F.col("root") != F.col("hub_root")) & (F.col("asks") | F.col("hub_asks")) & (F.col("own") | F.col("hub_own")) & (small * 100 >= large * s.percent)
-        ).select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct()
-        found = written(verified(written(pairs, "join-pairs"), sets, s.percent), "join-links")
+        strays = members.where("root <> main").withColumn("nth", F.row_number().over(order))
+        hubs = written(strays.where(F.col("nth") <= hubs_per_list).drop("nth", "main"), "join-hubs")
+        found = written(verified(written(_pairs(members, hubs, s), "join-pairs"), sets, s.percent), "join-links")
         if found.head(1):
             roots = _joined_roots(roots, found)
-        members = members.join(hubs.select("list", F.col("hub").alias("id")), ["list", "id"], "left_anti").drop("root")
-        hubs_per_list *= 16
+        members = members.join(hubs.select("list", "id"), ["list", "id"], "left_anti").drop("root", "main")
+        hubs_per_list *= s.spread
 
 
 def classes_among(sets: DataFrame, s: Settings, links: DataFrame | None = None) -> DataFrame:
@@ -375,34 +243,19 @@ def classes_among(sets: DataFrame, s: Settings, links: DataFrame | None = None)
 
     Pairs that the given links join are not compared again. Sets without a link may be missing.
     """
-    everywhere = _postings(sets.withColumn("band", F.lit(None).cast("int")), s).drop("segment", "less", "key")
-    met, _ = _shared(written(everywhere.withColumn("root", F.col("id")), "join-postings"), s, "join-first")
-    met = written(met.drop("price", "size", "main", "of_main"), "join-questioned")
+    met = written(_prefixes(sets, s), "join-prefixes")
     roots = None if links is None else components(links)
-    pairs = _to_hubs(met, s) if roots is None else _apart(_to_hubs(met, s), roots)
-    found = written(verified(written(pairs, "join-hub-pairs"), sets, s.percent), "join-hub-links")
+    named = met.withColumn("root", F.col("id")) if roots is None else written(_with_roots(met, roots), "join-named")
+    hubs = written(_hubs(named), "join-hubs")
+    found = written(verified(written(_pairs(named, hubs, s), "join-hub-pairs"), sets, s.percent), "join-hub-links")
     roots = components(found) if roots is None else _joined_roots(roots, found)
-    # only lists that still hold several classes matter, and sets that share enough of them
-    met, entries = _shared(_with_roots(met.drop("root"), roots), s, "join-second")
-    met = written(met, "join-index")
-    near, long_lists = _by_neighbours(sets, entries.where("short < shared - (m - need)"), s)
-    pairs = _by_subsets(met, entries, s).union(near).distinct()
-    found = written(verified(written(pairs, "join-pairs"), sets, s.percent), "join-links")
-    if found.head(1):
-        roots = _joined_roots(roots, found)
-    return _rounds(long_lists, roots, sets, s)
+    return _rounds(met, roots, sets, s)
 
 
 def _with_roots(rows: DataFrame, roots: DataFrame) -> DataFrame:
     return rows.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
 
 
-def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
-    """The pairs that are in different classes."""
-    named = pairs.join(roots.toDF("a", "ra"), "a", "left").join(roots.toDF("b", "rb"), "b", "left")
-    return named.where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b")
-
-
 def classes_of(nodes: DataFrame, texts: DataFrame, s: Settings, links: DataFrame | None) -> DataFrame:
     """Classes of the nodes (``digest, id, first, n, home, keys``), with sets made from ``texts`` (``doc_id, text``)."""
     exploded = nodes.select("id", F.posexplode("keys").alias("at", "key"), "home").select("id", "key", (F.col("at") < F.col("home")).alias("own"))

@@ -112,3 +112,28 @@ def test_bitmap_misses_no_id(spark):
     test = common.among(spark.createDataFrame([(i,) for i in ids] + [(None,)], "id long").repartition(4))
     assert test(np.array(ids)).all()
     assert test(np.arange(5 * 10**6, 5 * 10**6 + 1000)).sum() < 10
+
+
+def test_crowd_beyond_the_threshold_is_not_paired(spark, monkeypatch):
+    """Copies that differ from one origin each in its own way, most of them beyond the threshold from it and from each other."""
+    tables = []
+    kept = jj.written
+
+    def counted(df, name):
+        table = kept(df, name)
+        tables.append((name, table.count()))
+        return table
+
+    monkeypatch.setattr(jj, "written", counted)
+    origin = [f"w{i}" for i in range(120)]
+
+    def copy(i):
+        at = range(i % 7, 120, 120 // (i % 4 + 1))
+        return " ".join(f"own{i}x{j}" if j in at else w for j, w in enumerate(origin))
+
+    docs = [(i, copy(i)) for i in range(160)] + [(500 + i, copy(3).replace("own3x9", f"near{i}")) for i in range(4)]
+    s = jj.Settings()
+    assert run(spark, docs, s) == plain(docs, s)
+    # work tables hold rows in proportion to the elements, and pairs in proportion to the sets (all pairs: 81 a set)
+    assert max(n for _, n in tables) < sum(len(n_grams(t, 3)) for _, t in docs)
+    assert sum(n for name, n in tables if "pairs" in name) < 5 * len(docs)

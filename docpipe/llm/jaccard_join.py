@@ -148,6 +148,23 @@ def _those_among(wanted):
     return keys
 
 
+def _those_of(wanted):
+    """Sets whose ids may be in question; the exact choice is a join afterwards."""
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(wanted(batch.column(0).to_numpy())))
+
+    return sets
+
+
+def _links(pairs: DataFrame, sets: DataFrame, s: Settings, name: str) -> DataFrame:
+    """The pairs (a, b) that are partners. Only the sets of these pairs are shuffled."""
+    pairs = written(pairs, f"{name}-pairs")
+    wanted = among(pairs.select("a").union(pairs.select("b")))
+    return written(verified(pairs, sets.select("id", "shingles").mapInArrow(_those_of(wanted), "id long, shingles array<long>"), s.percent), f"{name}-links")
+
+
 def _prefixes(sets: DataFrame, s: Settings) -> DataFrame:
     """``list, id, n, reach``: the elements of ``sets`` (``id, shingles``) at which a partner can be met first, and its largest size.
 
@@ -231,7 +248,7 @@ def _rounds(members: DataFrame, roots: DataFrame, sets: DataFrame, s: Settings)
             return roots
         strays = members.where("root <> main").withColumn("nth", F.row_number().over(order))
         hubs = written(strays.where(F.col("nth") <= hubs_per_list).drop("nth", "main"), "join-hubs")
-        found = written(verified(written(_pairs(members, hubs, s), "join-pairs"), sets, s.percent), "join-links")
+        found = _links(_pairs(members, hubs, s), sets, s, "join")
         if found.head(1):
             roots = _joined_roots(roots, found)
         members = members.join(hubs.select("list", "id"), ["list", "id"], "left_anti").drop("root", "main")
@@ -247,7 +264,7 @@ def classes_among(sets: DataFrame, s: Settings, links: DataFrame | None = None)
     roots = None if links is None else components(links)
     named = met.withColumn("root", F.col("id")) if roots is None else written(_with_roots(met, roots), "join-named")
     hubs = written(_hubs(named), "join-hubs")
-    found = written(verified(written(_pairs(named, hubs, s), "join-hub-pairs"), sets, s.percent), "join-hub-links")
+    found = _links(_pairs(named, hubs, s), sets, s, "join-hub")
     roots = components(found) if roots is None else _joined_roots(roots, found)
     return _rounds(met, roots, sets, s)
 

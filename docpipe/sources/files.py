@@ -1,16 +1,18 @@
-"""Raw document folders through Spark's ``binaryFile`` source."""
+"""Raw document folders: tasks list them and open the files over Arrow's file systems; streams use Spark's ``binaryFile`` source."""
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docpipe.functions.names import basename, extension, listed_type, replace_suffix
-from docpipe.sources.listing import LISTED, arrow_file, listed
+from docpipe.session import snapshot
+from docpipe.sources.listing import LISTED, arrow_file, file_opener, has_match, has_root, listed
 
 BINARY_SCHEMA = T.StructType([
     T.StructField("path", T.StringType()),
@@ -24,6 +26,8 @@ SCANS_PER_TASK = 32
 # Content read before it goes to the JVM, and content for one task, of files that tasks open.
 READ_BYTES = 8 * 1024 * 1024
 TASK_BYTES = 64 * 1024 * 1024
+# Content of the files in one part of a written listing; Spark deals up to 32 small parts to a task.
+PART_BYTES = 16 * 1024 * 1024
 
 
 def name_glob(exts: Iterable[str]) -> str:
@@ -61,29 +65,38 @@ def with_content(listing: DataFrame) -> DataFrame:
 
     So the driver knows no file. Above Spark's size limit ``content`` is null, and ``unread`` says so.
     """
-    spark = listing.sparkSession
-    limit = int(spark.conf.get("spark.sql.sources.binaryFile.maxLength", str(2**31 - 1)))
+    return _opened(_dealt(listing, TASK_BYTES))
+
+
+def _dealt(listing: DataFrame, part_bytes: int) -> DataFrame:
+    """The files in parts of about so much content, but several parts per core."""
+    narrow = listing.select("path", "modificationTime", "length")
+    total = narrow.agg(F.sum("length")).first()[0] or 0
+    return narrow.repartition(max(4 * listing.sparkSession.sparkContext.defaultParallelism, -(-total // part_bytes)), "path")
+
+
+def _opened(listing: DataFrame, folder: str | None = None) -> DataFrame:
+    """The raw file rows of a listing as it is dealt; of one folder, all files are opened over one connection."""
+    limit = int(listing.sparkSession.conf.get("spark.sql.sources.binaryFile.maxLength", str(2**31 - 1)))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        open_ = (lambda path: arrow_file(path)[0]) if folder is None else file_opener(folder)
         for batch in batches:
             start, held, size = 0, [], 0
             for path, length in zip(batch.column("path").to_pylist(), batch.column("length").to_pylist()):
-                if length > limit:
-                    held.append(None)
-                else:
-                    with arrow_file(path)[0] as file:
-                        held.append(file.read())
-                    size += len(held[-1])
-                if size >= READ_BYTES:
+                if size and size + length > READ_BYTES:
                     yield _filled(batch, start, held)
                     start, held, size = start + len(held), [], 0
+                if not 0 < length <= limit:
+                    held.append(b"" if length == 0 else None)
+                    continue
+                with open_(path) as file:
+                    held.append(file.read())
+                size += len(held[-1])
             if held:
                 yield _filled(batch, start, held)
 
-    narrow = listing.select("path", "modificationTime", "length")
-    total = narrow.agg(F.sum("length")).first()[0] or 0
-    tasks = max(4 * spark.sparkContext.defaultParallelism, -(-total // TASK_BYTES))
-    found = with_names(narrow.repartition(tasks, "path").mapInArrow(read, f"{LISTED}, content binary"))
+    found = with_names(listing.mapInArrow(read, f"{LISTED}, content binary"))
     why = F.concat(F.col("length").cast("string"), F.lit(f" bytes are above the limit of {limit}"))
     return found.withColumn("unread", F.when(F.col("length") > limit, why))
 
@@ -106,13 +119,17 @@ def packed(scan: DataFrame) -> DataFrame:
 def raw_files(spark: SparkSession, folder: str, exts: Iterable[str]) -> DataFrame:
     """Files of one folder with one of the extensions, empty ones included.
 
-    Not recursive; the match is exact and case-sensitive and happens while listing,
-    so other files are never opened. A missing folder is an error. ``content`` is
-    read only if a later step uses it. Above Spark's size limit it is null, and ``unread`` says so.
+    Not recursive, also where a folder in it is named like a partition; the match is exact and
+    case-sensitive and happens while listing, so other files are never opened. A missing folder is an
+    error. The folder is listed now, by tasks, and the listing is written, in parts of about as much
+    content; later steps open the files in tasks. So the driver knows no file. Above Spark's size limit
+    ``content`` is null, and ``unread`` says so.
     """
-    exts = list(exts)
-    found = with_names(folder_scan(spark, folder, exts))
-    return packed(_oversize_unread(spark, found)).unionByName(empty_files(spark, folder, exts))
+    if has_root(folder):
+        found = snapshot(listed(spark, folder, list(exts)), "listing")
+        if not found.isEmpty() or has_match(spark, folder):
+            return _opened(snapshot(_dealt(found, PART_BYTES), "listing"), folder)
+    raise AnalysisException(f"[PATH_NOT_FOUND] Path does not exist: {folder}.")
 
 
 def _oversize_unread(spark: SparkSession, found: DataFrame) -> DataFrame:

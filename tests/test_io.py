@@ -142,6 +142,43 @@ def test_missing_folder_is_an_error(spark, tmp_path):
         source.raw_files(spark, str(tmp_path / "none"), ["docx"])
 
 
+def test_driver_knows_no_file_of_a_folder(spark, tmp_path):
+    folder = tmp_path / "raw"
+    folder.mkdir()
+    for n in range(300):
+        (folder / f"f{n}.txt").write_bytes(b"HEADER" + str(n).encode())
+        (folder / f"e{n}.rtf").write_bytes(b"{\\rtf1 x}")
+    outcomes = extract_from(lambda exts: source.raw_files(spark, str(folder), exts), ["txt", "rtf"])
+    known = outcomes.inputFiles()
+    assert len(known) <= 8 * spark.sparkContext.defaultParallelism and not [f for f in known if str(folder) in f]
+    assert rows(outcomes.groupBy("ext", "status").count()) == [("rtf", "ok", 300), ("txt", "ok", 300)]
+
+
+def test_raw_files_are_those_of_spark(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(source, "READ_BYTES", 10)
+    names = ["a", "_a", ".a", "_a=1", "_metadata", "_metadata=1", "odd #1%20", "\u00fc [x] {y}", "b"]
+    for n, name in enumerate(names):
+        fill(tmp_path / f"day{n % 2}", **{f"{name}.docx": name.encode() * (1 + 9 * (n % 3)), f"{name}.doc": b"x"})
+    fill(tmp_path / "day0" / "deep", a__docx=b"x")
+    (tmp_path / "day1" / "folder.docx").mkdir()
+    os.symlink(tmp_path / "day0" / "a.docx", tmp_path / "day1" / "linked.docx")
+    os.symlink(tmp_path / "gone", tmp_path / "day1" / "broken.docx")
+    for pattern in ("day0", "day1", "day[01]", "day1/*", "day?/[a-z]*"):
+        folder = f"{tmp_path}/{pattern}"
+        expected = [(*r[:5], bytes(r[5]), None) for r in rows(source.with_names(source.folder_scan(spark, folder, ["docx"])))]
+        for found in (source.raw_files(spark, folder, ["docx"]), source.raw_files(spark, f"file://{folder}", ["docx"])):
+            assert [(*r[:5], bytes(r[5]), r[6]) for r in rows(found)] == expected, pattern
+    assert len(expected) == 5
+
+
+def test_glob_without_a_match_is_an_error(spark, tmp_path):
+    (tmp_path / "raw" / "empty").mkdir(parents=True)
+    assert source.raw_files(spark, f"{tmp_path}/raw/*", ["docx"]).count() == 0
+    for pattern in ("raw/none*", "raw/empty/*", "none/*", "{raw,none}/*/none"):
+        with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+            source.raw_files(spark, f"{tmp_path}/{pattern}", ["docx"])
+
+
 def test_listing_does_not_read_content(spark, tmp_path):
     folder = fill(tmp_path / "raw", a__docx=b"x")
     plan = source.list_folder(spark, folder)._jdf.queryExecution().executedPlan().toString()
